@@ -1,0 +1,81 @@
+"""Suggestions for names that are not in a vocabulary."""
+
+from __future__ import annotations
+
+import difflib
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+BLOCK = 512            # names met by one term at a time
+LOWER_WEIGHT = 0.9     # weight of a match that ignores case
+CHOICE_SHARE = 0.6     # a vocabulary is listed if its best score exceeds this share of the other's
+
+
+def _closest(n: int, cutoff: float):
+    """For each (term, names of a block): the ``n`` best names with the score that ranks them and the score reported.
+
+    The sequence-matcher ratio depends on the order of its arguments: names are ranked by one order and reported by the other.
+    """
+
+    @F.pandas_udf("array<struct<name:string,rank:double,score:double>>")
+    def closest(terms: pd.Series, names: pd.Series) -> pd.Series:
+        out = []
+        for term, block in zip(terms, names):
+            matcher = difflib.SequenceMatcher()
+            matcher.set_seq2(term)
+            best = []
+            for name in block:
+                matcher.set_seq1(name)
+                if matcher.real_quick_ratio() >= cutoff and matcher.quick_ratio() >= cutoff:
+                    ratio = matcher.ratio()
+                    if ratio >= cutoff:
+                        best.append((ratio, name))
+            best = sorted(best, reverse=True)[:n]
+            out.append([{"name": name, "rank": ratio, "score": difflib.SequenceMatcher(None, term, name).ratio()} for ratio, name in best])
+        return pd.Series(out)
+
+    return closest
+
+
+def _best_in(terms: DataFrame, names: DataFrame, n: int, cutoff: float, blocks: int) -> DataFrame:
+    """``terms(term, key)`` against ``names(name)``: the best ``n`` of every block, then the best ``n`` of those."""
+    grouped = (names.withColumn("block", F.pmod(F.xxhash64("name"), F.lit(blocks)).cast("int"))
+               .groupBy("block").agg(F.collect_list("name").alias("names")))
+    asked = terms.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    found = asked.join(grouped, "block").select("term", F.explode(_closest(n, cutoff)("key", "names")).alias("c"))
+    order = Window.partitionBy("term").orderBy(F.desc("c.rank"), F.desc("c.name"))
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n).select("term", "c.name", "c.score")
+
+
+def suggest(terms: DataFrame, vocabulary: DataFrame, n: int = 3, cutoff: float = 0.3, term: str = "term", name: str = "name") -> DataFrame:
+    """Suggestions for the terms that the vocabulary lacks: ``(term, name, score, place)``.
+
+    The best ``n`` names with a ratio of at least ``cutoff`` and, with a weight, the best ``n`` that ignore case; each name has its
+    best score, equal scores share a place.  The vocabulary is split into blocks of bounded size, each block yields at most
+    ``n`` names per term, and no pairs are ever written out.
+    """
+    t = terms.select(F.col(term).alias("term")).distinct()
+    v = vocabulary.select(F.col(name).alias("name")).distinct()
+    lacking = t.join(v, t["term"] == v["name"], "left_anti")
+    blocks = max(1, -(-v.count() // BLOCK))
+    plain = _best_in(lacking.withColumn("key", F.col("term")), v, n, cutoff, blocks)
+    lower = v.withColumn("low", F.lower("name"))
+    by_low = _best_in(lacking.withColumn("key", F.lower("term")), lower.select(F.col("low").alias("name")).distinct(), n, cutoff, blocks)
+    by_low = by_low.withColumnRenamed("name", "low").join(lower, "low").select("term", "name", (F.lit(LOWER_WEIGHT) * F.col("score")).alias("score"))
+    best = plain.unionByName(by_low).groupBy("term", "name").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("term").orderBy(F.desc("score"))
+    return best.withColumn("place", F.dense_rank().over(order).cast("bigint"))
+
+
+def suggest_from_two(terms: DataFrame, first: DataFrame, second: DataFrame, **options) -> DataFrame:
+    """Suggestions out of two vocabularies; one is listed only if its best score is above 0.6 of the other's best."""
+    a = suggest(terms, first, **options).withColumn("vocabulary", F.lit("first"))
+    b = suggest(terms, second, **options).withColumn("vocabulary", F.lit("second"))
+    both = a.unionByName(b)
+    top = both.groupBy("term").agg(F.max(F.when(F.col("vocabulary") == "first", F.col("score"))).alias("top_first"),
+                                   F.max(F.when(F.col("vocabulary") == "second", F.col("score"))).alias("top_second"))
+    own = F.when(F.col("vocabulary") == "first", F.col("top_first")).otherwise(F.col("top_second"))
+    other = F.when(F.col("vocabulary") == "first", F.col("top_second")).otherwise(F.col("top_first"))
+    return both.join(top, "term").where(other.isNull() | (own > CHOICE_SHARE * other)).drop("top_first", "top_second")
