@@ -156,7 +156,7 @@ def shape_sizes(shapes: DataFrame, config: dict[str, int] | None = None) -> Data
     latlon = F.when(plane, side).otherwise("")
     per_level = F.when(latlon == "o", c["nho"]).when(latlon == "a", c["nha"]).otherwise(OFF_GRID_POINTS).cast("bigint")
     regular = [
-        (F.when(plane, REGULAR_POINTS[g]).otherwise(OFF_GRID_POINTS).cast("bigint") * F.col("nz")).alias(f"size_{g}")
+        (F.when(F.col("plane"), REGULAR_POINTS[g]).otherwise(OFF_GRID_POINTS).cast("bigint") * F.col("nz")).alias(f"size_{g}")
         for g in REGULAR_GRIDS
     ]
     return (

@@ -97,7 +97,7 @@ def _quantiles_by_range(have: DataFrame, keys: list[str], probs: list[float]) ->
     counted = have.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n"))
     # which of the few ranges between the cuts a value falls into; the cuts only steer the work, any cuts give the same result
     place = sum((F.when(F.col("_v") > F.col("cuts")[i], 1).otherwise(0) for i in range(len(marks))), F.lit(0))
-    ranged = skew_join(counted, cuts, keys).select(*keys, "_v", "n", place.alias("part"))
+    ranged = skew_join(counted, cuts, keys, left_keys=have.select(*keys)).select(*keys, "_v", "n", place.alias("part"))
 
     upto = Window.partitionBy(*keys).orderBy("part")
     sizes = ranged.groupBy(*keys, "part").agg(F.sum("n").alias("n"))      # at most one row per cut and key
@@ -133,7 +133,8 @@ def quantile_rows(q: DataFrame, keys: Sequence[str], labels: Sequence[str] = ("Q
 
 def box_fences(df: DataFrame, keys: Sequence[str], value: str, split: bool | None = None) -> DataFrame:
     """Quartiles and the fences one and a half interquartile ranges beyond them."""
-    q = quantiles(df, keys, value, QUARTILES, split).withColumnsRenamed({"q0": "q1", "q1": "median", "q2": "q3"})
+    q = quantiles(df, keys, value, QUARTILES, split).select(
+        *keys, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return q.withColumn("low_fence", F.col("q1") - 1.5 * iqr).withColumn("high_fence", F.col("q3") + 1.5 * iqr)
 
@@ -144,7 +145,7 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, split: bool | None
     fences = box_fences(df, keys, value, split)
     v = F.col("_v")
     have = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("n"))
-    rows = skew_join(have, fences, keys)
+    rows = skew_join(have, fences, keys, left_keys=df.select(*keys))
     inside = (v >= F.col("low_fence")) & (v <= F.col("high_fence"))
     return rows.groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(v >= F.col("low_fence"), v)).alias("_low"), F.max(F.when(v <= F.col("high_fence"), v)).alias("_high"),
@@ -156,7 +157,7 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, split: bool | None
 def box_outliers(df: DataFrame, keys: Sequence[str], value: str, split: bool | None = None) -> DataFrame:
     """The rows beyond the fences."""
     fences = box_fences(df, keys, value, split).select(*keys, "low_fence", "high_fence")
-    return skew_join(df, fences, list(keys)).where(
+    return skew_join(df, fences, list(keys), left_keys=df.select(*keys)).where(
         (F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence"))).drop("low_fence", "high_fence")
 
 

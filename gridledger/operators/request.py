@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.caps import cap_years, effective_priority, first_tier_passes, members_for_tier, reset_passes
 from gridledger.functions.sizes import default_grid, request_grid
-from gridledger.operators.expand import expand_target
+from gridledger.operators.expand import expand_target, meet_groups, with_link
 from gridledger.scale import skew_join
 
 # best first
@@ -39,7 +39,7 @@ class Policy:
 
 def item_expansion(items: DataFrame, experiments: DataFrame, tier_max: int) -> DataFrame:
     """Each request item once per experiment with starts, years, members and the slice."""
-    found = expand_target(items, experiments, "tier", "ensz", "nstart", "yps")
+    found = expand_target(items, experiments, "tier", "ensz", "nstart", "yps", base=items)
     return found.where(first_tier_passes(F.col("tier"), tier_max)).select(
         F.col("uid").alias("item"), "rlid", "expt", "nstart",
         cap_years(F.col("yps"), F.col("nymax")).alias("years"),
@@ -63,9 +63,8 @@ def years_of_links(items: DataFrame) -> DataFrame:
 
 def link_items(links: DataFrame, items: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
     """Items with group, grid and, by request, the project of their link."""
-    l = links.select(F.col("uid").alias("rlid"), "refid", request_grid(F.col("grid"), F.col("gridreq"), policy.force_grid).alias("grid"),
-                     *[F.col(c).alias(f"req_{c}") for c in by])
-    return skew_join(items, l, ["rlid"])
+    grid = request_grid(F.col("grid"), F.col("gridreq"), policy.force_grid).alias("grid")
+    return with_link(items, links, "refid", grid, *[F.col(c).alias(f"req_{c}") for c in by])
 
 
 def group_years(links: DataFrame, items: DataFrame, experiments: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
@@ -77,7 +76,7 @@ def group_years(links: DataFrame, items: DataFrame, experiments: DataFrame, poli
     asks = (link_items(links, items.where(reset_passes(F.col("treset"), policy.tier_max)), policy, by)
             .select(*keys, "esid", "nymax", "nenmax").distinct())
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
-    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps")
+    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps", base=items)
     years = (F.col("nstart") * cap_years(F.col("yps"), F.col("nymax"))
              * members_for_tier(F.col("ensz"), F.col("tier"), F.col("nenmax"), policy.tier_max))
     return found.groupBy("expt", *keys).agg(F.max(years).alias("years"))
@@ -91,10 +90,10 @@ def group_presets(links: DataFrame, items: DataFrame, policy: Policy, by: Sequen
         F.max(p == -1).alias("by_priority"), F.max((p != -1) & (p <= policy.pmax)).alias("admit_all"))
 
 
-def requested_variables(request_vars: DataFrame, presets: DataFrame, pmax: int, by: Sequence[str] = ()) -> DataFrame:
+def requested_variables(links: DataFrame, request_vars: DataFrame, presets: DataFrame, pmax: int) -> DataFrame:
     """``(refid, vid)`` pairs that pass the effective priority."""
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return (skew_join(rv, presets, ["refid"])
+    return (meet_groups(presets, rv, links, request_vars)
             .where(F.col("admit_all") | (F.col("by_priority") & (F.col("priority") <= pmax)))
             .drop("admit_all", "by_priority"))
 
@@ -103,7 +102,7 @@ def requested_pairs(links: DataFrame, items: DataFrame, request_vars: DataFrame,
     """``(refid, preset, vid, priority)`` with the priority that counts, for each preset of a group."""
     presets = link_items(links, items.select("rlid", "preset").distinct(), Policy(pmax=pmax)).select("refid", "preset").distinct()
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return (skew_join(rv, presets, ["refid"])
+    return (meet_groups(presets, rv, links, request_vars)
             .select("refid", "preset", "vid", effective_priority(F.col("preset"), F.col("priority")).alias("priority"))
             .where(F.col("priority") <= pmax))
 
@@ -118,8 +117,8 @@ def variable_requests(links: DataFrame, items: DataFrame, experiments: DataFrame
     years = group_years(links, items, experiments, policy, by).join(group_presets(links, items, policy, by), group_keys)
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
     classed = variables.where(F.col("grid_class").isNotNull()).select(F.col("uid").alias("vid"), "grid_class")
-    rv = skew_join(rv, classed, ["vid"])
-    found = skew_join(years, rv, ["refid"]).where(
+    rv = skew_join(rv, classed, ["vid"], left_keys=request_vars.select("vid"))
+    found = meet_groups(years, rv, links, request_vars).where(
         F.col("admit_all") | (F.col("by_priority") & (F.col("priority") <= policy.pmax)))
     return found.select("vid", "expt", *[f"req_{c}" for c in by], "refid",
                         default_grid(F.col("grid"), F.col("grid_class"), policy.default_native).alias("grid"), "years")
@@ -142,24 +141,24 @@ def variable_years(requests: DataFrame, policy: Policy, by: Sequence[str] = ())
 def redundant_variables(selected: DataFrame, choices: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Selected variables that rank below another selected one in a choice group.  Equal ranks all stay."""
     keys = list(by)
-    chosen = skew_join(choices, selected.select("vid", *keys).distinct(), ["vid"])
+    chosen = choices.join(selected.select("vid", *keys).distinct(), "vid")
     top = chosen.groupBy("cid", *keys).agg(F.max("rank").alias("top"))
-    return skew_join(chosen, top, ["cid", *keys]).where(F.col("rank") < F.col("top")).select("vid", *keys).distinct()
+    return chosen.join(top, ["cid", *keys]).where(F.col("rank") < F.col("top")).select("vid", *keys).distinct()
 
 
 def drop_redundant(df: DataFrame, selected: DataFrame, choices: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return skew_join(df, redundant_variables(selected, choices, by), ["vid", *by], "left_anti")
+    return df.join(redundant_variables(selected, choices, by), ["vid", *by], "left_anti")
 
 
 def drop_by_configuration(selected: DataFrame, choices: DataFrame, settings: DataFrame | None = None) -> DataFrame:
     """Selected variables without those whose flag differs from the setting of their choice group (true by default)."""
     flagged = choices.select("vid", "cid", "cfg")
     if settings is not None:
-        flagged = skew_join(flagged, settings.select("cid", F.col("cfg").alias("wanted")), ["cid"], "left")
+        flagged = skew_join(flagged, settings.select("cid", F.col("cfg").alias("wanted")), ["cid"], "left", left_keys=choices.select("cid"))
     else:
         flagged = flagged.withColumn("wanted", F.lit(True))
     wrong = flagged.where(F.col("cfg") != F.coalesce("wanted", F.lit(True))).select("vid").distinct()
-    return skew_join(selected, wrong, ["vid"], "left_anti")
+    return selected.join(wrong, "vid", "left_anti")
 
 
 def selected_variables(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame,
@@ -170,11 +169,11 @@ def selected_variables(links: DataFrame, items: DataFrame, experiments: DataFram
             .select(*keys, "esid").distinct())
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
     reachable = able.select(F.explode(F.array("uid", "egid", "mip")).alias("esid")).distinct()
-    live = skew_join(asks, reachable, ["esid"], "left_semi").select(*keys).distinct()
+    live = skew_join(asks, reachable, ["esid"], "left_semi", left_keys=items.select("esid")).select(*keys).distinct()
     presets = group_presets(links, items, policy, by).join(live, keys, "left_semi")
     classed = variables.where(F.col("grid_class").isNotNull()).select(F.col("uid").alias("vid"))
-    wanted = requested_variables(request_vars, presets, policy.pmax, by).select("vid", *[f"req_{c}" for c in by]).distinct()
-    return skew_join(wanted, classed, ["vid"], "left_semi")
+    wanted = requested_variables(links, request_vars, presets, policy.pmax).select("vid", *[f"req_{c}" for c in by]).distinct()
+    return wanted.join(classed, "vid", "left_semi")
 
 
 def intersection(selected: DataFrame, n_mips: int) -> DataFrame:

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.caps import first_tier_passes, reset_passes
 from gridledger.lookup import SLICE_COMPARE_PAIRS, SLICE_PAIRS
-from gridledger.operators.expand import expand_target
+from gridledger.operators.expand import expand_target, meet_groups
 from gridledger.operators.request import SLICE, Policy, link_items, requested_pairs
-from gridledger.scale import skew_join
 
 SPECIAL_LABELS = sorted({label for labels, *_ in SLICE_PAIRS for label in labels})
 
@@ -28,17 +27,21 @@ def group_slices(links: DataFrame, items: DataFrame, experiments: DataFrame, pol
         kept = kept.where(F.col("ts_label").isNotNull())
     asks = link_items(links, kept, policy).select("refid", "esid", *SLICE).distinct()
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
-    return expand_target(asks, able).select("refid", "expt", *SLICE).distinct()
+    return expand_target(asks, able, base=items).select("refid", "expt", *SLICE).distinct()
 
 
 def variable_slices(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame, policy: Policy,
                     keep_unsliced: bool = True) -> DataFrame:
     """``(vid, expt, slice, priority)``: each slice once with the lowest priority that asks for it."""
     wanted = requested_pairs(links, items, request_vars, policy.pmax).groupBy("refid", "vid").agg(F.min("priority").alias("priority"))
-    found = skew_join(group_slices(links, items, experiments, policy, keep_unsliced), wanted, ["refid"])
+    found = meet_groups(group_slices(links, items, experiments, policy, keep_unsliced), wanted, links, request_vars)
     return found.groupBy("vid", "expt", *SLICE).agg(F.min("priority").alias("priority"))
 
 
+def _slice_named(label: str) -> Column:
+    return F.element_at(F.filter("special", lambda s: s["ts_label"] == label), 1)
+
+
 def merge_slices(sliced: DataFrame, keys: Sequence[str] = ("vid", "expt")) -> DataFrame:
     """One slice per key out of its distinct slices, with a return code.
 
@@ -67,7 +70,7 @@ def merge_slices(sliced: DataFrame, keys: Sequence[str] = ("vid", "expt")) -> Da
     for names, label, ts_type, start, end in SLICE_PAIRS:
         here = (F.col("n") == len(names)) & (labels == F.array(*[F.lit(x) for x in names]))
         if ts_type is None:
-            value = F.element_at(F.filter("special", lambda s, w=label: s["ts_label"] == w), 1)
+            value = _slice_named(label)
         else:
             value = F.struct(F.lit(label).alias("ts_label"), F.lit(ts_type).alias("ts_type"),
                              F.lit(start).cast("bigint").alias("ts_start"), F.lit(end).cast("bigint").alias("ts_end"))

@@ -17,9 +17,8 @@ from gridledger.functions.sizes import (
     is_climatology, is_climatology_label, is_climatology_legacy, size_on, sizing_grid, summary_grid,
 )
 from gridledger.lookup import BYTES_PER_VALUE
-from gridledger.operators.expand import expand_target
+from gridledger.operators.expand import expand_target, meet_groups, with_link
 from gridledger.operators.request import GRID_ORDER, Policy
-from gridledger.scale import skew_join
 
 
 def exact(points: Column, years: Column) -> Column:
@@ -35,6 +34,11 @@ def terabytes(volume: Column) -> Column:
     return volume * F.lit(BYTES_PER_VALUE * 1e-12)
 
 
+def _sizes_by_vid(sized: DataFrame, *cols: str) -> DataFrame:
+    sizes = [c for c in sized.columns if c.startswith("size_")]
+    return sized.select(F.col("uid").alias("vid"), *cols, *sizes)
+
+
 def points_of(policy: Policy) -> Column:
     """Hundredths of values per variable-year, for rows with the columns of ``variable_sizes`` and a grid."""
     grid = sizing_grid(F.col("grid"), F.col("grid_class"), F.col("latlon"), policy.ocean_structured)
@@ -43,11 +47,9 @@ def points_of(policy: Policy) -> Column:
 
 def volume_fact(years: DataFrame, sized: DataFrame, policy: Policy, *cols: str) -> DataFrame:
     """Adds ``hundredths`` to the rows of ``variable_years``; ``cols`` are variable columns to keep."""
-    v = sized.withColumnRenamed("uid", "vid").select(
-        "vid", "frequency", "grid_class", "latlon", "npy100", *[c for c in sized.columns if c.startswith("size_")],
-        *[c for c in cols if c != "frequency"])
+    v = _sizes_by_vid(sized, "frequency", "grid_class", "latlon", "npy100", *[c for c in cols if c != "frequency"])
     weight = F.when(is_climatology(F.col("frequency")), F.lit(1)).otherwise(F.col("years"))
-    fact = skew_join(years, v, ["vid"])
+    fact = years.join(v, "vid")          # one row per variable on the right; adaptive execution splits a popular one
     return fact.select(*years.columns, "frequency", *[c for c in cols if c != "frequency"],
                        exact(points_of(policy), weight).alias("hundredths"))
 
@@ -55,9 +57,7 @@ def volume_fact(years: DataFrame, sized: DataFrame, policy: Policy, *cols: str)
 def variable_volumes(years: DataFrame, sized: DataFrame, policy: Policy, by: Sequence[str] = (), *cols: str) -> DataFrame:
     """Exact volume per variable (and ``by``): years are summed per variable and grid before the sizes are looked up."""
     per_grid = years.groupBy("vid", "grid", *by).agg(F.sum("years").alias("years"), F.count(F.lit(1)).alias("n"))
-    v = sized.withColumnRenamed("uid", "vid").select(
-        "vid", "frequency", "grid_class", "latlon", "npy100", *[c for c in sized.columns if c.startswith("size_")],
-        *[c for c in cols if c != "frequency"])
+    v = _sizes_by_vid(sized, "frequency", "grid_class", "latlon", "npy100", *[c for c in cols if c != "frequency"])
     weight = F.when(is_climatology(F.col("frequency")), F.col("n")).otherwise(F.col("years"))
     return (per_grid.join(v, "vid")
             .groupBy("vid", *by, "frequency", *[c for c in cols if c != "frequency"])
@@ -176,9 +176,8 @@ SHAPE_KEYS = ["spid", "odims", "out_grid", "frequency"]
 def shape_frequency_summary(years: DataFrame, sized: DataFrame, policy: Policy) -> DataFrame:
     """Per shape, grid and frequency: variables, mean years per variable (for climatologies: mean number of experiments),
     experiments, and points per output time."""
-    v = sized.withColumnRenamed("uid", "vid").select(
-        "vid", "frequency", "spid", "odims", "grid_class", "latlon", *[c for c in sized.columns if c.startswith("size_")])
-    rows = skew_join(years, v, ["vid"])
+    v = _sizes_by_vid(sized, "frequency", "spid", "odims", "grid_class", "latlon")
+    rows = years.join(v, "vid")
     out_grid = summary_grid(F.col("grid"), F.col("grid_class"), F.col("latlon"), policy.default_native, policy.ocean_structured)
     rows = rows.withColumn("out_grid", out_grid)
     rows = rows.withColumn("points", F.coalesce(size_on(F.col("out_grid"), F.col("latlon")), F.lit(0)))
@@ -212,27 +211,26 @@ def legacy_fact(links: DataFrame, items: DataFrame, experiments: DataFrame, requ
 
     Links to placeholders are left out; a link limits variables by their own priority only.
     """
-    l = links.select(F.col("uid").alias("rlid"), "refid", *[F.col(c).alias(f"req_{c}") for c in by],
-                     F.when(F.col("grid").isin("100km", "1deg", "2deg"), F.col("grid")).otherwise("native").alias("grid"))
+    asked = F.when(F.col("grid").isin("100km", "1deg", "2deg"), F.col("grid")).otherwise("native").alias("grid")
     keys = ["refid", "grid", *[f"req_{c}" for c in by]]
-    asks = skew_join(items.where(preset_passes(F.col("preset"), policy.pmax)), l, ["rlid"]).select(*keys, "esid", "nymax", "nenmax").distinct()
+    kept = items.where(preset_passes(F.col("preset"), policy.pmax))
+    asks = with_link(kept, links, "refid", asked, *[F.col(c).alias(f"req_{c}") for c in by]).select(*keys, "esid", "nymax", "nenmax").distinct()
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
-    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps")
+    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps", base=items)
     years = cap_years(F.col("nstart") * cap_years(F.col("yps"), F.col("nymax"))
                       * members_for_tier(F.col("ensz"), F.col("tier"), F.col("nenmax"), policy.tier_max), F.col("nymax"))
     per_group = found.groupBy("expt", *keys).agg(F.max(years).alias("years"))
     rv = request_vars.where(F.col("priority") <= policy.pmax).select(F.col("vgid").alias("refid"), "vid").distinct()
     found_keys = ["vid", "expt", *[f"req_{c}" for c in by]]
     grids = ["native", "100km", "1deg", "2deg"]
-    wide = skew_join(per_group, rv, ["refid"]).groupBy(*found_keys).agg(*[
+    wide = meet_groups(per_group, rv, links, request_vars).groupBy(*found_keys).agg(*[
         F.max(F.when(F.col("grid") == g, F.col("years"))).alias(f"y{i}") for i, g in enumerate(grids)])
     grid = reduce(lambda acc, ig: acc.when(F.col(f"y{ig[0]}").isNotNull(), F.lit(ig[1])), enumerate(grids), F)
     best = wide.select(*found_keys, grid.alias("grid"), F.coalesce(*[f"y{i}" for i in range(len(grids))]).alias("years"))
-    v = sized.withColumnRenamed("uid", "vid").select(
-        "vid", "mip_table", "label", "frequency", "npy100", "latlon", *[c for c in sized.columns if c.startswith("size_")])
+    v = _sizes_by_vid(sized, "mip_table", "label", "frequency", "npy100", "latlon")
     weight = F.when(is_climatology_legacy(F.col("frequency")), F.lit(1)).otherwise(F.col("years"))
     points = F.coalesce(size_on(F.col("grid"), F.col("latlon")), F.lit(0)) * F.col("npy100")
-    return skew_join(best, v, ["vid"]).select(*found_keys, "grid", "years", "mip_table", "label", "frequency",
+    return best.join(v, "vid").select(*found_keys, "grid", "years", "mip_table", "label", "frequency",
                                               exact(points, weight).alias("hundredths"))
 
 
@@ -251,14 +249,13 @@ def two_key_list(df: DataFrame, a1: str, a2: str, value: str) -> DataFrame:
 def request_summary(items: DataFrame, links: DataFrame, request_vars: DataFrame, pmax: int) -> DataFrame:
     """Per variable: largest positive years, year cap and member cap over its requests (-1 without one), their number and
     grids.  A single request is passed on with its own values."""
-    l = links.select(F.col("uid").alias("rlid"), "refid", F.col("grid"))
-    per_group = (skew_join(items.select("uid", "rlid", "ny", "nymax", "nenmax"), l, ["rlid"])
+    per_group = (with_link(items.select("uid", "rlid", "ny", "nymax", "nenmax"), links, "refid", "grid")
                  .groupBy("refid", "grid").agg(
                      *[F.max(F.when(F.col(c) > 0, F.col(c))).alias(c) for c in ("ny", "nymax", "nenmax")],
                      *[F.min(c).alias(f"only_{c}") for c in ("ny", "nymax", "nenmax")],
                      F.count(F.lit(1)).alias("requests")))
     rv = request_vars.where(F.col("priority") <= pmax).groupBy(F.col("vgid").alias("refid"), "vid").agg(F.count(F.lit(1)).alias("times"))
-    per_var = skew_join(per_group, rv, ["refid"]).groupBy("vid").agg(
+    per_var = meet_groups(per_group, rv, links, request_vars).groupBy("vid").agg(
         *[F.max(c).alias(c) for c in ("ny", "nymax", "nenmax")], *[F.min(f"only_{c}").alias(f"only_{c}") for c in ("ny", "nymax", "nenmax")],
         F.sum(F.col("requests") * F.col("times")).alias("requests"), F.array_join(F.sort_array(F.collect_set("grid")), ",").alias("grids"))
     value = lambda c: F.when(F.col("requests") == 1, F.col(f"only_{c}")).otherwise(F.coalesce(F.col(c), F.lit(-1))).alias(c)
@@ -271,23 +268,22 @@ def experiment_summary(items: DataFrame, links: DataFrame, experiments: DataFram
 
     Requests of a variable for an experiment combine as in ``request_summary``.
     """
-    l = links.select(F.col("uid").alias("rlid"), "refid")
     caps = ["ny", "nymax", "nenmax"]
-    asks = skew_join(items, l, ["rlid"])
+    asks = with_link(items, links, "refid")
     over = F.coalesce(F.col("treset") <= tier_max, F.lit(False))
-    found = expand_target(asks.select("uid", "refid", "esid", over.alias("over"), *caps), experiments, "tier", "ensz", "yps")
+    found = expand_target(asks.select("uid", "refid", "esid", over.alias("over"), *caps), experiments, "tier", "ensz", "yps", base=items)
     found = found.where(F.col("over") | (F.element_at("tier", 1) <= tier_max))
     per_group = found.groupBy("expt", "refid").agg(
         *[F.max(F.when(F.col(c) > 0, F.col(c))).alias(c) for c in caps], *[F.min(c).alias(f"only_{c}") for c in caps],
         F.count(F.lit(1)).alias("requests"))
     rv = request_vars.where(F.col("priority") <= pmax).groupBy(F.col("vgid").alias("refid"), "vid").agg(F.count(F.lit(1)).alias("times"))
-    per_var = skew_join(per_group, rv, ["refid"]).groupBy("expt", "vid").agg(
+    per_var = meet_groups(per_group, rv, links, request_vars).groupBy("expt", "vid").agg(
         *[F.max(c).alias(c) for c in caps], *[F.min(f"only_{c}").alias(f"only_{c}") for c in caps],
         F.sum(F.col("requests") * F.col("times")).alias("requests"))
     value = lambda c: F.when(F.col("requests") == 1, F.col(f"only_{c}")).otherwise(F.coalesce(F.col(c), F.lit(-1)))
     e = experiments.select(F.col("uid").alias("expt"), F.col("mip").alias("design_mip"), "yps", "tier", "ensz")
     v = sized.select(F.col("uid").alias("vid"), "size_native", "npy100")
-    rows = skew_join(skew_join(per_var, e, ["expt"]), v, ["vid"])
+    rows = per_var.join(e, "expt").join(v, "vid")
     years = F.when(F.col("yps") < 0, value("ny")).otherwise(F.least("yps", value("ny")))
     members = members_for_tier(F.col("ensz"), F.col("tier"), value("nenmax"), tier_max)
     return rows.select("expt", "design_mip", exact(F.col("size_native") * F.col("npy100"), years * members).alias("hundredths")).groupBy(

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.text import table_class
 from gridledger.lookup import UNSET
-from gridledger.operators.expand import link_experiments
+from gridledger.operators.expand import link_experiments, meet_groups, with_link
 from gridledger.operators.links import broken_parts
-from gridledger.scale import skew_join, string_set
+from gridledger.scale import string_set
 
 QC_VALUES = ["valid_min", "valid_max", "ok_min_mean_abs", "ok_max_mean_abs"]
 
@@ -84,10 +84,10 @@ def with_mips(wide: DataFrame, covered: DataFrame, name: str = "mips") -> DataFr
 
 def lowest_priorities(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame) -> DataFrame:
     """``(mip, expt, vid, priority)``: lowest priority value among the links of a project that serve an experiment."""
-    served = skew_join(link_experiments(items, experiments), links.select(F.col("uid").alias("rlid"), "mip", "refid"), ["rlid"])
+    served = with_link(link_experiments(items, experiments), links, "mip", "refid", base=items)
     groups = served.select("mip", "expt", "refid").distinct()
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return skew_join(groups, rv, ["refid"]).groupBy("mip", "expt", "vid").agg(F.min("priority").alias("priority"))
+    return meet_groups(groups, rv, links, request_vars).groupBy("mip", "expt", "vid").agg(F.min("priority").alias("priority"))
 
 
 def rank_variables(variables: DataFrame, var: DataFrame, request_vars: DataFrame, placeholder: Column) -> DataFrame:

@@ -162,7 +162,9 @@ class Catalogue:
         self._made: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._made:
+            self._made[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._made[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLES:

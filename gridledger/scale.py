@@ -1,10 +1,12 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A plain equi-join sends all rows of a key to one task.  ``skew_join`` splits the keys that were *measured* to be
-hot over ``SALTS`` tasks, on either side, and repeats the matching rows of the other side; all other keys are left
-alone.  The list of hot keys never exceeds ``MOST_HOT_KEYS`` rows, which is what makes its broadcast safe; a key that
-does not make the list is only slower, never wrong.  When the whole input of the query is small no key can overload
-a task, so the measuring pass is skipped.
+Adaptive execution splits an oversized partition of a sort-merge join at run time, but it cannot help where both sides of
+a key are large, nor where the join is turned into another kind.  ``skew_join`` therefore also splits keys that are *known*
+to be hot: the caller names the base table columns the keys come from, their frequent values are counted there (one narrow
+scan with map-side counts), and the rows of these keys are spread over ``SALTS`` tasks while the matching rows of the other
+side are repeated.  The list of hot keys never exceeds ``MOST_HOT_KEYS`` rows, which is what makes its broadcast safe; a key
+that does not make the list is only slower, never wrong.  Counting in base tables rather than in the joined rows keeps a
+chain of such joins linear.  When a base table is small no key can overload a task, and the counting is skipped.
 """
 
 from __future__ import annotations
@@ -25,9 +27,9 @@ def input_bytes(*frames: DataFrame) -> int | None:
     total = 0
     try:
         for df in frames:
-            leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+            leaves = df._jdf.queryExecution().analyzed().collectLeaves()     # no optimisation needed for that
             for i in range(leaves.size()):
-                total += int(leaves.apply(i).stats().sizeInBytes().toString())
+                total += int(leaves.apply(i).stats().sizeInBytes())
     except Exception:
         return None
     return total
@@ -38,11 +40,11 @@ def is_small(*frames: DataFrame) -> bool:
     return size is not None and size <= SMALL_INPUT_BYTES
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with at least ``hot_rows`` rows, at most ``MOST_HOT_KEYS`` of them, largest first."""
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys with at least ``HOT_ROWS`` rows, at most ``MOST_HOT_KEYS`` of them, largest first."""
     return (
         df.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= hot_rows)
+        .where(F.col("_rows") >= HOT_ROWS)
         .orderBy(F.desc("_rows")).limit(MOST_HOT_KEYS)
         .select(*keys, F.lit(True).alias("_hot"))
     )
@@ -55,9 +57,8 @@ def _all_set(keys: Sequence[str]) -> Column:
     return cond
 
 
-def _mark(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
-    marked = df.join(F.broadcast(hot.withColumnRenamed("_hot", flag)), list(keys), "left")
-    return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+def _mark(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.join(F.broadcast(hot), list(keys), "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
 
 def skew_join(
@@ -66,43 +67,40 @@ def skew_join(
     keys: Sequence[str],
     how: str = "inner",
     *,
-    salts: int = SALTS,
-    hot_rows: int = HOT_ROWS,
-    split: bool | None = None,
+    left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join on same-named ``keys``; hot keys of the left side, and for inner joins of the right side, are split.
+    """Equi-join on same-named ``keys`` that splits the hot ones.
 
-    ``split`` None decides by input size; True or False forces the choice.  The salt is a hash of the whole row, so a
-    task that is run again puts every row where it was before; collapse exact copies before the join, since copies
-    share their salt.
+    ``left_keys`` and ``right_keys`` hold the key columns as they occur in the base tables; without them, or if they are small,
+    that side is left to adaptive execution.  The right side is split for inner joins only.  The salt is a hash of the whole
+    row, so a task that is run again puts every row where it was before; exact copies share their salt and should be collapsed
+    before the join.
     """
     keys = list(keys)
-    if split is None:
-        split = not is_small(left, right)
-    if not split:
+    split_left = left_keys is not None and not is_small(left_keys)
+    split_right = how == "inner" and right_keys is not None and not is_small(right_keys)
+    if not (split_left or split_right):
         return left.join(right, keys, how)
 
-    salt_of = lambda df: F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    none = F.array(F.lit(0))
-
-    hot_left = hot_keys(left, keys, hot_rows)
-    l = _mark(left.withColumn("_own", salt_of(left)), hot_left, keys, "_lhot")
-    r = _mark(right.withColumn("_own", salt_of(right)), hot_left, keys, "_lhot")
-    # a row with a missing key matches nothing, so it may go anywhere: spread those rows as well
-    l = l.withColumn("_ls", F.when(F.col("_lhot") | ~_all_set(keys), F.col("_own")).otherwise(F.lit(0)))
-    r = r.withColumn("_ls", F.explode(F.when(F.col("_lhot"), every).otherwise(none)))
-    on = keys + ["_ls"]
-    if how == "inner":
-        hot_right = hot_keys(right, keys, hot_rows)
-        l = _mark(l, hot_right, keys, "_rhot")
-        r = _mark(r, hot_right, keys, "_rhot")
-        r = r.withColumn("_rs", F.when(F.col("_rhot"), F.col("_own")).otherwise(F.lit(0)))
-        l = l.withColumn("_rs", F.explode(F.when(F.col("_rhot"), every).otherwise(none)))
-        on = on + ["_rs"]
-    helper = ["_own", "_lhot", "_rhot"]
-    joined = l.drop(*helper).join(r.drop(*helper), on, how)
-    return joined.drop("_ls", "_rs")
+    def own_salt(df: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
+
+    every, none = F.sequence(F.lit(0), F.lit(SALTS - 1)), F.array(F.lit(0))
+    own, repeated = F.col("_own"), F.explode(F.when(F.col("_hot"), every).otherwise(none))
+    l, r, on = left.withColumn("_own", own_salt(left)), right.withColumn("_own", own_salt(right)), list(keys)
+    if split_left:
+        hot = hot_keys(left_keys, keys)
+        # a row with a missing key matches nothing, so it may go anywhere: spread those rows as well
+        l = _mark(l, hot, keys).withColumn("_ls", F.when(F.col("_hot") | ~_all_set(keys), own).otherwise(F.lit(0))).drop("_hot")
+        r = _mark(r, hot, keys).withColumn("_ls", repeated).drop("_hot")
+        on.append("_ls")
+    if split_right:
+        hot = hot_keys(right_keys, keys)
+        r = _mark(r, hot, keys).withColumn("_rs", F.when(F.col("_hot"), own).otherwise(F.lit(0))).drop("_hot")
+        l = _mark(l, hot, keys).withColumn("_rs", repeated).drop("_hot")
+        on.append("_rs")
+    return l.drop("_own").join(r.drop("_own"), on, how).drop("_ls", "_rs")
 
 
 def string_set(col: Column | str, sep: str = ",") -> Column:
