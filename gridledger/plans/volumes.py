@@ -164,12 +164,14 @@ def volume_unique(cat):
     return V.sum_by(V.variable_volumes(unique_requests(cat), sized(cat), POLICY, ["req_mip"]), "req_mip")
 
 
+_THREE = "'m0', 'm1', 'm2'"
+
+
 @query("volume_overlap", f"""
-WITH {Q.requests(mips="'m0', 'm1', 'm2'", by_mip=True)}, {Q.best(by_mip=True)}, {Q.redundant(by_mip=True)}, {Q.fact(by_mip=True)},
-cvr AS (SELECT vid, expt, grid, years FROM vr), {Q.best('cvr', 'cvy')}, {Q.redundant('cvy', 'credundant')}, {Q.fact('cvy', 'cfact', 'credundant')},
-t AS (SELECT (SELECT sum(hundredths) FROM fact) AS s, (SELECT sum(hundredths) FROM cfact) AS c)
 SELECT CAST(s AS DOUBLE) / 100.0 * (2 * 1e-12) AS sum_single_tb, CAST(c AS DOUBLE) / 100.0 * (2 * 1e-12) AS combined_tb,
- CAST(s - c AS DOUBLE) / 100.0 * (2 * 1e-12) AS overlap_tb FROM t""")
+ CAST(s - c AS DOUBLE) / 100.0 * (2 * 1e-12) AS overlap_tb FROM (SELECT
+ (WITH {Q.requests(mips=_THREE, by_mip=True)}, {Q.best(by_mip=True)}, {Q.redundant(by_mip=True)}, {Q.fact(by_mip=True)} SELECT sum(hundredths) FROM fact) AS s,
+ (WITH {Q.requests(mips=_THREE)}, {Q.best()}, {Q.redundant()}, {Q.fact()} SELECT sum(hundredths) FROM fact) AS c)""")
 def volume_overlap(cat):
     links = X.select_links(cat["x_request_link"], {"m0", "m1", "m2"})
     return V.overlap(per_variable(cat, by=["mip"], links=links), per_variable(cat, links=links))
