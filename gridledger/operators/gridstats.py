@@ -199,14 +199,15 @@ def nearest_values(targets: DataFrame, coords: DataFrame, target: str, coord: st
     marked = (c.withColumn("coord", F.col("x")).unionByName(t.withColumn("coord", F.lit(None).cast("double")))
               .withColumn("part", part))
     by_part = marked.groupBy("part").agg(F.min("coord").alias("first"), F.max("coord").alias("last"))   # AXIS_BUCKETS rows
-    order = Window.partitionBy(F.lit(0)).orderBy("part")
-    beyond = by_part.select("part",
-                            F.last("last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
-                            F.first("first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after"))
-    near = Window.partitionBy("part").orderBy("x")
-    found = marked.select("part", "x", "coord",
-                          F.last("coord", ignorenulls=True).over(near.rangeBetween(Window.unboundedPreceding, 0)).alias("below"),
-                          F.first("coord", ignorenulls=True).over(near.rangeBetween(0, Window.unboundedFollowing)).alias("above"))
+    back = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(F.lit(0)).orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = by_part.select("part", F.last("last", ignorenulls=True).over(back).alias("before"),
+                            F.last("first", ignorenulls=True).over(ahead).alias("after"))
+    # at equal places the coordinate comes before the target, in both directions
+    upwards = Window.partitionBy("part").orderBy("x", F.asc_nulls_last("coord")).rowsBetween(Window.unboundedPreceding, 0)
+    downwards = Window.partitionBy("part").orderBy(F.desc("x"), F.asc_nulls_last("coord")).rowsBetween(Window.unboundedPreceding, 0)
+    found = marked.select("part", "x", "coord", F.last("coord", ignorenulls=True).over(upwards).alias("below"),
+                          F.last("coord", ignorenulls=True).over(downwards).alias("above"))
     found = found.where(F.col("coord").isNull()).join(F.broadcast(beyond), "part", "left")
     below, above = F.coalesce("below", "before"), F.coalesce("above", "after")
     pick = F.when(above.isNull(), below).when(below.isNull(), above).when(F.col("x") - below <= above - F.col("x"), below).otherwise(above)

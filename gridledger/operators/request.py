@@ -67,19 +67,21 @@ def link_items(links: DataFrame, items: DataFrame, policy: Policy, by: Sequence[
     return with_link(items, links, "refid", grid, *[F.col(c).alias(f"req_{c}") for c in by])
 
 
-def group_years(links: DataFrame, items: DataFrame, experiments: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
+def group_years(links: DataFrame, items: DataFrame, experiments: DataFrame, policy: Policy, by: Sequence[str] = (),
+                carry: Sequence[str] = ()) -> DataFrame:
     """Largest number of years per (group, experiment, grid).
 
-    Items that ask the same of the same target collapse before they expand.  ``experiments`` may be an allowed subset.
+    Items that ask the same of the same target collapse before they expand.  ``experiments`` may be an allowed subset; ``carry``
+    names columns of it to keep, which saves looking up each experiment again.
     """
     keys = ["refid", "grid", *[f"req_{c}" for c in by]]
     asks = (link_items(links, items.where(reset_passes(F.col("treset"), policy.tier_max)), policy, by)
             .select(*keys, "esid", "nymax", "nenmax").distinct())
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
-    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps", base=items)
+    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps", *carry, base=items)
     years = (F.col("nstart") * cap_years(F.col("yps"), F.col("nymax"))
              * members_for_tier(F.col("ensz"), F.col("tier"), F.col("nenmax"), policy.tier_max))
-    return found.groupBy("expt", *keys).agg(F.max(years).alias("years"))
+    return found.groupBy("expt", *carry, *keys).agg(F.max(years).alias("years"))
 
 
 def group_presets(links: DataFrame, items: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
@@ -108,28 +110,28 @@ def requested_pairs(links: DataFrame, items: DataFrame, request_vars: DataFrame,
 
 
 def variable_requests(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame,
-                      variables: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
+                      variables: DataFrame, policy: Policy, by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
     """``(vid, expt, grid, years)`` with one row per group that asks for it; grids settled by the variable's class.
 
     ``variables`` has uid and grid_class; a variable without a class is not sized and drops out.
     """
     group_keys = ["refid", *[f"req_{c}" for c in by]]
-    years = group_years(links, items, experiments, policy, by).join(group_presets(links, items, policy, by), group_keys)
+    years = group_years(links, items, experiments, policy, by, carry).join(group_presets(links, items, policy, by), group_keys)
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
     classed = variables.where(F.col("grid_class").isNotNull()).select(F.col("uid").alias("vid"), "grid_class")
     rv = skew_join(rv, classed, ["vid"], left_keys=request_vars.select("vid"))
     found = meet_groups(years, rv, links, request_vars).where(
         F.col("admit_all") | (F.col("by_priority") & (F.col("priority") <= policy.pmax)))
-    return found.select("vid", "expt", *[f"req_{c}" for c in by], "refid",
+    return found.select("vid", "expt", *carry, *[f"req_{c}" for c in by], "refid",
                         default_grid(F.col("grid"), F.col("grid_class"), policy.default_native).alias("grid"), "years")
 
 
-def variable_years(requests: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
+def variable_years(requests: DataFrame, policy: Policy, by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
     """Largest number of years per variable and experiment, on the best grid or on every grid.
 
     The maxima of the few grids share one aggregation, so the best grid needs no shuffle of its own.
     """
-    keys = ["vid", "expt", *[f"req_{c}" for c in by]]
+    keys = ["vid", "expt", *carry, *[f"req_{c}" for c in by]]
     if policy.all_grids:
         return requests.groupBy(*keys, "grid").agg(F.max("years").alias("years"))
     wide = requests.groupBy(*keys).agg(*[
@@ -146,8 +148,12 @@ def redundant_variables(selected: DataFrame, choices: DataFrame, by: Sequence[st
     return chosen.join(top, ["cid", *keys]).where(F.col("rank") < F.col("top")).select("vid", *keys).distinct()
 
 
-def drop_redundant(df: DataFrame, selected: DataFrame, choices: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return df.join(redundant_variables(selected, choices, by), ["vid", *by], "left_anti")
+def kept_variables(selected: DataFrame, choices: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:
+    """Selected variables without the redundant ones; without ``choices`` all stay.  One row per variable and ``by``."""
+    rows = selected.select("vid", *by).distinct()
+    if choices is None:
+        return rows
+    return rows.join(redundant_variables(rows, choices, by), ["vid", *by], "left_anti")
 
 
 def drop_by_configuration(selected: DataFrame, choices: DataFrame, settings: DataFrame | None = None) -> DataFrame:

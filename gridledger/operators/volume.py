@@ -19,6 +19,7 @@ from gridledger.functions.sizes import (
 from gridledger.lookup import BYTES_PER_VALUE
 from gridledger.operators.expand import expand_target, meet_groups, with_link
 from gridledger.operators.request import GRID_ORDER, Policy
+from gridledger.scale import skew_join
 
 
 def exact(points: Column, years: Column) -> Column:
@@ -39,31 +40,44 @@ def _sizes_by_vid(sized: DataFrame, *cols: str) -> DataFrame:
     return sized.select(F.col("uid").alias("vid"), *cols, *sizes)
 
 
+def kept_sizes(kept: DataFrame, sized: DataFrame) -> DataFrame:
+    """The kept variables ``(vid, …)`` with their sizes: joining it to years drops the other variables and sizes the rest."""
+    cols = [c for c in sized.columns if c not in ("uid", "vid") and not c.startswith("size_")]
+    return kept.join(_sizes_by_vid(sized, *cols), "vid")
+
+
 def points_of(policy: Policy) -> Column:
     """Hundredths of values per variable-year, for rows with the columns of ``variable_sizes`` and a grid."""
     grid = sizing_grid(F.col("grid"), F.col("grid_class"), F.col("latlon"), policy.ocean_structured)
     return F.coalesce(size_on(grid, F.col("latlon")), F.lit(0)) * F.col("npy100")
 
 
-def volume_fact(years: DataFrame, sized: DataFrame, policy: Policy, *cols: str) -> DataFrame:
-    """Adds ``hundredths`` to the rows of ``variable_years``; ``cols`` are variable columns to keep."""
-    v = _sizes_by_vid(sized, "frequency", "grid_class", "latlon", "npy100", *[c for c in cols if c != "frequency"])
+def volume_fact(years: DataFrame, kept: DataFrame, policy: Policy, by: Sequence[str] = (), base: DataFrame | None = None) -> DataFrame:
+    """Rows of ``variable_years`` of the kept variables with ``hundredths``, table and frequency.
+
+    ``kept`` comes from ``kept_sizes``; ``base(vid)`` is the table whose popular variables are split.
+    """
+    v = kept.select("vid", *by, "mip_table", "frequency", "grid_class", "latlon", "npy100", *[c for c in kept.columns if c.startswith("size_")])
     weight = F.when(is_climatology(F.col("frequency")), F.lit(1)).otherwise(F.col("years"))
-    fact = years.join(v, "vid")          # one row per variable on the right; adaptive execution splits a popular one
-    return fact.select(*years.columns, "frequency", *[c for c in cols if c != "frequency"],
-                       exact(points_of(policy), weight).alias("hundredths"))
+    rows = skew_join(years, v, ["vid", *by], left_keys=base)
+    return rows.select(*years.columns, "mip_table", "frequency", exact(points_of(policy), weight).alias("hundredths"))
 
 
-def variable_volumes(years: DataFrame, sized: DataFrame, policy: Policy, by: Sequence[str] = (), *cols: str) -> DataFrame:
-    """Exact volume per variable (and ``by``): years are summed per variable and grid before the sizes are looked up."""
-    per_grid = years.groupBy("vid", "grid", *by).agg(F.sum("years").alias("years"), F.count(F.lit(1)).alias("n"))
-    v = _sizes_by_vid(sized, "frequency", "grid_class", "latlon", "npy100", *[c for c in cols if c != "frequency"])
+def sized_totals(per_grid: DataFrame, kept: DataFrame, policy: Policy, on: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Exact volumes out of years and pairs already summed per variable, grid and ``by``."""
     weight = F.when(is_climatology(F.col("frequency")), F.col("n")).otherwise(F.col("years"))
-    return (per_grid.join(v, "vid")
-            .groupBy("vid", *by, "frequency", *[c for c in cols if c != "frequency"])
+    return (per_grid.join(kept, list(on))
+            .groupBy("vid", *by, "frequency", "mip_table", "label")
             .agg(F.sum(exact(points_of(policy), weight)).alias("hundredths"), F.sum("years").alias("years"), F.sum("n").alias("experiments")))
 
 
+def variable_volumes(years: DataFrame, kept: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
+    """Exact volume per kept variable (and ``by``): years are summed per variable and grid before anything is joined, so a
+    popular variable is one row when it meets its size."""
+    per_grid = years.groupBy("vid", "grid", *by).agg(F.sum("years").alias("years"), F.count(F.lit(1)).alias("n"))
+    return sized_totals(per_grid, kept, policy, ["vid", *by], by)
+
+
 def sum_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(as_volume(F.sum("hundredths")))
 
@@ -90,13 +104,6 @@ def not_listed(volumes: DataFrame, n: int) -> DataFrame:
     return volumes.agg(rest.cast("bigint").alias("not_listed"))
 
 
-def by_design(fact: DataFrame, experiments: DataFrame, *keys: str) -> DataFrame:
-    """Volume per key and designing project, summed per experiment before the project is looked up."""
-    per = fact.groupBy("expt", *keys).agg(F.sum("hundredths").alias("hundredths"))
-    design = experiments.select(F.col("uid").alias("expt"), F.col("mip").alias("design_mip"))
-    return per.join(design, "expt").groupBy(*keys, "design_mip").agg(F.sum("hundredths").alias("hundredths"))
-
-
 def volume_matrix(sums: DataFrame, columns: list[str], unique: DataFrame | None = None) -> DataFrame:
     """Requesting projects as rows, designing ones as columns, with TOTAL and, if given, Unique.
 
@@ -173,11 +180,11 @@ def reconcile(parts: DataFrame, rel: float = 1e-8) -> DataFrame:
 SHAPE_KEYS = ["spid", "odims", "out_grid", "frequency"]
 
 
-def shape_frequency_summary(years: DataFrame, sized: DataFrame, policy: Policy) -> DataFrame:
+def shape_frequency_summary(years: DataFrame, kept: DataFrame, policy: Policy, base: DataFrame | None = None) -> DataFrame:
     """Per shape, grid and frequency: variables, mean years per variable (for climatologies: mean number of experiments),
     experiments, and points per output time."""
-    v = _sizes_by_vid(sized, "frequency", "spid", "odims", "grid_class", "latlon")
-    rows = years.join(v, "vid")
+    v = kept.select("vid", "frequency", "spid", "odims", "grid_class", "latlon", *[c for c in kept.columns if c.startswith("size_")])
+    rows = skew_join(years, v, ["vid"], left_keys=base)
     out_grid = summary_grid(F.col("grid"), F.col("grid_class"), F.col("latlon"), policy.default_native, policy.ocean_structured)
     rows = rows.withColumn("out_grid", out_grid)
     rows = rows.withColumn("points", F.coalesce(size_on(F.col("out_grid"), F.col("latlon")), F.lit(0)))
@@ -230,7 +237,7 @@ def legacy_fact(links: DataFrame, items: DataFrame, experiments: DataFrame, requ
     v = _sizes_by_vid(sized, "mip_table", "label", "frequency", "npy100", "latlon")
     weight = F.when(is_climatology_legacy(F.col("frequency")), F.lit(1)).otherwise(F.col("years"))
     points = F.coalesce(size_on(F.col("grid"), F.col("latlon")), F.lit(0)) * F.col("npy100")
-    return best.join(v, "vid").select(*found_keys, "grid", "years", "mip_table", "label", "frequency",
+    return skew_join(best, v, ["vid"], left_keys=request_vars.select("vid")).select(*found_keys, "grid", "years", "mip_table", "label", "frequency",
                                               exact(points, weight).alias("hundredths"))
 
 
@@ -271,19 +278,21 @@ def experiment_summary(items: DataFrame, links: DataFrame, experiments: DataFram
     caps = ["ny", "nymax", "nenmax"]
     asks = with_link(items, links, "refid")
     over = F.coalesce(F.col("treset") <= tier_max, F.lit(False))
-    found = expand_target(asks.select("uid", "refid", "esid", over.alias("over"), *caps), experiments, "tier", "ensz", "yps", base=items)
+    # what is known of an experiment travels with it as part of the key
+    about = ["design_mip", "tier", "ensz", "yps"]
+    designed = experiments.withColumn("design_mip", F.col("mip"))
+    found = expand_target(asks.select("uid", "refid", "esid", over.alias("over"), *caps), designed, *about, base=items)
     found = found.where(F.col("over") | (F.element_at("tier", 1) <= tier_max))
-    per_group = found.groupBy("expt", "refid").agg(
+    per_group = found.groupBy("expt", *about, "refid").agg(
         *[F.max(F.when(F.col(c) > 0, F.col(c))).alias(c) for c in caps], *[F.min(c).alias(f"only_{c}") for c in caps],
         F.count(F.lit(1)).alias("requests"))
     rv = request_vars.where(F.col("priority") <= pmax).groupBy(F.col("vgid").alias("refid"), "vid").agg(F.count(F.lit(1)).alias("times"))
-    per_var = meet_groups(per_group, rv, links, request_vars).groupBy("expt", "vid").agg(
+    per_var = meet_groups(per_group, rv, links, request_vars).groupBy("expt", *about, "vid").agg(
         *[F.max(c).alias(c) for c in caps], *[F.min(f"only_{c}").alias(f"only_{c}") for c in caps],
         F.sum(F.col("requests") * F.col("times")).alias("requests"))
     value = lambda c: F.when(F.col("requests") == 1, F.col(f"only_{c}")).otherwise(F.coalesce(F.col(c), F.lit(-1)))
-    e = experiments.select(F.col("uid").alias("expt"), F.col("mip").alias("design_mip"), "yps", "tier", "ensz")
     v = sized.select(F.col("uid").alias("vid"), "size_native", "npy100")
-    rows = per_var.join(e, "expt").join(v, "vid")
+    rows = skew_join(per_var, v, ["vid"], left_keys=request_vars.select("vid"))
     years = F.when(F.col("yps") < 0, value("ny")).otherwise(F.least("yps", value("ny")))
     members = members_for_tier(F.col("ensz"), F.col("tier"), value("nenmax"), tier_max)
     return rows.select("expt", "design_mip", exact(F.col("size_native") * F.col("npy100"), years * members).alias("hundredths")).groupBy(

@@ -21,10 +21,11 @@ def sized(cat: Catalogue) -> DataFrame:
     return Z.variable_sizes(cat["x_cmorvar"], cat["x_structure"], cat["x_spatial_shape"])
 
 
-def variable_requests(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None, experiments: DataFrame | None = None) -> DataFrame:
+def variable_requests(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None, experiments: DataFrame | None = None,
+                      carry=()) -> DataFrame:
     return R.variable_requests(cat["x_request_link"] if links is None else links, cat["x_request_item"],
                                cat["x_experiment"] if experiments is None else experiments, cat["x_request_var"],
-                               sized(cat).select("uid", "grid_class"), policy, by)
+                               sized(cat).select("uid", "grid_class"), policy, by, carry)
 
 
 def selected(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None) -> DataFrame:

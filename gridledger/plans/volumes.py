@@ -14,26 +14,35 @@ from gridledger.plans import sqltext as Q
 from gridledger.plans.registry import query
 from gridledger.plans.requests import POLICY, selected, sized, variable_requests
 from gridledger.plans.roles import Catalogue
+from gridledger.scale import skew_join
 
 MIPS = ["m0", "m1", "m2", "m3", "m4"]
 
 
-def kept_years(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None) -> DataFrame:
-    """Years per variable and experiment on the best grid, without variables that a better choice makes redundant."""
-    requests = variable_requests(cat, policy, by, links)
-    keys = [f"req_{c}" for c in by]
-    if not policy.keep_redundant:
-        # dropped before the experiments' rows are summed up; the dropped variables are found from groups alone
-        requests = R.drop_redundant(requests, selected(cat, policy, by, links), cat["x_choice_rank"], keys)
-    return R.variable_years(requests, policy, by)
+def years_of(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None, carry=()) -> DataFrame:
+    """Years per variable and experiment on the best grid."""
+    experiments = cat["x_experiment"].withColumn("design_mip", F.col("mip"))
+    return R.variable_years(variable_requests(cat, policy, by, links, experiments, carry), policy, by, carry)
+
+
+def kept(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None) -> DataFrame:
+    """The selected variables, without those that a better choice makes redundant, with their sizes."""
+    choices = None if policy.keep_redundant else cat["x_choice_rank"]
+    rows = R.kept_variables(selected(cat, policy, by, links), choices, [f"req_{c}" for c in by])
+    return V.kept_sizes(rows, sized(cat))
+
+
+def popular(cat: Catalogue) -> DataFrame:
+    return cat["x_request_var"].select("vid")
 
 
 def fact(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None) -> DataFrame:
-    return V.volume_fact(kept_years(cat, policy, by, links), sized(cat), policy, "mip_table")
+    keys = [f"req_{c}" for c in by]
+    return V.volume_fact(years_of(cat, policy, by, links, ["design_mip"]), kept(cat, policy, by, links), policy, keys, popular(cat))
 
 
 def per_variable(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None) -> DataFrame:
-    return V.variable_volumes(kept_years(cat, policy, by, links), sized(cat), policy, [f"req_{c}" for c in by], "mip_table", "label")
+    return V.variable_volumes(years_of(cat, policy, by, links), kept(cat, policy, by, links), policy, [f"req_{c}" for c in by])
 
 
 @query("volume_by_frequency", f"WITH {Q.FULL} SELECT frequency, {Q.volume()} AS volume FROM fact GROUP BY frequency")
@@ -85,7 +94,8 @@ SELECT req_mip, coalesce(CAST(sum(CASE WHEN d = 'm0' THEN h END) AS DOUBLE) / 10
  coalesce(CAST(sum(CASE WHEN d = 'm2' THEN h END) AS DOUBLE) / 100, 0.0) AS m2, coalesce(CAST(sum(CASE WHEN d = 'm3' THEN h END) AS DOUBLE) / 100, 0.0) AS m3,
  coalesce(CAST(sum(CASE WHEN d = 'm4' THEN h END) AS DOUBLE) / 100, 0.0) AS m4, CAST(sum(h) AS DOUBLE) / 100 AS "TOTAL" FROM s GROUP BY req_mip""")
 def volume_matrix(cat):
-    return V.volume_matrix(V.by_design(fact(cat, by=["mip"]), cat["x_experiment"], "req_mip"), MIPS)
+    sums = fact(cat, by=["mip"]).groupBy("req_mip", "design_mip").agg(F.sum("hundredths").alias("hundredths"))
+    return V.volume_matrix(sums, MIPS)
 
 
 @query("volume_matrix_tables", f"""
@@ -93,11 +103,8 @@ WITH {Q.FULL_BY_MIP}, s AS (SELECT f.req_mip, e.mip AS design_mip, f.mip_table,
  FROM fact f JOIN x_experiment e ON e.uid = f.expt GROUP BY f.req_mip, e.mip, f.mip_table)
 SELECT req_mip, design_mip, mip_table, CAST(h AS DOUBLE) / 100 AS volume, nv AS variables FROM s""")
 def target_tables(cat):
-    f = fact(cat, by=["mip"])
-    per = f.groupBy("req_mip", "expt", "mip_table", "vid").agg(F.sum("hundredths").alias("hundredths"))
-    design = cat["x_experiment"].select(F.col("uid").alias("expt"), F.col("mip").alias("design_mip"))
     # volume and variables of a (project, project, table) cell: one row per variable first, so the distinct count is a plain count
-    cells = per.join(design, "expt").groupBy("req_mip", "design_mip", "mip_table", "vid").agg(F.sum("hundredths").alias("hundredths"))
+    cells = fact(cat, by=["mip"]).groupBy("req_mip", "design_mip", "mip_table", "vid").agg(F.sum("hundredths").alias("hundredths"))
     return cells.groupBy("req_mip", "design_mip", "mip_table").agg(V.as_volume(F.sum("hundredths")), F.count(F.lit(1)).alias("variables"))
 
 
@@ -105,10 +112,8 @@ def target_tables(cat):
 WITH {Q.FULL_BY_MIP} SELECT f.req_mip, e.mip AS design_mip, f.expt, {Q.volume()} AS volume FROM fact f JOIN x_experiment e ON e.uid = f.expt
  GROUP BY f.req_mip, e.mip, f.expt HAVING sum(hundredths) > 0""")
 def volume_experiments_of_pair(cat):
-    per = fact(cat, by=["mip"]).groupBy("req_mip", "expt").agg(F.sum("hundredths").alias("hundredths"))
-    design = cat["x_experiment"].select(F.col("uid").alias("expt"), F.col("mip").alias("design_mip"))
-    out = per.where(F.col("hundredths") > 0).join(design, "expt")
-    return out.select("req_mip", "design_mip", "expt", V.as_volume(F.col("hundredths"))).orderBy("req_mip", "design_mip", "expt")
+    per = fact(cat, by=["mip"]).groupBy("req_mip", "design_mip", "expt").agg(F.sum("hundredths").alias("hundredths"))
+    return per.where(F.col("hundredths") > 0).select("req_mip", "design_mip", "expt", V.as_volume(F.col("hundredths"))).orderBy("req_mip", "design_mip", "expt")
 
 
 @query("volume_rollups", f"""
@@ -119,20 +124,20 @@ UNION ALL SELECT 'req_mip,frequency', req_mip, NULL, NULL, frequency, {Q.volume(
 UNION ALL SELECT 'design_mip,mip_table', NULL, design_mip, mip_table, NULL, {Q.volume()} FROM s GROUP BY design_mip, mip_table
 UNION ALL SELECT 'all', NULL, NULL, NULL, NULL, {Q.volume()} FROM s""")
 def volume_rollups(cat):
-    f = fact(cat, by=["mip"]).groupBy("req_mip", "expt", "mip_table", "frequency").agg(F.sum("hundredths").alias("hundredths"))
-    design = cat["x_experiment"].select(F.col("uid").alias("expt"), F.col("mip").alias("design_mip"))
+    # the finest grain first: what the grouping sets repeat is then a handful of rows
+    f = fact(cat, by=["mip"]).groupBy("req_mip", "design_mip", "mip_table", "frequency").agg(F.sum("hundredths").alias("hundredths"))
     sets = [["req_mip", "mip_table"], ["req_mip"], ["req_mip", "frequency"], ["design_mip", "mip_table"], []]
-    return V.roll_up(f.join(design, "expt"), sets, "req_mip", "design_mip", "mip_table", "frequency")
+    return V.roll_up(f, sets, "req_mip", "design_mip", "mip_table", "frequency")
 
 
 @query("variables_per_experiment", f"""
 WITH {Q.FULL} SELECT 'experiment' AS kind, expt AS uid, count(DISTINCT vid) AS variables FROM fact GROUP BY expt
 UNION ALL SELECT 'mip', e.mip, count(DISTINCT vid) FROM fact f JOIN x_experiment e ON e.uid = f.expt GROUP BY e.mip""")
 def variables_per_experiment(cat):
-    pairs = kept_years(cat).select("vid", "expt")          # one row per variable and experiment
+    years = years_of(cat, carry=["design_mip"])
+    pairs = skew_join(years.select("vid", "expt", "design_mip"), kept(cat).select("vid"), ["vid"], "left_semi", left_keys=popular(cat))
     n = pairs.groupBy("expt").agg(F.count(F.lit(1)).alias("variables")).select(F.lit("experiment").alias("kind"), F.col("expt").alias("uid"), "variables")
-    design = cat["x_experiment"].select(F.col("uid").alias("expt"), F.col("mip").alias("uid"))
-    m = pairs.join(design, "expt").groupBy("uid").agg(F.count_distinct("vid").alias("variables"))
+    m = pairs.groupBy(F.col("design_mip").alias("uid")).agg(F.count_distinct("vid").alias("variables"))
     return n.unionByName(m.select(F.lit("mip").alias("kind"), "uid", "variables"))
 
 
@@ -149,19 +154,21 @@ uq AS (SELECT m.uid AS req_mip, t.vid, t.expt, t.grid, CASE WHEN o.vid IS NULL T
 
 
 def unique_requests(cat: Catalogue) -> DataFrame:
-    kept = R.drop_redundant(variable_requests(cat, by=["mip"]), selected(cat), cat["x_choice_rank"])
-    return V.unique_years(kept, POLICY)
+    return V.unique_years(variable_requests(cat, by=["mip"]), POLICY)
 
 
 @query("request_unique", f"WITH {UNIQUE} SELECT req_mip, vid, expt, grid, years FROM uq")
 def request_unique(cat):
-    return unique_requests(cat)
+    return skew_join(unique_requests(cat), kept(cat).select("vid"), ["vid"], "left_semi", left_keys=popular(cat)).select(
+        "req_mip", "vid", "expt", "grid", "years")
 
 
 @query("volume_unique", f"""
 WITH {UNIQUE}, {Q.fact('uq', 'ufact', None, by_mip=True)} SELECT req_mip, {Q.volume()} AS volume FROM ufact GROUP BY req_mip""")
 def volume_unique(cat):
-    return V.sum_by(V.variable_volumes(unique_requests(cat), sized(cat), POLICY, ["req_mip"]), "req_mip")
+    years = unique_requests(cat)
+    per = years.groupBy("req_mip", "vid", "grid").agg(F.sum("years").alias("years"), F.count(F.lit(1)).alias("n"))
+    return V.sum_by(V.sized_totals(per, kept(cat), POLICY, ["vid"], ["req_mip"]), "req_mip")
 
 
 _THREE = "'m0', 'm1', 'm2'"
@@ -221,7 +228,7 @@ g AS (SELECT spid, odims, grid AS out_grid, frequency, max({Q.SIZE_ON}) AS point
 
 
 def shape_summary(cat: Catalogue) -> DataFrame:
-    return V.shape_frequency_summary(kept_years(cat), sized(cat), POLICY)
+    return V.shape_frequency_summary(years_of(cat), kept(cat), POLICY, popular(cat))
 
 
 @query("shape_frequency_summary", f"WITH {SHAPES} SELECT * FROM g")
@@ -253,7 +260,7 @@ SELECT CAST(3 AS BIGINT) AS ways, v AS low, v AS high, TRUE AS agree FROM t""")
 def reconcile(cat):
     by_variable = per_variable(cat).select(F.lit("variable").alias("way"), "hundredths")
     by_table = fact(cat).groupBy("expt", "mip_table").agg(F.sum("hundredths").alias("hundredths"))
-    by_design = V.by_design(fact(cat), cat["x_experiment"])
+    by_design = fact(cat).groupBy("design_mip").agg(F.sum("hundredths").alias("hundredths"))
     parts = (by_variable.unionByName(by_table.select(F.lit("experiment and table").alias("way"), "hundredths"))
              .unionByName(by_design.select(F.lit("designing project").alias("way"), "hundredths")))
     return V.reconcile(parts)

@@ -72,8 +72,8 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join on same-named ``keys`` that splits the hot ones.
 
-    ``left_keys`` and ``right_keys`` hold the key columns as they occur in the base tables; without them, or if they are small,
-    that side is left to adaptive execution.  The right side is split for inner joins only.  The salt is a hash of the whole
+    ``left_keys`` and ``right_keys`` hold the key columns, or some of them, as they occur in the base tables; without them, or
+    if they are small, that side is left to adaptive execution.  The right side is split for inner joins only.  The salt is a hash of the whole
     row, so a task that is run again puts every row where it was before; exact copies share their salt and should be collapsed
     before the join.
     """
@@ -90,15 +90,17 @@ def skew_join(
     own, repeated = F.col("_own"), F.explode(F.when(F.col("_hot"), every).otherwise(none))
     l, r, on = left.withColumn("_own", own_salt(left)), right.withColumn("_own", own_salt(right)), list(keys)
     if split_left:
-        hot = hot_keys(left_keys, keys)
+        known = [k for k in keys if k in left_keys.columns]
+        hot = hot_keys(left_keys, known)
         # a row with a missing key matches nothing, so it may go anywhere: spread those rows as well
-        l = _mark(l, hot, keys).withColumn("_ls", F.when(F.col("_hot") | ~_all_set(keys), own).otherwise(F.lit(0))).drop("_hot")
-        r = _mark(r, hot, keys).withColumn("_ls", repeated).drop("_hot")
+        l = _mark(l, hot, known).withColumn("_ls", F.when(F.col("_hot") | ~_all_set(keys), own).otherwise(F.lit(0))).drop("_hot")
+        r = _mark(r, hot, known).withColumn("_ls", repeated).drop("_hot")
         on.append("_ls")
     if split_right:
-        hot = hot_keys(right_keys, keys)
-        r = _mark(r, hot, keys).withColumn("_rs", F.when(F.col("_hot"), own).otherwise(F.lit(0))).drop("_hot")
-        l = _mark(l, hot, keys).withColumn("_rs", repeated).drop("_hot")
+        known = [k for k in keys if k in right_keys.columns]
+        hot = hot_keys(right_keys, known)
+        r = _mark(r, hot, known).withColumn("_rs", F.when(F.col("_hot"), own).otherwise(F.lit(0))).drop("_hot")
+        l = _mark(l, hot, known).withColumn("_rs", repeated).drop("_hot")
         on.append("_rs")
     return l.drop("_own").join(r.drop("_own"), on, how).drop("_ls", "_rs")
 
