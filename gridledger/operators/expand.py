@@ -205,9 +205,13 @@ def usage_tree(var: DataFrame, variables: DataFrame, covered: DataFrame) -> Data
     Unused without a table variable."""
     v = variables.select(F.col("uid").alias("vid"), F.col("vid").alias("var_uid"), F.concat_ws(".", "mip_table", "label").alias("variable"))
     used = v.join(covered.select("vid", "mip"), "vid", "left")
-    return var.select(F.col("uid").alias("var_uid"), F.col("label").alias("var")).join(used, "var_uid", "left").select(
-        "var", "vid", F.coalesce("variable", F.lit("Unused")).alias("variable"),
-        F.when(F.col("vid").isNotNull(), F.coalesce("mip", F.lit("Empty"))).alias("mip"))
+    names = var.select(F.col("uid").alias("var_uid"), F.col("label").alias("var"))
+    # the many variables of a quantity are the side that can be split, so the unused quantities are added on their own
+    rows = skew_join(used, names, ["var_uid"], left_keys=v.select("var_uid")).select(
+        "var", "vid", "variable", F.coalesce("mip", F.lit("Empty")).alias("mip"))
+    unused = names.join(v.select("var_uid").distinct(), "var_uid", "left_anti")
+    return rows.unionByName(unused.select("var", F.lit(None).cast(rows.schema["vid"].dataType).alias("vid"),
+                                          F.lit("Unused").alias("variable"), F.lit(None).cast("string").alias("mip")))
 
 
 # --- selections ----------------------------------------------------------------------------------------

@@ -143,9 +143,9 @@ def variable_years(requests: DataFrame, policy: Policy, by: Sequence[str] = (),
 def redundant_variables(selected: DataFrame, choices: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Selected variables that rank below another selected one in a choice group.  Equal ranks all stay."""
     keys = list(by)
-    chosen = choices.join(selected.select("vid", *keys).distinct(), "vid")
+    chosen = skew_join(choices, selected.select("vid", *keys).distinct(), ["vid"], left_keys=choices.select("vid"))
     top = chosen.groupBy("cid", *keys).agg(F.max("rank").alias("top"))
-    return chosen.join(top, ["cid", *keys]).where(F.col("rank") < F.col("top")).select("vid", *keys).distinct()
+    return skew_join(chosen, top, ["cid", *keys], left_keys=choices.select("cid")).where(F.col("rank") < F.col("top")).select("vid", *keys).distinct()
 
 
 def kept_variables(selected: DataFrame, choices: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:

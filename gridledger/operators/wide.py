@@ -9,7 +9,7 @@ from gridledger.functions.text import table_class
 from gridledger.lookup import UNSET
 from gridledger.operators.expand import link_experiments, meet_groups, with_link
 from gridledger.operators.links import broken_parts
-from gridledger.scale import string_set
+from gridledger.scale import skew_join, string_set
 
 QC_VALUES = ["valid_min", "valid_max", "ok_min_mean_abs", "ok_max_mean_abs"]
 
@@ -45,7 +45,8 @@ def star(variables: DataFrame, var: DataFrame, structures: DataFrame, shapes: Da
     sp = shapes.select(F.col("uid").alias("spid"), F.col("dimensions").alias("space_dims"))
     tm = times.select(F.col("uid").alias("tmid"), F.col("dimensions").alias("time_dims"))
     s = s.join(sp, "spid", "left").join(tm, "tmid", "left")
-    joined = variables.join(v, "vid", "left").join(s, "stid", "left")
+    joined = skew_join(variables, v, ["vid"], "left", left_keys=variables.select("vid"))
+    joined = skew_join(joined, s, ["stid"], "left", left_keys=variables.select("stid"))
     return broken_parts(joined, {
         "var": F.col("var_label").isNotNull(), "struct": F.col("structure_title").isNotNull(),
         "time": F.col("time_dims").isNotNull(), "spatial": F.col("space_dims").isNotNull()})
@@ -119,13 +120,13 @@ def two_lowest(request_vars: DataFrame) -> DataFrame:
 def title_mismatch(variables: DataFrame, var: DataFrame) -> DataFrame:
     """Variables whose title is not that of their quantity."""
     v = var.select(F.col("uid").alias("vid"), F.col("title").alias("var_title"))
-    return variables.join(v, "vid").where(F.col("title") != F.col("var_title")).select(
+    return skew_join(variables, v, ["vid"], left_keys=variables.select("vid")).where(F.col("title") != F.col("var_title")).select(
         "uid", F.concat_ws(".", "mip_table", "label").alias("variable"), "title", "var_title")
 
 
 def realm_counts(variables: DataFrame, var: DataFrame) -> DataFrame:
     """Per realm word: distinct variables, quantities and standard names."""
     v = variables.select("uid", "vid", F.explode(F.split("modeling_realm", r"\s+")).alias("realm"))
-    v = v.join(var.select(F.col("uid").alias("vid"), "sn"), "vid", "left")
+    v = skew_join(v, var.select(F.col("uid").alias("vid"), "sn"), ["vid"], "left", left_keys=variables.select("vid"))
     return v.groupBy("realm").agg(F.count_distinct("uid").alias("variables"), F.count_distinct("vid").alias("quantities"),
                                   F.count_distinct("sn").alias("standard_names"))
