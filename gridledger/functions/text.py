@@ -18,7 +18,7 @@ def volume_label(x: Column) -> Column:
     return (
         F.when(x < 1e9, F.concat(_whole(x, 1e-6).cast("string"), F.lit("M")))
         .when(x < 1e12, F.concat(_whole(x, 1e-9).cast("string"), F.lit("G")))
-        .when(x < 1e13, F.format_string("%3.1fT", x * F.lit(1e-12)))
+        .when(x < 1e13, F.format_string("%3.1fT", F.bround(x * F.lit(1e-12), 1)))
         .when(x < 1e15, F.format_string("%3dT", _whole(x, 1e-12)))
         .when(x < 1e18, F.format_string("%3dP", _whole(x, 1e-15)))
         .otherwise(F.format_number(x * F.lit(1e-9), 2))

@@ -67,7 +67,7 @@ def distinct_counts(df: DataFrame, value: str, *keys: str, default: str | None =
 def newest(df: DataFrame, key: str, time: str, ident: str, *cols: str) -> DataFrame:
     """The newest record per key; of equal times the one with the lowest id.  Combines on the map side, without a sort."""
     # the least (negative time, id) is the newest record with the lowest id
-    order = F.struct((-F.unix_micros(F.col(time).cast("timestamp"))).alias("t"), F.col(ident), F.col(time), *[F.col(c) for c in cols])
+    order = F.struct((-F.unix_micros(F.col(time).cast("timestamp"))).alias("_order"), F.col(ident), F.col(time), *[F.col(c) for c in cols])
     return df.where(F.col(time).isNotNull()).groupBy(key).agg(F.min(order).alias("r")).select(
         key, F.col(f"r.{ident}"), F.col(f"r.{time}"), *[F.col(f"r.{c}") for c in cols])
 

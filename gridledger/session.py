@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "gridledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -25,6 +24,9 @@ def get_spark(app: str = "gridledger", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -33,15 +35,17 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="gridledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _own_dirs:
+        _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="gridledger-")
+    return _own_dirs[context.applicationId]
 
 
-def materialise(df):
+def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several results read, with files in the shared folder."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(os.path.join(shared_dir(spark), "checkpoints"))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
