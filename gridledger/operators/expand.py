@@ -125,6 +125,11 @@ def mip_items(links: DataFrame, items: DataFrame) -> DataFrame:
     return with_link(items.select(F.col("uid").alias("item"), "rlid"), links, "mip").select("mip", "item")
 
 
+def items_of_mip(items: DataFrame, *mips: str) -> DataFrame:
+    """Request items by their own project attribute."""
+    return items.where(F.col("mip").isin(*mips))
+
+
 def mip_groups(links: DataFrame, groups: DataFrame) -> DataFrame:
     """Variable groups of a project, by label."""
     pairs = links.select("mip", F.col("refid").alias("uid")).distinct()

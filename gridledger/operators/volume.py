@@ -269,11 +269,12 @@ def request_summary(items: DataFrame, links: DataFrame, request_vars: DataFrame,
     return per_var.select("vid", value("ny"), value("nymax"), value("nenmax"), "requests", "grids")
 
 
-def experiment_summary(items: DataFrame, links: DataFrame, experiments: DataFrame, request_vars: DataFrame, sized: DataFrame,
-                       pmax: int, tier_max: int) -> DataFrame:
-    """Per experiment: requested variables and their volume, with years and members capped by the experiment.
+def experiment_requests(items: DataFrame, links: DataFrame, experiments: DataFrame, request_vars: DataFrame, sized: DataFrame,
+                        pmax: int, tier_max: int) -> DataFrame:
+    """Per experiment and variable: size, outputs per year, years and members asked for, and the volume.
 
-    Requests of a variable for an experiment combine as in ``request_summary``.
+    Requests of a variable for an experiment combine as in ``request_summary``; years and members are capped by the experiment,
+    and an item with a passing reset reaches every tier.
     """
     caps = ["ny", "nymax", "nenmax"]
     asks = with_link(items, links, "refid")
@@ -295,5 +296,13 @@ def experiment_summary(items: DataFrame, links: DataFrame, experiments: DataFram
     rows = skew_join(per_var, v, ["vid"], left_keys=request_vars.select("vid"))
     years = F.when(F.col("yps") < 0, value("ny")).otherwise(F.least("yps", value("ny")))
     members = members_for_tier(F.col("ensz"), F.col("tier"), value("nenmax"), tier_max)
-    return rows.select("expt", "design_mip", exact(F.col("size_native") * F.col("npy100"), years * members).alias("hundredths")).groupBy(
-        "design_mip", "expt").agg(F.count(F.lit(1)).alias("variables"), as_volume(F.sum("hundredths")))
+    return rows.select("design_mip", "expt", "vid", F.col("size_native").alias("size"), "npy100", years.alias("years"), members.alias("members"),
+                       exact(F.col("size_native") * F.col("npy100"), years * members).alias("hundredths"))
+
+
+def experiment_summary(requests: DataFrame) -> DataFrame:
+    """Variables and volume of each experiment, and of all of them (without an experiment)."""
+    per = requests.groupBy("design_mip", "expt").agg(F.count(F.lit(1)).alias("variables"), F.sum("hundredths").alias("hundredths"))
+    total = per.agg(F.lit(None).cast("string").alias("design_mip"), F.lit(None).cast("string").alias("expt"),
+                    F.sum("variables").alias("variables"), F.sum("hundredths").alias("hundredths"))
+    return per.unionByName(total).select("design_mip", "expt", "variables", as_volume(F.col("hundredths")))

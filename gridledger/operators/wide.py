@@ -117,6 +117,15 @@ def two_lowest(request_vars: DataFrame) -> DataFrame:
     return per.where(F.col("n") > 1).select("vid", first["priority"].alias("p1"), second.alias("p2"))
 
 
+def rank_table_variables(variables: DataFrame, var: DataFrame, request_vars: DataFrame, placeholder: Column) -> DataFrame:
+    """Variables by their two lowest priority values, ``p1-p2``, with x if the standard name is a placeholder."""
+    names = var.select(F.col("uid").alias("vid"), F.col("label").alias("var_label"), placeholder.alias("_x"))
+    v = skew_join(variables.select("uid", "vid", "mip_table", "label"), names, ["vid"], left_keys=variables.select("vid"))
+    two = two_lowest(request_vars).withColumnRenamed("vid", "uid")
+    key = F.concat(F.col("p1").cast("string"), F.lit("-"), F.col("p2").cast("string"), F.when(F.col("_x"), "x").otherwise(""))
+    return v.join(two, "uid").select("uid", F.concat_ws(".", "mip_table", "label").alias("variable"), "var_label", key.alias("key"))
+
+
 def title_mismatch(variables: DataFrame, var: DataFrame) -> DataFrame:
     """Variables whose title is not that of their quantity."""
     v = var.select(F.col("uid").alias("vid"), F.col("title").alias("var_title"))

@@ -163,9 +163,9 @@ def mip_items(cat):
     return X.mip_items(cat["x_request_link"], cat["x_request_item"])
 
 
-@query("mip_groups", """
+@query("linkset_groups", """
 SELECT DISTINCT l.mip, g.uid, g.label FROM x_request_link l JOIN x_var_group g ON g.uid = l.refid""")
-def mip_groups(cat):
+def linkset_groups(cat):
     return X.mip_groups(cat["x_request_link"], cat["x_var_group"]).orderBy("mip", "label")
 
 

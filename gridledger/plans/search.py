@@ -97,9 +97,9 @@ def variables_without_date(cat):
     return S.without_time(datasets(cat), "variable_id", "creation_date")
 
 
-@query("latest_per_type", """
+@query("latest_per_group", """
 SELECT event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) = 1""")
-def latest_per_type(cat):
+def latest_per_group(cat):
     best = S.newest(cat["events"], "event_type", "ts", "event_id", "value")
     return best.select("event_type", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "value")
 

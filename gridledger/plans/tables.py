@@ -92,6 +92,14 @@ def priority_top2(cat):
     return T.two_lowest(cat["x_request_var"])
 
 
+@query("priority_pairs", """
+WITH p AS (SELECT vid, list_sort(list(priority))[1] AS p1, list_sort(list(priority))[2] AS p2 FROM x_request_var GROUP BY vid HAVING count(*) > 1)
+SELECT v.uid, concat(v.mip_table, '.', v.label) AS variable, x.label AS var_label, concat(p1, '-', p2, CASE WHEN x.sn LIKE 'r%' THEN 'x' ELSE '' END) AS key
+ FROM x_cmorvar v JOIN p ON p.vid = v.uid JOIN x_var x ON x.uid = v.vid""")
+def priority_pairs(cat):
+    return T.rank_table_variables(cat["x_cmorvar"], cat["x_var"], cat["x_request_var"], F.col("sn").startswith("r"))
+
+
 @query("title_mismatch", """
 SELECT v.uid, concat(v.mip_table, '.', v.label) AS variable, v.title, x.title AS var_title FROM x_cmorvar v JOIN x_var x ON v.vid = x.uid WHERE v.title <> x.title""")
 def title_mismatch(cat):

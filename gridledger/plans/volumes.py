@@ -98,7 +98,7 @@ def volume_matrix(cat):
     return V.volume_matrix(sums, MIPS)
 
 
-@query("volume_matrix_tables", f"""
+@query("target_tables", f"""
 WITH {Q.FULL_BY_MIP}, s AS (SELECT f.req_mip, e.mip AS design_mip, f.mip_table, sum(hundredths) AS h, count(DISTINCT vid) AS nv
  FROM fact f JOIN x_experiment e ON e.uid = f.expt GROUP BY f.req_mip, e.mip, f.mip_table)
 SELECT req_mip, design_mip, mip_table, CAST(h AS DOUBLE) / 100 AS volume, nv AS variables FROM s""")
@@ -116,14 +116,14 @@ def volume_experiments_of_pair(cat):
     return per.where(F.col("hundredths") > 0).select("req_mip", "design_mip", "expt", V.as_volume(F.col("hundredths"))).orderBy("req_mip", "design_mip", "expt")
 
 
-@query("volume_rollups", f"""
+@query("rollups_by_mip", f"""
 WITH {Q.FULL_BY_MIP}, s AS (SELECT f.req_mip, e.mip AS design_mip, f.mip_table, f.frequency, hundredths FROM fact f JOIN x_experiment e ON e.uid = f.expt)
 SELECT 'req_mip,mip_table' AS grain, req_mip, CAST(NULL AS VARCHAR) AS design_mip, mip_table, CAST(NULL AS VARCHAR) AS frequency, {Q.volume()} AS volume FROM s GROUP BY req_mip, mip_table
 UNION ALL SELECT 'req_mip', req_mip, NULL, NULL, NULL, {Q.volume()} FROM s GROUP BY req_mip
 UNION ALL SELECT 'req_mip,frequency', req_mip, NULL, NULL, frequency, {Q.volume()} FROM s GROUP BY req_mip, frequency
 UNION ALL SELECT 'design_mip,mip_table', NULL, design_mip, mip_table, NULL, {Q.volume()} FROM s GROUP BY design_mip, mip_table
 UNION ALL SELECT 'all', NULL, NULL, NULL, NULL, {Q.volume()} FROM s""")
-def volume_rollups(cat):
+def rollups_by_mip(cat):
     # the finest grain first: what the grouping sets repeat is then a handful of rows
     f = fact(cat, by=["mip"]).groupBy("req_mip", "design_mip", "mip_table", "frequency").agg(F.sum("hundredths").alias("hundredths"))
     sets = [["req_mip", "mip_table"], ["req_mip"], ["req_mip", "frequency"], ["design_mip", "mip_table"], []]
@@ -315,19 +315,33 @@ def request_summary(cat):
     return V.request_summary(cat["x_request_item"], cat["x_request_link"], cat["x_request_var"], 2)
 
 
-@query("experiment_summary", f"""
-WITH {Q.MEMBERS}, {Q.SIZED},
+ASKED = f"""{Q.MEMBERS}, {Q.SIZED},
 r AS (SELECT m.expt, m.design_mip, m.yps, m.tier1, m.tier2, m.ensz1, m.ensz2, rv.vid, i.ny, i.nenmax FROM x_request_item i
  JOIN x_request_link l ON i.rlid = l.uid JOIN members m ON i.esid = m.esid JOIN x_request_var rv ON rv.vgid = l.refid
  WHERE rv.priority <= 2 AND (m.tier1 <= 2 OR i.treset <= 2)),
 v AS (SELECT expt, design_mip, yps, tier1, tier2, ensz1, ensz2, vid,
  CASE WHEN count(*) = 1 THEN min(ny) ELSE coalesce(max(CASE WHEN ny > 0 THEN ny END), -1) END AS ny,
  CASE WHEN count(*) = 1 THEN min(nenmax) ELSE coalesce(max(CASE WHEN nenmax > 0 THEN nenmax END), -1) END AS ne FROM r GROUP BY ALL),
-x AS (SELECT v.*, CASE WHEN tier2 <= 2 THEN ensz2 WHEN tier1 <= 2 THEN ensz1 ELSE 0 END AS sz FROM v)
-SELECT design_mip, expt, count(*) AS variables, CAST(sum(CAST(size_native AS HUGEINT) * npy100 * least(yps, ny)
- * CASE WHEN ne < 0 THEN sz ELSE least(sz, ne) END) AS DOUBLE) / 100.0 AS volume FROM x JOIN sized USING (vid) GROUP BY design_mip, expt""")
+x AS (SELECT v.*, CASE WHEN tier2 <= 2 THEN ensz2 WHEN tier1 <= 2 THEN ensz1 ELSE 0 END AS sz FROM v),
+a AS (SELECT design_mip, expt, vid, size_native AS size, npy100, least(yps, ny) AS years, CASE WHEN ne < 0 THEN sz ELSE least(sz, ne) END AS members
+ FROM x JOIN sized USING (vid))"""
+
+
+def asked(cat: Catalogue) -> DataFrame:
+    return V.experiment_requests(cat["x_request_item"], cat["x_request_link"], cat["x_experiment"], cat["x_request_var"], sized(cat), 2, 2)
+
+
+@query("experiment_requests", f"WITH {ASKED} SELECT * FROM a")
+def experiment_requests(cat):
+    return asked(cat).drop("hundredths")
+
+
+@query("experiment_summary", f"""
+WITH {ASKED}, s AS (SELECT design_mip, expt, count(*) AS variables, sum(CAST(size AS HUGEINT) * npy100 * years * members) AS h FROM a GROUP BY design_mip, expt)
+SELECT design_mip, expt, variables, CAST(h AS DOUBLE) / 100.0 AS volume FROM s
+UNION ALL SELECT NULL, NULL, CAST(sum(variables) AS BIGINT), CAST(sum(h) AS DOUBLE) / 100.0 FROM s""")
 def experiment_summary(cat):
-    return V.experiment_summary(cat["x_request_item"], cat["x_request_link"], cat["x_experiment"], cat["x_request_var"], sized(cat), 2, 2)
+    return V.experiment_summary(asked(cat))
 
 
 @query("two_key_index", """

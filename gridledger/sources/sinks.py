@@ -18,7 +18,8 @@ def write_wide_text(wide: DataFrame, path: str) -> None:
     # range partitioning keeps a table together where it is small and cuts it where it is large
     rows = rows.repartitionByRange("table", "prov", "row_index", "cmor_name").sortWithinPartitions(
         table_class(F.col("table")), "table", "prov", "row_index", "cmor_name")
-    rows.write.partitionBy("table").option("sep", "\t").option("header", True).option("quote", "").mode("errorifexists").csv(path)
+    rows.write.partitionBy("table").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).mode("errorifexists").csv(path)
 
 
 def write_by_request(df: DataFrame, path: str, *keys: str) -> None:
