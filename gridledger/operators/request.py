@@ -116,13 +116,12 @@ def variable_requests(links: DataFrame, items: DataFrame, experiments: DataFrame
     ``variables`` has uid and grid_class; a variable without a class is not sized and drops out.
     """
     group_keys = ["refid", *[f"req_{c}" for c in by]]
-    years = group_years(links, items, experiments, policy, by, carry).join(group_presets(links, items, policy, by), group_keys)
-    rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
+    years = group_years(links, items, experiments, policy, by, carry)
+    wanted = requested_variables(links, request_vars, group_presets(links, items, policy, by), policy.pmax)
     classed = variables.where(F.col("grid_class").isNotNull()).select(F.col("uid").alias("vid"), "grid_class")
-    rv = skew_join(rv, classed, ["vid"], left_keys=request_vars.select("vid"))
-    found = meet_groups(years, rv, links, request_vars).where(
-        F.col("admit_all") | (F.col("by_priority") & (F.col("priority") <= policy.pmax)))
-    return found.select("vid", "expt", *carry, *[f"req_{c}" for c in by], "refid",
+    wanted = skew_join(wanted, classed, ["vid"], left_keys=request_vars.select("vid"))
+    found = meet_groups(years, wanted, links, request_vars, group_keys, expanded=(items, experiments))
+    return found.select("vid", "expt", *carry, *group_keys,
                         default_grid(F.col("grid"), F.col("grid_class"), policy.default_native).alias("grid"), "years")
 
 

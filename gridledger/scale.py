@@ -41,9 +41,13 @@ def is_small(*frames: DataFrame) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys with at least ``HOT_ROWS`` rows, at most ``MOST_HOT_KEYS`` of them, largest first."""
+    """The keys with at least ``HOT_ROWS`` rows, at most ``MOST_HOT_KEYS`` of them, largest first.
+
+    A column ``weight`` tells how many rows a row stands for.
+    """
+    size = F.sum("weight") if "weight" in df.columns else F.count(F.lit(1))
     return (
-        df.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        df.where(_all_set(keys)).groupBy(*keys).agg(size.alias("_rows"))
         .where(F.col("_rows") >= HOT_ROWS)
         .orderBy(F.desc("_rows")).limit(MOST_HOT_KEYS)
         .select(*keys, F.lit(True).alias("_hot"))
