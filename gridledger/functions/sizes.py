@@ -17,9 +17,10 @@ REGULAR_GRIDS = sorted(REGULAR_POINTS)
 
 
 def choose(key: Column, table: dict, default=None) -> Column:
-    """A small fixed table as a CASE expression."""
-    cases = reduce(lambda acc, kv: acc.when(key == kv[0], F.lit(kv[1])), table.items(), F)
-    return cases.otherwise(F.lit(default))
+    """The value of a key in a small fixed table, written as a literal map."""
+    text = lambda v: f"'{v}'" if isinstance(v, str) else f"{v}D" if isinstance(v, float) else str(v)
+    found = F.try_element_at(F.expr("map(" + ", ".join(f"{text(k)}, {text(v)}" for k, v in table.items()) + ")"), key)
+    return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def model_config(values: list[int] | None = None) -> dict[str, int]:
@@ -177,7 +178,8 @@ def structure_sizes(structures: DataFrame, shapes: DataFrame, config: dict[str,
     """Points per output time of each structure; zero, flagged, when its shape is not known."""
     sized = shape_sizes(shapes, config).withColumnsRenamed({"uid": "spid", "label": "shape_label"})
     cols = ["size_native"] + [f"size_{g}" for g in REGULAR_GRIDS]
-    scaled = [F.coalesce(F.col(c) * extra_size(F.col("odims")), F.lit(0)).cast("bigint").alias(c) for c in cols]
+    times = extra_size(F.col("odims"))
+    scaled = [F.coalesce(F.col(c) * times, F.lit(0)).cast("bigint").alias(c) for c in cols]
     return (
         structures.select("uid", "spid", F.coalesce("odims", F.lit("")).alias("odims"))
         .join(sized, "spid", "left")

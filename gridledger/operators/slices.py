@@ -39,16 +39,12 @@ def variable_slices(links: DataFrame, items: DataFrame, experiments: DataFrame,
     return found.groupBy("vid", "expt", *SLICE).agg(F.min("priority").alias("priority"))
 
 
-def _slice_named(label: str) -> Column:
-    return F.element_at(F.filter("special", lambda s: s["ts_label"] == label), 1)
-
-
 def merge_slices(sliced: DataFrame, keys: Sequence[str] = ("vid", "expt")) -> DataFrame:
     """One slice per key out of its distinct slices, with a return code.
 
     1 a slice was found (an empty one if any request has no slice), 2 two disjoint ranges, -1 types that do not mix,
     -2 types that cannot be compared, -3 two overlapping ranges, -4 several ranges without a largest one.
-    The rows of a key meet in fixed-size aggregates only: counts, extremes and the few specially treated labels.
+    The rows of a key meet in fixed-size aggregates only: counts, extremes and the few specially treated slices.
     """
     whole = F.struct(*SLICE, "priority")
     has = F.col("ts_label").isNotNull()
@@ -61,17 +57,18 @@ def merge_slices(sliced: DataFrame, keys: Sequence[str] = ("vid", "expt")) -> Da
         F.min(F.when(has, whole)).alias("a"), F.max(F.when(has, whole)).alias("b"),
         F.min("ts_start").alias("first_start"),
         F.max(F.when(has, F.struct("ts_end", length.alias("len"), "ts_label", "ts_type", "ts_start", "priority"))).alias("last"),
-        F.sort_array(F.collect_set(F.when(F.col("ts_label").isin(SPECIAL_LABELS), F.struct(*SLICE)))).alias("special"),
+        *[F.max(F.when(F.col("ts_label") == label, F.struct(*SLICE))).alias(f"is_{label}") for label in SPECIAL_LABELS],
     )
-    labels = F.transform("special", lambda s: s["ts_label"])
     answer_type = F.struct(
         F.lit(None).cast("string").alias("ts_label"), F.lit(None).cast("string").alias("ts_type"),
         F.lit(None).cast("bigint").alias("ts_start"), F.lit(None).cast("bigint").alias("ts_end"))
     agreed = F.when(F.lit(False), answer_type)
     for names, label, ts_type, start, end in SLICE_PAIRS:
-        here = (F.col("n") == len(names)) & (labels == F.array(*[F.lit(x) for x in names]))
+        here = F.col("n") == len(names)
+        for name in names:
+            here = here & F.col(f"is_{name}").isNotNull()
         if ts_type is None:
-            value = _slice_named(label)
+            value = F.col(f"is_{label}")
         else:
             value = F.struct(F.lit(label).alias("ts_label"), F.lit(ts_type).alias("ts_type"),
                              F.lit(start).cast("bigint").alias("ts_start"), F.lit(end).cast("bigint").alias("ts_end"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.caps import cap_years, first_tier_passes, members_for_tier, preset_passes
 from gridledger.functions.sizes import (
-    is_climatology, is_climatology_label, is_climatology_legacy, size_on, sizing_grid, summary_grid,
+    choose, is_climatology, is_climatology_label, is_climatology_legacy, size_on, sizing_grid, summary_grid,
 )
 from gridledger.lookup import BYTES_PER_VALUE
 from gridledger.operators.expand import expand_target, meet_groups, with_link
@@ -22,6 +22,9 @@ from gridledger.operators.request import GRID_ORDER, Policy
 from gridledger.scale import skew_join
 
 
+YEARS_BELOW = 1 << 40      # far above any number of years
+
+
 def exact(points: Column, years: Column) -> Column:
     return points.cast("decimal(20,0)") * years.cast("decimal(12,0)")
 
@@ -124,27 +127,29 @@ def volume_matrix(sums: DataFrame, columns: list[str], unique: DataFrame | None
     return out.select("req_mip", *cells)
 
 
-def unique_years(requests: DataFrame, policy: Policy) -> DataFrame:
+def unique_years(years: DataFrame, mips: Sequence[str], policy: Policy) -> DataFrame:
     """What only one project asks for: ``(req_mip, vid, expt, grid, years)``, for every project at once.
 
     The request of all projects minus that of all the others differs only where one project holds the maximum on the
-    best grid, and then by the distance to the runner-up; so two maxima per key replace one request per project.
-    ``requests`` carries req_mip.
+    best grid, and then by the distance to the runner-up.  So the best grid and years of each project (``variable_years`` by
+    project) meet once, instead of one request per project.  ``mips`` is the closed list of projects.
     """
-    per_mip = requests.groupBy("vid", "expt", "grid", "req_mip").agg(F.max("years").alias("years"))
-    rank = reduce(lambda acc, ig: acc.when(F.col("grid") == ig[1], F.lit(ig[0])), enumerate(GRID_ORDER), F)
-    # per grid: the largest years with their project, and the largest years of any other project
-    best = per_mip.groupBy("vid", "expt", "grid").agg(
-        F.max(F.struct("years", "req_mip")).alias("top"),
-        F.sort_array(F.collect_list("years"), asc=False).alias("all"))     # one entry per project
-    per_grid = best.select("vid", "expt", "grid", F.col("top.req_mip").alias("req_mip"), F.col("top.years").alias("top"),
-                           F.coalesce(F.get("all", F.lit(1)), F.lit(0)).alias("next"), rank.alias("rank"))
+    keys = ["vid", "expt", *(["grid"] if policy.all_grids else [])]
+    rank = F.lit(0) if policy.all_grids else choose(F.col("grid"), {g: i for i, g in enumerate(reversed(GRID_ORDER))})
+    # grid first, years second, in one number: a better grid outweighs any number of years
+    weight = rank.cast("bigint") * YEARS_BELOW + F.col("years")
+    wide = years.groupBy(*keys).agg(*[F.max(F.when(F.col("req_mip") == m, weight)).alias(f"y{j}") for j, m in enumerate(mips)])
+    every = F.array(*[f"y{j}" for j in range(len(mips))])
+    top, second = F.array_max(every), F.coalesce(F.get(F.sort_array(every, asc=False), F.lit(1)), F.lit(-1))
+    found = wide.select(*keys, top.alias("top"), second.alias("second"),
+                        F.element_at(F.array(*[F.lit(m) for m in mips]), F.array_position(every, top).cast("int")).alias("req_mip"))
+    grid_of = lambda c: (c - F.pmod(c, F.lit(YEARS_BELOW))) / YEARS_BELOW
+    same_grid = (F.col("second") >= 0) & (grid_of(F.col("second")) == grid_of(F.col("top")))
+    others = F.when(same_grid, F.pmod("second", F.lit(YEARS_BELOW))).otherwise(0)
+    out = found.withColumn("years", F.pmod("top", F.lit(YEARS_BELOW)) - others)
     if not policy.all_grids:
-        per_grid = (per_grid.groupBy("vid", "expt")
-                    .agg(F.min(F.struct("rank", "grid", "req_mip", "top", "next")).alias("b"))
-                    .select("vid", "expt", "b.grid", "b.req_mip", "b.top", "b.next"))
-    return (per_grid.where(F.col("top") > F.col("next"))
-            .select("req_mip", "vid", "expt", "grid", (F.col("top") - F.col("next")).alias("years")))
+        out = out.withColumn("grid", F.element_at(F.array(*[F.lit(g) for g in reversed(GRID_ORDER)]), (grid_of(F.col("top")) + 1).cast("int")))
+    return out.where(F.col("years") > 0).select("req_mip", "vid", "expt", "grid", "years")
 
 
 def one_sided_difference(first: DataFrame, second: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

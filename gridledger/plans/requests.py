@@ -18,7 +18,7 @@ POLICY = Policy(tier_max=2, pmax=2)
 
 
 def sized(cat: Catalogue) -> DataFrame:
-    return Z.variable_sizes(cat["x_cmorvar"], cat["x_structure"], cat["x_spatial_shape"])
+    return cat.once("sized", lambda: Z.variable_sizes(cat["x_cmorvar"], cat["x_structure"], cat["x_spatial_shape"]))
 
 
 def variable_requests(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None, experiments: DataFrame | None = None,

@@ -13,6 +13,7 @@ feeds the queries and their oracles.  All fan-outs are bounded per row of ``orde
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -166,6 +167,12 @@ class Catalogue:
             self._made[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._made[name]
 
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A derived frame that several parts of one query name; built (not computed) once."""
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
+
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.table(name)

@@ -154,7 +154,7 @@ uq AS (SELECT m.uid AS req_mip, t.vid, t.expt, t.grid, CASE WHEN o.vid IS NULL T
 
 
 def unique_requests(cat: Catalogue) -> DataFrame:
-    return V.unique_years(variable_requests(cat, by=["mip"]), POLICY)
+    return V.unique_years(years_of(cat, by=["mip"]), MIPS, POLICY)
 
 
 @query("request_unique", f"WITH {UNIQUE} SELECT req_mip, vid, expt, grid, years FROM uq")

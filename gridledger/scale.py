@@ -3,8 +3,8 @@
 Adaptive execution splits an oversized partition of a sort-merge join at run time, but it cannot help where both sides of
 a key are large, nor where the join is turned into another kind.  ``skew_join`` therefore also splits keys that are *known*
 to be hot: the caller names the base table columns the keys come from, their frequent values are counted there (one narrow
-scan with map-side counts), and the rows of these keys are spread over ``SALTS`` tasks while the matching rows of the other
-side are repeated.  The list of hot keys never exceeds ``MOST_HOT_KEYS`` rows, which is what makes its broadcast safe; a key
+scan with map-side counts), and the rows of each of these keys are spread over as many tasks as its size asks for, while the
+matching rows of the other side are repeated.  The list of hot keys never exceeds ``MOST_HOT_KEYS`` rows, which is what makes its broadcast safe; a key
 that does not make the list is only slower, never wrong.  Counting in base tables rather than in the joined rows keeps a
 chain of such joins linear.  When a base table is small no key can overload a task, and the counting is skipped.
 """
@@ -16,8 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
-HOT_ROWS = 2_000_000
+HOT_ROWS = 2_000_000        # rows of one key that still fit one task comfortably
+MOST_SALTS = 16_384
 MOST_HOT_KEYS = 1_000
 SMALL_INPUT_BYTES = 1 << 30
 
@@ -41,16 +41,16 @@ def is_small(*frames: DataFrame) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys with at least ``HOT_ROWS`` rows, at most ``MOST_HOT_KEYS`` of them, largest first.
+    """The keys with more than ``HOT_ROWS`` rows and into how many parts to split them; at most ``MOST_HOT_KEYS``, largest first.
 
     A column ``weight`` tells how many rows a row stands for.
     """
     size = F.sum("weight") if "weight" in df.columns else F.count(F.lit(1))
     return (
         df.where(_all_set(keys)).groupBy(*keys).agg(size.alias("_rows"))
-        .where(F.col("_rows") >= HOT_ROWS)
+        .where(F.col("_rows") > HOT_ROWS)
         .orderBy(F.desc("_rows")).limit(MOST_HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
+        .select(*keys, F.least(F.ceil(F.col("_rows") / HOT_ROWS), F.lit(MOST_SALTS)).cast("int").alias("_salts"))
     )
 
 
@@ -62,7 +62,7 @@ def _all_set(keys: Sequence[str]) -> Column:
 
 
 def _mark(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    return df.join(F.broadcast(hot), list(keys), "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
 
 
 def skew_join(
@@ -87,24 +87,25 @@ def skew_join(
     if not (split_left or split_right):
         return left.join(right, keys, how)
 
-    def own_salt(df: DataFrame) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
+    def hashed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_own", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
 
-    every, none = F.sequence(F.lit(0), F.lit(SALTS - 1)), F.array(F.lit(0))
-    own, repeated = F.col("_own"), F.explode(F.when(F.col("_hot"), every).otherwise(none))
-    l, r, on = left.withColumn("_own", own_salt(left)), right.withColumn("_own", own_salt(right)), list(keys)
+    own = F.pmod("_own", F.col("_salts").cast("bigint"))
+    spread = F.pmod("_own", F.lit(MOST_SALTS).cast("bigint"))
+    repeated = F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("_salts") - 1).cast("bigint")))
+    l, r, on = hashed(left), hashed(right), list(keys)
     if split_left:
         known = [k for k in keys if k in left_keys.columns]
         hot = hot_keys(left_keys, known)
         # a row with a missing key matches nothing, so it may go anywhere: spread those rows as well
-        l = _mark(l, hot, known).withColumn("_ls", F.when(F.col("_hot") | ~_all_set(keys), own).otherwise(F.lit(0))).drop("_hot")
-        r = _mark(r, hot, known).withColumn("_ls", repeated).drop("_hot")
+        l = _mark(l, hot, known).withColumn("_ls", F.when(_all_set(keys), own).otherwise(spread)).drop("_salts")
+        r = _mark(r, hot, known).withColumn("_ls", repeated).drop("_salts")
         on.append("_ls")
     if split_right:
         known = [k for k in keys if k in right_keys.columns]
         hot = hot_keys(right_keys, known)
-        r = _mark(r, hot, known).withColumn("_rs", F.when(F.col("_hot"), own).otherwise(F.lit(0))).drop("_hot")
-        l = _mark(l, hot, known).withColumn("_rs", repeated).drop("_hot")
+        r = _mark(r, hot, known).withColumn("_rs", own).drop("_salts")
+        l = _mark(l, hot, known).withColumn("_rs", repeated).drop("_salts")
         on.append("_rs")
     return l.drop("_own").join(r.drop("_own"), on, how).drop("_ls", "_rs")
 

@@ -22,7 +22,7 @@ def forced_split(monkeypatch):
     from gridledger import scale
     monkeypatch.setattr(scale, "SMALL_INPUT_BYTES", -1)
     monkeypatch.setattr(scale, "HOT_ROWS", 3)
-    monkeypatch.setattr(scale, "SALTS", 4)
+    monkeypatch.setattr(scale, "MOST_SALTS", 5)
 
 
 def rows(df, *cols):

@@ -224,7 +224,7 @@ def test_unique_years_equals_the_definition(spark, table):
         others = best([d for d in data if d[4] != m])
         expected += [(m, *k, y - others.get(k, 0)) for k, y in total.items() if y > others.get(k, 0)]
     df = table("vid string, expt string, grid string, years bigint, req_mip string", data)
-    assert rows(V.unique_years(df, R.Policy())) == sorted(expected)
+    assert rows(V.unique_years(R.variable_years(df, R.Policy(), ["mip"]), ["m0", "m1", "m2", "m3"], R.Policy())) == sorted(expected)
 
 
 def test_reconcile_top_and_matrix(table):
