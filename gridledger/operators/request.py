@@ -170,15 +170,15 @@ def selected_variables(links: DataFrame, items: DataFrame, experiments: DataFram
                        variables: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
     """The variables that ``variable_requests`` reaches, found from groups alone without the experiments' rows."""
     keys = ["refid", *[f"req_{c}" for c in by]]
-    asks = (link_items(links, items.where(reset_passes(F.col("treset"), policy.tier_max)), policy, by)
-            .select(*keys, "esid").distinct())
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
-    reachable = able.select(F.explode(F.array("uid", "egid", "mip")).alias("esid")).distinct()
-    live = skew_join(asks, reachable, ["esid"], "left_semi", left_keys=items.select("esid")).select(*keys).distinct()
-    presets = group_presets(links, items, policy, by).join(live, keys, "left_semi")
+    reachable = able.select(F.explode(F.array("uid", "egid", "mip")).alias("esid")).distinct().withColumn("reached", F.lit(True))
+    asks = skew_join(items.select("rlid", "esid", "preset", "treset"), reachable, ["esid"], "left", left_keys=items.select("esid"))
+    p, reached = F.col("preset"), F.coalesce("reached", F.lit(False)) & reset_passes(F.col("treset"), policy.tier_max)
+    flags = with_link(asks, links, "refid", *[F.col(c).alias(f"req_{c}") for c in by], base=items).groupBy(*keys).agg(
+        F.max(reached).alias("live"), F.max(p == -1).alias("by_priority"), F.max((p != -1) & (p <= policy.pmax)).alias("admit_all"))
+    wanted = requested_variables(links, request_vars, flags.where("live").drop("live"), policy.pmax)
     classed = variables.where(F.col("grid_class").isNotNull()).select(F.col("uid").alias("vid"))
-    wanted = requested_variables(links, request_vars, presets, policy.pmax).select("vid", *[f"req_{c}" for c in by]).distinct()
-    return wanted.join(classed, "vid", "left_semi")
+    return wanted.select("vid", *[f"req_{c}" for c in by]).distinct().join(classed, "vid", "left_semi")
 
 
 def intersection(selected: DataFrame, n_mips: int) -> DataFrame:
