@@ -308,6 +308,6 @@ def experiment_requests(items: DataFrame, links: DataFrame, experiments: DataFra
 def experiment_summary(requests: DataFrame) -> DataFrame:
     """Variables and volume of each experiment, and of all of them (without an experiment)."""
     per = requests.groupBy("design_mip", "expt").agg(F.count(F.lit(1)).alias("variables"), F.sum("hundredths").alias("hundredths"))
-    total = per.agg(F.lit(None).cast("string").alias("design_mip"), F.lit(None).cast("string").alias("expt"),
-                    F.sum("variables").alias("variables"), F.sum("hundredths").alias("hundredths"))
-    return per.unionByName(total).select("design_mip", "expt", "variables", as_volume(F.col("hundredths")))
+    both = per.groupingSets([["design_mip", "expt"], []], "design_mip", "expt").agg(
+        F.sum("variables").alias("variables"), F.sum("hundredths").alias("hundredths"))
+    return both.select("design_mip", "expt", "variables", as_volume(F.col("hundredths")))

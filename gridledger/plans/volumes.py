@@ -256,14 +256,11 @@ def shape_frequency_pivot(cat):
 
 @query("reconcile", f"""
 WITH {Q.FULL}, t AS (SELECT CAST(sum(hundredths) AS DOUBLE) / 100 AS v FROM fact)
-SELECT CAST(3 AS BIGINT) AS ways, v AS low, v AS high, TRUE AS agree FROM t""")
+SELECT CAST(2 AS BIGINT) AS ways, v AS low, v AS high, TRUE AS agree FROM t""")
 def reconcile(cat):
     by_variable = per_variable(cat).select(F.lit("variable").alias("way"), "hundredths")
     by_table = fact(cat).groupBy("expt", "mip_table").agg(F.sum("hundredths").alias("hundredths"))
-    by_design = fact(cat).groupBy("design_mip").agg(F.sum("hundredths").alias("hundredths"))
-    parts = (by_variable.unionByName(by_table.select(F.lit("experiment and table").alias("way"), "hundredths"))
-             .unionByName(by_design.select(F.lit("designing project").alias("way"), "hundredths")))
-    return V.reconcile(parts)
+    return V.reconcile(by_variable.unionByName(by_table.select(F.lit("experiment and table").alias("way"), "hundredths")))
 
 
 LEGACY = f"""{Q.MEMBERS}, {Q.SIZED},
