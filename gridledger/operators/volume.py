@@ -215,6 +215,12 @@ def shape_frequency_pivot(summary: DataFrame, outputs: dict[str, float], frequen
     return wide.withColumn("total_gb", total)
 
 
+def pivot_totals(wide: DataFrame, frequencies: list[str]) -> DataFrame:
+    """Terabytes of each frequency and of all of them, over all shapes."""
+    tb = lambda c: F.coalesce(F.sum(c), F.lit(0.0)) * F.lit(0.001)
+    return wide.agg(*[tb(f"{f}_gb").alias(f"{f}_tb") for f in frequencies], tb("total_gb").alias("total_tb"))
+
+
 # --- the older method ----------------------------------------------------------------------------------
 
 def legacy_fact(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame, sized: DataFrame,

@@ -239,6 +239,17 @@ def test_reconcile_top_and_matrix(table):
     assert rows(V.volume_matrix(sums, ["m1", "m2"], unique)) == [("m1", 1.0, 3.0, 4.0, 2.0), ("m2", 0.0, 0.5, 0.5, 0.0)]
 
 
+def test_shape_pivot(table):
+    s = table("spid string, odims string, out_grid string, frequency string, points bigint, variables bigint, mean_years double, experiments bigint", [
+        ("a", "", "native", "mon", 1000, 2, 50.0, 3), ("a", "", "native", "day", 1000, 1, 10.0, 1), ("b", "", "1deg", "day", 10, 1, 1.0, 1)])
+    wide = V.shape_frequency_pivot(s, {"mon": 12, "day": 365}, ["mon", "day"])
+    got = {r["spid"]: r for r in wide.collect()}
+    assert got["a"]["mon_gb"] == pytest.approx(12 * 50 * 2 * 1000 * 2e-9) and got["b"]["mon_gb"] is None and got["a"]["mon_variables"] == 2
+    assert got["a"]["total_gb"] == pytest.approx((12 * 50 * 2 + 365 * 10) * 1000 * 2e-9)
+    total = V.pivot_totals(wide, ["mon", "day"]).first()
+    assert total["total_tb"] == pytest.approx(total["mon_tb"] + total["day_tb"]) and total["mon_tb"] == pytest.approx(2.4e-6)
+
+
 def test_union_is_at_most_the_sum(spark):
     import __spark_entry__ as entry
     r = entry.queries()["volume_overlap"](spark, "/root/testdata/sf0.001").first()
