@@ -19,7 +19,7 @@ QUARTILES = (0.25, 0.5, 0.75)
 RANGE_SHARE = 1e-4       # half width, as a share of the rows, of the value range kept around a wanted rank
 SKETCH_ACCURACY = 20_000
 PERCENTILE_BYTES = SMALL_INPUT_BYTES // 4
-AXIS_BUCKETS = 4096
+AXIS_STEP = 32           # an axis is cut into the square of this many parts
 
 
 def to_celsius(df: DataFrame, value: str = "value", units: str = "units") -> DataFrame:
@@ -187,18 +187,22 @@ def point_series(df: DataFrame, lat: float, lon: float, time: str = "time") -> D
 def nearest_values(targets: DataFrame, coords: DataFrame, target: str, coord: str) -> DataFrame:
     """For many targets at once: each distinct target with the closest coordinate, the smaller of two equally close.
 
-    Targets and coordinates are ordered within equal parts of the axis; what lies beyond a part comes from a table with
-    one row per part, so no task sees the whole axis.
+    Targets and coordinates are ordered within parts of the axis that hold about equally many of them; what lies beyond a
+    part comes from a table with one row per part, so no task sees the whole axis.  Where the cuts fall does not matter.
     """
     c = coords.select(F.col(coord).cast("double").alias("x")).distinct()
     t = targets.select(F.col(target).cast("double").alias("x")).distinct()
-    ends = c.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    width = F.greatest((hi - lo) / F.lit(float(AXIS_BUCKETS)), F.lit(1e-300))
-    part = F.least(F.greatest(F.floor((F.col("x") - lo) / width), F.lit(-1)), F.lit(AXIS_BUCKETS)).cast("int")
-    marked = (c.withColumn("coord", F.col("x")).unionByName(t.withColumn("coord", F.lit(None).cast("double")))
-              .withColumn("part", part))
-    by_part = marked.groupBy("part").agg(F.min("coord").alias("first"), F.max("coord").alias("last"))   # AXIS_BUCKETS rows
+    marked = c.withColumn("coord", F.col("x")).unionByName(t.withColumn("coord", F.lit(None).cast("double")))
+    n = AXIS_STEP * AXIS_STEP
+    cuts = marked.agg(F.percentile_approx("x", [i / n for i in range(1, n)], SKETCH_ACCURACY).alias("fine"))
+    cuts = cuts.select("fine", F.filter("fine", lambda v, i: i % AXIS_STEP == AXIS_STEP - 1).alias("coarse"))
+    marked = marked.withColumns({"fine": cuts.select("fine").scalar(), "coarse": cuts.select("coarse").scalar()})
+    # the number of cuts below a value, found in two short steps
+    marked = marked.withColumn("step", F.size(F.filter("coarse", lambda v: v < F.col("x"))))
+    block = F.slice("fine", F.col("step") * AXIS_STEP + 1, F.lit(AXIS_STEP - 1))
+    part = F.col("step") * AXIS_STEP + F.size(F.filter(block, lambda v: v < F.col("x")))
+    marked = marked.select("x", "coord", part.alias("part"))
+    by_part = marked.groupBy("part").agg(F.min("coord").alias("first"), F.max("coord").alias("last"))   # at most one row per cut
     back = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy(F.lit(0)).orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
     beyond = by_part.select("part", F.last("last", ignorenulls=True).over(back).alias("before"),
