@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import exactdedup, linededup, packing, sharding, tokenfiles
+from gridledger.llm import exactdedup, langid, linededup, packing, sharding, simhash, tokenfiles
 from gridledger.llm.common import documents, kept, new_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,19 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.dedup_lines(documents(spark, folder).select("doc_id", "text"))
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_groups(documents(spark, folder), simhash.LINKS_OF_FOUR)
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from two thirds of the ids; the language column is read for those only, and never by the prediction."""
+    docs = documents(spark, folder)
+    filters = langid.learn(docs.where(~langid.held_out()))
+    found = langid.predicted(docs.select("doc_id", "text"), filters, carry=["doc_id"])
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdedup.exact_duplicates(documents(spark, folder))
 
@@ -41,7 +54,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing, "op3_sharding": op3_sharding, "op4_line_dedup": op4_line_dedup, "op9_exact_dedup": op9_exact_dedup,
-    "op10_token_files": op10_token_files,
+    "op6_simhash": op6_simhash, "op7_language_id": op7_language_id, "op10_token_files": op10_token_files,
 }
 
 ORACLES = {
