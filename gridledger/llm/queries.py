@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import exactdedup, langid, linededup, packing, sharding, simhash, tokenfiles
+from gridledger.llm import exactdedup, langid, linededup, minhash, packing, sharding, simhash, tokenfiles
 from gridledger.llm.common import documents, kept, new_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = 24
 
 
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.edited(documents(spark, folder))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder), VOCABULARY)
 
@@ -53,6 +57,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op2_packing": op2_packing, "op3_sharding": op3_sharding, "op4_line_dedup": op4_line_dedup, "op9_exact_dedup": op9_exact_dedup,
     "op6_simhash": op6_simhash, "op7_language_id": op7_language_id, "op10_token_files": op10_token_files,
 }
