@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import exactdedup, langid, linededup, minhash, packing, sharding, simhash, tokenfiles
+from gridledger.llm import exactdedup, langid, linededup, minhash, packing, pii, sharding, simhash, tokenfiles
 from gridledger.llm.common import documents, kept, new_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +46,11 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return pii.found(docs, pii.learn(docs))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdedup.exact_duplicates(documents(spark, folder))
 
@@ -59,7 +64,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_packing": op2_packing, "op3_sharding": op3_sharding, "op4_line_dedup": op4_line_dedup, "op9_exact_dedup": op9_exact_dedup,
-    "op6_simhash": op6_simhash, "op7_language_id": op7_language_id, "op10_token_files": op10_token_files,
+    "op6_simhash": op6_simhash, "op7_language_id": op7_language_id, "op8_pii": op8_pii, "op10_token_files": op10_token_files,
 }
 
 ORACLES = {
