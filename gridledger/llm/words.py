@@ -1,94 +1,70 @@
-"""Token ids of texts by a vocabulary file whose pre-tokenizer drops white space, with known words kept per worker.
+"""Token ids of texts by a vocabulary file that lower-cases, drops white space and merges within words.
 
-The file's normaliser and pre-tokenizer never look across white space, so the ids of a text are those of its words one
-after another. A worker keeps the ids of words it has met, up to a bound, and has the library encode the others.
+The file's normaliser and pre-tokenizer cut a text into words, runs of marks and single digits, each of which the library's
+model encodes by itself. Those pieces are found with the file's own pattern, a worker keeps the ids of pieces it has
+met, up to a bound, and the library encodes the others. Words with characters outside Latin-1 go through the library's
+whole pipeline, and so do texts that spell out a special token.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
-#: Entries kept per worker, of words as written and of their lower-case letters; a full table starts anew.
-WORDS_KEPT, CORES_KEPT = 300_000, 700_000
+#: Pieces whose ids a worker keeps; a full table starts anew.
+PIECES_KEPT = 800_000
 LONGEST_KEPT = 64
 
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
-_SPACE_FOR_PYTHON_ONLY = re.compile("[\x1c-\x1f]")
-_WORD = re.compile("[^ \t-\r\x85\xa0  -     　]+")
+# The pre-tokenizer's pattern within Latin-1 after lower-casing, where \p{L} is _LETTER and \p{N} is _NUMBER.
+_LETTER, _NUMBER, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
+_WORD = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_OTHER = re.compile(r"[^\x00-\xff]")
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to the library's ids of the whole text."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-
-    def _one(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn_cores(self, cores: list[str]) -> None:
-        for i in range(0, len(cores), 1000):
-            some = cores[i:i + 1000]
-            ids = np.asarray(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some):
-                data, start = ids.tobytes(), 0
-                for core, cut in zip(some, cuts.tolist()):
-                    self.cores[core] = data[4 * start:4 * cut]
-                    start = cut
-            else:
-                self.cores.update((core, self._one(core)) for core in some)
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Adds words to the table; returns those too long to keep."""
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        if len(self.cores) > CORES_KEPT:
-            self.cores.clear()
-        plain, rest, long = [], {}, {}
-        for word in words:
-            m = _PLAIN.fullmatch(word) if len(word) <= LONGEST_KEPT else None
-            if m:
-                plain.append((word, m[1].lower(), m[2]))
-            elif len(word) <= LONGEST_KEPT:
-                rest[word] = self._one(word)
-            else:
-                long[word] = self._one(word)
-        new = {core for _, core, _ in plain if core not in self.cores} | {mark for _, _, mark in plain if mark and mark not in self.cores}
-        marks = [x for x in new if not x[0].isalpha()]
-        self.cores.update((x, self._one(x)) for x in marks)
-        self._learn_cores([x for x in new if x[0].isalpha()])
-        for word, core, mark in plain:
-            self.words[word] = self.cores[core] + self.cores[mark] if mark else self.cores[core]
-        self.words.update(rest)
-        return long
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_as_text = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
+        self.pieces: dict[str, bytes] = {}
+
+    def _one(self, piece: str) -> bytes:
+        """A piece of the pattern; with a space before it, any word."""
+        if piece[0] == " ":
+            ids = self.tokenizer.encode(piece[1:], add_special_tokens=False).ids
+        else:
+            ids = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.bytes_as_text))]
+        return np.asarray(ids, dtype="<u4").tobytes()
+
+    def _cut(self, text: str) -> list[str]:
+        if not _OTHER.search(text):
+            return _PIECE.findall(text.lower())
+        out: list[str] = []
+        for word in _WORD.findall(text):
+            out += [f" {word}"] if _OTHER.search(word) else _PIECE.findall(word.lower())
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_WORD.findall(t) if _SPACE_FOR_PYTHON_ONLY.search(t) else t.split() for t in texts]
-        out: list[bytes] = []
-        for words in split:
-            try:
-                out.append(b"".join(map(self.words.__getitem__, words)))
-            except KeyError:
-                distinct = set(words)
-                unknown = distinct - self.words.keys()
-                if len(self.words) + len(unknown) > WORDS_KEPT:
-                    self.words.clear()
-                    unknown = distinct
-                long = self._learn(unknown)
-                table = self.words if not long else {**{w: self.words[w] for w in distinct if w not in long}, **long}
-                out.append(b"".join(map(table.__getitem__, words)))
-        return out
+        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        cut = [[] if i in whole else self._cut(t) for i, t in enumerate(texts)]
+        known = self.pieces
+        unknown = {p for pieces in cut for p in pieces if p not in known}
+        if len(known) + len(unknown) > PIECES_KEPT:
+            known.clear()
+            unknown = set().union(*cut)
+        found = {p: self._one(p) for p in unknown}
+        known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_KEPT)
+        lookup = known.__getitem__ if all(len(p) <= LONGEST_KEPT for p in unknown) else (lambda p: known[p] if p in known else found[p])
+        return [self._one(f" {texts[i]}") if i in whole else b"".join(map(lookup, pieces)) for i, pieces in enumerate(cut)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -97,8 +73,8 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def texts_in_parts(column, most_chars: int = 4_000_000):
-    """Slices of an Arrow text column, (first row, texts), of bounded size; null is the empty text."""
+def texts_in_parts(column, most_chars: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+    """Slices of an Arrow text column, (first row, texts), of bounded size unless one text is longer; null is the empty text."""
     part, first, size = [], 0, 0
     for i in range(len(column)):
         text = column[i].as_py() or ""
