@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import exactdedup, langid, linededup, minhash, packing, pii, sharding, simhash, tokenfiles
+from gridledger.llm import exactdedup, langid, linededup, minhash, packing, pii, segment, sharding, simhash, tokenfiles
 from gridledger.llm.common import documents, kept, new_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 24
 
 
@@ -33,6 +34,10 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.dedup_lines(documents(spark, folder).select("doc_id", "text"))
 
 
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return segment.summaries(segment.encode(documents(spark, folder), PIECES), PIECES)
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_groups(documents(spark, folder), simhash.LINKS_OF_FOUR)
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
@@ -62,9 +67,9 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_minhash": op1_minhash,
-    "op2_packing": op2_packing, "op3_sharding": op3_sharding, "op4_line_dedup": op4_line_dedup, "op9_exact_dedup": op9_exact_dedup,
-    "op6_simhash": op6_simhash, "op7_language_id": op7_language_id, "op8_pii": op8_pii, "op10_token_files": op10_token_files,
+    "op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_sharding": op3_sharding, "op4_line_dedup": op4_line_dedup,
+    "op5_sentencepiece": op5_sentencepiece, "op6_simhash": op6_simhash, "op7_language_id": op7_language_id, "op8_pii": op8_pii,
+    "op9_exact_dedup": op9_exact_dedup, "op10_token_files": op10_token_files,
 }
 
 ORACLES = {
