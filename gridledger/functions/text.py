@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,15 +16,35 @@ def _whole(x: Column, unit: float) -> Column:
     return (x * F.lit(unit)).cast("bigint")
 
 
-def volume_label(x: Column) -> Column:
-    """Readable volume: M below 1e9, G below 1e12, T below 1e15, P below 1e18, else billions with separators."""
+def _roundings() -> list[float]:
+    """For each tenth from 1.0 on the smallest double that rounds up from it: ties of the exact value go to the even tenth."""
+    out = []
+    for tenth in range(10, 100):
+        middle = Fraction(2 * tenth + 1, 20)
+        nearest = float(middle)
+        up = Fraction(nearest) > middle or (Fraction(nearest) == middle and tenth % 2 == 1)
+        out.append(nearest if up else math.nextafter(nearest, math.inf))
+    return out
+
+
+def one_decimal(x: Column) -> Column:
+    """A number from 1 to 10 with one decimal, rounded by its exact binary value."""
+    tenths = F.lit(10) + F.size(F.filter(F.array(*[F.lit(t) for t in _roundings()]), lambda t: t <= x))
+    return F.format_string("%d.%d", F.floor(tenths / 10).cast("int"), tenths % 10)
+
+
+def volume_label(x: Column, largest: str = "") -> Column:
+    """Readable volume: M below 1e9, G below 1e12, T below 1e15, P below 1e18, else billions with separators.
+
+    ``largest`` is what marks those billions: nothing, or ``B`` in the tables of projects.
+    """
     return (
         F.when(x < 1e9, F.concat(_whole(x, 1e-6).cast("string"), F.lit("M")))
         .when(x < 1e12, F.concat(_whole(x, 1e-9).cast("string"), F.lit("G")))
-        .when(x < 1e13, F.format_string("%3.1fT", F.bround(x * F.lit(1e-12), 1)))
+        .when(x < 1e13, F.concat(one_decimal(x * F.lit(1e-12)), F.lit("T")))
         .when(x < 1e15, F.format_string("%3dT", _whole(x, 1e-12)))
         .when(x < 1e18, F.format_string("%3dP", _whole(x, 1e-15)))
-        .otherwise(F.format_number(x * F.lit(1e-9), 2))
+        .otherwise(F.concat(F.format_number(x * F.lit(1e-9), 2), F.lit(largest)))
     )
 
 

@@ -1,25 +1,26 @@
 """Statistics of gridded values in long form ``(…, time, lat, lon, value)``.
 
-Quantiles are exact.  For small input the built-in ``percentile`` is used, which holds the values of a group in one
-task; beyond that a group is cut into narrow value ranges around the wanted ranks, only the rows of those ranges
-are ordered, and everything else is merely counted.
+Quantiles are exact.  The distinct values of a group are counted; where a group is too large for one task, it is cut into
+ranges of values, again and again, until the range around each wanted rank fits; only those ranges are ordered.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridledger.lookup import KELVIN_OFFSET
-from gridledger.scale import SMALL_INPUT_BYTES, input_bytes, skew_join
+from gridledger.scale import skew_join
+from gridledger.session import materialise
 
 QUARTILES = (0.25, 0.5, 0.75)
-RANGE_SHARE = 1e-4       # half width, as a share of the rows, of the value range kept around a wanted rank
+RANGE_ROWS = 1_000_000   # values that one task orders
+CUTS = 255               # cuts of a range that is too large
 SKETCH_ACCURACY = 20_000
-PERCENTILE_BYTES = SMALL_INPUT_BYTES // 4
-AXIS_STEP = 32           # an axis is cut into the square of this many parts
 
 
 def to_celsius(df: DataFrame, value: str = "value", units: str = "units") -> DataFrame:
@@ -65,84 +66,89 @@ def global_stats(df: DataFrame, value: str = "value", *keys: str) -> DataFrame:
 
 
 def axis_profile(df: DataFrame, *axes: str) -> DataFrame:
-    """Size and range of each coordinate."""
-    sizes = df.agg(*[x for a in axes for x in (
-        F.count_distinct(a).alias(f"{a}_size"), F.min(a).cast("string").alias(f"{a}_low"), F.max(a).cast("string").alias(f"{a}_high"))])
-    rows = F.array(*[F.struct(F.lit(a).alias("axis"), F.col(f"{a}_size").alias("size"), F.col(f"{a}_low").alias("low"),
-                              F.col(f"{a}_high").alias("high")) for a in axes])
-    return sizes.select(F.inline(rows))
+    """Size and range of each coordinate; every coordinate is a scan of its own column."""
+    def one(a: str) -> DataFrame:
+        return df.select(a).distinct().agg(F.count(a).alias("size"), F.min(a).cast("string").alias("low"), F.max(a).cast("string").alias("high")).select(
+            F.lit(a).alias("axis"), "size", "low", "high")
+
+    return reduce(DataFrame.unionByName, [one(a) for a in axes])
 
 
 # --- quantiles -----------------------------------------------------------------------------------------
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = QUARTILES, split: bool | None = None) -> DataFrame:
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = QUARTILES, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Exact quantiles with linear interpolation: the keys and one column ``q0``, ``q1``, … per probability.
 
-    Groups without values are left out.  ``split`` None decides by input size.
+    Groups without values are left out.  ``range_rows`` is how many distinct values one task orders.
     """
     keys, probs = list(keys), list(probs)
     have = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    if split is None:
-        size = input_bytes(df)
-        split = size is None or size > PERCENTILE_BYTES
-    if split:
-        return _quantiles_by_range(have, keys, probs)
-    q = have.groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
-    return q.select(*keys, *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
-
-
-def _quantiles_by_range(have: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    marks = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-RANGE_SHARE, RANGE_SHARE)})
-    cuts = have.groupBy(*keys).agg(F.percentile_approx("_v", marks, SKETCH_ACCURACY).alias("cuts"))
-    counted = have.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n"))
-    # which of the few ranges between the cuts a value falls into; the cuts only steer the work, any cuts give the same result
-    place = sum((F.when(F.col("_v") > F.col("cuts")[i], 1).otherwise(0) for i in range(len(marks))), F.lit(0))
-    ranged = skew_join(counted, cuts, keys, left_keys=have.select(*keys)).select(*keys, "_v", "n", place.alias("part"))
-
-    upto = Window.partitionBy(*keys).orderBy("part")
-    sizes = ranged.groupBy(*keys, "part").agg(F.sum("n").alias("n"))      # at most one row per cut and key
-    sizes = sizes.select(*keys, "part", "n", (F.sum("n").over(upto) - F.col("n")).alias("before"),
-                         F.sum("n").over(Window.partitionBy(*keys)).alias("total"))
-    low = [F.floor(F.lit(p) * (F.col("total") - 1)) for p in probs]
-    high = [F.ceil(F.lit(p) * (F.col("total") - 1)) for p in probs]
-    ranks = sizes.withColumn("rank", F.explode(F.array_distinct(F.array(*low, *high))))
-    ranks = ranks.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-    wanted = ranks.select(*keys, "part", "before", "rank", "total")
-
-    parts = wanted.select(*keys, "part", "before").distinct()
+    totals = have.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
+    last = F.col("total") - 1
+    ranks = F.array_distinct(F.array(*[f(F.lit(p) * last) for p in probs for f in (F.floor, F.ceil)]))
+    zero = F.lit(0).cast("bigint")
+    wanted = totals.select(*keys, "total", F.explode(ranks).alias("rank"), zero.alias("part"), zero.alias("before"))
+    rows = have.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n")).withColumn("part", zero)
+    largest = totals.agg(F.max("total")).first()[0] or 0                       # one number
+    while largest > range_rows:
+        rows, wanted, left = _refined(rows, wanted, keys)
+        if left >= largest:
+            break
+        largest = left
+
     inside = Window.partitionBy(*keys, "part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = ranged.join(parts, [*keys, "part"]).select(
-        *keys, "part", "_v", "n", (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("first"))
-    hits = ordered.join(wanted.drop("before"), [*keys, "part"]).where(
-        (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n")))
+    ordered = rows.select(*keys, "part", "_v", "n", (F.sum("n").over(inside) - F.col("n")).alias("first"))
+    first = F.col("before") + F.col("first")
+    hits = ordered.join(wanted, [*keys, "part"]) if keys else ordered.join(wanted, ["part"])
+    hits = hits.where((F.col("rank") >= first) & (F.col("rank") < first + F.col("n")))
     picked = hits.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "_v"))).alias("at"),   # 2 per probability
                                      F.max("total").alias("total"))
     out = []
     for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("total") - 1)
+        pos = F.lit(p) * last
         a, b = F.element_at("at", F.floor(pos)), F.element_at("at", F.ceil(pos))
         out.append((a + (b - a) * (pos - F.floor(pos))).alias(f"q{i}"))
     return picked.select(*keys, *out)
 
 
+def _refined(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, int]:
+    """Cuts every range of values; keeps those with a wanted rank, and tells the values of the largest.
+
+    The cuts only steer the work, any cuts give the same result.
+    """
+    group = [*keys, "part"]
+    cuts = rows.groupBy(*group).agg(F.percentile_approx("_v", [i / (CUTS + 1) for i in range(1, CUTS + 1)], SKETCH_ACCURACY).alias("cuts"))
+    place = F.size(F.filter("cuts", lambda c: c < F.col("_v")))
+    placed = rows.join(cuts, group).select(*keys, "_v", "n", "part", place.cast("bigint").alias("place"))
+    sizes = placed.groupBy(*group, "place").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct"))    # at most a row per cut and range
+    upto = Window.partitionBy(*group).orderBy("place")
+    sizes = sizes.withColumn("below", F.sum("n").over(upto) - F.col("n"))
+    start = F.col("before") + F.col("below")
+    found = wanted.join(sizes, group).where((F.col("rank") >= start) & (F.col("rank") < start + F.col("n")))
+    new = (F.col("part") * (CUTS + 1) + F.col("place")).alias("part")
+    wanted = materialise(found.select(*keys, "total", "rank", new, start.alias("before"), "distinct"))
+    rows = materialise(placed.select(*keys, "_v", "n", new).join(wanted.select(*group).distinct(), group, "left_semi"))
+    return rows, wanted.drop("distinct"), wanted.agg(F.max("distinct")).first()[0] or 0
+
+
 def quantile_rows(q: DataFrame, keys: Sequence[str], labels: Sequence[str] = ("Q1", "Q2", "Q3")) -> DataFrame:
     """Quantiles laid out as rows ``(keys, quantile, value)`` under labels."""
     named = q.select(*keys, *[F.col(f"q{i}").alias(l) for i, l in enumerate(labels)])
     return named.unpivot(list(keys), list(labels), "quantile", "value")
 
 
-def box_fences(df: DataFrame, keys: Sequence[str], value: str, split: bool | None = None) -> DataFrame:
+def box_fences(df: DataFrame, keys: Sequence[str], value: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Quartiles and the fences one and a half interquartile ranges beyond them."""
-    q = quantiles(df, keys, value, QUARTILES, split).select(
+    q = quantiles(df, keys, value, QUARTILES, range_rows).select(
         *keys, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return q.withColumn("low_fence", F.col("q1") - 1.5 * iqr).withColumn("high_fence", F.col("q3") + 1.5 * iqr)
 
 
-def box_stats(df: DataFrame, keys: Sequence[str], value: str, split: bool | None = None) -> DataFrame:
+def box_stats(df: DataFrame, keys: Sequence[str], value: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Quartiles, whiskers (the most extreme values inside the fences, never inside the box) and number of outliers."""
     keys = list(keys)
-    fences = box_fences(df, keys, value, split)
+    fences = box_fences(df, keys, value, range_rows)
     v = F.col("_v")
     have = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("n"))
     rows = skew_join(have, fences, keys, left_keys=df.select(*keys))
@@ -154,53 +160,57 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, split: bool | None
              F.greatest("_high", "q3").alias("high_whisker"), "outliers")
 
 
-def box_outliers(df: DataFrame, keys: Sequence[str], value: str, split: bool | None = None) -> DataFrame:
+def box_outliers(df: DataFrame, keys: Sequence[str], value: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The rows beyond the fences."""
-    fences = box_fences(df, keys, value, split).select(*keys, "low_fence", "high_fence")
+    fences = box_fences(df, keys, value, range_rows).select(*keys, "low_fence", "high_fence")
     return skew_join(df, fences, list(keys), left_keys=df.select(*keys)).where(
         (F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence"))).drop("low_fence", "high_fence")
 
 
-def box_by_month(df: DataFrame, time: str, value: str, split: bool | None = None) -> DataFrame:
+def box_by_month(df: DataFrame, time: str, value: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Box statistics of the twelve calendar months in order; a month without values has empty statistics."""
     spark = df.sparkSession
     months = spark.range(1, 13).select(F.col("id").alias("month"), month_name(F.make_date(F.lit(2000), F.col("id").cast("int"), F.lit(1))).alias("name"))
-    stats = box_stats(df.select(F.month(time).cast("bigint").alias("month"), value), ["month"], value, split)
+    stats = box_stats(df.select(F.month(time).cast("bigint").alias("month"), value), ["month"], value, range_rows)
     return months.join(stats, "month", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn(
         "outliers", F.coalesce("outliers", F.lit(0))).orderBy("month")
 
 
 # --- nearest -------------------------------------------------------------------------------------------
 
-def nearest_coordinate(df: DataFrame, axis: str, x: float) -> DataFrame:
-    """The coordinate closest to ``x``; of two equally close ones the smaller."""
-    return df.agg(F.min(F.struct(F.abs(F.col(axis) - F.lit(float(x))).alias("d"), F.col(axis))).alias("m")).select(F.col(f"m.{axis}"))
+def point_series(df: DataFrame, lat: float, lon: float, time: str = "time") -> DataFrame:
+    """The ordered time series of the grid point nearest to a place; western longitudes count as 0 to 360.
 
+    Both coordinates are found in one pass.
+    """
+    def nearest(axis: str, x: float) -> Column:
+        return F.min(F.struct(F.abs(F.col(axis) - F.lit(float(x))).alias("d"), F.col(axis)))[axis].alias(axis)
 
-def point_series(df: DataFrame, lat: float, lon: float, time: str = "time") -> DataFrame:
-    """The ordered time series of the grid point nearest to a place; western longitudes count as 0 to 360."""
-    here = (F.col("lat") == nearest_coordinate(df, "lat", lat).scalar()) & (
-        F.col("lon") == nearest_coordinate(df, "lon", lon % 360.0).scalar())
-    return df.where(here).orderBy(time)
+    place = df.agg(F.struct(nearest("lat", lat), nearest("lon", lon % 360.0)).alias("place")).scalar()
+    return df.where(F.struct("lat", "lon") == place).orderBy(time)
 
 
-def nearest_values(targets: DataFrame, coords: DataFrame, target: str, coord: str) -> DataFrame:
+def nearest_values(targets: DataFrame, coords: DataFrame, target: str, coord: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """For many targets at once: each distinct target with the closest coordinate, the smaller of two equally close.
 
-    Targets and coordinates are ordered within parts of the axis that hold about equally many of them; what lies beyond a
-    part comes from a table with one row per part, so no task sees the whole axis.  Where the cuts fall does not matter.
+    Targets and coordinates are ordered within parts of the axis, as many as their number asks for, that hold about equally
+    many of them; what lies beyond a part comes from a table with one row per part.  Where the cuts fall does not matter.
     """
     c = coords.select(F.col(coord).cast("double").alias("x")).distinct()
     t = targets.select(F.col(target).cast("double").alias("x")).distinct()
     marked = c.withColumn("coord", F.col("x")).unionByName(t.withColumn("coord", F.lit(None).cast("double")))
-    n = AXIS_STEP * AXIS_STEP
-    cuts = marked.agg(F.percentile_approx("x", [i / n for i in range(1, n)], SKETCH_ACCURACY).alias("fine"))
-    cuts = cuts.select("fine", F.filter("fine", lambda v, i: i % AXIS_STEP == AXIS_STEP - 1).alias("coarse"))
-    marked = marked.withColumns({"fine": cuts.select("fine").scalar(), "coarse": cuts.select("coarse").scalar()})
-    # the number of cuts below a value, found in two short steps
-    marked = marked.withColumn("step", F.size(F.filter("coarse", lambda v: v < F.col("x"))))
-    block = F.slice("fine", F.col("step") * AXIS_STEP + 1, F.lit(AXIS_STEP - 1))
-    part = F.col("step") * AXIS_STEP + F.size(F.filter(block, lambda v: v < F.col("x")))
+    n = max(1, -(-marked.count() // range_rows))
+    if n > 1:
+        step = max(2, math.isqrt(n - 1) + 1)
+        cuts = marked.agg(F.percentile_approx("x", [i / n for i in range(1, n)], max(SKETCH_ACCURACY, 10 * n)).alias("fine"))
+        cuts = cuts.select("fine", F.filter("fine", lambda v, i: i % step == step - 1).alias("coarse"))
+        marked = marked.withColumns({"fine": cuts.select("fine").scalar(), "coarse": cuts.select("coarse").scalar()})
+        # the number of cuts below a value, found in two short steps
+        marked = marked.withColumn("step", F.size(F.filter("coarse", lambda v: v < F.col("x"))))
+        block = F.slice("fine", F.col("step") * step + 1, F.lit(step - 1))
+        part = F.col("step") * step + F.size(F.filter(block, lambda v: v < F.col("x")))
+    else:
+        part = F.lit(0)
     marked = marked.select("x", "coord", part.alias("part"))
     by_part = marked.groupBy("part").agg(F.min("coord").alias("first"), F.max("coord").alias("last"))   # at most one row per cut
     back = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

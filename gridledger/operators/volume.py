@@ -185,40 +185,59 @@ def reconcile(parts: DataFrame, rel: float = 1e-8) -> DataFrame:
 SHAPE_KEYS = ["spid", "odims", "out_grid", "frequency"]
 
 
-def shape_frequency_summary(years: DataFrame, kept: DataFrame, policy: Policy, base: DataFrame | None = None) -> DataFrame:
-    """Per shape, grid and frequency: variables, mean years per variable (for climatologies: mean number of experiments),
-    experiments, and points per output time."""
-    v = kept.select("vid", "frequency", "spid", "odims", "grid_class", "latlon", *[c for c in kept.columns if c.startswith("size_")])
-    rows = skew_join(years, v, ["vid"], left_keys=base)
+def _shaped(years: DataFrame, kept: DataFrame, policy: Policy, base: DataFrame | None = None) -> DataFrame:
+    """Variable and experiment pairs with shape, grid and points."""
+    v = kept.select("vid", "label", "frequency", "spid", "odims", "grid_class", "latlon", *[c for c in kept.columns if c.startswith("size_")])
     out_grid = summary_grid(F.col("grid"), F.col("grid_class"), F.col("latlon"), policy.default_native, policy.ocean_structured)
-    rows = rows.withColumn("out_grid", out_grid)
-    rows = rows.withColumn("points", F.coalesce(size_on(F.col("out_grid"), F.col("latlon")), F.lit(0)))
-    g = rows.groupBy(*SHAPE_KEYS).agg(
-        F.sum("years").alias("sum_years"), F.count(F.lit(1)).alias("pairs"), F.max("points").alias("points"),
-        F.count_distinct("vid").alias("variables"), F.count_distinct("expt").alias("experiments"))
+    rows = skew_join(years, v, ["vid"], left_keys=base).withColumn("out_grid", out_grid)
+    return rows.withColumn("points", F.coalesce(size_on(F.col("out_grid"), F.col("latlon")), F.lit(0)))
+
+
+def shape_frequency_summary(years: DataFrame, kept: DataFrame, policy: Policy, base: DataFrame | None = None) -> DataFrame:
+    """Per shape, grid and frequency: variables and the first and last of their labels, mean years per variable (for
+    climatologies: mean number of experiments), experiments, and points per output time."""
+    rows = _shaped(years, kept, policy, base)
+    # one row per variable and one per experiment of a shape first, so that both counts are plain sums
+    by_variable = rows.groupBy(*SHAPE_KEYS, "vid", "label").agg(F.sum("years").alias("years"), F.count(F.lit(1)).alias("pairs"), F.max("points").alias("points"))
+    g = by_variable.groupBy(*SHAPE_KEYS).agg(
+        F.sum("years").alias("sum_years"), F.sum("pairs").alias("pairs"), F.max("points").alias("points"), F.count(F.lit(1)).alias("variables"),
+        F.min("label").alias("first_label"), F.max("label").alias("last_label"))
+    experiments = rows.select(*SHAPE_KEYS, "expt").distinct().groupBy(*SHAPE_KEYS).agg(F.count(F.lit(1)).alias("experiments"))
+    g = g.join(experiments, SHAPE_KEYS)
     mean = F.when(is_climatology_label(F.col("frequency")), F.col("pairs")).otherwise(F.col("sum_years")) / F.col("variables")
-    return g.select(*SHAPE_KEYS, "points", "variables", mean.alias("mean_years"), "experiments")
+    return g.select(*SHAPE_KEYS, "points", "variables", mean.alias("mean_years"), "experiments", "first_label", "last_label")
+
+
+def shape_labels(years: DataFrame, kept: DataFrame, policy: Policy) -> DataFrame:
+    """The labels behind the counts of ``shape_frequency_summary``, one row each with the number of its experiments."""
+    return _shaped(years, kept, policy).groupBy(*SHAPE_KEYS, "vid", "label").agg(F.count(F.lit(1)).alias("experiments"))
+
+
+def _gigabytes(summary: DataFrame, outputs: dict[str, float]) -> DataFrame:
+    per_year = choose(F.col("frequency"), {f: float(n) for f, n in outputs.items()})
+    return summary.withColumn("gb", per_year * F.col("mean_years") * F.col("variables") * F.col("points") * F.lit(BYTES_PER_VALUE * 1e-9))
 
 
 def shape_frequency_pivot(summary: DataFrame, outputs: dict[str, float], frequencies: list[str]) -> DataFrame:
-    """One row per shape and grid: variables, mean years, experiments and gigabytes for each frequency, and the row total."""
+    """One row per shape and grid: variables, mean years, experiments and gigabytes for each frequency, and the row total.
+
+    The total is that of all rows of the shape and grid, also of frequencies that get no columns.
+    """
     aggs = []
     for f in frequencies:
         here = F.col("frequency") == f
-        gb = F.lit(float(outputs[f])) * F.col("mean_years") * F.col("variables") * F.col("points") * F.lit(BYTES_PER_VALUE * 1e-9)
         aggs += [F.max(F.when(here, F.col("variables"))).alias(f"{f}_variables"),
                  F.max(F.when(here, F.col("mean_years"))).alias(f"{f}_years"),
                  F.max(F.when(here, F.col("experiments"))).alias(f"{f}_experiments"),
-                 F.max(F.when(here, gb)).alias(f"{f}_gb")]
-    wide = summary.groupBy("spid", "odims", "out_grid").agg(F.max("points").alias("points"), *aggs)
-    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"{f}_gb"), F.lit(0.0)) for f in frequencies])
-    return wide.withColumn("total_gb", total)
+                 F.max(F.when(here, F.col("gb"))).alias(f"{f}_gb")]
+    return _gigabytes(summary, outputs).groupBy("spid", "odims", "out_grid").agg(
+        F.max("points").alias("points"), *aggs, F.coalesce(F.sum("gb"), F.lit(0.0)).alias("total_gb"))
 
 
-def pivot_totals(wide: DataFrame, frequencies: list[str]) -> DataFrame:
-    """Terabytes of each frequency and of all of them, over all shapes."""
-    tb = lambda c: F.coalesce(F.sum(c), F.lit(0.0)) * F.lit(0.001)
-    return wide.agg(*[tb(f"{f}_gb").alias(f"{f}_tb") for f in frequencies], tb("total_gb").alias("total_tb"))
+def pivot_totals(summary: DataFrame, outputs: dict[str, float]) -> DataFrame:
+    """Terabytes of each frequency and, without one, of all of them, over all shapes."""
+    sized = _gigabytes(summary, outputs).groupBy("frequency").agg(F.sum("gb").alias("gb"))
+    return sized.groupingSets([["frequency"], []], "frequency").agg((F.coalesce(F.sum("gb"), F.lit(0.0)) * F.lit(0.001)).alias("tb"))
 
 
 # --- the older method ----------------------------------------------------------------------------------

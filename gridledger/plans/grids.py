@@ -51,8 +51,8 @@ def median_by_type(cat):
 @query("quantiles_in_ranges", f"""
 SELECT event_type, round(quantile_cont(value, 0.1), 4) AS q0, round(quantile_cont(value, 0.5), 4) AS q1, round(quantile_cont(value, 0.99), 4) AS q2 FROM events GROUP BY event_type""")
 def quantiles_in_ranges(cat):
-    # the form used beyond the size limit: hot groups are cut into value ranges
-    q = G.quantiles(series(cat), ["event_type"], "value", (0.1, 0.5, 0.99), split=True)
+    # with so few values to a task every group is cut into ranges
+    q = G.quantiles(series(cat), ["event_type"], "value", (0.1, 0.5, 0.99), range_rows=50)
     return q.select("event_type", *[F.round(f"q{i}", 4).alias(f"q{i}") for i in range(3)])
 
 
@@ -80,7 +80,7 @@ def box_by_day(cat):
 
 @query("box_in_ranges", f"WITH {box_sql('SELECT event_type, value AS x FROM events', 'event_type')} SELECT event_type, n, {_BOX_SQL}, outliers FROM b")
 def box_in_ranges(cat):
-    return rounded(G.box_stats(series(cat), ["event_type"], "value", split=True))
+    return rounded(G.box_stats(series(cat), ["event_type"], "value", range_rows=50))
 
 
 @query("box_outliers", f"""

@@ -23,6 +23,9 @@ TABLES = [
     "pages", "benchmark", "labels", "conversations",
 ]
 
+#: Output frequencies of the variables below.
+FREQUENCIES = ["mon", "day", "6hr", "yr", "monC", "3hr", "fx", "1hrClimMon"]
+
 ROLES: dict[str, str] = {}
 
 ROLES["x_mip"] = """
@@ -132,9 +135,9 @@ SELECT concat('q', p_partkey) AS uid, p_partkey AS vid, floor(p_retailprice) AS
  CASE WHEN p_size % 3 = 0 THEN 'robust' ELSE 'suggested' END AS valid_max_status FROM part"""
 
 ROLES["x_choice_rank"] = """
-SELECT p_partkey AS vid, concat('c', CAST(floor(p_partkey / 3) AS BIGINT)) AS cid, CAST(p_size % 4 AS BIGINT) AS rank FROM part
+SELECT p_partkey AS vid, concat('c', CAST(floor(p_partkey / 3) AS BIGINT)) AS cid, CAST(floor(p_partkey / 7) % 4 AS BIGINT) AS rank FROM part
 UNION ALL
-SELECT p_partkey AS vid, concat('d', CAST(floor((p_partkey + 1) / 7) AS BIGINT)) AS cid, CAST(p_size % 2 AS BIGINT) AS rank FROM part"""
+SELECT p_partkey AS vid, concat('d', CAST(floor((p_partkey + 1) / 7) AS BIGINT)) AS cid, CAST(floor(p_partkey / 5) % 2 AS BIGINT) AS rank FROM part"""
 
 ROLES["x_choice_cfg"] = """
 SELECT p_partkey AS vid, concat('c', CAST(floor(p_partkey / 5) AS BIGINT)) AS cid, p_size % 2 = 0 AS cfg FROM part"""

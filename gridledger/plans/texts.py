@@ -5,19 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridledger.functions import text as C
-from gridledger.operators.fuzzy import suggest
 from gridledger.plans.registry import query
 from gridledger.plans.volumes import per_variable
 from gridledger.plans import sqltext as Q
 from gridledger.sources.sinks import rewrite_rules, used_variable_rows
 
 
-@query("fuzzy_suggest")
-def fuzzy_suggest(cat):
-    typo = F.concat(F.regexp_replace("p_name", "^.", ""), F.lit(" "), F.upper("p_brand"))
-    return suggest(cat["part"].select(typo.alias("term")), cat["part"].select(F.col("p_name").alias("name")))
-
-
 @query("clean_text", """
 SELECT doc_id, md5(replace(translate(text, '–—“”‘’◦²³', '--""''''o23'), '…', '...')) AS plain,
  md5(replace(replace(replace(translate(text, '–—“”‘’◦²³', '--""''''o23'), '…', '...'), '"', ''''), chr(10), ';;')) AS script FROM documents""")
@@ -33,25 +26,31 @@ def markup(cat):
     return cat["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", C.markup_links(raw, "u/").alias("html"))
 
 
-@query("volume_label", """
-WITH x AS (SELECT l_orderkey, l_partkey, l_extendedprice * CASE l_linenumber WHEN 1 THEN 1e2 WHEN 2 THEN 1e5 WHEN 3 THEN 1e7 WHEN 4 THEN 1e8 WHEN 5 THEN 1e10 WHEN 6 THEN 1e12 ELSE 1e15 END AS v FROM lineitem)
-SELECT l_orderkey, l_partkey, CASE WHEN v < 1e9 THEN concat(CAST(trunc(v * 1e-6) AS BIGINT), 'M') WHEN v < 1e12 THEN concat(CAST(trunc(v * 1e-9) AS BIGINT), 'G')
- WHEN v < 1e13 THEN format('{:3.1f}T', v * 1e-12) WHEN v < 1e15 THEN format('{:3d}T', CAST(trunc(v * 1e-12) AS BIGINT)) WHEN v < 1e18 THEN format('{:3d}P', CAST(trunc(v * 1e-15) AS BIGINT))
- ELSE 'large' END AS label FROM x""")
+def label_sql(v: str, largest: str = "") -> str:
+    """The label of a double, by the formats of the other engine."""
+    return f"""CASE WHEN {v} < 1e9 THEN concat(CAST(trunc({v} * 1e-6) AS BIGINT), 'M') WHEN {v} < 1e12 THEN concat(CAST(trunc({v} * 1e-9) AS BIGINT), 'G')
+ WHEN {v} < 1e13 THEN format('{{:3.1f}}T', {v} * 1e-12) WHEN {v} < 1e15 THEN format('{{:3d}}T', CAST(trunc({v} * 1e-12) AS BIGINT))
+ WHEN {v} < 1e18 THEN format('{{:3d}}P', CAST(trunc({v} * 1e-15) AS BIGINT)) ELSE format('{{:,.2f}}{largest}', {v} * 1e-9) END"""
+
+
+# every size of label, and halves of a tenth, where the binary value decides
+@query("volume_label", f"""
+WITH x AS (SELECT l_orderkey, l_partkey, l_extendedprice * CASE l_linenumber WHEN 1 THEN 1e2 WHEN 2 THEN 1e5 WHEN 3 THEN 1e7 WHEN 4 THEN 1e8 WHEN 5 THEN 1e10 WHEN 6 THEN 1e12 ELSE 1e15 END AS v,
+ CAST(10 + l_partkey % 90 AS DOUBLE) * 1e11 + 5e10 AS half FROM lineitem)
+SELECT l_orderkey, l_partkey, {label_sql('v')} AS label, {label_sql('v', 'B')} AS label_b, {label_sql('half')} AS label_half FROM x""")
 def volume_label(cat):
     scale = F.array(*[F.lit(float(s)) for s in ("1e2", "1e5", "1e7", "1e8", "1e10", "1e12", "1e15")])
     v = F.col("l_extendedprice") * F.element_at(scale, F.col("l_linenumber"))
-    label = F.when(v < 1e18, C.volume_label(v)).otherwise("large")
-    return cat["lineitem"].select("l_orderkey", "l_partkey", label.alias("label"))
+    half = (F.lit(10) + F.col("l_partkey") % 90).cast("double") * F.lit(1e11) + F.lit(5e10)
+    return cat["lineitem"].select("l_orderkey", "l_partkey", C.volume_label(v).alias("label"), C.volume_label(v, "B").alias("label_b"), C.volume_label(half).alias("label_half"))
 
 
 @query("volume_by_table_label", f"""
 WITH {Q.FULL}, t AS (SELECT mip_table, 2 * CAST(sum(hundredths) AS DOUBLE) / 100 AS v FROM fact GROUP BY mip_table)
-SELECT mip_table, CASE WHEN v < 1e9 THEN concat(CAST(trunc(v * 1e-6) AS BIGINT), 'M') WHEN v < 1e12 THEN concat(CAST(trunc(v * 1e-9) AS BIGINT), 'G')
- WHEN v < 1e13 THEN format('{{:3.1f}}T', v * 1e-12) WHEN v < 1e15 THEN format('{{:3d}}T', CAST(trunc(v * 1e-12) AS BIGINT)) WHEN v < 1e18 THEN format('{{:3d}}P', CAST(trunc(v * 1e-15) AS BIGINT)) ELSE 'large' END AS label FROM t""")
+SELECT mip_table, {label_sql('v')} AS label FROM t""")
 def volume_by_table_label(cat):
     t = per_variable(cat).groupBy("mip_table").agg((2 * F.sum("hundredths").cast("double") / 100.0).alias("v"))
-    return t.select("mip_table", F.when(F.col("v") < 1e18, C.volume_label(F.col("v"))).otherwise("large").alias("label"))
+    return t.select("mip_table", C.volume_label(F.col("v")).alias("label"))
 
 
 @query("selection_label", """

@@ -13,7 +13,7 @@ from gridledger.operators.request import Policy
 from gridledger.plans import sqltext as Q
 from gridledger.plans.registry import query
 from gridledger.plans.requests import POLICY, selected, sized, variable_requests
-from gridledger.plans.roles import Catalogue
+from gridledger.plans.roles import FREQUENCIES, Catalogue
 from gridledger.scale import skew_join
 
 MIPS = ["m0", "m1", "m2", "m3", "m4"]
@@ -209,49 +209,63 @@ def union_request(cat):
     return R.variable_years(variable_requests(cat, links=X.select_links(cat["x_request_link"], {"m0", "m3"})), POLICY)
 
 
+_TWO = "'m0', 'm1'"
+
+
 @query("one_sided_difference", f"""
-WITH {Q.requests(by_mip=True)}, {Q.best(by_mip=True)}, a AS (SELECT * FROM vy WHERE req_mip = 'm0'), b AS (SELECT * FROM vy WHERE req_mip = 'm1')
+WITH {Q.requests(mips=_TWO, by_mip=True)}, {Q.best(by_mip=True)}, two AS MATERIALIZED (SELECT * FROM vy), a AS (SELECT * FROM two WHERE req_mip = 'm0'), b AS (SELECT * FROM two WHERE req_mip = 'm1')
 SELECT b.vid, b.expt, b.grid, CASE WHEN a.vid IS NULL THEN b.years ELSE b.years - a.years END AS years FROM b LEFT JOIN a
  ON a.vid = b.vid AND a.expt = b.expt AND a.grid = b.grid WHERE a.vid IS NULL OR b.years > a.years""")
 def one_sided_difference(cat):
-    years = R.variable_years(variable_requests(cat, by=["mip"]), POLICY, ["mip"])
-    of = lambda m: years.where(F.col("req_mip") == m).drop("req_mip")
-    return V.one_sided_difference(of("m0"), of("m1"), ["vid", "expt", "grid"], "years")
+    def years(mip):
+        links = X.select_links(cat["x_request_link"], {mip})
+        return R.variable_years(variable_requests(cat, links=links), POLICY)
 
+    return V.one_sided_difference(years("m0"), years("m1"), ["vid", "expt", "grid"], "years")
 
-SHAPES = f"""{Q.FULL}, r AS (SELECT y.vid, y.expt, y.years, s.spid, s.odims, s.frequency, s.latlon, s.size_native, s.size_1deg, s.size_2deg,
+
+SHAPES = f"""{Q.FULL}, r AS (SELECT y.vid, y.expt, y.years, s.label, s.spid, s.odims, s.frequency, s.npy100, s.latlon, s.size_native, s.size_1deg, s.size_2deg,
   CASE WHEN y.grid = 'native:01' THEN 'native' ELSE y.grid END AS grid
  FROM vy y JOIN sized s USING (vid) WHERE y.vid NOT IN (SELECT vid FROM redundant)),
 g AS (SELECT spid, odims, grid AS out_grid, frequency, max({Q.SIZE_ON}) AS points, count(DISTINCT vid) AS variables,
  CAST(CASE WHEN lower(frequency) LIKE '%clim%' THEN count(*) ELSE CAST(sum(years) AS BIGINT) END AS DOUBLE) / count(DISTINCT vid) AS mean_years,
- count(DISTINCT expt) AS experiments FROM r GROUP BY spid, odims, grid, frequency)"""
+ count(DISTINCT expt) AS experiments, min(label) AS first_label, max(label) AS last_label, CAST(max(npy100) AS DOUBLE) / 100 AS npy FROM r GROUP BY spid, odims, grid, frequency)"""
 
 
 def shape_summary(cat: Catalogue) -> DataFrame:
     return V.shape_frequency_summary(years_of(cat), kept(cat), POLICY, popular(cat))
 
 
-@query("shape_frequency_summary", f"WITH {SHAPES} SELECT * FROM g")
+@query("shape_frequency_summary", f"WITH {SHAPES} SELECT * EXCLUDE (npy) FROM g")
 def shape_frequency_summary(cat):
     return shape_summary(cat)
 
 
-_FREQ = ["mon", "day", "1hrClimMon"]
-_OUT = {"mon": 12.0, "day": 365.0, "1hrClimMon": 288.0}
+@query("shape_labels", f"""
+WITH {SHAPES} SELECT spid, odims, grid AS out_grid, frequency, vid, label, count(*) AS experiments FROM r GROUP BY ALL""")
+def shape_labels(cat):
+    return V.shape_labels(years_of(cat), kept(cat), POLICY)
+
+
+# the total is taken from the rows before they are pivoted, so a frequency without columns would show
 _PIVOT = ", ".join(
     f"""max(CASE WHEN frequency = '{f}' THEN variables END) AS "{f}_variables", max(CASE WHEN frequency = '{f}' THEN mean_years END) AS "{f}_years",
- max(CASE WHEN frequency = '{f}' THEN experiments END) AS "{f}_experiments",
- max(CASE WHEN frequency = '{f}' THEN {n}::DOUBLE * mean_years * variables * points * 2e-9::DOUBLE END) AS "{f}_gb" """ for f, n in _OUT.items())
+ max(CASE WHEN frequency = '{f}' THEN experiments END) AS "{f}_experiments", round(max(CASE WHEN frequency = '{f}' THEN gb END), 3) AS "{f}_gb" """ for f in FREQUENCIES)
 
 
 @query("shape_frequency_pivot", f"""
-WITH {SHAPES}, p AS (SELECT spid, odims, out_grid, max(points) AS points, {_PIVOT} FROM g GROUP BY spid, odims, out_grid)
-SELECT *, round(coalesce(mon_gb, 0) + coalesce(day_gb, 0) + coalesce("1hrClimMon_gb", 0), 3) AS total_gb FROM (
- SELECT * REPLACE (round(mon_gb, 3) AS mon_gb, round(day_gb, 3) AS day_gb, round("1hrClimMon_gb", 3) AS "1hrClimMon_gb") FROM p)""")
+WITH {SHAPES}, b AS (SELECT *, npy * mean_years * variables * points * 2e-9::DOUBLE AS gb FROM g)
+SELECT spid, odims, out_grid, max(points) AS points, {_PIVOT}, round(sum(gb), 3) AS total_gb FROM b GROUP BY spid, odims, out_grid""")
 def shape_frequency_pivot(cat):
-    wide = V.shape_frequency_pivot(shape_summary(cat), OUTPUTS_PER_YEAR, _FREQ)
-    return wide.withColumns({c: F.round(c, 3) for c in wide.columns if c.endswith("_gb")}).withColumn(
-        "total_gb", F.round(F.coalesce("mon_gb", F.lit(0.0)) + F.coalesce("day_gb", F.lit(0.0)) + F.coalesce("1hrClimMon_gb", F.lit(0.0)), 3))
+    wide = V.shape_frequency_pivot(shape_summary(cat), OUTPUTS_PER_YEAR, FREQUENCIES)
+    return wide.withColumns({c: F.round(c, 3) for c in wide.columns if c.endswith("_gb")})
+
+
+@query("shape_frequency_totals", f"""
+WITH {SHAPES}, b AS (SELECT frequency, sum(npy * mean_years * variables * points * 2e-9::DOUBLE) AS gb FROM g GROUP BY frequency)
+SELECT frequency, round(gb * 0.001, 6) AS tb FROM b UNION ALL SELECT NULL, round(coalesce(sum(gb), 0) * 0.001, 6) FROM b""")
+def shape_frequency_totals(cat):
+    return V.pivot_totals(shape_summary(cat), OUTPUTS_PER_YEAR).withColumn("tb", F.round("tb", 6))
 
 
 @query("reconcile", f"""

@@ -1,57 +1,26 @@
-"""Joins that stay balanced when one key holds a large share of the rows.
-
-Adaptive execution splits an oversized partition of a sort-merge join at run time, but it cannot help where both sides of
-a key are large, nor where the join is turned into another kind.  ``skew_join`` therefore also splits keys that are *known*
-to be hot: the caller names the base table columns the keys come from, their frequent values are counted there (one narrow
-scan with map-side counts), and the rows of each of these keys are spread over as many tasks as its size asks for, while the
-matching rows of the other side are repeated.  The list of hot keys never exceeds ``MOST_HOT_KEYS`` rows, which is what makes its broadcast safe; a key
-that does not make the list is only slower, never wrong.  Counting in base tables rather than in the joined rows keeps a
-chain of such joins linear.  When a base table is small no key can overload a task, and the counting is skipped.
+"""Joins that stay balanced when a key has many rows on both sides.
+
+Adaptive execution splits a partition that is large on one side, whichever side that is. What it cannot see is a key whose
+rows are few enough on each side but whose pairs are many. ``skew_join`` measures that: where the caller names the columns
+of the base tables that the keys of both sides come from, the rows of each key are counted there, and the keys with more
+than ``HOT_PAIRS`` pairs are spread: the rows of one side over a number of parts, with the matching rows of the other side
+repeated, and the other way round. There is at most one such key for so many joined rows, which bounds the list; Spark
+decides by its size how to join it. Without such a key there is nothing to spread, and the join is the plain one.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000        # rows of one key that still fit one task comfortably
-MOST_SALTS = 16_384
-MOST_HOT_KEYS = 1_000
-SMALL_INPUT_BYTES = 1 << 30
+HOT_PAIRS = 50_000_000      # joined rows of one key that still fit one task comfortably
+LISTS_KEPT = 64             # lists remembered by the tables they were counted in; an old list only costs balance
 
-
-def input_bytes(*frames: DataFrame) -> int | None:
-    """Size of everything the frames read, from the statistics of their leaves; None when it is not known."""
-    total = 0
-    try:
-        for df in frames:
-            leaves = df._jdf.queryExecution().analyzed().collectLeaves()     # no optimisation needed for that
-            for i in range(leaves.size()):
-                total += int(leaves.apply(i).stats().sizeInBytes())
-    except Exception:
-        return None
-    return total
-
-
-def is_small(*frames: DataFrame) -> bool:
-    size = input_bytes(*frames)
-    return size is not None and size <= SMALL_INPUT_BYTES
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys with more than ``HOT_ROWS`` rows and into how many parts to split them; at most ``MOST_HOT_KEYS``, largest first.
-
-    A column ``weight`` tells how many rows a row stands for.
-    """
-    size = F.sum("weight") if "weight" in df.columns else F.count(F.lit(1))
-    return (
-        df.where(_all_set(keys)).groupBy(*keys).agg(size.alias("_rows"))
-        .where(F.col("_rows") > HOT_ROWS)
-        .orderBy(F.desc("_rows")).limit(MOST_HOT_KEYS)
-        .select(*keys, F.least(F.ceil(F.col("_rows") / HOT_ROWS), F.lit(MOST_SALTS)).cast("int").alias("_salts"))
-    )
+_lists: OrderedDict[tuple, pa.Table] = OrderedDict()
 
 
 def _all_set(keys: Sequence[str]) -> Column:
@@ -61,8 +30,30 @@ def _all_set(keys: Sequence[str]) -> Column:
     return cond
 
 
-def _mark(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+def _rows_by_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """How many rows each key has; a column ``weight`` tells how many rows a row stands for."""
+    size = F.sum("weight") if "weight" in df.columns else F.count(F.lit(1))
+    return df.where(_all_set(keys)).groupBy(*keys).agg(size.cast("double").alias(name))
+
+
+def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> pa.Table:
+    """The keys with more than ``HOT_PAIRS`` pairs, and into how many parts to cut their rows on the left and on the right.
+
+    The parts are about as many as the pairs ask for, and the sides are cut in proportion to their rows.
+    """
+    spark, keys = left.sparkSession, list(keys)
+    known = (left.semanticHash(), right.semanticHash(), tuple(keys), HOT_PAIRS, spark.sparkContext.applicationId)
+    both = _rows_by_key(left, keys, "l").join(_rows_by_key(right, keys, "r"), keys).where(F.col("l") * F.col("r") > HOT_PAIRS)
+    parts = F.col("l") * F.col("r") / HOT_PAIRS
+    cut_left = F.greatest(F.lit(1.0), F.least(F.col("l"), F.ceil(F.sqrt(parts * F.col("l") / F.col("r")))))
+    cut_right = F.greatest(F.lit(1.0), F.least(F.col("r"), F.ceil(parts / cut_left)))
+    found = both.select(*keys, cut_left.cast("int").alias("_lparts"), cut_right.cast("int").alias("_rparts"))
+    if known not in _lists:
+        _lists[known] = found.toArrow()
+        while len(_lists) > LISTS_KEPT:
+            _lists.popitem(last=False)
+    _lists.move_to_end(known)
+    return _lists[known]
 
 
 def skew_join(
@@ -74,40 +65,29 @@ def skew_join(
     left_keys: DataFrame | None = None,
     right_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join on same-named ``keys`` that splits the hot ones.
+    """Equi-join on same-named ``keys`` that splits keys with many rows on both sides.
 
-    ``left_keys`` and ``right_keys`` hold the key columns, or some of them, as they occur in the base tables; without them, or
-    if they are small, that side is left to adaptive execution.  The right side is split for inner joins only.  The salt is a hash of the whole
-    row, so a task that is run again puts every row where it was before; exact copies share their salt and should be collapsed
-    before the join.
+    ``left_keys`` and ``right_keys`` hold the key columns, or some of them, as they occur in the base tables; an inner join
+    that names both is split, any other is left to adaptive execution. The part of a row is a hash of the whole row, so a
+    task that is run again puts every row where it was before; exact copies share their part.
     """
     keys = list(keys)
-    split_left = left_keys is not None and not is_small(left_keys)
-    split_right = how == "inner" and right_keys is not None and not is_small(right_keys)
-    if not (split_left or split_right):
+    if how != "inner" or left_keys is None or right_keys is None:
         return left.join(right, keys, how)
-
-    def hashed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_own", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-
-    own = F.pmod("_own", F.col("_salts").cast("bigint"))
-    spread = F.pmod("_own", F.lit(MOST_SALTS).cast("bigint"))
-    repeated = F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("_salts") - 1).cast("bigint")))
-    l, r, on = hashed(left), hashed(right), list(keys)
-    if split_left:
-        known = [k for k in keys if k in left_keys.columns]
-        hot = hot_keys(left_keys, known)
-        # a row with a missing key matches nothing, so it may go anywhere: spread those rows as well
-        l = _mark(l, hot, known).withColumn("_ls", F.when(_all_set(keys), own).otherwise(spread)).drop("_salts")
-        r = _mark(r, hot, known).withColumn("_ls", repeated).drop("_salts")
-        on.append("_ls")
-    if split_right:
-        known = [k for k in keys if k in right_keys.columns]
-        hot = hot_keys(right_keys, known)
-        r = _mark(r, hot, known).withColumn("_rs", own).drop("_salts")
-        l = _mark(l, hot, known).withColumn("_rs", repeated).drop("_salts")
-        on.append("_rs")
-    return l.drop("_own").join(r.drop("_own"), on, how).drop("_ls", "_rs")
+    known = [k for k in keys if k in left_keys.columns and k in right_keys.columns]
+    found = hot_keys(left_keys, right_keys, known)
+    if not found.num_rows:
+        return left.join(right, keys)
+    hot = left.sparkSession.createDataFrame(found)
+
+    def marked(df: DataFrame, own: str, other: str) -> DataFrame:
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_own")
+        m = df.select("*", row).join(hot, known, "left")
+        one = lambda c: F.coalesce(F.col(c), F.lit(1))
+        every = F.explode(F.sequence(F.lit(0), one(f"_{other}parts") - 1))
+        return m.withColumn(f"_{own}", F.pmod("_own", one(f"_{own}parts")).cast("int")).withColumn(f"_{other}", every).drop("_own", "_lparts", "_rparts")
+
+    return marked(left, "l", "r").join(marked(right, "r", "l"), [*keys, "_l", "_r"]).drop("_l", "_r")
 
 
 def string_set(col: Column | str, sep: str = ",") -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,23 +22,9 @@ def get_spark(app: str = "gridledger", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-_own_dirs: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own; on a cluster the setting is required.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _own_dirs:
-        _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="gridledger-")
-    return _own_dirs[context.applicationId]
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or one in the warehouse where that is unset."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def materialise(df: DataFrame) -> DataFrame:

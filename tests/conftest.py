@@ -9,8 +9,9 @@ from gridledger.session import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = get_spark("tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"})
+def spark(tmp_path_factory):
+    session = get_spark("tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g",
+                                                "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
@@ -18,11 +19,9 @@ def spark():
 
 @pytest.fixture
 def forced_split(monkeypatch):
-    """Joins split every key with a few rows, as they would split hot keys of large tables."""
+    """Joins split every key with a few pairs, as they would split hot keys of large tables."""
     from gridledger import scale
-    monkeypatch.setattr(scale, "SMALL_INPUT_BYTES", -1)
-    monkeypatch.setattr(scale, "HOT_ROWS", 3)
-    monkeypatch.setattr(scale, "MOST_SALTS", 5)
+    monkeypatch.setattr(scale, "HOT_PAIRS", 3)
 
 
 def rows(df, *cols):

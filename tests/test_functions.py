@@ -135,6 +135,13 @@ def test_volume_label(spark, x, expected):
     assert one(spark, text.volume_label(F.lit(x))) == (expected,)
 
 
+def test_volume_label_rounds_the_binary_value(spark):
+    xs = [float(v) for k in range(10, 100) for v in ((2 * k + 1) * 5e10, (2 * k + 1) * 5e10 * (1 + 2e-16), (2 * k + 1) * 5e10 * (1 - 2e-16))]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", text.volume_label(F.col("x")), text.volume_label(F.col("x"), "B")).collect()
+    assert all(a == b == f"{x * 1e-12:3.1f}T" for x, a, b in got)
+    assert one(spark, text.volume_label(F.lit(1.5e18), "B")) == ("1,500,000,000.00B",)
+
+
 def test_labels_and_clean_up(spark):
     names = lambda *xs: F.array(*[F.lit(x) for x in xs])
     assert one(spark, text.selection_label(names("CMIP")), text.selection_label(names("LUMIP", "C4MIP"))) == ("CMIP", "c4.lu")

@@ -1,4 +1,3 @@
-import difflib
 import itertools
 import random
 from decimal import Decimal as D
@@ -9,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridledger import scale
 from gridledger.operators import expand as X
-from gridledger.operators import fuzzy, gridstats as G, links as L, request as R, revise as E, search as S, slices as I, volume as V, wide as T
+from gridledger.operators import gridstats as G, links as L, request as R, revise as E, search as S, slices as I, volume as V, wide as T
 
 # --- links ---------------------------------------------------------------------------------------------
 
@@ -246,8 +245,10 @@ def test_shape_pivot(table):
     got = {r["spid"]: r for r in wide.collect()}
     assert got["a"]["mon_gb"] == pytest.approx(12 * 50 * 2 * 1000 * 2e-9) and got["b"]["mon_gb"] is None and got["a"]["mon_variables"] == 2
     assert got["a"]["total_gb"] == pytest.approx((12 * 50 * 2 + 365 * 10) * 1000 * 2e-9)
-    total = V.pivot_totals(wide, ["mon", "day"]).first()
-    assert total["total_tb"] == pytest.approx(total["mon_tb"] + total["day_tb"]) and total["mon_tb"] == pytest.approx(2.4e-6)
+    narrow = V.shape_frequency_pivot(s, {"mon": 12, "day": 365}, ["mon"])            # a frequency without columns still counts
+    assert {r["spid"]: r["total_gb"] for r in narrow.collect()} == {k: r["total_gb"] for k, r in got.items()}
+    tb = dict(V.pivot_totals(s, {"mon": 12, "day": 365}).collect())
+    assert tb[None] == pytest.approx(tb["mon"] + tb["day"]) and tb["mon"] == pytest.approx(2.4e-6)
 
 
 def test_union_is_at_most_the_sum(spark):
@@ -341,19 +342,19 @@ def box(xs):
     return (len(xs), a, b, c, min([x for x in xs if x >= lo] + [a]), max([x for x in xs if x <= hi] + [c]), sum(x < lo or x > hi for x in xs))
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_box(table, split):
+@pytest.mark.parametrize("range_rows", [1_000_000, 20])
+def test_box(table, range_rows):
     rng = random.Random(1)
     groups = {"one": [4.0], "equal": [2.0] * 9, "outlier": [1.0, 2.0, 3.0, 4.0, 100.0], "many": [round(rng.gauss(0, 10), 1) for _ in range(3000)],
               "copies": [1.0] * 500 + [float(i) for i in range(100)], "pair": [1.0, 2.0]}
     data = [(k, x) for k, xs in groups.items() for x in xs] + [("none", None), ("many", None)]
     rng.shuffle(data)
     df = table("k string, v double", data)
-    got = {r[0]: r[1:] for r in rows(G.box_stats(df, ["k"], "v", split))}
+    got = {r[0]: r[1:] for r in rows(G.box_stats(df, ["k"], "v", range_rows))}
     assert set(got) == set(groups)
     for k, xs in groups.items():
         assert got[k] == pytest.approx(box(xs)), k
-    assert rows(G.box_outliers(df.where("k = 'outlier'"), ["k"], "v", split)) == [("outlier", 100.0)]
+    assert rows(G.box_outliers(df.where("k = 'outlier'"), ["k"], "v", range_rows)) == [("outlier", 100.0)]
 
 
 def test_quantiles_in_ranges_equal_the_builtin(table):
@@ -361,9 +362,10 @@ def test_quantiles_in_ranges_equal_the_builtin(table):
     data = [(k, rng.choice([rng.random(), 0.5, rng.gauss(0, 1e6)])) for k in "abc" for _ in range(rng.randrange(1, 2500))] + [("d", -0.0), ("d", 1.0)]
     df = table("k string, v double", data)
     probs = (0.0, 0.01, 0.25, 0.5, 0.9, 1.0)
-    a, b = (rows(G.quantiles(df, ["k"], "v", probs, split=s)) for s in (False, True))
-    for x, y in zip(a, b):
-        assert x[0] == y[0] and x[1:] == pytest.approx(y[1:], abs=1e-9)
+    builtin = rows(df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).select("k", *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))]))
+    for range_rows in (1_000_000, 300, 3, 1):
+        for x, y in zip(rows(G.quantiles(df, ["k"], "v", probs, range_rows)), builtin, strict=True):
+            assert x[0] == y[0] and x[1:] == pytest.approx(y[1:], abs=1e-9)
 
 
 def test_units_and_longitude(table, spark):
@@ -377,13 +379,14 @@ def test_units_and_longitude(table, spark):
 def test_point_series(table):
     grid = table("time bigint, lat double, lon double, value double", [(t, la, lo, t * 100 + la + lo) for t in (2, 1) for la in (-30.0, -20.0, 0.0) for lo in (0.0, 310.0, 320.0)])
     assert rows(G.point_series(grid, -23.5, -46.63), "time", "lat", "lon") == [(1, -20.0, 310.0), (2, -20.0, 310.0)]
-    assert rows(G.nearest_coordinate(grid, "lat", -25.0)) == [(-30.0,)]       # a tie takes the smaller
+    assert rows(G.point_series(grid, -25.0, 315.0), "time", "lat", "lon") == [(1, -30.0, 310.0), (2, -30.0, 310.0)]       # a tie takes the smaller
 
 
-def test_nearest_values(table):
+@pytest.mark.parametrize("range_rows", [1_000_000, 100, 7])
+def test_nearest_values(table, range_rows):
     rng = random.Random(2)
     coords, targets = [rng.uniform(-5, 5) ** 3 for _ in range(300)] + [7.0, 9.0], [rng.uniform(-200, 200) for _ in range(500)] + [8.0, 7.0, 9.0]
-    got = rows(G.nearest_values(table("t double", [(t,) for t in targets]), table("c double", [(c,) for c in coords]), "t", "c"))
+    got = rows(G.nearest_values(table("t double", [(t,) for t in targets]), table("c double", [(c,) for c in coords]), "t", "c", range_rows))
     assert len(got) == len(set(targets))
     for t, c in got:
         assert c == min(coords, key=lambda x: (abs(x - t), x))
@@ -397,40 +400,6 @@ def test_months_and_profile(spark, table):
     assert rows(G.axis_profile(p, "lat", "lon")) == [("lat", 1, "1.0", "1.0"), ("lon", 2, "2.0", "3.0")]
 
 
-# --- suggestions ---------------------------------------------------------------------------------------
-
-
-def reference_suggestions(term, names, n=3, cutoff=0.3):
-    """The rule in plain Python: best names, best names ignoring case at 0.9, best score per name."""
-    scores = {}
-    low = {}
-    for x in names:
-        low.setdefault(x.lower(), set()).add(x)
-    for k in difflib.get_close_matches(term, names, n, cutoff):
-        scores.setdefault(k, []).append(difflib.SequenceMatcher(None, term, k).ratio())
-    for k in difflib.get_close_matches(term.lower(), list(low), n, cutoff):
-        for x in low[k]:
-            scores.setdefault(x, []).append(0.9 * difflib.SequenceMatcher(None, term.lower(), k).ratio())
-    return {x: max(s) for x, s in scores.items()}
-
-
-@pytest.mark.parametrize("block", [512, 3])
-def test_suggestions(table, monkeypatch, block):
-    monkeypatch.setattr(fuzzy, "BLOCK", block)
-    names = ["historical", "piControl", "piControl-spinup", "abrupt-4xCO2", "amip", "AMIP", "esm-hist", "ssp245", "ssp585", "1pctCO2", "land-hist"]
-    terms = ["Historical", "picontrol", "amip", "ssp245x", "zzzz", "CO2", "hist"]
-    got = {}
-    for term, name, score in rows(fuzzy.suggest(table("term string", [(t,) for t in terms]), table("name string", [(n,) for n in names])), "term", "name", "score"):
-        got.setdefault(term, {})[name] = score
-    assert got == {t: pytest.approx(reference_suggestions(t, names)) for t in terms if t not in names and reference_suggestions(t, names)}
-
-
-def test_suggestions_from_two(table):
-    names = lambda *xs: table("name string", [(x,) for x in xs])
-    got = rows(fuzzy.suggest_from_two(table("term string", [("histo",)]), names("hist", "other"), names("zhx")), "vocabulary", "name")
-    assert ("first", "hist") in got and all(v == "first" for v, _ in got)
-
-
 # --- balanced joins ------------------------------------------------------------------------------------
 
 
@@ -440,17 +409,30 @@ def test_split_join_gives_the_plain_join(spark, table, how, forced_split):
     left = table("k bigint, a bigint", [(rng.choice([1, 1, 1, 2, 3, 4, None]), i) for i in range(200)])
     right = table("k bigint, b bigint", [(rng.choice([1, 2, 2, 5, None]), i) for i in range(60)])
     split = scale.skew_join(left, right, ["k"], how, left_keys=left.select("k"), right_keys=right.select("k"))
-    assert rows(split) == rows(left.join(right, ["k"], how)) and "_ls" in split._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_hot_keys_are_bounded(spark, table, monkeypatch):
-    monkeypatch.setattr(scale, "HOT_ROWS", 2)
-    monkeypatch.setattr(scale, "MOST_HOT_KEYS", 3)
-    df = table("k bigint", [(i % 10,) for i in range(50)] + [(99,)] * 9)
-    hot = rows(scale.hot_keys(df, ["k"]), "k")
-    assert len(hot) == 3 and (99,) in hot
-
-
-def test_small_input_is_recognised(spark):
-    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    assert 0 < scale.input_bytes(df) < scale.SMALL_INPUT_BYTES and scale.is_small(df)
+    assert rows(split) == rows(left.join(right, ["k"], how))
+    assert ("_lparts" in split._jdf.queryExecution().analyzed().toString()) == (how == "inner")
+
+
+def test_hot_keys_have_many_pairs(table, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_PAIRS", 100)
+    left = table("k bigint", [(1,)] * 90 + [(2,)] * 200 + [(3,)] * 40 + [(None,)] * 500)
+    right = table("k bigint", [(1,)] * 90 + [(2,)] + [(3,)] * 2 + [(None,)] * 500)
+    hot = {r["k"]: (r["_lparts"], r["_rparts"]) for r in scale.hot_keys(left, right, ["k"]).to_pylist()}
+    assert set(hot) == {1, 2} and hot[1] == (9, 9) and hot[2] == (20, 1) or hot[2][0] * hot[2][1] >= 2
+
+
+def test_a_key_of_most_rows_is_spread_over_tasks(spark, table, monkeypatch):
+    """One key with nearly all rows on both sides: its pairs come from many partitions."""
+    monkeypatch.setattr(scale, "HOT_PAIRS", 1000)
+    left = spark.range(400).selectExpr("if(id < 380, 7, id) AS k", "id AS a")
+    right = spark.range(300).selectExpr("if(id < 290, 7, id) AS k", "id AS b")
+    from pyspark.sql import functions as F
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = scale.skew_join(left, right, ["k"], left_keys=left.select("k"), right_keys=right.select("k"))
+        per = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in per) == 380 * 290 and len(per) == 4 and max(r["count"] for r in per) < 0.5 * 380 * 290
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
