@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.lookup import (
-    ATMOS_PROVENANCE, EXTRA_DIM_DEFAULT, EXTRA_DIM_SIZE, GRID_RANK, MODEL_CONFIG, OCEAN_PROVENANCE, OCEAN_SHAPES,
+    ATMOS_PROVENANCE, EXTRA_DIM_DEFAULT, EXTRA_DIM_SIZE, MODEL_CONFIG, OCEAN_PROVENANCE, OCEAN_SHAPES,
     OFF_GRID_POINTS, OUTPUTS_PER_YEAR, REGULAR_POINTS, SOIL_LEVELS, UNDECIDED_SHAPE, UNSET,
 )
 from gridledger.scale import skew_join
@@ -43,12 +43,6 @@ def hundredths_per_year(frequency: Column) -> Column:
     return choose(frequency, {k: round(v * 100) for k, v in OUTPUTS_PER_YEAR.items()}).cast("bigint")
 
 
-def grid_rank(grid: Column) -> Column:
-    return choose(grid, GRID_RANK)
-
-
-# --- climatology: three definitions are in use ----------------------------------------------------------
-
 def is_climatology(frequency: Column) -> Column:
     """For volumes of the fact table."""
     return F.lower(frequency).contains("clim") | frequency.isin("monC", "1hrCM")

@@ -26,11 +26,6 @@ EXTRA_DIM_SIZE = {
 }
 EXTRA_DIM_DEFAULT = 5
 
-# --- fixed values: preference of output grids, lowest first --------------------------------------------
-GRID_RANK = {
-    "native:01": "0101", "native": "0102", "1deg": "1001", "100km": "1001", "2deg": "1002", "DEF": "9000", "": "9001",
-}
-
 # --- fixed values: points of one level on a regular grid -----------------------------------------------
 REGULAR_POINTS = {"100km": 64800, "1deg": 64800, "2deg": 16200}
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridledger.functions.caps import cap_years, effective_priority, first_tier_passes, members_for_tier, reset_passes
@@ -84,12 +84,17 @@ def group_years(links: DataFrame, items: DataFrame, experiments: DataFrame, poli
     return found.groupBy("expt", *carry, *keys).agg(F.max(years).alias("years"))
 
 
-def group_presets(links: DataFrame, items: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
-    """Per group: are its variables taken by their own priority, and does a preset admit all of them."""
+def group_flags(links: DataFrame, items: DataFrame, experiments: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
+    """Groups that some experiment is asked for through: are their variables taken by their own priority, and does a preset
+    admit all of them."""
     keys = ["refid", *[f"req_{c}" for c in by]]
-    p = F.col("preset")
-    return link_items(links, items.select("rlid", "preset").distinct(), policy, by).groupBy(*keys).agg(
-        F.max(p == -1).alias("by_priority"), F.max((p != -1) & (p <= policy.pmax)).alias("admit_all"))
+    able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
+    reachable = able.select(F.explode(F.array("uid", "egid", "mip")).alias("esid")).distinct().withColumn("reached", F.lit(True))
+    asks = skew_join(items.select("rlid", "esid", "preset", "treset"), reachable, ["esid"], "left", left_keys=items.select("esid"))
+    p, reached = F.col("preset"), F.coalesce("reached", F.lit(False)) & reset_passes(F.col("treset"), policy.tier_max)
+    flags = with_link(asks, links, "refid", *[F.col(c).alias(f"req_{c}") for c in by], base=items).groupBy(*keys).agg(
+        F.max(reached).alias("live"), F.max(p == -1).alias("by_priority"), F.max((p != -1) & (p <= policy.pmax)).alias("admit_all"))
+    return flags.where("live").drop("live")
 
 
 def requested_variables(links: DataFrame, request_vars: DataFrame, presets: DataFrame, pmax: int) -> DataFrame:
@@ -109,17 +114,24 @@ def requested_pairs(links: DataFrame, items: DataFrame, request_vars: DataFrame,
             .where(F.col("priority") <= pmax))
 
 
-def variable_requests(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame,
-                      variables: DataFrame, policy: Policy, by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
-    """``(vid, expt, grid, years)`` with one row per group that asks for it; grids settled by the variable's class.
+def wanted_variables(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame,
+                     variables: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
+    """``(refid, vid, grid_class)`` of the groups that are asked for: the one walk from items to variables, read by the years
+    and by the selection.
 
     ``variables`` has uid and grid_class; a variable without a class is not sized and drops out.
     """
+    wanted = requested_variables(links, request_vars, group_flags(links, items, experiments, policy, by), policy.pmax)
+    classed = variables.where(F.col("grid_class").isNotNull()).select(F.col("uid").alias("vid"), "grid_class")
+    return skew_join(wanted, classed, ["vid"], left_keys=request_vars.select("vid"))
+
+
+def variable_requests(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame,
+                      variables: DataFrame, policy: Policy, by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
+    """``(vid, expt, grid, years)`` with one row per group that asks for it; grids settled by the variable's class."""
     group_keys = ["refid", *[f"req_{c}" for c in by]]
     years = group_years(links, items, experiments, policy, by, carry)
-    wanted = requested_variables(links, request_vars, group_presets(links, items, policy, by), policy.pmax)
-    classed = variables.where(F.col("grid_class").isNotNull()).select(F.col("uid").alias("vid"), "grid_class")
-    wanted = skew_join(wanted, classed, ["vid"], left_keys=request_vars.select("vid"))
+    wanted = wanted_variables(links, items, experiments, request_vars, variables, policy, by)
     found = meet_groups(years, wanted, links, request_vars, group_keys, expanded=(items, experiments))
     return found.select("vid", "expt", *carry, *group_keys,
                         default_grid(F.col("grid"), F.col("grid_class"), policy.default_native).alias("grid"), "years")
@@ -139,20 +151,27 @@ def variable_years(requests: DataFrame, policy: Policy, by: Sequence[str] = (),
     return wide.select(*keys, grid.alias("grid"), F.coalesce(*[f"y{i}" for i in range(len(GRID_ORDER))]).alias("years"))
 
 
+def _ranked(selected: DataFrame, choices: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Each selected variable once per choice group it is in, and whether it ranks below another selected one there.
+
+    A variable in no choice group stands in one of its own.  Groups are few variables each.
+    """
+    own = F.coalesce(F.col("cid"), F.concat(F.lit("alone "), F.col("vid").cast("string")))
+    chosen = selected.select("vid", *by).distinct().join(choices.select("vid", "cid", "rank"), "vid", "left").withColumn("cid", own)
+    top = F.max("rank").over(Window.partitionBy("cid", *by))
+    return chosen.select("vid", *by, F.coalesce(F.col("rank") < top, F.lit(False)).alias("low"))
+
+
 def redundant_variables(selected: DataFrame, choices: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Selected variables that rank below another selected one in a choice group.  Equal ranks all stay."""
-    keys = list(by)
-    chosen = skew_join(choices, selected.select("vid", *keys).distinct(), ["vid"], left_keys=choices.select("vid"))
-    top = chosen.groupBy("cid", *keys).agg(F.max("rank").alias("top"))
-    return skew_join(chosen, top, ["cid", *keys], left_keys=choices.select("cid")).where(F.col("rank") < F.col("top")).select("vid", *keys).distinct()
+    return _ranked(selected, choices, by).where("low").select("vid", *by).distinct()
 
 
 def kept_variables(selected: DataFrame, choices: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:
     """Selected variables without the redundant ones; without ``choices`` all stay.  One row per variable and ``by``."""
-    rows = selected.select("vid", *by).distinct()
     if choices is None:
-        return rows
-    return rows.join(redundant_variables(rows, choices, by), ["vid", *by], "left_anti")
+        return selected.select("vid", *by).distinct()
+    return _ranked(selected, choices, by).groupBy("vid", *by).agg(F.max("low").alias("low")).where(~F.col("low")).drop("low")
 
 
 def drop_by_configuration(selected: DataFrame, choices: DataFrame, settings: DataFrame | None = None) -> DataFrame:
@@ -169,18 +188,10 @@ def drop_by_configuration(selected: DataFrame, choices: DataFrame, settings: Dat
 def selected_variables(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame,
                        variables: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
     """The variables that ``variable_requests`` reaches, found from groups alone without the experiments' rows."""
-    keys = ["refid", *[f"req_{c}" for c in by]]
-    able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
-    reachable = able.select(F.explode(F.array("uid", "egid", "mip")).alias("esid")).distinct().withColumn("reached", F.lit(True))
-    asks = skew_join(items.select("rlid", "esid", "preset", "treset"), reachable, ["esid"], "left", left_keys=items.select("esid"))
-    p, reached = F.col("preset"), F.coalesce("reached", F.lit(False)) & reset_passes(F.col("treset"), policy.tier_max)
-    flags = with_link(asks, links, "refid", *[F.col(c).alias(f"req_{c}") for c in by], base=items).groupBy(*keys).agg(
-        F.max(reached).alias("live"), F.max(p == -1).alias("by_priority"), F.max((p != -1) & (p <= policy.pmax)).alias("admit_all"))
-    wanted = requested_variables(links, request_vars, flags.where("live").drop("live"), policy.pmax)
-    classed = variables.where(F.col("grid_class").isNotNull()).select(F.col("uid").alias("vid"))
-    return wanted.select("vid", *[f"req_{c}" for c in by]).distinct().join(classed, "vid", "left_semi")
+    wanted = wanted_variables(links, items, experiments, request_vars, variables, policy, by)
+    return wanted.select("vid", *[f"req_{c}" for c in by]).distinct()
 
 
 def intersection(selected: DataFrame, n_mips: int) -> DataFrame:
     """Variables requested by every one of ``n_mips`` projects; ``selected`` has one row per variable and project."""
-    return selected.groupBy("vid").agg(F.count_distinct("req_mip").alias("n")).where(F.col("n") == n_mips).select("vid")
+    return selected.groupBy("vid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == n_mips).select("vid")
