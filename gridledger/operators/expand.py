@@ -139,9 +139,9 @@ def mip_items(links: DataFrame, items: DataFrame) -> DataFrame:
     return with_link(items.select(F.col("uid").alias("item"), "rlid"), links, "mip").select("mip", "item")
 
 
-def items_of_mip(items: DataFrame, *mips: str) -> DataFrame:
+def items_of_mip(items: DataFrame, attr: str, *mips: str) -> DataFrame:
     """Request items by their own project attribute."""
-    return items.where(F.col("mip").isin(*mips))
+    return items.where(F.col(attr).isin(*mips))
 
 
 def mip_groups(links: DataFrame, groups: DataFrame) -> DataFrame:
@@ -261,11 +261,17 @@ def _chosen(mip: Column, names: list[str]) -> Column:
     return mip.isin(names) if names else F.lit(False)
 
 
-def select_links(links: DataFrame, selection, objectives: DataFrame | None = None, objective_links: DataFrame | None = None) -> DataFrame:
-    """Request links of a selection; TOTAL or None takes all."""
+def select_links(links: DataFrame, selection, objectives: DataFrame | None = None, objective_links: DataFrame | None = None,
+                 mips: DataFrame | None = None) -> DataFrame:
+    """Request links of a selection; TOTAL or None takes all.  With ``mips(uid)`` a name that is no project is an error."""
     if selection is None or selection == "TOTAL":
         return links
     rows = selection_rows(selection)
+    if mips is not None:
+        asked = sorted({m for m, _ in rows})
+        known = {r[0] for r in mips.where(F.col("uid").isin(asked)).select("uid").distinct().collect()}      # at most the names asked for
+        if set(asked) - known:
+            raise ValueError(f"unknown projects in the selection: {sorted(set(asked) - known)}")
     whole = _chosen(F.col("mip"), [m for m, o in rows if o is None])
     some = [(m, o) for m, o in rows if o is not None]
     if not some:

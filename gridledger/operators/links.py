@@ -44,6 +44,12 @@ def uid_index(sections: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
+def value_index(df: DataFrame, *attrs: str) -> DataFrame:
+    """``(attr, value, uid)``: every record under each value of some attributes; a value may have any number of records."""
+    values = F.array(*[F.struct(F.lit(a).alias("attr"), F.col(a).cast("string").alias("value")) for a in attrs])
+    return df.select(F.col("uid").cast("string").alias("uid"), F.inline(values)).where(F.col("value") != UNSET).select("attr", "value", "uid")
+
+
 def section_counts(index: DataFrame) -> DataFrame:
     return index.groupBy("section").agg(F.count(F.lit(1)).alias("records"))
 
@@ -56,7 +62,8 @@ def edge_counts(edge: DataFrame) -> DataFrame:
 def inverse_references(edge: DataFrame, index: DataFrame) -> DataFrame:
     """Every reference to a record with the label of its source: ``(dst_uid, src_section, attr, src_uid, src_label)``."""
     source = index.select(F.col("section").alias("src_section"), F.col("uid").alias("src_uid"), F.col("label").alias("src_label"))
-    return edge.join(source.dropDuplicates(["src_section", "src_uid"]), ["src_section", "src_uid"], "left")
+    one = source.groupBy("src_section", "src_uid").agg(F.min("src_label").alias("src_label"))      # of a repeated uid the first label
+    return edge.join(one, ["src_section", "src_uid"], "left")
 
 
 def referrers(edge: DataFrame, index: DataFrame, targets: DataFrame) -> DataFrame:

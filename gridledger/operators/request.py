@@ -192,6 +192,7 @@ def selected_variables(links: DataFrame, items: DataFrame, experiments: DataFram
     return wanted.select("vid", *[f"req_{c}" for c in by]).distinct()
 
 
-def intersection(selected: DataFrame, n_mips: int) -> DataFrame:
-    """Variables requested by every one of ``n_mips`` projects; ``selected`` has one row per variable and project."""
+def intersection(selected: DataFrame, mips: DataFrame) -> DataFrame:
+    """Variables requested by every one of the projects; ``selected`` has one row per variable and project."""
+    n_mips = mips.agg(F.count(F.lit(1))).scalar()
     return selected.groupBy("vid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == n_mips).select("vid")

@@ -96,10 +96,13 @@ def valid_updates(updates: DataFrame, violations: DataFrame) -> DataFrame:
 
 
 def apply_updates(section: DataFrame, updates: DataFrame, types: dict[str, str]) -> DataFrame:
-    """The section with the new values; attributes are only set, deletions are validated but leave the record as it is."""
+    """The section with the new values; attributes are only set, deletions are validated but leave the record as it is.
+
+    With a column ``position`` the last of several values of an attribute counts, without one the largest text."""
     names = [c for c in section.columns if c != "uid" and c in types]
+    order = [F.col("position")] if "position" in updates.columns else []
     new = updates.where(F.col("attr").isin(names)).groupBy("uid").agg(
-        *[F.max(F.when(F.col("attr") == a, F.struct(F.lit(True).alias("set"), F.col("value")))).alias(f"_{a}") for a in names])
+        *[F.max(F.when(F.col("attr") == a, F.struct(*order, F.lit(True).alias("set"), F.col("value")))).alias(f"_{a}") for a in names])
     cols = [F.when(F.col(f"_{c}.set"), coerce(F.col(f"_{c}.value"), types[c]).cast(section.schema[c].dataType)).otherwise(F.col(c)).alias(c)
             if c in names else F.col(c) for c in section.columns]
     return section.join(new, "uid", "left").select(*cols)

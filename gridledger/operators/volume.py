@@ -127,22 +127,21 @@ def volume_matrix(sums: DataFrame, columns: list[str], unique: DataFrame | None
     return out.select("req_mip", *cells)
 
 
-def unique_years(years: DataFrame, mips: Sequence[str], policy: Policy) -> DataFrame:
+def unique_years(years: DataFrame, policy: Policy) -> DataFrame:
     """What only one project asks for: ``(req_mip, vid, expt, grid, years)``, for every project at once.
 
     The request of all projects minus that of all the others differs only where one project holds the maximum on the
     best grid, and then by the distance to the runner-up.  So the best grid and years of each project (``variable_years`` by
-    project) meet once, instead of one request per project.  ``mips`` is the closed list of projects.
+    project, one row for each) meet once, instead of one request per project, and the best two are looked at.
     """
     keys = ["vid", "expt", *(["grid"] if policy.all_grids else [])]
     rank = F.lit(0) if policy.all_grids else choose(F.col("grid"), {g: i for i, g in enumerate(reversed(GRID_ORDER))})
     # grid first, years second, in one number: a better grid outweighs any number of years
     weight = rank.cast("bigint") * YEARS_BELOW + F.col("years")
-    wide = years.groupBy(*keys).agg(*[F.max(F.when(F.col("req_mip") == m, weight)).alias(f"y{j}") for j, m in enumerate(mips)])
-    every = F.array(*[f"y{j}" for j in range(len(mips))])
-    top, second = F.array_max(every), F.coalesce(F.get(F.sort_array(every, asc=False), F.lit(1)), F.lit(-1))
-    found = wide.select(*keys, top.alias("top"), second.alias("second"),
-                        F.element_at(F.array(*[F.lit(m) for m in mips]), F.array_position(every, top).cast("int")).alias("req_mip"))
+    best = F.sort_array(F.collect_list(F.struct(weight.alias("weight"), "req_mip")), asc=False)       # one entry per project
+    found = years.groupBy(*keys).agg(best.alias("best"))
+    top, second = F.col("best")[0]["weight"], F.coalesce(F.get("best", F.lit(1))["weight"], F.lit(-1))
+    found = found.select(*keys, top.alias("top"), second.alias("second"), F.col("best")[0]["req_mip"].alias("req_mip"))
     grid_of = lambda c: (c - F.pmod(c, F.lit(YEARS_BELOW))) / YEARS_BELOW
     same_grid = (F.col("second") >= 0) & (grid_of(F.col("second")) == grid_of(F.col("top")))
     others = F.when(same_grid, F.pmod("second", F.lit(YEARS_BELOW))).otherwise(0)
@@ -271,9 +270,12 @@ def legacy_fact(links: DataFrame, items: DataFrame, experiments: DataFrame, requ
                                               exact(points, weight).alias("hundredths"))
 
 
-def two_key_index(df: DataFrame, a1: str, a2: str, value: str | None = None) -> DataFrame:
-    """Count, or sum of an attribute, per pair of attributes."""
-    return df.groupBy(a1, a2).agg((F.count(F.lit(1)) if value is None else F.sum(value)).alias("value"))
+def two_key_index(df: DataFrame, a1: str, a2: str, value: str | None = None, mapped: dict[str, int] | None = None) -> DataFrame:
+    """Count, or sum of an attribute, or of what its values are mapped to, per pair of attributes."""
+    if value is None:
+        return df.groupBy(a1, a2).agg(F.count(F.lit(1)).alias("value"))
+    number = F.col(value) if mapped is None else choose(F.col(value), mapped)
+    return df.groupBy(a1, a2).agg(F.sum(number).alias("value"))
 
 
 def two_key_list(df: DataFrame, a1: str, a2: str, value: str) -> DataFrame:
@@ -299,6 +301,13 @@ def request_summary(items: DataFrame, links: DataFrame, request_vars: DataFrame,
     return per_var.select("vid", value("ny"), value("nymax"), value("nenmax"), "requests", "grids")
 
 
+def request_items(items: DataFrame, links: DataFrame, request_vars: DataFrame, pmax: int) -> DataFrame:
+    """``(vid, item)``: the items behind each line of ``request_summary``, as rows."""
+    asks = with_link(items.select(F.col("uid").alias("item"), "rlid"), links, "refid", base=items).select("refid", "item").distinct()
+    rv = request_vars.where(F.col("priority") <= pmax).select(F.col("vgid").alias("refid"), "vid").distinct()
+    return meet_groups(asks, rv, links, request_vars).select("vid", "item").distinct()
+
+
 def experiment_requests(items: DataFrame, links: DataFrame, experiments: DataFrame, request_vars: DataFrame, sized: DataFrame,
                         pmax: int, tier_max: int) -> DataFrame:
     """Per experiment and variable: size, outputs per year, years and members asked for, and the volume.

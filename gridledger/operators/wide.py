@@ -41,7 +41,7 @@ def star(variables: DataFrame, var: DataFrame, structures: DataFrame, shapes: Da
     """Variables with the records they point to; ``broken`` names what could not be resolved."""
     v = var.select(F.col("uid").alias("vid"), F.col("label").alias("var_label"), F.col("title").alias("var_title"), "units",
                    F.col("description").alias("var_description"), "sn")
-    s = structures.select(F.col("uid").alias("stid"), "spid", "tmid", "odims", "coords", "cell_methods", F.col("title").alias("structure_title"))
+    s = structures.select(F.col("uid").alias("stid"), "spid", "tmid", "odims", "coords", "cell_methods", "cell_measures", F.col("title").alias("structure_title"))
     sp = shapes.select(F.col("uid").alias("spid"), F.col("dimensions").alias("space_dims"))
     tm = times.select(F.col("uid").alias("tmid"), F.col("dimensions").alias("time_dims"))
     s = s.join(sp, "spid", "left").join(tm, "tmid", "left")
@@ -64,9 +64,9 @@ def wide_table(variables: DataFrame, var: DataFrame, structures: DataFrame, shap
     return rows.select(
         "mip_table", priority.alias("priority"), F.col("var_title").alias("long_name"), "units",
         F.col("var_description").alias("description"), other_text(F.col("description"), F.col("var_description")).alias("comment"),
-        F.col("var_label").alias("variable_name"), F.col("sn").alias("standard_name"), "cell_methods",
+        F.col("var_label").alias("variable_name"), F.col("sn").alias("standard_name"), "cell_methods", "positive", "type",
         dimension_text(F.col("space_dims"), F.col("odims"), F.col("time_dims"), F.col("coords")).alias("dimensions"),
-        F.col("label").alias("cmor_name"), "modeling_realm", "frequency", "prov", "row_index", "uid", "vid", "stid", "structure_title",
+        F.col("label").alias("cmor_name"), "modeling_realm", "frequency", "cell_measures", "prov", "prov_note", "row_index", "uid", "vid", "stid", "structure_title",
         *[F.coalesce(c, F.lit("")).alias(c) for c in QC_VALUES])
 
 
@@ -75,6 +75,12 @@ def in_table_order(wide: DataFrame) -> DataFrame:
     return wide.orderBy(table_class(F.col("mip_table")), "mip_table", "prov", "row_index", "cmor_name", "uid")
 
 
+def quantity_records(variables: DataFrame, var: DataFrame) -> DataFrame:
+    """The quantities that some variables belong to, by standard name and label."""
+    used = variables.select(F.col("vid").alias("uid")).distinct()
+    return var.join(used, "uid", "left_semi").select("title", "units", "description", "label", "sn").orderBy("sn", "label")
+
+
 def with_mips(wide: DataFrame, covered: DataFrame, name: str = "mips") -> DataFrame:
     """Adds the requesting projects, a closed vocabulary, as sorted text."""
     m = covered.groupBy(F.col("vid").alias("uid")).agg(string_set("mip").alias(name))
@@ -137,5 +143,7 @@ def realm_counts(variables: DataFrame, var: DataFrame) -> DataFrame:
     """Per realm word: distinct variables, quantities and standard names."""
     v = variables.select("uid", "vid", F.explode(F.split("modeling_realm", r"\s+")).alias("realm"))
     v = skew_join(v, var.select(F.col("uid").alias("vid"), "sn"), ["vid"], "left", left_keys=variables.select("vid"))
-    return v.groupBy("realm").agg(F.count_distinct("uid").alias("variables"), F.count_distinct("vid").alias("quantities"),
-                                  F.count_distinct("sn").alias("standard_names"))
+    # one row per variable, then per quantity, then per standard name, each counted plainly
+    n = v.select("realm", "uid", "vid", "sn").distinct()
+    counts = [n.select("realm", c).distinct().groupBy("realm").agg(F.count(c).alias(name)) for c, name in (("uid", "variables"), ("vid", "quantities"), ("sn", "standard_names"))]
+    return counts[0].join(counts[1], "realm").join(counts[2], "realm")

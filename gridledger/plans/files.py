@@ -10,7 +10,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.functions.coerce import to_text, typed, violations
+from gridledger.functions.coerce import integer_problem, to_text, typed, violations
+from gridledger.operators.links import union_all
 from gridledger.plans.registry import query
 from gridledger.plans.roles import Catalogue
 from gridledger.plans.tables import STAR, wide
@@ -99,3 +100,146 @@ def sink_rows(cat):
     folder = new_folder(cat, "rows")
     K.write_rows(K.used_variable_rows(cat["x_var"], cat["x_cmorvar"]), folder)
     return cat.spark.read.schema("var string, sn string, ln string, u string, d string, uid string").json(folder)
+
+
+# --- definitions, manifests and side tables ------------------------------------------------------------
+
+def definition_document(cat: Catalogue) -> str:
+    """Regions as sections and their nations as attributes, as a definition document."""
+    n = cat["nation"].join(cat["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    k = F.col("n_nationkey")
+    kind = F.when(k % 3 == 1, "xs:integer").when(k % 3 == 2, "aa:st__uid")
+    attribute = F.struct(k.alias("key"), F.col("n_name").alias("_label"), F.concat(F.lit("Nation "), k.cast("string")).alias("_title"), kind.alias("_type"),
+                         F.concat(F.lit("about "), "n_name").alias("_description"), F.when(k % 2 == 0, "0").alias("_required"))
+    doc = n.groupBy("r_regionkey", "r_name").agg(F.sort_array(F.collect_list(attribute)).alias("a"))             # a region has a few nations
+    fields = ["_label", "_title", "_type", "_description", "_required"]
+    doc = doc.select(F.col("r_name").alias("_label"), F.concat(F.lit("1."), F.col("r_regionkey").cast("string"), F.lit(" "), "r_name").alias("_title"),
+                     F.transform("a", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("rowAttribute"))
+    folder = new_folder(cat, "definition")
+    doc.write.format("xml").option("rootTag", "tables").option("rowTag", "table").option("declaration", "").save(folder)
+    return folder
+
+
+@query("definition_sections", "SELECT concat('1.', r_regionkey, ' ', r_name) AS title, r_name AS label FROM region")
+def definition_sections(cat):
+    return C.list_sections(C.read_definition(cat.spark, definition_document(cat))[0])
+
+
+@query("definition_attributes", """
+SELECT r_name AS section, n_name AS label, CASE n_nationkey % 3 WHEN 1 THEN 'xs:integer' WHEN 2 THEN 'aa:st__uid' ELSE 'xs:string' END AS type,
+ n_nationkey % 2 <> 0 AS required FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def definition_attributes(cat):
+    return C.read_definition(cat.spark, definition_document(cat))[1].select("section", "label", "type", "required")
+
+
+@query("attribute_definitions", """
+WITH a AS (SELECT n_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'),
+l AS (SELECT string_agg(n_name, ' ' ORDER BY n_name) AS names FROM a), t AS (SELECT concat('1.', r_regionkey, ' ASIA') AS title FROM region WHERE r_name = 'ASIA'),
+m AS (SELECT min(n_name) AS n FROM a)
+SELECT 'ASIA' AS query, 'section' AS finding, title AS section_title, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS description, names AS attributes FROM t, l
+UNION ALL SELECT 'ASIA:none', 'attribute not found', title, NULL, NULL, names FROM t, l
+UNION ALL SELECT concat('ASIA:', n), 'attribute', t.title, concat('Nation ', n_nationkey), concat('about ', n), names FROM t, l, m JOIN a ON a.n_name = m.n
+UNION ALL SELECT 'ATLANTIS', 'unknown section', NULL, NULL, NULL, '' """)
+def attribute_definitions(cat):
+    sections, attributes = C.read_definition(cat.spark, definition_document(cat))
+    first = cat["nation"].join(cat["region"], F.col("n_regionkey") == F.col("r_regionkey")).where("r_name = 'ASIA'").agg(F.min("n_name")).first()[0]
+    asked = [C.attribute_definition(sections, attributes, q) for q in ("ASIA", "ASIA:none", f"ASIA:{first}", "ATLANTIS")]
+    return union_all(asked)
+
+
+@query("section_attribute_list", "SELECT n_name AS label FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'")
+def section_attribute_list(cat):
+    return C.section_attributes(C.read_definition(cat.spark, definition_document(cat))[1], "EUROPE")
+
+
+@query("schema_only_load", """
+SELECT r_name AS section, count(*) AS attributes FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
+def schema_only_load(cat):
+    got = C.load(cat.spark, [(None, definition_document(cat))], schema_only=True)
+    return got.meta_attribute.groupBy("section").agg(F.count(F.lit(1)).alias("attributes"))
+
+
+def lines_file(cat: Catalogue, name: str, lines: DataFrame) -> str:
+    """``lines(k, value)`` in the order of k as one text file; only for tables of a few lines."""
+    folder = new_folder(cat, name)
+    lines.repartition(1).sortWithinPartitions("k").select("value").write.text(folder)
+    return folder
+
+
+def _halves(cat: Catalogue) -> list[str]:
+    """The variables in two documents with the same section."""
+    out = []
+    for odd in (0, 1):
+        v = cat["x_cmorvar"].where(F.col("uid") % 2 == odd)
+        items = v.select(F.concat(F.lit("v"), F.col("uid").cast("string")).alias("_uid"), F.col("vid").alias("_vid"), F.col("label").alias("_label"), F.col("row_index").cast("string").alias("_rank"))
+        folder = new_folder(cat, "half")
+        items.write.format("xml").option("rootTag", "CMORvar").option("rowTag", "item").option("maxRecordsPerFile", RECORDS_PER_SECTION).option("declaration", "").save(folder)
+        out.append(folder)
+    return out
+
+
+def _variable_definition(cat: Catalogue) -> str:
+    text = lambda name, kind, use=None: F.struct(F.lit(name).alias("_label"), F.lit(kind).alias("_type"), F.lit(use).cast("string").alias("_useClass"))
+    attributes = F.array(text("uid", "aa:st__uid"), text("vid", "xs:string", "internalLink"), text("label", "xs:string"), text("rank", "xs:integer"))
+    folder = new_folder(cat, "definition")
+    one = cat.spark.range(1).select(F.lit("CMORvar").alias("_label"), F.lit("1 Variables").alias("_title"), attributes.alias("rowAttribute"))
+    one.write.format("xml").option("rootTag", "tables").option("rowTag", "table").option("declaration", "").save(folder)
+    return folder
+
+
+@query("manifest_load", """
+SELECT 'record' AS kind, concat('v', uid) AS uid, label AS value, row_index AS rank FROM x_cmorvar
+UNION ALL SELECT 'link', concat('v', uid), vid, NULL FROM x_cmorvar""")
+def manifest_load(cat):
+    definition = _variable_definition(cat)
+    lines = [(0, "## two documents")] + [(k + 1, f"{doc} {definition}") for k, doc in enumerate(_halves(cat))]
+    pairs = C.read_manifest(cat.spark, lines_file(cat, "manifest", C.rows(cat.spark, lines, ["k", "value"])))
+    got = C.load(cat.spark, pairs)
+    records = got.sections["CMORvar"].select(F.lit("record").alias("kind"), "uid", F.col("label").alias("value"), "rank")
+    return records.unionByName(got.links.select(F.lit("link").alias("kind"), F.col("src_uid").alias("uid"), F.col("dst_uid").alias("value"), F.lit(None).cast("bigint").alias("rank")))
+
+
+@query("document_versions", """
+SELECT concat('01.00.', n_nationkey % 2) AS version, CAST(2 AS BIGINT) AS versions, TRUE AS conflict FROM nation WHERE n_nationkey < 3""")
+def document_versions(cat):
+    def document(key: int) -> str:
+        n = cat["nation"].where(F.col("n_nationkey") == key)
+        version = F.concat(F.lit("<pav:version>01.00."), (F.col("n_nationkey") % 2).cast("string"), F.lit("</pav:version>"))
+        lines = n.select(F.posexplode(F.array(F.lit("<main>"), version, F.concat(F.lit("<item label="), "n_name", F.lit("/>")))).alias("k", "value"))
+        return lines_file(cat, "version", lines)
+
+    versions = C.read_versions(cat.spark, [document(k) for k in range(3)])
+    conflict = C.version_conflict(versions)
+    return versions.select("version").crossJoin(F.broadcast(conflict)).select("version", "versions", "conflict")       # one row
+
+
+@query("newest_version", "SELECT c_custkey, concat('v', c_custkey % 3) AS version FROM customer WHERE c_custkey % 3 = (SELECT max(c_custkey % 3) FROM customer)")
+def newest_version(cat):
+    folder = new_folder(cat, "versions")
+    c = cat["customer"].select("c_custkey", F.concat(F.lit("v"), (F.col("c_custkey") % 3).cast("string")).alias("version"))
+    c.write.partitionBy("version").parquet(folder)
+    return C.pick_version(cat.spark.read.parquet(folder)).select("c_custkey", F.col("version").cast("string").alias("version"))
+
+
+@query("info_rows", "SELECT n_name AS name, concat('nation \"', n_nationkey, '\"') AS text FROM nation")
+def info_rows(cat):
+    line = F.concat("n_name", F.lit('\tnation "'), F.col("n_nationkey").cast("string"), F.lit('"'))
+    return C.read_info_rows(cat.spark, lines_file(cat, "info", cat["nation"].select(F.col("n_nationkey").alias("k"), line.alias("value"))))
+
+
+@query("block_schema", """
+SELECT n_name AS name, concat('r', n_regionkey) AS kind, n_nationkey % 2 = 0 AS core FROM nation""")
+def block_schema(cat):
+    k = F.col("n_nationkey")
+    cells = F.concat_ws("\t", "n_name", F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), F.when(k % 2 == 0, "1").otherwise("0"))
+    head = C.rows(cat.spark, [(-3, "core attributes"), (-2, "----"), (-1, "name\tkind\tcore")], ["k", "value"])
+    return C.read_block_schema(cat.spark, lines_file(cat, "block", head.unionByName(cat["nation"].select(k.cast("bigint").alias("k"), cells.alias("value")))))
+
+
+@query("integer_problems", """
+SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 2 THEN 'not an integer' WHEN 3 THEN 'not an integer' WHEN 4 THEN 'NOT STRING' END AS problem FROM lineitem""")
+def integer_problems(cat):
+    n = F.col("l_linenumber")
+    key = F.col("l_partkey").cast("string")
+    text = F.when(n == 2, F.concat(key, F.lit(".5"))).when(n == 3, F.concat(F.lit("x"), key)).when(n != 4, key)
+    return cat["lineitem"].select("l_orderkey", "l_linenumber", integer_problem(text).alias("problem"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.functions.caps import category_passes, not_esm, preset_passes
+from gridledger.lookup import PLACEHOLDER
 from gridledger.operators import links as L
 from gridledger.operators import search as S
 from gridledger.operators.expand import allow_deny, experiment_filter
@@ -16,7 +17,7 @@ from gridledger.plans.roles import Catalogue
 # uids of different sections overlap as numbers, so each section gets a letter; the same in both forms below
 LETTER = {"requestLink": "l", "requestItem": "i", "requestVarGroup": "vg", "CMORvar": "v"}
 LINK_ATTRS = {
-    "exptgroup": {}, "mip": {}, "var": {"sn": "scalar"}, "spatialShape": {}, "temporalShape": {}, "requestVarGroup": {},
+    "exptgroup": {}, "mip": {}, "remarks": {}, "var": {"sn": "scalar", "related": "list"}, "spatialShape": {}, "temporalShape": {}, "requestVarGroup": {},
     "experiment": {"egid": "scalar", "mip": "scalar"},
     "requestLink": {"mip": "scalar", "refid": "scalar"},
     "requestItem": {"rlid": "scalar", "esid": "scalar"},
@@ -35,10 +36,13 @@ UNION ALL SELECT 'CMORvar', concat('v', uid), 'vid', vid FROM x_cmorvar
 UNION ALL SELECT 'CMORvar', concat('v', uid), 'stid', stid FROM x_cmorvar
 UNION ALL SELECT 'structure', uid, 'spid', spid FROM x_structure
 UNION ALL SELECT 'structure', uid, 'tmid', tmid FROM x_structure
-UNION ALL SELECT 'var', uid, 'sn', sn FROM x_var)"""
+UNION ALL SELECT 'var', uid, 'sn', sn FROM x_var WHERE sn <> '__unset__'
+UNION ALL SELECT 'var', uid, 'related', rel1 FROM x_var
+UNION ALL SELECT 'var', uid, 'related', rel2 FROM x_var WHERE rel2 <> '__unset__')"""
 
 INDEX = """idx AS (
 SELECT uid, 'mip' AS section, label FROM x_mip
+UNION ALL SELECT uid, 'remarks', label FROM x_remarks
 UNION ALL SELECT uid, 'exptgroup', label FROM x_exptgroup
 UNION ALL SELECT uid, 'experiment', label FROM x_experiment
 UNION ALL SELECT concat('l', uid), 'requestLink', CAST(NULL AS VARCHAR) FROM x_request_link
@@ -54,7 +58,7 @@ UNION ALL SELECT uid, 'temporalShape', CAST(NULL AS VARCHAR) FROM x_temporal_sha
 def sections(cat: Catalogue) -> dict[str, DataFrame]:
     named = lambda df, **cols: df.withColumns({c: F.concat(F.lit(LETTER[s]), F.col(c).cast("string")) for c, s in cols.items()})
     return {
-        "mip": cat["x_mip"], "exptgroup": cat["x_exptgroup"], "experiment": cat["x_experiment"],
+        "mip": cat["x_mip"], "remarks": cat["x_remarks"], "exptgroup": cat["x_exptgroup"], "experiment": cat["x_experiment"],
         "requestLink": named(cat["x_request_link"], uid="requestLink", refid="requestVarGroup"),
         "requestItem": named(cat["x_request_item"], uid="requestItem", rlid="requestLink"),
         "requestVarGroup": named(cat["x_var_group"], uid="requestVarGroup"),
@@ -122,7 +126,9 @@ g1 AS (SELECT vgid, count(*) AS n FROM x_request_var GROUP BY vgid), g2 AS (SELE
 SELECT 'structure' AS kind, uid, coalesce(n1, 0) AS one_hop, coalesce(n2, 0) AS two_hops FROM x_structure LEFT JOIN st ON stid = uid
 UNION ALL SELECT 'group', concat('vg', uid), coalesce(g1.n, 0), coalesce(g2.n, 0)
  FROM x_var_group LEFT JOIN g1 ON vgid = uid LEFT JOIN g2 ON refid = uid
-UNION ALL SELECT 'table', mip_table, count(*), CAST(sum(coalesce(rv.n, 0)) AS BIGINT) FROM x_cmorvar LEFT JOIN rv USING (uid) GROUP BY mip_table""")
+UNION ALL SELECT 'table', mip_table, count(*), CAST(sum(coalesce(rv.n, 0)) AS BIGINT) FROM x_cmorvar LEFT JOIN rv USING (uid) GROUP BY mip_table
+UNION ALL SELECT 'quantity', x.uid, count(v.uid), CAST(sum(coalesce(rv.n, 0)) AS BIGINT) FROM x_var x LEFT JOIN x_cmorvar v ON v.vid = x.uid LEFT JOIN rv ON rv.uid = v.uid GROUP BY x.uid
+UNION ALL SELECT 'cell methods', s.cell_methods, count(*), CAST(sum(coalesce(n.n, 0)) AS BIGINT) FROM x_structure s LEFT JOIN (SELECT stid, count(*) AS n FROM x_cmorvar GROUP BY stid) n ON n.stid = s.uid GROUP BY s.cell_methods""")
 def backlink_counts(cat):
     rv, v, link = cat["x_request_var"], cat["x_cmorvar"], cat["x_request_link"]
     requests = rv.select(F.col("vid").alias("dst"))
@@ -134,7 +140,10 @@ def backlink_counts(cat):
     vg = vg.select(F.lit("group").alias("kind"), F.concat(F.lit("vg"), F.col("uid").cast("string")).alias("uid"),
                    F.col("vars").alias("one_hop"), F.col("one_hop").alias("two_hops"))
     kind = lambda df, k: df.select(F.lit(k).alias("kind"), "uid", "one_hop", "two_hops")
-    return kind(st, "structure").unionByName(vg).unionByName(kind(tb, "table"))
+    quantity = L.backlink_counts(cat["x_var"].select("uid"), v.select("uid", F.col("vid").alias("dst")), requests)
+    s = cat["x_structure"]
+    methods = L.backlink_counts(s.select(F.col("cell_methods").alias("uid")).distinct(), s.select("uid", F.col("cell_methods").alias("dst")), v.select(F.col("stid").alias("dst")))
+    return L.union_all([kind(st, "structure"), vg, kind(tb, "table"), kind(quantity, "quantity"), kind(methods, "cell methods")])
 
 
 @query("linked", f"""
@@ -237,16 +246,16 @@ def category_filter(cat):
 
 @query("placeholder_filter", f"""
 WITH {INDEX} SELECT uid, esid, rlid,
- nullif(concat_ws(',', CASE WHEN esid NOT IN (SELECT uid FROM idx) THEN 'target' END,
+ nullif(concat_ws(',', CASE WHEN esid NOT IN (SELECT uid FROM idx WHERE section <> 'remarks') THEN 'target' END,
   CASE WHEN rlid NOT IN (SELECT uid FROM x_request_link) THEN 'link' END), '') AS broken FROM x_request_item""")
 def placeholder_filter(cat):
     items = L.resolve(cat["x_request_item"].select("uid", "esid", "rlid"), "esid", index(cat))
     known = cat["x_request_link"].select(F.col("uid").alias("rlid"), F.lit(True).alias("known"))
     items = items.join(known, "rlid", "left")
-    return L.broken_parts(items, {"target": F.col("esid_section").isNotNull(), "link": F.col("known")}).select("uid", "esid", "rlid", "broken")
+    return L.broken_parts(items, {"target": F.col("esid_section") != PLACEHOLDER, "link": F.col("known")}).select("uid", "esid", "rlid", "broken")
 
 
-@query("placeholders_dropped", f"WITH {INDEX} SELECT uid, esid FROM x_request_item WHERE esid IN (SELECT uid FROM idx)")
+@query("placeholders_dropped", f"WITH {INDEX} SELECT uid, esid FROM x_request_item WHERE esid IN (SELECT uid FROM idx WHERE section <> 'remarks')")
 def placeholders_dropped(cat):
     return L.drop_placeholders(cat["x_request_item"].select("uid", "esid"), "esid", index(cat)).select("uid", "esid")
 
@@ -305,6 +314,14 @@ def attribute_filters(cat):
     return L.union_all([S.hit_count(df).select(F.lit(k).alias("what"), "hits", S.any_hit(df).scalar().alias("found")) for k, df in parts.items()])
 
 
+@query("index_by_name", """
+SELECT 'label' AS attr, label AS value, uid FROM x_var UNION ALL SELECT 'sn', sn, uid FROM x_var WHERE sn <> '__unset__'
+UNION ALL SELECT 'label', label, concat('v', uid) FROM x_cmorvar""")
+def index_by_name(cat):
+    s = sections(cat)
+    return L.value_index(s["var"], "label", "sn").unionByName(L.value_index(s["CMORvar"], "label"))
+
+
 @query("vocabulary_columns", "SELECT label, description FROM x_var")
 def vocabulary_columns(cat):
     return cat["x_var"].select("label", "description")

@@ -39,11 +39,11 @@ def variable_mips(cat):
 
 
 @query("missing_mips", """
-WITH vm AS (SELECT DISTINCT rv.vid, l.mip FROM x_request_link l JOIN x_request_var rv ON rv.vgid = l.refid)
+WITH vm AS (SELECT DISTINCT rv.vid, l.mip FROM x_request_link l JOIN x_request_var rv ON rv.vgid = l.refid WHERE rv.priority <= 1)
 SELECT v.uid AS vid, m.uid AS mip FROM x_cmorvar v CROSS JOIN x_mip m
  WHERE NOT EXISTS (SELECT 1 FROM vm WHERE vm.vid = v.uid AND vm.mip = m.uid)""")
 def missing_mips(cat):
-    covered = X.variable_mips(cat["x_request_link"], cat["x_request_var"])
+    covered = X.mip_variables(cat["x_request_link"], cat["x_request_var"], 1)
     return X.missing_mips(cat["x_cmorvar"], covered, cat["x_mip"])
 
 
@@ -119,7 +119,7 @@ def objective_crosstab(cat):
     letter = F.substring("esid", 1, 1)
     kind = F.when(letter == "e", "experiment").when(letter == "g", "exptgroup").when(letter == "m", "mip").otherwise("remarks")
     pairs = t.select(kind.alias("kind"), "mip", "objective").distinct()      # the objectives of a project are a short list
-    return pairs.groupBy("kind").pivot("mip", ["m0", "m1", "m2", "m3", "m4"]).agg(string_set("objective"))
+    return pairs.groupBy("kind").pivot("mip", cat.mips()).agg(string_set("objective"))
 
 
 @query("group_objectives", """
@@ -163,6 +163,11 @@ def mip_items(cat):
     return X.mip_items(cat["x_request_link"], cat["x_request_item"])
 
 
+@query("items_by_own_project", "SELECT own_mip, uid AS item FROM x_request_item WHERE own_mip IN ('m1', 'm4')")
+def items_by_own_project(cat):
+    return X.items_of_mip(cat["x_request_item"], "own_mip", "m1", "m4").select("own_mip", F.col("uid").alias("item"))
+
+
 @query("linkset_groups", """
 SELECT DISTINCT l.mip, g.uid, g.label FROM x_request_link l JOIN x_var_group g ON g.uid = l.refid""")
 def linkset_groups(cat):

@@ -29,7 +29,7 @@ FREQUENCIES = ["mon", "day", "6hr", "yr", "monC", "3hr", "fx", "1hrClimMon"]
 ROLES: dict[str, str] = {}
 
 ROLES["x_mip"] = """
-SELECT concat('m', r_regionkey) AS uid, r_name AS label, concat('http://', lower(r_name), '.example') AS url FROM region"""
+SELECT concat('m', r_regionkey) AS uid, CASE r_regionkey WHEN 4 THEN 'SolarMIP' ELSE r_name END AS label, concat('http://', lower(r_name), '.example') AS url FROM region"""
 
 ROLES["x_exptgroup"] = """
 SELECT concat('g', CAST(floor(c_custkey / 8) AS BIGINT)) AS uid,
@@ -37,7 +37,7 @@ SELECT concat('g', CAST(floor(c_custkey / 8) AS BIGINT)) AS uid,
  FROM customer GROUP BY CAST(floor(c_custkey / 8) AS BIGINT)"""
 
 ROLES["x_experiment"] = """
-SELECT concat('e', c_custkey) AS uid, c_name AS label, concat('g', CAST(floor(c_custkey / 8) AS BIGINT)) AS egid,
+SELECT concat('e', c_custkey) AS uid, CASE c_custkey WHEN 11 THEN 'esm-hist' WHEN 12 THEN 'esm-piControl' WHEN 13 THEN 'piControl-spinup' ELSE c_name END AS label, concat('g', CAST(floor(c_custkey / 8) AS BIGINT)) AS egid,
  concat('m', n_regionkey) AS mip, 1 + c_custkey % 3 AS tier1, 2 + c_custkey % 3 AS tier2,
  1 + c_custkey % 5 AS ensz1, 3 + c_custkey % 7 AS ensz2, 1 + c_custkey % 2 AS nstart, 10 + c_custkey % 150 AS yps,
  CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'AOGCM | AER CHEM BGC' WHEN 'BUILDING' THEN 'AGCM | AER'
@@ -65,6 +65,7 @@ SELECT o_orderkey AS uid,
  CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 + o_orderkey % 4 END AS nenmax,
  CASE WHEN o_orderkey % 11 = 0 THEN CAST(2 AS BIGINT) WHEN o_orderkey % 11 = 1 THEN CAST(1 AS BIGINT) END AS treset,
  CASE WHEN o_orderkey % 13 = 0 THEN CAST(1 AS BIGINT) WHEN o_orderkey % 13 = 1 THEN CAST(3 AS BIGINT) ELSE CAST(-1 AS BIGINT) END AS preset,
+ concat('m', o_orderkey % 5) AS own_mip,
  CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 23 = 1 THEN 'hist55' WHEN o_orderkey % 23 = 2 THEN 'RFMIP'
   WHEN o_orderkey % 23 = 3 THEN 'RFMIP2'
   ELSE concat('s', CAST(year(o_orderdate) AS BIGINT), '-', o_orderkey % 9) END AS ts_label,
@@ -77,9 +78,12 @@ SELECT o_orderkey AS uid,
 UNION ALL
 SELECT CAST(-1 - r_regionkey AS BIGINT) AS uid, CAST(-1 - r_regionkey AS BIGINT) AS rlid, concat('m', r_regionkey) AS esid,
  CAST(10 AS BIGINT) AS ny, CAST(-1 AS BIGINT) AS nymax, CAST(-1 AS BIGINT) AS nenmax, CAST(NULL AS BIGINT) AS treset,
- CAST(-1 AS BIGINT) AS preset, CAST(NULL AS VARCHAR(20)) AS ts_label, CAST(NULL AS VARCHAR(20)) AS ts_type,
+ CAST(-1 AS BIGINT) AS preset, concat('m', r_regionkey) AS own_mip, CAST(NULL AS VARCHAR(20)) AS ts_label, CAST(NULL AS VARCHAR(20)) AS ts_type,
  CAST(NULL AS BIGINT) AS ts_start, CAST(NULL AS BIGINT) AS ts_end FROM region"""
 
+ROLES["x_remarks"] = """
+SELECT concat('r', c_custkey) AS uid, concat('placeholder ', c_custkey) AS label FROM customer WHERE c_custkey % 2 = 0"""
+
 ROLES["x_request_var"] = """
 SELECT CAST(floor(l_orderkey / 4) AS BIGINT) AS vgid, l_partkey AS vid,
  CAST(1 + (l_linenumber - 1) % 3 AS BIGINT) AS priority FROM lineitem"""
@@ -96,20 +100,23 @@ SELECT p_partkey AS uid, p_brand AS vid, p_name AS label, p_type AS mip_table,
  CASE p_size % 7 WHEN 0 THEN 'ocean' WHEN 1 THEN 'seaIce ocean' WHEN 2 THEN 'atmos land' WHEN 3 THEN 'landIce'
   WHEN 4 THEN 'seaIce' WHEN 5 THEN '' ELSE 'atmos' END AS modeling_realm,
  CASE p_size % 3 WHEN 0 THEN 'DAMIP [DAMIP_Omon_p2]' WHEN 1 THEN 'CFMIP [cf1hrClimMon]' ELSE 'table A' END AS prov,
- CAST(1 + p_size % 3 AS BIGINT) AS default_priority, CAST(p_size AS BIGINT) AS row_index,
+ CASE p_size % 3 WHEN 0 THEN 'up' WHEN 1 THEN 'down' ELSE '' END AS positive, CASE p_size % 4 WHEN 0 THEN 'integer' ELSE 'real' END AS type,
+ concat('note ', p_size % 6) AS prov_note, CAST(1 + p_size % 3 AS BIGINT) AS default_priority, CAST(p_size AS BIGINT) AS row_index,
  concat(p_name, ' ', lower(p_type)) AS title, concat(p_brand, ' ', p_name) AS description FROM part"""
 
 ROLES["x_var"] = """
 SELECT p_brand AS uid, lower(p_brand) AS label, concat('quantity of ', p_brand) AS title,
  CASE WHEN min(p_partkey) % 2 = 0 THEN 'K' ELSE 'm s-1' END AS units, min(concat(p_brand, ' ', p_name)) AS description,
- CASE WHEN min(p_partkey) % 5 = 4 THEN concat('r', p_brand) ELSE concat('sn', p_brand) END AS sn
+ CASE WHEN min(p_partkey) % 5 = 4 THEN concat('r', p_brand) WHEN min(p_partkey) % 5 = 3 THEN '__unset__' ELSE concat('sn', p_brand) END AS sn,
+ concat('Brand#', 1 + min(p_partkey) % 40) AS rel1, CASE WHEN min(p_partkey) % 2 = 0 THEN '__unset__' ELSE p_brand END AS rel2
  FROM part GROUP BY p_brand"""
 
 ROLES["x_structure"] = """
 SELECT concat('st', p_size) AS uid, concat('sp', p_size % 10) AS spid, concat('tm', p_size % 3) AS tmid,
  concat('structure ', p_size) AS title,
  CASE p_size % 5 WHEN 0 THEN '' WHEN 1 THEN 'vegtype' WHEN 2 THEN 'tau' WHEN 3 THEN 'iceband' ELSE 'unlisted' END AS odims,
- CASE WHEN p_size % 4 = 0 THEN 'height2m' ELSE '' END AS coords, 'time: mean' AS cell_methods
+ CASE WHEN p_size % 4 = 0 THEN 'height2m' ELSE '' END AS coords, CASE WHEN p_size % 6 = 0 THEN 'time: point' ELSE 'time: mean' END AS cell_methods,
+ CASE WHEN p_size % 2 = 0 THEN 'area: areacella' ELSE '' END AS cell_measures
  FROM part GROUP BY p_size"""
 
 ROLES["x_spatial_shape"] = """
@@ -152,7 +159,7 @@ SELECT concat(o_orderpriority, '/m', n_regionkey) AS oid, o_orderkey AS rid
  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 # columns the SQL spells as two scalars, because the engines differ in array literals
-_ARRAYS = {"x_experiment": {"tier": ("tier1", "tier2"), "ensz": ("ensz1", "ensz2")}}
+_ARRAYS = {"x_experiment": {"tier": ("tier1", "tier2"), "ensz": ("ensz1", "ensz2")}, "x_var": {"related": ("rel1", "rel2")}}
 
 
 _TABLE_USE = re.compile(r"(?<=FROM |JOIN )(?:" + "|".join(TABLES) + r")\b")
@@ -170,6 +177,12 @@ class Catalogue:
             self._made[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._made[name]
 
+    def mips(self) -> list[str]:
+        """The projects, a closed vocabulary of a few names."""
+        if "mips" not in self._made:
+            self._made["mips"] = [r[0] for r in self["x_mip"].select("uid").orderBy("uid").collect()]
+        return self._made["mips"]
+
     def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """A derived frame that several parts of one query name; built (not computed) once."""
         if name not in self._made:

@@ -18,9 +18,9 @@ STAR = """q AS (SELECT vid, concat(valid_min, ' ', substr(valid_min_status, 1, 1
  CASE WHEN valid_max IS NULL THEN '' ELSE concat(valid_max, ' ', substr(valid_max_status, 1, 1)) END AS valid_max
  FROM (SELECT vid, CAST(valid_min AS BIGINT) AS valid_min, CAST(valid_max AS BIGINT) AS valid_max, valid_min_status, valid_max_status FROM x_qcrange)),
 w AS (SELECT v.mip_table, v.default_priority AS priority, x.title AS long_name, x.units, x.description,
- CASE WHEN v.description <> x.description THEN v.description ELSE '' END AS comment, x.label AS variable_name, x.sn AS standard_name, s.cell_methods,
+ CASE WHEN v.description <> x.description THEN v.description ELSE '' END AS comment, x.label AS variable_name, x.sn AS standard_name, s.cell_methods, v.positive, v.type,
  replace(concat(sp.dimensions, ' ', s.odims, ' ', tm.dimensions, ' ', s.coords), '|', ' ') AS dimensions, v.label AS cmor_name, v.modeling_realm,
- v.frequency, v.prov, v.row_index, v.uid, v.vid, v.stid, s.title AS structure_title, q.valid_min, q.valid_max,
+ v.frequency, s.cell_measures, v.prov, v.prov_note, v.row_index, v.uid, v.vid, v.stid, s.title AS structure_title, q.valid_min, q.valid_max,
  '' AS ok_min_mean_abs, '' AS ok_max_mean_abs
  FROM x_cmorvar v JOIN x_var x ON v.vid = x.uid JOIN x_structure s ON s.uid = v.stid JOIN x_spatial_shape sp ON sp.uid = s.spid
  JOIN x_temporal_shape tm ON tm.uid = s.tmid LEFT JOIN q ON q.vid = v.uid)"""
@@ -35,6 +35,11 @@ def wide_table(cat):
     return wide(cat)
 
 
+@query("quantity_records", "SELECT title, units, description, label, sn FROM x_var WHERE uid IN (SELECT vid FROM x_cmorvar)")
+def quantity_records(cat):
+    return T.quantity_records(cat["x_cmorvar"], cat["x_var"])
+
+
 @query("wide_table_mips", f"""
 WITH {STAR}, rv AS (SELECT vgid, vid, max(priority) AS priority FROM x_request_var GROUP BY vgid, vid),
 vm AS (SELECT DISTINCT rv.vid, l.mip FROM x_request_link l JOIN rv ON rv.vgid = l.refid WHERE l.opt <> 'priority' OR rv.priority <= l.opar),

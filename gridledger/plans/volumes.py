@@ -16,9 +16,6 @@ from gridledger.plans.requests import POLICY, selected, sized, variable_requests
 from gridledger.plans.roles import FREQUENCIES, Catalogue
 from gridledger.scale import skew_join
 
-MIPS = ["m0", "m1", "m2", "m3", "m4"]
-
-
 def years_of(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None, carry=()) -> DataFrame:
     """Years per variable and experiment on the best grid."""
     experiments = cat["x_experiment"].withColumn("design_mip", F.col("mip"))
@@ -84,20 +81,10 @@ WITH {Q.requests(1, 1, "'m1', 'm2'")}, {Q.best()}, {Q.fact(drop=None)}
 SELECT frequency, {Q.volume()} AS volume FROM fact GROUP BY frequency""")
 def volume_policies(cat):
     policy = Policy(tier_max=1, pmax=1, keep_redundant=True)
-    links = X.select_links(cat["x_request_link"], {"m1", "m2"})
+    links = X.select_links(cat["x_request_link"], {"m1", "m2"}, mips=cat["x_mip"])
     return V.sum_by(per_variable(cat, policy, links=links), "frequency")
 
 
-@query("volume_matrix", f"""
-WITH {Q.FULL_BY_MIP}, s AS (SELECT f.req_mip, e.mip AS d, sum(hundredths) AS h FROM fact f JOIN x_experiment e ON e.uid = f.expt GROUP BY f.req_mip, e.mip)
-SELECT req_mip, coalesce(CAST(sum(CASE WHEN d = 'm0' THEN h END) AS DOUBLE) / 100, 0.0) AS m0, coalesce(CAST(sum(CASE WHEN d = 'm1' THEN h END) AS DOUBLE) / 100, 0.0) AS m1,
- coalesce(CAST(sum(CASE WHEN d = 'm2' THEN h END) AS DOUBLE) / 100, 0.0) AS m2, coalesce(CAST(sum(CASE WHEN d = 'm3' THEN h END) AS DOUBLE) / 100, 0.0) AS m3,
- coalesce(CAST(sum(CASE WHEN d = 'm4' THEN h END) AS DOUBLE) / 100, 0.0) AS m4, CAST(sum(h) AS DOUBLE) / 100 AS "TOTAL" FROM s GROUP BY req_mip""")
-def volume_matrix(cat):
-    sums = fact(cat, by=["mip"]).groupBy("req_mip", "design_mip").agg(F.sum("hundredths").alias("hundredths"))
-    return V.volume_matrix(sums, MIPS)
-
-
 @query("target_tables", f"""
 WITH {Q.FULL_BY_MIP}, s AS (SELECT f.req_mip, e.mip AS design_mip, f.mip_table, sum(hundredths) AS h, count(DISTINCT vid) AS nv
  FROM fact f JOIN x_experiment e ON e.uid = f.expt GROUP BY f.req_mip, e.mip, f.mip_table)
@@ -154,7 +141,13 @@ uq AS (SELECT m.uid AS req_mip, t.vid, t.expt, t.grid, CASE WHEN o.vid IS NULL T
 
 
 def unique_requests(cat: Catalogue) -> DataFrame:
-    return V.unique_years(years_of(cat, by=["mip"]), MIPS, POLICY)
+    return V.unique_years(years_of(cat, by=["mip"]), POLICY)
+
+
+def unique_volumes(cat: Catalogue) -> DataFrame:
+    """Exact volumes of what only one project asks for, by project."""
+    per = unique_requests(cat).groupBy("req_mip", "vid", "grid").agg(F.sum("years").alias("years"), F.count(F.lit(1)).alias("n"))
+    return V.sized_totals(per, kept(cat), POLICY, ["vid"], ["req_mip"]).groupBy("req_mip").agg(F.sum("hundredths").alias("hundredths"))
 
 
 @query("request_unique", f"WITH {UNIQUE} SELECT req_mip, vid, expt, grid, years FROM uq")
@@ -166,9 +159,20 @@ def request_unique(cat):
 @query("volume_unique", f"""
 WITH {UNIQUE}, {Q.fact('uq', 'ufact', None, by_mip=True)} SELECT req_mip, {Q.volume()} AS volume FROM ufact GROUP BY req_mip""")
 def volume_unique(cat):
-    years = unique_requests(cat)
-    per = years.groupBy("req_mip", "vid", "grid").agg(F.sum("years").alias("years"), F.count(F.lit(1)).alias("n"))
-    return V.sum_by(V.sized_totals(per, kept(cat), POLICY, ["vid"], ["req_mip"]), "req_mip")
+    return V.sum_by(unique_volumes(cat), "req_mip")
+
+
+@query("volume_matrix", f"""
+WITH {UNIQUE}, {Q.fact('uq', 'ufact', None, by_mip=True)}, u AS (SELECT req_mip, sum(hundredths) AS h FROM ufact GROUP BY req_mip),
+{Q.best(by_mip=True)}, {Q.redundant(by_mip=True, out='redundant_m')}, {Q.fact(by_mip=True, drop='redundant_m')},
+s AS (SELECT f.req_mip, e.mip AS d, sum(hundredths) AS h FROM fact f JOIN x_experiment e ON e.uid = f.expt GROUP BY f.req_mip, e.mip),
+m AS (SELECT req_mip, coalesce(CAST(sum(CASE WHEN d = 'm0' THEN h END) AS DOUBLE) / 100, 0.0) AS m0, coalesce(CAST(sum(CASE WHEN d = 'm1' THEN h END) AS DOUBLE) / 100, 0.0) AS m1,
+ coalesce(CAST(sum(CASE WHEN d = 'm2' THEN h END) AS DOUBLE) / 100, 0.0) AS m2, coalesce(CAST(sum(CASE WHEN d = 'm3' THEN h END) AS DOUBLE) / 100, 0.0) AS m3,
+ coalesce(CAST(sum(CASE WHEN d = 'm4' THEN h END) AS DOUBLE) / 100, 0.0) AS m4, CAST(sum(h) AS DOUBLE) / 100 AS "TOTAL" FROM s GROUP BY req_mip)
+SELECT m.*, coalesce(CAST(u.h AS DOUBLE) / 100, 0.0) AS "Unique" FROM m LEFT JOIN u USING (req_mip)""")
+def volume_matrix(cat):
+    sums = fact(cat, by=["mip"]).groupBy("req_mip", "design_mip").agg(F.sum("hundredths").alias("hundredths"))
+    return V.volume_matrix(sums, cat.mips(), unique_volumes(cat))
 
 
 _THREE = "'m0', 'm1', 'm2'"
@@ -180,7 +184,7 @@ SELECT CAST(s AS DOUBLE) / 100.0 * (2 * 1e-12) AS sum_single_tb, CAST(c AS DOUBL
  (WITH {Q.requests(mips=_THREE, by_mip=True)}, {Q.best(by_mip=True)}, {Q.redundant(by_mip=True)}, {Q.fact(by_mip=True)} SELECT sum(hundredths) FROM fact) AS s,
  (WITH {Q.requests(mips=_THREE)}, {Q.best()}, {Q.redundant()}, {Q.fact()} SELECT sum(hundredths) FROM fact) AS c)""")
 def volume_overlap(cat):
-    links = X.select_links(cat["x_request_link"], {"m0", "m1", "m2"})
+    links = X.select_links(cat["x_request_link"], {"m0", "m1", "m2"}, mips=cat["x_mip"])
     return V.overlap(per_variable(cat, by=["mip"], links=links), per_variable(cat, links=links))
 
 
@@ -197,16 +201,16 @@ def volume_tiers(cat):
 
 
 @query("intersection", f"""
-WITH {Q.requests(by_mip=True)} SELECT vid FROM (SELECT DISTINCT vid, req_mip FROM vr) GROUP BY vid HAVING count(*) = 5""")
+WITH {Q.requests(by_mip=True)} SELECT vid FROM (SELECT DISTINCT vid, req_mip FROM vr) GROUP BY vid HAVING count(*) = (SELECT count(*) FROM x_mip)""")
 def intersection(cat):
-    return R.intersection(selected(cat, by=["mip"]), len(MIPS))
+    return R.intersection(selected(cat, by=["mip"]), cat["x_mip"])
 
 
 @query("union_request", f"""
 WITH {Q.requests(mips="'m0', 'm3'")}, {Q.best()} SELECT vid, expt, grid, years FROM vy""")
 def union_request(cat):
     # one selection of two projects: what both ask for counts once, with the larger number of years
-    return R.variable_years(variable_requests(cat, links=X.select_links(cat["x_request_link"], {"m0", "m3"})), POLICY)
+    return R.variable_years(variable_requests(cat, links=X.select_links(cat["x_request_link"], {"m0", "m3"}, mips=cat["x_mip"])), POLICY)
 
 
 _TWO = "'m0', 'm1'"
@@ -218,7 +222,7 @@ SELECT b.vid, b.expt, b.grid, CASE WHEN a.vid IS NULL THEN b.years ELSE b.years
  ON a.vid = b.vid AND a.expt = b.expt AND a.grid = b.grid WHERE a.vid IS NULL OR b.years > a.years""")
 def one_sided_difference(cat):
     def years(mip):
-        links = X.select_links(cat["x_request_link"], {mip})
+        links = X.select_links(cat["x_request_link"], {mip}, mips=cat["x_mip"])
         return R.variable_years(variable_requests(cat, links=links), POLICY)
 
     return V.one_sided_difference(years("m0"), years("m1"), ["vid", "expt", "grid"], "years")
@@ -326,6 +330,12 @@ def request_summary(cat):
     return V.request_summary(cat["x_request_item"], cat["x_request_link"], cat["x_request_var"], 2)
 
 
+@query("request_items", """
+SELECT DISTINCT rv.vid, i.uid AS item FROM x_request_item i JOIN x_request_link l ON i.rlid = l.uid JOIN x_request_var rv ON rv.vgid = l.refid WHERE rv.priority <= 2""")
+def request_items(cat):
+    return V.request_items(cat["x_request_item"], cat["x_request_link"], cat["x_request_var"], 2)
+
+
 ASKED = f"""{Q.MEMBERS}, {Q.SIZED},
 r AS (SELECT m.expt, m.design_mip, m.yps, m.tier1, m.tier2, m.ensz1, m.ensz2, rv.vid, i.ny, i.nenmax FROM x_request_item i
  JOIN x_request_link l ON i.rlid = l.uid JOIN members m ON i.esid = m.esid JOIN x_request_var rv ON rv.vgid = l.refid
@@ -357,11 +367,15 @@ def experiment_summary(cat):
 
 @query("two_key_index", """
 SELECT mip_table, frequency, 'count' AS kind, count(*) AS value FROM x_cmorvar GROUP BY mip_table, frequency
-UNION ALL SELECT mip_table, frequency, 'sum', CAST(sum(row_index) AS BIGINT) FROM x_cmorvar GROUP BY mip_table, frequency""")
+UNION ALL SELECT mip_table, frequency, 'sum', CAST(sum(row_index) AS BIGINT) FROM x_cmorvar GROUP BY mip_table, frequency
+UNION ALL SELECT mip_table, frequency, 'outputs', CAST(sum(CASE frequency WHEN 'mon' THEN 12 WHEN 'day' THEN 365 WHEN '6hr' THEN 1460 WHEN 'yr' THEN 1 WHEN 'monC' THEN 12 WHEN '3hr' THEN 2920
+ WHEN 'fx' THEN 0.01 WHEN '1hrClimMon' THEN 288 END) * 100 AS BIGINT) FROM x_cmorvar GROUP BY mip_table, frequency""")
 def two_key_index(cat):
     v = cat["x_cmorvar"]
     n = V.two_key_index(v, "mip_table", "frequency").withColumn("kind", F.lit("count"))
-    return n.unionByName(V.two_key_index(v, "mip_table", "frequency", "row_index").withColumn("kind", F.lit("sum")))
+    total = V.two_key_index(v, "mip_table", "frequency", "row_index").withColumn("kind", F.lit("sum"))
+    outputs = V.two_key_index(v, "mip_table", "frequency", "frequency", {f: round(100 * x) for f, x in OUTPUTS_PER_YEAR.items()}).withColumn("kind", F.lit("outputs"))
+    return n.unionByName(total).unionByName(outputs)
 
 
 @query("two_key_list", "SELECT mip_table, frequency, uid AS value FROM x_cmorvar")

@@ -7,6 +7,7 @@ attributes) and is the only thing read on the driver, to build the ``StructType`
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,25 +156,28 @@ def load(spark: SparkSession, pairs: list[tuple[str | None, str]], schema_only:
     meta_attribute = union_all([a for _, a in definitions])
     if schema_only:
         return Collection(meta_section, meta_attribute, {}, None, None, None)
-    sections: dict[str, DataFrame] = {}
+    parts: dict[str, list[DataFrame]] = {}
     problems, kinds = [], {}
     for (doc, _), (_, attributes) in zip(pairs, definitions):
         for name, schema in section_schemas(attributes).items():
             if name.startswith("__"):
                 continue
             text, _ = read_section(spark, doc, name, schema)
-            sections[name] = typed(text, schema.types, schema.required)
+            parts.setdefault(name, []).append(typed(text, schema.types, schema.required))
             problems.append(violations(text, name, schema.types, schema.required))
             if schema.links:
-                kinds[name] = schema.links
+                kinds.setdefault(name, {}).update(schema.links)
+    # a section that several documents hold is one section; an attribute that a document does not declare is unset there
+    sections = {name: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found) for name, found in parts.items()}
     links = edges(sections, kinds) if kinds else None
     return Collection(meta_section, meta_attribute, sections, union_all(problems), links, uid_index(sections))
 
 
 def read_versions(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``(document, version)`` from the version element of each document."""
-    doc = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("document"), "value")
-    return doc.select("document", F.regexp_extract("value", r"<pav:version>([^<]*)</pav:version>", 1).alias("version"))
+    line = spark.read.text(paths).select(F.input_file_name().alias("document"), F.regexp_extract("value", r"<pav:version>([^<]*)</pav:version>", 1).alias("version"))
+    found = line.groupBy("document").agg(F.max("version").alias("version"))          # lines without one are empty
+    return found
 
 
 def version_conflict(versions: DataFrame) -> DataFrame:

@@ -98,6 +98,10 @@ def test_selection_forms(world, table):
     pick = lambda s: [r[0] for r in rows(X.select_links(links, s, objectives, marks), "uid")]
     assert pick("TOTAL") == ["l1", "l2", "l3", "l4"] and pick("m2") == ["l2", "l3"] and pick({"m1", "m3"}) == ["l1", "l4"]
     assert pick({"m1": [], "m2": ["o1"]}) == ["l1", "l3"]
+    known = table("uid string", [("m1",), ("m2",)])
+    assert X.select_links(links, {"m1", "m2"}, mips=known).count() == 3
+    with pytest.raises(ValueError, match="m9"):
+        X.select_links(links, {"m1", "m9"}, mips=known)
     assert X.parse_selection("a,b", add="c") == {"a", "b", "c"} and X.parse_selection("a:x.y,b") == {"a": ["x", "y"], "b": []}
     with pytest.raises(ValueError):
         X.parse_selection("a:b:c")
@@ -223,7 +227,7 @@ def test_unique_years_equals_the_definition(spark, table):
         others = best([d for d in data if d[4] != m])
         expected += [(m, *k, y - others.get(k, 0)) for k, y in total.items() if y > others.get(k, 0)]
     df = table("vid string, expt string, grid string, years bigint, req_mip string", data)
-    assert rows(V.unique_years(R.variable_years(df, R.Policy(), ["mip"]), ["m0", "m1", "m2", "m3"], R.Policy())) == sorted(expected)
+    assert rows(V.unique_years(R.variable_years(df, R.Policy(), ["mip"]), R.Policy())) == sorted(expected)
 
 
 def test_reconcile_top_and_matrix(table):
@@ -436,3 +440,20 @@ def test_a_key_of_most_rows_is_spread_over_tasks(spark, table, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_last_of_several_updates_counts(table):
+    section = table("uid string, label string, rank bigint", [("a", "x", 1), ("b", "y", 2)])
+    updates = table("uid string, attr string, value string, position bigint", [("a", "rank", "9", 1), ("a", "rank", "10", 2), ("b", "label", "z", 1), ("b", "label", "w", 0)])
+    assert rows(E.apply_updates(section, updates, {"label": "xs:string", "rank": "xs:integer"})) == [("a", "x", 10), ("b", "z", 2)]
+
+
+def test_records_under_their_values(table):
+    df = table("uid string, label string, sn string", [("a", "x", "n"), ("b", "x", "__unset__"), ("c", None, "n")])
+    assert rows(L.value_index(df, "label", "sn")) == [("label", "x", "a"), ("label", "x", "b"), ("sn", "n", "a"), ("sn", "n", "c")]
+
+
+def test_quantities_by_standard_name(table):
+    var = table("uid string, title string, units string, description string, label string, sn string", [("q1", "T", "K", "d", "b", "n2"), ("q2", "U", "K", "d", "a", "n2"), ("q3", "V", "K", "d", "c", "n1"), ("q4", "W", "K", "d", "d", "n0")])
+    got = T.quantity_records(table("vid string", [("q1",), ("q2",), ("q3",), ("q3",)]), var).collect()
+    assert [(r["sn"], r["label"]) for r in got] == [("n1", "c"), ("n2", "a"), ("n2", "b")]

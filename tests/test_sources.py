@@ -68,6 +68,8 @@ def test_collection(spark, docs):
     assert rows(got.index, "uid", "section") == [("n1", "name"), ("v1", "var"), ("v2", "var"), ("v3", "var")]
     _, head = C.read_section(spark, pairs[0][0], "var", C.section_schemas(got.meta_attribute)["var"])
     assert rows(head, "label", "title", "records") == [("var", "1.2 Quantity", 3)] and rows(C.repeated_sections(head.union(head))) == [("var", 2)]
+    both = C.load(spark, [pairs[0], (str(docs / "doc2.xml"), pairs[0][1])])            # two documents with the same sections
+    assert both.sections["var"].count() == 6 and both.sections["name"].count() == 2 and both.index.count() == 8
     only = C.load(spark, pairs, schema_only=True)
     assert only.sections == {} and only.meta_section.count() == 2
 
