@@ -4,8 +4,9 @@ A fingerprint has a bit for each hash bit that most shingles of a text have set.
 fingerprints that differ in few bits agree wholly in at least one of several blocks, so the fingerprints are dealt by
 the value of each block, and each group, ordered by its other bits, is a binary trie. The trie is joined with itself:
 pairs of nodes are followed together from the root, the bits in which they differ are added up, and a pair over the
-budget is dropped. Small pairs of nodes are compared bit by bit. A task hands on a star for each set of linked
-fingerprints, never all its pairs, and components are found over those links.
+budget is dropped. Small pairs of nodes are compared bit by bit. Of the links that a task finds it hands on a forest of the
+closest ones, never all pairs of a set, and components are found over those links. Where a similarity is asked for, each
+of these links is first checked on the two texts' sets of shingles.
 """
 
 from __future__ import annotations
@@ -154,8 +155,8 @@ class TrieJoin:
             self.ones[depth] = np.concatenate([np.zeros(1, np.int32), np.cumsum(bit, dtype=np.int32)])
         return self.ones[depth]
 
-    def _compare(self, a, ae, b, be) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Links among the fingerprints below pairs of nodes, in blocks of bounded size."""
+    def _compare(self, a, ae, b, be) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Links among the fingerprints below pairs of nodes and their differing bits, in blocks of bounded size."""
         rows = np.repeat(np.arange(len(a)), ae - a)
         left = np.arange(len(rows)) - np.repeat(np.cumsum(ae - a) - (ae - a), ae - a) + a[rows]
         low = np.where(a[rows] == b[rows], left + 1, b[rows])                    # within one node each pair once
@@ -165,10 +166,11 @@ class TrieJoin:
             n = sizes[i:j]
             x = np.repeat(left[i:j], n)
             y = np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[i:j], n)
-            near = np.bitwise_count(self.codes[x] ^ self.codes[y]).sum(axis=1) <= self.budget
-            yield x[near], y[near]
+            differ = np.bitwise_count(self.codes[x] ^ self.codes[y]).sum(axis=1, dtype=np.int64)
+            near = differ <= self.budget
+            yield x[near], y[near], differ[near]
 
-    def links(self, a, ae, b, be) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def links(self, a, ae, b, be) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Links between the ranges [a, ae) and [b, be); equal ranges are joined with themselves."""
         stack = [(0, a, ae, b, be, np.zeros(len(a), dtype=np.int16))]
         while stack:
@@ -196,26 +198,48 @@ class TrieJoin:
             stack.append((depth + 1, *(np.concatenate(v) for v in new)))
 
 
-def _stars(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The least index linked to each of n indexes, directly or through others."""
-    root = np.arange(n)
-
-    def up(x):
-        while True:
-            higher = root[x]
-            if np.array_equal(root[higher], higher):
-                return higher
-            root[x] = root[higher]
-
-    for x, y in links:
-        while len(x):
-            x, y = up(x), up(y)
-            differ = x != y
-            x, y = x[differ], y[differ]
-            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-    while not np.array_equal(root[root], root):
-        root = root[root]
-    return root
+def _spanning(n: int, x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """Which links form the cheapest forest over n indexes: every tree takes its cheapest link out, until none is left."""
+    root, taken = np.arange(n), np.zeros(len(x), dtype=bool)
+    order = np.empty(len(x), dtype=np.int64)
+    order[np.argsort(cost, kind="stable")] = np.arange(len(x))                     # no two links cost the same
+    link = np.empty(len(x) + 1, dtype=np.int64)
+    link[order] = np.arange(len(x))
+    open_ = np.arange(len(x))
+    while True:
+        a, b = root[x[open_]], root[y[open_]]
+        out = a != b
+        open_, a, b = open_[out], a[out], b[out]
+        if not len(open_):
+            return taken
+        best = np.full(n, len(x), dtype=np.int64)
+        np.minimum.at(best, a, order[open_])
+        np.minimum.at(best, b, order[open_])
+        tree = np.flatnonzero(best < len(x))
+        chosen = link[best[tree]]
+        taken[chosen] = True
+        p, q = root[x[chosen]], root[y[chosen]]
+        other = np.where(p == tree, q, p)
+        mutual = (best[other] == best[tree]) & (tree < other)                      # of two trees that choose each other the lower stays
+        root[tree] = np.where(mutual, tree, other)
+        while not np.array_equal(root[root], root):
+            root = root[root]
+
+
+def _forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of the closest links over n indexes, from links that come in blocks."""
+    kept_links = [np.zeros(0, np.int64)] * 3
+    waiting, size = [], 0
+    for block in links:
+        waiting.append(block)
+        size += len(block[0])
+        if size >= FRONTIER:
+            x, y, d = (np.concatenate(v) for v in zip(kept_links, *waiting))
+            own = _spanning(n, x, y, d)
+            kept_links, waiting, size = [x[own], y[own], d[own]], [], 0
+    x, y, d = (np.concatenate(v) for v in zip(kept_links, *waiting))
+    own = _spanning(n, x, y, d)
+    return x[own], y[own]
 
 
 def _cells(nodes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -259,9 +283,9 @@ def _joined(scheme: Scheme):
         b, be = np.concatenate([run[own], run[first + 1]]), np.concatenate([ends[own], ends[first + 1]])
         rest = {w - width for _, width, _, w in parts}
         trie = TrieJoin(keys, codes, scheme.budget, scheme.slack, max(rest) if scheme.slack else 0)
-        root = _stars(len(node), trie.links(a, ae, b, be))
-        linked = np.flatnonzero(root != np.arange(len(node)))
-        return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[root[linked]])], ["a", "b"])
+        x, y = _forest(len(node), trie.links(a, ae, b, be))
+        x, y = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
@@ -298,17 +322,53 @@ def linked_nodes(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     return ordered.mapInArrow(_joined(scheme), "a long, b long")
 
 
-def near_groups(df: DataFrame, scheme: Scheme = LINKS_OF_FOUR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shingle_set(text: str, shingle: int) -> frozenset:
+    """The distinct shingles of a text, as for its fingerprint."""
+    parts = text.encode("utf-8").lower().split()
+    width = min(shingle, len(parts))
+    return frozenset(b" ".join(parts[i:i + width]) for i in range(len(parts) - width + 1)) if parts else frozenset()
+
+
+def checked_links(links: DataFrame, nodes: DataFrame, df: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The links whose two texts have that Jaccard similarity of their sets of shingles; two without words are alike.
+
+    ``nodes`` tells by k1 and k2 the row of ``df(doc_id, text)`` that stands for a node. Only texts of linked nodes travel.
+    """
+    links = kept(links.distinct(), "links")
+    asked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = nodes.join(asked, "node").select("node", F.col("least.k1").alias("k1"), F.col("least.k2").alias("k2"))
+    keyed = df.select(*row_key("doc_id", "text"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = kept(keyed.join(wanted, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "text"), "linked-texts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = []
+            for s, t in zip(batch.column(2), batch.column(3)):
+                s, t = shingle_set(s.as_py(), shingle), shingle_set(t.as_py(), shingle)
+                alike.append(len(s & t) >= similarity * len(s | t))
+            chosen = pa.array(alike, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], ["a", "b"])
+
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text"))
+    pairs = links.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_text", "b_text")
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def near_groups(df: DataFrame, scheme: Scheme = LINKS_OF_FOUR, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
     """``doc_id, k1, k2, fp, component_id, first``: the smallest id that links reach, and whether the row is the one to stay.
 
     Null and empty texts have the zero fingerprint and link like any other. The row that stays is the first of its
     component by id (null ids last) and then by hash. Long texts are fingerprinted whole; other columns are not read.
+    With a ``similarity`` a link also needs that Jaccard similarity of the texts' shingles, at their full length.
     """
     rows = kept(fingerprints(df, scheme, id_col, text_col), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("k1").alias("k1"), F.col("k2").alias("k2"))
     distinct = rows.groupBy("fp").agg(F.min(place).alias("least"))
     nodes = kept(distinct.select("fp", "least", F.monotonically_increasing_id().alias("node")), "nodes")
-    member = components(linked_nodes(nodes, scheme))
+    links = linked_nodes(nodes, scheme)
+    if similarity is not None:
+        links = checked_links(links, nodes, id_and_text(df, id_col, text_col), scheme.shingle, similarity)
+    member = components(links)
     linked = nodes.join(member, "node")
     roots = linked.groupBy("root").agg(F.min("least").alias("reached"))
     moved = linked.join(roots, "root").select("node", "reached")

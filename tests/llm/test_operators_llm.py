@@ -451,6 +451,26 @@ def test_near_duplicates_of_a_text_go_and_others_stay(spark):
     assert kept == {5 * g for g in range(20)} | {1000 + j for j in range(50)}
 
 
+def test_near_duplicates_are_those_of_the_similarity(spark):
+    """Against all pairs of the shingle sets, on the given texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    own = {r.doc_id: simhash.shingle_set(r.text or "", 5) for r in docs.collect()}
+    order, root = sorted(own), {k: k for k in own}
+
+    def up(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, a in enumerate(order):
+        for b in order[i + 1:]:
+            if len(own[a] & own[b]) >= 0.8 * len(own[a] | own[b]):
+                root[max(up(a), up(b))] = min(up(a), up(b))
+    want = {k for k in order if up(k) == k}
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert want <= got and len(got - want) <= 2
+
+
 def test_the_pipeline_ends_in_packed_sequences(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "pii", "packing"]
     rows = corpus_pipeline.run(spark, SMALL).toPandas()

@@ -88,15 +88,29 @@ def test_a_summary_holds_every_frequent_item(items, counters):
     assert {x.encode() for x in set(items) if items.count(x) * (counters + 1) > len(items)} <= set(out["digest"])
 
 
-def test_components_of_links_within_a_task():
+@pytest.mark.parametrize("block", [7, 1000])
+def test_a_forest_has_the_closest_links(block, monkeypatch):
+    monkeypatch.setattr(simhash, "FRONTIER", 50)
     rng = random.Random(4)
-    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)]
-    root = simhash._stars(200, iter([(np.array([a for a, _ in links]), np.array([b for _, b in links]))]))
-    want = list(range(200))
-    for _ in range(200):
-        for a, b in links:
-            want[a] = want[b] = min(want[a], want[b])
-    assert root.tolist() == want
+    links = [(rng.randrange(120), rng.randrange(120), rng.randrange(6)) for _ in range(400)]
+    blocks = (tuple(np.array(v) for v in zip(*links[i:i + block])) for i in range(0, len(links), block))
+    x, y = simhash._forest(150, blocks)
+    cost = {}
+    for a, b, d in links:
+        cost[a, b] = min(d, cost.get((a, b), 9))
+
+    def grow(pairs):
+        root, total, n = list(range(150)), 0, 0
+        up = lambda v: v if root[v] == v else up(root[v])
+        for a, b in pairs:
+            if up(a) != up(b):
+                root[up(a)] = up(b)
+                total, n = total + cost[a, b], n + 1
+        return total, n, [up(v) for v in range(150)]
+
+    got, want = grow(list(zip(x.tolist(), y.tolist()))), grow(sorted(cost, key=cost.get))
+    assert got[:2] == want[:2] and got[1] == len(x)
+    assert len(set(zip(got[2], want[2]))) == len(set(got[2])) == len(set(want[2]))
 
 
 @pytest.mark.parametrize("scheme", [simhash.LINKS_OF_FOUR, simhash.Scheme(4, 64, 9, 5, 1), simhash.Scheme(5, 128, 7, 4, 1)])
@@ -122,7 +136,7 @@ def test_trie_join_finds_every_link(scheme):
             own = own[np.argsort(keys[own], kind="stable")]
             trie = simhash.TrieJoin(keys[own], codes[own], scheme.budget, scheme.slack, block - width if scheme.slack else 0)
             zero, all_ = np.array([0]), np.array([len(own)])
-            for x, y in trie.links(zero, all_, zero, all_):
+            for x, y, _ in trie.links(zero, all_, zero, all_):
                 found |= {(min(own[a], own[b]), max(own[a], own[b])) for a, b in zip(x, y)}
     n = np.bitwise_count(codes[:, None] ^ codes[None]).sum(axis=2)
     assert found == {(a, b) for a, b in zip(*np.nonzero(n <= scheme.budget)) if a < b}
