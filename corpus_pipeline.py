@@ -16,9 +16,10 @@ from gridledger.llm.queries import VOCABULARY
 #: Less than this share of a document's trigrams in any language learned, and it is rejected.
 LEAST_LANGUAGE_SHARE = 0.5
 
-#: Five-word shingles. Fingerprints of 256 bits differ in 39 on average at a similarity of 0.8; 44 allows for a standard
-#: deviation. At that similarity 99 in 100 links have a block with at most one bit different, at a higher one more.
-NEAR = simhash.Scheme(shingle=5, bits=256, budget=44, blocks=16, slack=1)
+#: Five-word shingles and a similarity of 0.8, checked on the texts. Fingerprints of 256 bits differ in 39 on average, give or
+#: take 6, at that similarity; 52 lets 99 in 100 such pairs through. As many have a block with at most one bit different.
+NEAR = simhash.Scheme(shingle=5, bits=256, budget=52, blocks=16, slack=1)
+LEAST_SIMILARITY = 0.8
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near duplicates the document with the smallest id."""
-    stays = simhash.near_groups(docs, NEAR).where("first").select("k1", "k2")
+    stays = simhash.near_groups(docs, NEAR, similarity=LEAST_SIMILARITY).where("first").select("k1", "k2")
     plain, names = by_position(docs)
     keyed = plain.select("*", *simhash.row_key(F.col(names["doc_id"]).cast("long"), F.col(names["text"]).cast("string")))
     return keyed.join(stays, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*plain.columns).toDF(*docs.columns)
