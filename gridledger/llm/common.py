@@ -29,6 +29,24 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with more than one in so many of all rows is met by broadcast; there are fewer than this many such keys.
+HOT_ONE_IN = 1000
+
+
+def join_counted(rows: DataFrame, one: DataFrame, keys: list[str], one_in: int | None = None) -> DataFrame:
+    """``rows`` with the columns of ``one``, which has a row for each of their keys and in ``n`` how many rows it has.
+
+    The few keys with more than one in ``one_in`` of all rows are broadcast, so that their rows stay where they are; no task
+    of the shuffled rest gets more than that share of one key. ``one`` is read several times and should be a kept table.
+    """
+    share = one_in or HOT_ONE_IN
+    total = one.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * share > total
+    hot = F.broadcast(one.where(is_hot).drop("n"))
+    cold = one.where(~is_hot).drop("n")
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, also where the body names it inside other lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import by_position, kept
+from gridledger.llm.common import by_position, join_counted, kept
 
 WINDOW = 3
-#: A window with more than one in so many of all occurrences is met by broadcast; there are fewer than this many of them.
+#: A window with more than one in so many occurrences of repeated ones is met by broadcast; there are fewer than this many.
 HOT_ONE_IN = 1000
 
 
@@ -36,14 +36,9 @@ def windows(df: DataFrame, width: int = WINDOW) -> DataFrame:
 
 def later_windows(found: DataFrame) -> DataFrame:
     """The occurrences of repeated windows that are not the first of their window."""
-    total = found.count()
     place = F.struct("doc_id", "th", "pos")
     counts = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = kept(counts, "repeated-windows")
-    is_hot = F.col("n") * HOT_ONE_IN > total
-    hot = F.broadcast(repeated.where(is_hot))
-    cold = repeated.where(~is_hot)
-    met = found.join(hot, ["h1", "h2"]).unionByName(found.join(hot, ["h1", "h2"], "left_anti").join(cold, ["h1", "h2"]))
+    met = join_counted(found, kept(counts, "repeated-windows"), ["h1", "h2"], HOT_ONE_IN)
     return met.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "th", "pos")
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import id_and_text, kept
+from gridledger.llm.common import id_and_text, join_counted, kept
 from gridledger.llm.graph import components
 
 #: Fingerprints of a group that one task joins; a larger group is cut into slices, and each pair of slices is a task.
@@ -363,16 +363,16 @@ def near_groups(df: DataFrame, scheme: Scheme = LINKS_OF_FOUR, id_col: str = "do
     """
     rows = kept(fingerprints(df, scheme, id_col, text_col), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("k1").alias("k1"), F.col("k2").alias("k2"))
-    distinct = rows.groupBy("fp").agg(F.min(place).alias("least"))
-    nodes = kept(distinct.select("fp", "least", F.monotonically_increasing_id().alias("node")), "nodes")
+    distinct = rows.groupBy("fp").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n"))
+    nodes = kept(distinct.select("fp", "least", "n", F.monotonically_increasing_id().alias("node")), "nodes")
     links = linked_nodes(nodes, scheme)
     if similarity is not None:
         links = checked_links(links, nodes, id_and_text(df, id_col, text_col), scheme.shingle, similarity)
     member = components(links)
-    linked = nodes.join(member, "node")
-    roots = linked.groupBy("root").agg(F.min("least").alias("reached"))
-    moved = linked.join(roots, "root").select("node", "reached")
-    whole = nodes.join(moved, "node", "left").select("fp", F.coalesce("reached", "least").alias("reached"))
-    out = rows.join(whole, "fp")                                                     # unique on the right; hot fingerprints split at run time
+    linked = kept(nodes.join(member, "node").select("node", "root", "least"), "linked")
+    roots = kept(linked.groupBy("root").agg(F.min("least").alias("reached"), F.count(F.lit(1)).alias("n")), "roots")
+    moved = join_counted(linked, roots, ["root"]).select("node", "reached")
+    whole = kept(nodes.join(moved, "node", "left").select("fp", "n", F.coalesce("reached", "least").alias("reached")), "reached")
+    out = join_counted(rows, whole, ["fp"])
     first = (F.col("k1") == F.col("reached.k1")) & (F.col("k2") == F.col("reached.k2"))
     return out.select("doc_id", "k1", "k2", "fp", F.col("reached.d").alias("component_id"), first.alias("first"))
