@@ -3,28 +3,42 @@
 The file's normaliser and pre-tokenizer cut a text into words, runs of marks and single digits, each of which the library's
 model encodes by itself. Those pieces are found with the file's own pattern, a worker keeps the ids of pieces it has
 met, up to a bound, and the library encodes the others. Words with characters outside Latin-1 go through the library's
-whole pipeline, and so do texts that spell out a special token.
+whole pipeline, and so do texts that spell out a special token, and all texts if the file cuts them in another way.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import re
 from collections.abc import Iterator
 
 import numpy as np
 
 #: Pieces whose ids a worker keeps; a full table starts anew.
-PIECES_KEPT = 800_000
+PIECES_KEPT = 500_000
 LONGEST_KEPT = 64
 
-# The pre-tokenizer's pattern within Latin-1 after lower-casing, where \p{L} is _LETTER and \p{N} is _NUMBER.
+# The steps of the file that are followed here, and its pattern within Latin-1 after lower-casing, where
+# \p{L} is _LETTER and \p{N} is _NUMBER.
+_STEPS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTER, _NUMBER, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 _WORD = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _OTHER = re.compile(r"[^\x00-\xff]")
 
 
+def _follows(conf: dict) -> bool:
+    """Whether a file cuts texts as this module does."""
+    try:
+        first, second = conf["normalizer"]["normalizers"], conf["pre_tokenizer"]["pretokenizers"]
+        return (([x["type"] for x in first], [x["type"] for x in second]) == _STEPS and first[1]["pattern"] == {"Regex": r"\s+"}
+                and second[0]["pattern"] == {"Regex": _PATTERN} and second[0]["invert"] and not second[1]["add_prefix_space"])
+    except (KeyError, TypeError, IndexError):
+        return False
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to the library's ids of the whole text."""
 
@@ -32,6 +46,7 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.follows = _follows(json.loads(self.tokenizer.to_str()))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes_as_text = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
@@ -54,6 +69,8 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.follows:
+            return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
         cut = [[] if i in whole else self._cut(t) for i, t in enumerate(texts)]
         known = self.pieces
