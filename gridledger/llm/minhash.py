@@ -28,7 +28,10 @@ def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
 
     def runs(h: Column) -> Column:
         last = F.greatest(F.size(h) - shingle + 1, F.lit(1))
-        return F.when(F.size(h) > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(h, i, shingle))))
+        def run(i: Column) -> Column:
+            return F.xxhash64(*[F.get(h, i + k) for k in range(shingle)])          # what is beyond the end leaves the hash as it is
+
+        return F.when(F.size(h) > 0, F.transform(F.sequence(F.lit(0), last - 1), run))
 
     return F.coalesce(let(hashed, runs), F.array().cast("array<bigint>"))
 
@@ -39,44 +42,46 @@ def _bin(x: Column, bins: int) -> Column:
     return (F.shiftright(x, 64 - width) + (bins // 2)).cast("int")
 
 
-def _order(bin_: Column, tried: int, bins: int) -> Column:
-    """The bin that an empty bin looks at as its ``tried``-th: an affine walk through all bins with a random odd step."""
+def _walk(bin_: Column, bins: int) -> Column:
+    """Start and odd step of the affine walk through all bins that an empty bin takes."""
     walk = F.xxhash64(F.lit("walk"), bin_)
-    return F.pmod(walk + F.lit(tried) * (F.shiftright(walk, 20).bitwiseOR(F.lit(1))), F.lit(bins)).cast("int")
+    return F.struct(F.pmod(walk, F.lit(bins)).cast("int").alias("start"), F.pmod(F.shiftright(walk, 20).bitwiseOR(F.lit(1)), F.lit(bins)).cast("int").alias("step"))
 
 
 def bin_values(hashes: Column, bins: int = BINS) -> Column:
     """The value of every bin, empty ones filled; null if there is no hash at all."""
 
     def least(h: Column) -> Column:
-        return F.filter(h, lambda x, i: (i == 0) | (_bin(x, bins) != _bin(F.element_at(h, F.greatest(i, F.lit(1))), bins)))
+        shift = 64 - (bins.bit_length() - 1)
+        top = lambda x: F.shiftright(x, shift)
+        return F.filter(h, lambda x, i: F.when(i == 0, F.lit(True)).otherwise(top(x) != top(F.get(h, i - 1))))
 
     def spread(m: Column) -> Column:
         """Filled bins at their place and nulls between them."""
         nothing = F.lit(None).cast("bigint")
 
         def with_gap(x: Column, i: Column) -> Column:
-            before = F.when(i == 0, F.lit(-1)).otherwise(_bin(F.element_at(m, F.greatest(i, F.lit(1))), bins))
+            before = F.when(i == 0, F.lit(-1)).otherwise(_bin(F.get(m, i - 1), bins))
             return F.concat(F.array_repeat(nothing, _bin(x, bins) - before - 1), F.array(x))
 
         tail = F.array_repeat(nothing, F.lit(bins - 1) - _bin(F.element_at(m, -1), bins))
         return F.concat(F.flatten(F.transform(m, with_gap)), tail)
 
     def filled(m: Column) -> Column:
-        def steps(i: Column, x: Column) -> Column:
-            """How far along bin i's walk a filled bin lies: (bin - start) times the inverse of the odd step."""
-            walk = F.xxhash64(F.lit("walk"), i)
-            step = F.pmod(F.shiftright(walk, 20).bitwiseOR(F.lit(1)), F.lit(bins)).cast("int")
-            start = F.pmod(walk, F.lit(bins)).cast("int")
-            inverse = step
+        def first_of_all(w: Column) -> Column:
+            """The filled bin that comes first on a walk: it lies (bin - start) times the inverse of the odd step along it."""
+            inverse = w["step"]
             for _ in range(ceil(log2(max(3, bins.bit_length() - 1) / 3))):               # each doubles the 3 bits that are right
-                inverse = F.pmod(inverse * (F.lit(2) - F.pmod(step * inverse, F.lit(bins))), F.lit(bins))
-            return let(F.struct(inverse.alias("v"), start.alias("s")),
-                       lambda w: F.array_min(F.transform(x, lambda y: F.struct(F.pmod((_bin(y, bins) - w["s"]) * w["v"], F.lit(bins)).alias("far"), y.alias("y"))))["y"])
+                inverse = F.pmod(inverse * (F.lit(2) - F.pmod(w["step"] * inverse, F.lit(bins))), F.lit(bins))
+            return let(F.struct(inverse.alias("v"), w["start"].alias("s")), lambda c: F.array_min(F.transform(
+                m, lambda y: F.struct(F.pmod((_bin(y, bins) - c["s"]) * c["v"], F.lit(bins)).alias("far"), y.alias("y"))))["y"])
+
+        def taken(d: Column, w: Column) -> Column:
+            tries = [F.get(d, F.pmod(w["start"] + F.lit(t) * w["step"], F.lit(bins))) for t in range(PROBES)]
+            return F.coalesce(*tries, first_of_all(w))
 
         def value(d: Column, x: Column, i: Column) -> Column:
-            tries = [F.element_at(d, _order(i, t, bins) + 1) for t in range(PROBES)]
-            return F.coalesce(x, *tries, steps(i, m))
+            return F.when(x.isNotNull(), x).otherwise(let(_walk(i, bins), lambda w: taken(d, w)))
 
         return let(spread(m), lambda d: F.transform(d, lambda x, i: value(d, x, i)))
 
@@ -94,7 +99,7 @@ def packed(values: Column, bins: int = BINS, low_bits: int = LOW_BITS) -> Column
     def word(v: Column, w: int) -> Column:
         return F.aggregate(F.slice(v, w * per_word + 1, per_word), F.lit(0).cast("bigint"), lambda a, x: F.shiftleft(a, low_bits).bitwiseOR(x.bitwiseAND(F.lit(mask).cast("bigint"))))
 
-    return F.when(values.isNotNull(), let(values, lambda v: F.array(*[word(v, w) for w in range(bins // per_word)])))
+    return let(values, lambda v: F.when(v.isNotNull(), F.array(*[word(v, w) for w in range(bins // per_word)])))
 
 
 def fingerprint(text: Column, shingle: int = SHINGLE, bins: int = BINS, low_bits: int = LOW_BITS) -> Column:
