@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +28,8 @@ from gridledger.llm.common import id_and_text, kept
 
 #: Characters of a chunk. Texts up to this long are one chunk, with nothing to combine.
 CHUNK = 16_384
-WORDS_KEPT, LONGEST_KEPT = 400_000, 48
+#: What a worker keeps: words as written, and the units they are cut into; a full table starts anew.
+WORDS_KEPT, UNITS_KEPT, LONGEST_KEPT = 150_000, 350_000, 48
 #: Score of an unknown character below the least of any piece, as in the library.
 UNKNOWN_PENALTY = 10.0
 _SPACE = "▁"
@@ -48,17 +51,33 @@ class Lattice:
         self.special = special
         self.pieces = {self.text[i]: (float(self.file.get_score(i)), i) for i in range(size) if i not in special and i not in self.byte}
         self.longest = max(map(len, self.pieces))
-        self.root: dict = {}                                       # a trie of the pieces; the end of one is at ""
-        for piece, found in self.pieces.items():
+        self.root: dict = {}                                       # a trie: from each character to score and id (or -1), and on
+        for piece in sorted(self.pieces):
             node = self.root
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = found
+            for i, c in enumerate(piece):
+                score, number = self.pieces[piece] if i == len(piece) - 1 else (NONE, -1)
+                if c not in node or number >= 0:
+                    node[c] = score, number, node[c][2] if c in node else {}
+                node = node[c][2]
         self.unknown = min(s for s, _ in self.pieces.values()) - UNKNOWN_PENALTY
         self.unknown_id = self.file.unk_id()
         #: A space mark after another character begins a word that no piece reaches into.
         self.words_apart = not any(_SPACE in p.lstrip(_SPACE) for p in self.pieces)
-        self.words: dict[str, tuple[float, tuple[int, ...]]] = {}
+        marks = re.escape("".join(sorted(self._marks())))
+        self.units = re.compile(f"{_SPACE}+[{marks}]*[^{_SPACE}{marks}]*|[{marks}]+[^{_SPACE}{marks}]*|[^{_SPACE}{marks}]+" if marks else f"{_SPACE}+[^{_SPACE}]*|[^{_SPACE}]+", re.S)
+        self.scores = np.array([self.unknown if i == self.unknown_id or (i in self.byte and not 0x80 <= self.byte[i] < 0xC0) else 0.0 if i in special or i in self.byte
+                                else self.pieces[self.text[i]][0] for i in range(size)])
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _marks(self) -> set[str]:
+        """Characters that begin a piece or follow a space mark or one another in it: no piece reaches over to them from a word."""
+        marks = {c for piece in self.pieces for c in piece if not c.isalnum() and c != _SPACE}
+        while True:
+            reached = {b for piece in self.pieces for a, b in zip(piece, piece[1:]) if b in marks and a not in marks and a != _SPACE}
+            if not reached:
+                return marks
+            marks -= reached
 
     def normalised(self, text: str) -> str:
         return self.file.normalize(text) if text else ""
@@ -69,7 +88,7 @@ class Lattice:
         Only pieces that begin in the first ``owned`` characters count; they may end after them. A character that is no
         piece by itself is also an unknown one.
         """
-        n, root = len(text), self.root
+        n, root, pieces = len(text), self.root, self.pieces
         score = starts + [NONE] * (n + 1 - len(starts))
         back = [(-1, -1)] * (n + 1)
         for i in range(min(owned, n)):
@@ -78,29 +97,40 @@ class Lattice:
                 continue
             node, end = root, i
             while end < n:
-                node = node.get(text[end])
-                if node is None:
+                found = node.get(text[end])
+                if found is None:
                     break
                 end += 1
-                found = node.get("")
-                if found and here + found[0] > score[end]:
-                    score[end], back[end] = here + found[0], (i, found[1])
-            if text[i] not in self.pieces and here + self.unknown > score[i + 1]:
+                more, piece, node = found
+                if piece >= 0 and here + more > score[end]:
+                    score[end], back[end] = here + more, (i, piece)
+            if text[i] not in pieces and here + self.unknown > score[i + 1]:
                 score[i + 1], back[i + 1] = here + self.unknown, (i, self.unknown_id)
         return score, back
 
-    def word(self, word: str) -> tuple[float, tuple[int, ...]]:
-        """Score and ids of a word that stands apart."""
-        found = self.words.get(word)
+    def _unit(self, unit: str) -> bytes:
+        """Ids (little-endian, 32 bits) of a piece of text that no piece reaches into or out of."""
+        found = self.known.get(unit)
         if found is None:
-            score, back = self.best(word, [0.0], len(word))
-            found = score[-1], tuple(self._with_bytes(word, self._path(back, len(word))))
-            if len(word) <= LONGEST_KEPT:
-                if len(self.words) >= WORDS_KEPT:
-                    self.words.clear()
-                self.words[word] = found
+            _, back = self.best(unit, [0.0], len(unit))
+            ids, end = [], len(unit)
+            while end:
+                end, piece = back[end]
+                ids.append(piece)
+            ids.reverse()
+            if self.unknown_id in ids:
+                ids = list(self._with_bytes(unit, self._path(back, len(unit))))
+            found = struct.pack(f"<{len(ids)}i", *ids)
+            if len(unit) <= LONGEST_KEPT:
+                if len(self.known) >= UNITS_KEPT:
+                    self.known.clear()
+                self.known[unit] = found
         return found
 
+    def _score(self, ids: bytes) -> float:
+        """Sum of the scores of pieces; of a character in byte pieces its first byte has the unknown score."""
+        return float(self.scores[np.frombuffer(ids, dtype="<i4")].sum())
+
     def _path(self, back, end: int) -> list[tuple[int, int, int]]:
         out = []
         while back[end][0] >= 0:
@@ -122,83 +152,82 @@ class Lattice:
             last = piece == self.unknown_id
 
     def split(self, text: str) -> list[str]:
-        """The text cut before every space mark that follows another character, or whole where pieces reach over."""
+        """The text cut where no piece reaches over, or whole where any may."""
         if not self.words_apart:
             return [text] if text else []
-        out, rest = [], text.split(_SPACE)
-        lead = 0
-        for k, part in enumerate(rest):
-            if k:
-                lead += 1
-            if part:
-                out.append(_SPACE * lead + part)
-                lead = 0
-        if lead:
-            out.append(_SPACE * lead)
-        return out
+        return self.units.findall(text)
+
+    def encoded(self, text: str) -> bytes:
+        """Ids of a normalised text, little-endian, 32 bits; words after a single space mark are kept as a whole."""
+        parts = text.split(_SPACE)
+        words = parts[1:]
+        if not self.words_apart or parts[0] or "" in words:
+            return b"".join(map(self._unit, self.split(text)))
+        known = self.words
+        unknown = {w for w in words if w not in known}
+        if len(known) + len(unknown) > WORDS_KEPT:
+            known.clear()
+            unknown = set(words)
+        known.update((w, b"".join(map(self._unit, self.split(_SPACE + w)))) for w in unknown)
+        return b"".join(map(known.__getitem__, words))
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a normalised text."""
-        ids: list[int] = []
-        known = self.words
-        for w in self.split(text):
-            found = known.get(w)
-            ids += (found or self.word(w))[1]
-        return ids
+        return np.frombuffer(self.encoded(text), dtype="<i4").tolist()
 
     def matrix(self, text: str, owned: int) -> np.ndarray:
         """Best scores from each state at the chunk's start (rows) to each at its end; ``text`` reaches past the chunk."""
         size = self.longest
         out = np.full((size, size), NONE)
         apart = self._apart(text, owned)
-        for state in range(min(size, owned + 1)):
-            if apart is None:
+        if apart is None:
+            for state in range(min(size, owned + 1)):
                 score, _ = self.best(text, [NONE] * state + [0.0], owned)
                 ends = score[owned:owned + size]
-            elif state > apart[0]:                                  # no piece reaches over a cut between words
-                continue
-            else:
-                head, _ = self.best(text[:apart[0]], [NONE] * state + [0.0], apart[0])
-                ends = head[apart[0]] + apart[2]
-            out[state, :len(ends)] = ends
+                out[state, :len(ends)] = ends
+            return out
+        first, last = apart
+        tail, _ = self.best(text[last:], [0.0], owned - last)
+        ends = self._score(self.encoded(text[first:last])) + np.array(tail[owned - last:owned - last + size])
+        for state in range(min(size, first + 1)):                   # no piece reaches over a cut between words
+            head, _ = self.best(text[:first], [NONE] * state + [0.0], first)
+            out[state, :len(ends)] = head[first] + ends
         return out
 
-    def _apart(self, text: str, owned: int) -> tuple[int, int, np.ndarray] | None:
-        """The first and last cut between words in the chunk, and scores from the first cut to the states at the end."""
+    def _apart(self, text: str, owned: int) -> tuple[int, int] | None:
+        """The first and last place in the chunk where a word begins that no piece reaches into."""
         if not self.words_apart:
             return None
-        cuts = [i for i in _word_starts(text) if 0 < i <= owned]
-        if not cuts:
-            return None
-        first, last = cuts[0], cuts[-1]
-        middle = sum(self.word(w)[0] for w in self.split(text[first:last]))
-        tail, _ = self.best(text[last:], [0.0], owned - last)
-        ends = np.array(tail[owned - last:owned - last + self.longest])
-        return first, last, middle + ends
+        first = text.find(_SPACE, 1)
+        while 0 < first <= owned and text[first - 1] == _SPACE:
+            first = text.find(_SPACE, first + 1)
+        last = text.rfind(_SPACE, 1, owned + 1)
+        while last > 0 and text[last - 1] == _SPACE:
+            last = text.rfind(_SPACE, 1, last)
+        return (first, last) if 0 < first <= last else None
+
+    def variants(self, text: str, owned: int, starts: np.ndarray) -> tuple[bytes, list[tuple[int, int, bytes]]]:
+        """The ids that all paths through the chunk share, and for every state at its end that a path reaches: that state, the
+        state at the chunk's start, and the ids after the shared ones."""
+        def ends(score, back, text, at, begin):
+            out = []
+            for state in range(min(self.longest, len(text) - at + 1)):
+                if score[at + state] > NONE:
+                    path = self._path(back, at + state)
+                    first = begin if begin is not None else path[0][0] if path else at + state
+                    ids = list(self._with_bytes(text, path))
+                    out.append((state, first, struct.pack(f"<{len(ids)}i", *ids)))
+            return out
 
-    def variants(self, text: str, owned: int, starts: np.ndarray) -> list[tuple[int, int, list[int]]]:
-        """For every state at the chunk's end that a path reaches: that state, the state at its start, the ids between."""
         apart = self._apart(text, owned)
         if apart is None:
-            score, back = self.best(text, starts.tolist()[:len(text) + 1], owned)
-            out = []
-            for state in range(min(self.longest, len(text) - owned + 1)):
-                if score[owned + state] > NONE:
-                    path = self._path(back, owned + state)
-                    out.append((state, path[0][0] if path else owned + state, list(self._with_bytes(text, path))))
-            return out
-        first, last, _ = apart
+            return b"", ends(*self.best(text, starts.tolist()[:len(text) + 1], owned), text, owned, None)
+        first, last = apart
         _, back = self.best(text[:first], starts.tolist()[:first + 1], first)
         path = self._path(back, first)
-        begin = path[0][0] if path else first
-        ids = [*self._with_bytes(text, path), *self.encode(text[first:last])]
-        score, back = self.best(text[last:], [0.0], owned - last)
-        out = []
-        for state in range(min(self.longest, len(text) - owned + 1)):
-            if score[owned - last + state] > NONE:
-                tail = self._path(back, owned - last + state)
-                out.append((state, begin, [*ids, *self._with_bytes(text[last:], tail)]))
-        return out
+        head = list(self._with_bytes(text, path))
+        shared = struct.pack(f"<{len(head)}i", *head) + self.encoded(text[first:last])
+        tail = text[last:]
+        return shared, ends(*self.best(tail, [0.0], owned - last), tail, owned - last, path[0][0] if path else first)
 
     def decode(self, ids) -> str:
         """The text of ids: bytes joined, space marks as spaces, without the mark that begins every text."""
@@ -218,16 +247,6 @@ class Lattice:
         return text[1:] if text[:1] == " " else text
 
 
-def _word_starts(text: str) -> list[int]:
-    """Places of space marks that follow another character."""
-    out, at = [], text.find(_SPACE, 1)
-    while at >= 0:
-        if text[at - 1] != _SPACE:
-            out.append(at)
-        at = text.find(_SPACE, at + 1)
-    return out
-
-
 @functools.lru_cache(maxsize=2)
 def lattice(path: str) -> Lattice:
     """One per worker process and file."""
@@ -289,9 +308,9 @@ def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "t
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                ids = [np.asarray(tool.encode(tool.normalised(x.as_py() or "")), dtype=np.int32) for x in part.column(1)]
-                offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.concatenate([np.zeros(0, np.int32), *ids])
+                ids = [tool.encoded(tool.normalised(x.as_py() or "")) for x in part.column(1)]
+                offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+                flat = np.frombuffer(b"".join(ids), dtype="<i4")
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "ids"])
 
     rows = id_and_text(df, id_col, text_col)
@@ -322,29 +341,28 @@ def _encode_giant(giant: DataFrame, model: str, chunk: int) -> DataFrame:
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = lattice(model)
-        types = [("row", pa.int64()), ("doc_id", pa.int64()), ("k", pa.int64()), ("state", pa.int64()), ("begin", pa.int64()), ("ids", pa.list_(pa.int32()))]
+        types = [("row", pa.int64()), ("doc_id", pa.int64()), ("k", pa.int64()), ("shared", pa.binary()), ("states", pa.list_(pa.int64())), ("begins", pa.list_(pa.int64())), ("tails", pa.list_(pa.binary()))]
         for batch in batches:
             for row in batch.to_pylist():
                 v = np.frombuffer(row["v"], dtype="<f8")
                 v = v - v[np.isfinite(v)].max()
-                found = tool.variants(row["text"], row["owned"], v)
-                yield _batch([(row["row"], row["doc_id"], row["k"], s, b, ids) for s, b, ids in found], types)
+                shared, found = tool.variants(row["text"], row["owned"], v)
+                yield _batch([(row["row"], row["doc_id"], row["k"], shared, *map(list, zip(*found)))], types)
 
     def chosen(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """From the last chunk back, the variant whose end is the state in which the next chunk begins."""
-        at = {(k, s): i for i, (k, s) in enumerate(zip(table["k"].to_pylist(), table["state"].to_pylist()))}
-        begin, state, parts = table["begin"].to_pylist(), 0, []
-        for k in range(max(table["k"].to_pylist()), -1, -1):
-            i = at[k, state]
-            parts.append(table["ids"][i].values.to_numpy())
-            state = begin[i]
-        ids = np.concatenate(parts[::-1])
+        rows, state, parts = {r["k"]: r for r in table.to_pylist()}, 0, []
+        for k in range(len(rows) - 1, -1, -1):
+            i = rows[k]["states"].index(state)
+            parts.append(rows[k]["shared"] + rows[k]["tails"][i])
+            state = rows[k]["begins"][i]
+        ids = np.frombuffer(b"".join(parts[::-1]), dtype="<i4")
         return pa.table({"doc_id": table["doc_id"].slice(0, 1), "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids))})
 
     m = chunks.select("row", "k", "owned", "text").mapInArrow(matrices, "row long, k long, m binary")
     states = m.groupBy("row").applyInArrow(boundaries, "row long, k long, v binary")
     both = chunks.join(states, ["row", "k"]).select("row", "doc_id", "k", "owned", "text", "v")
-    variants = both.mapInArrow(traced, "row long, doc_id long, k long, state long, begin long, ids array<int>")
+    variants = both.mapInArrow(traced, "row long, doc_id long, k long, shared binary, states array<long>, begins array<long>, tails array<binary>")
     return variants.groupBy("row").applyInArrow(chosen, "doc_id long, ids array<int>")
 
 

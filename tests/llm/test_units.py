@@ -39,6 +39,15 @@ def test_ids_are_those_of_the_library(words, text):
     assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == library_ids(text)
 
 
+def test_the_vocabulary_is_followed_and_another_is_left_to_the_library(words):
+    assert words.follows
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other, tool = Encoder(path), Tokenizer.from_file(path)
+    assert not other.follows
+    texts = ["The cat, été 12!  <|endoftext|> x", ""]
+    assert [np.frombuffer(x, "<u4").tolist() for x in other.encode(texts)] == [tool.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_ids_with_special_tokens_and_long_words(words):
     for text in ("a<|endoftext|>b", "<|startoftext|> The <|END", "x" * 5000 + " y", "", "  \n"):
         assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == library_ids(text)
@@ -242,8 +251,9 @@ def in_chunks(lattice, text, step):
     first[0, 0] = 0.0
     state, out = 0, []
     for (n, t), v in reversed(list(zip(cuts, np.concatenate([first, after[:-1]])))):
-        begin, ids = {s: (b, x) for s, b, x in lattice.variants(t, n, v)}[state]
-        state, out = begin, ids + out
+        shared, found = lattice.variants(t, n, v)
+        begin, ids = {s: (b, x) for s, b, x in found}[state]
+        state, out = begin, np.frombuffer(shared + ids, "<i4").tolist() + out
     assert state == 0
     return out
 
