@@ -5,8 +5,8 @@ fingerprints that differ in few bits agree wholly in at least one of several blo
 the value of each block, and each group, ordered by its other bits, is a binary trie. The trie is joined with itself:
 pairs of nodes are followed together from the root, the bits in which they differ are added up, and a pair over the
 budget is dropped. Small pairs of nodes are compared bit by bit. Of the links that a task finds it hands on a forest of the
-closest ones, never all pairs of a set, and components are found over those links. Where a similarity is asked for, each
-of these links is first checked on the two texts' sets of shingles.
+closest ones, never all pairs of a set, and components are found over those links. Where a similarity is asked for, these
+components are only families: the texts of each are compared by their sets of shingles, and components are found anew.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ SLICE_ROWS = 200_000
 #: Pairs of trie nodes followed at once, and the most pairs of fingerprints below a pair that are compared directly.
 FRONTIER, DIRECT = 1_000_000, 32
 SHINGLES_AT_ONCE = 100_000
+#: Texts, and distinct shingles, of a slice of a family whose texts are compared.
+SLICE_TEXTS, SLICE_SHINGLES = 4_000, 2_000_000
 
 
 @dataclass(frozen=True)
@@ -329,29 +331,95 @@ def shingle_set(text: str, shingle: int) -> frozenset:
     return frozenset(b" ".join(parts[i:i + width]) for i in range(len(parts) - width + 1)) if parts else frozenset()
 
 
-def checked_links(links: DataFrame, nodes: DataFrame, df: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The links whose two texts have that Jaccard similarity of their sets of shingles; two without words are alike.
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """The distinct shingles of a text as sorted 64-bit hashes."""
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingle_set(text, shingle)), dtype=np.uint64))
 
-    ``nodes`` tells by k1 and k2 the row of ``df(doc_id, text)`` that stands for a node. Only texts of linked nodes travel.
+
+def alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the same sets as all pairs of that Jaccard similarity; two empty sets are alike.
+
+    Each set is compared with all larger ones that may be alike by their sizes and that it is not yet connected to.
     """
-    links = kept(links.distinct(), "links")
-    asked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(asked, "node").select("node", F.col("least.k1").alias("k1"), F.col("least.k2").alias("k2"))
-    keyed = df.select(*row_key("doc_id", "text"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = kept(keyed.join(wanted, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "text"), "linked-texts")
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    size = np.array([len(s) for s in sets], dtype=np.int64)[order]
+    values, flat = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
+    own = np.split(flat, np.cumsum(size)[:-1])
+    holders = np.repeat(np.arange(len(sets)), size)[np.argsort(flat, kind="stable")]      # of each shingle in turn, in order
+    ends = np.cumsum(np.bincount(flat, minlength=len(values)))
+    after = np.concatenate([[0], ends[:-1]])                                              # those that come after the set in hand
+    tops = np.searchsorted(similarity * size, size, side="right")
+    tree, x, y = np.arange(len(sets)), [], []
+    for i, top in enumerate(tops.tolist()):
+        after[own[i]] += 1
+        others = np.flatnonzero(tree[i + 1:top] != tree[i]) + i + 1
+        if not len(others):
+            continue
+        met = [holders[a:b] for a, b in zip(after[own[i]].tolist(), ends[own[i]].tolist()) if a < b]
+        shared = np.bincount(np.concatenate([[i], *met]), minlength=len(sets))[others]
+        for k in others[shared >= similarity * (size[i] + size[others] - shared)].tolist():
+            if tree[k] != tree[i]:
+                tree[tree == tree[k]] = tree[i]
+                x.append(i)
+                y.append(k)
+    return order[np.array(x, dtype=np.int64)], order[np.array(y, dtype=np.int64)]
+
+
+def _alike_in_groups(similarity: float):
+    """Links among the sets of each group ``g, i, j``, whose rows arrive together."""
+
+    def links(nodes: list, sets: list) -> pa.RecordBatch:
+        nodes = np.concatenate(nodes)
+        x, y = alike([np.frombuffer(s, dtype="<u8") for s in sets], similarity)
+        return pa.RecordBatch.from_arrays([pa.array(nodes[x]), pa.array(nodes[y])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, nodes, sets = None, [], []
         for batch in batches:
-            alike = []
-            for s, t in zip(batch.column(2), batch.column(3)):
-                s, t = shingle_set(s.as_py(), shingle), shingle_set(t.as_py(), shingle)
-                alike.append(len(s & t) >= similarity * len(s | t))
-            chosen = pa.array(alike, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], ["a", "b"])
+            if not batch.num_rows:
+                continue
+            group = np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in range(3)])
+            starts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)])).tolist()
+            for a, b in zip(starts, [*starts[1:], len(group)]):
+                if last != (key := tuple(group[a].tolist())):
+                    if len(sets) > 1:
+                        yield links(nodes, sets)
+                    last, nodes, sets = key, [], []
+                nodes.append(batch.column(3).to_numpy()[a:b])
+                sets += batch.column(4).slice(a, b - a).to_pylist()
+        if len(sets) > 1:
+            yield links(nodes, sets)
+
+    return run
+
 
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text"))
-    pairs = links.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_text", "b_text")
-    return pairs.mapInArrow(run, "a long, b long")
+def checked_links(groups: DataFrame, nodes: DataFrame, df: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links ``a, b`` that connect the same nodes as all pairs of a group with that Jaccard similarity of their shingles.
+
+    ``groups`` has ``g, node``, and ``nodes`` tells by k1 and k2 the row of ``df(doc_id, text)`` that stands for a node. A group
+    with more than a task should compare is cut into slices, and each pair of slices is a task: all pairs are compared.
+    """
+    groups = kept(groups, "groups")
+    wanted = nodes.join(groups.select("node").distinct(), "node").select("node", F.col("least.k1").alias("k1"), F.col("least.k2").alias("k2"))
+    keyed = df.select(*row_key("doc_id", "text"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_hashes(x.as_py(), shingle).astype("<u8").tobytes() for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "hashes"])
+
+    texts = keyed.join(wanted, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "text")
+    sets = kept(texts.mapInArrow(hashed, "node long, hashes binary"), "shingles")
+    shingles = F.sum(F.length("hashes") / 8)
+    cuts = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(SLICE_TEXTS), shingles / F.lit(SLICE_SHINGLES))).cast("int")
+    sizes = kept(groups.join(sets, "node").groupBy("g").agg(cuts.alias("slices"), F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    cut = join_counted(groups, sizes, ["g"])
+    own = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("slices") - 1), lambda k: (k != own) | (F.col("slices") == 1))
+    pairs = cut.select("g", "node", own.alias("own"), F.explode(others).alias("other"))
+    dealt = pairs.join(sets, "node").select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "hashes")
+    ordered = dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+    return ordered.mapInArrow(_alike_in_groups(similarity), "a long, b long")
 
 
 def near_groups(df: DataFrame, scheme: Scheme = LINKS_OF_FOUR, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
@@ -359,16 +427,18 @@ def near_groups(df: DataFrame, scheme: Scheme = LINKS_OF_FOUR, id_col: str = "do
 
     Null and empty texts have the zero fingerprint and link like any other. The row that stays is the first of its
     component by id (null ids last) and then by hash. Long texts are fingerprinted whole; other columns are not read.
-    With a ``similarity`` a link also needs that Jaccard similarity of the texts' shingles, at their full length.
+    With a ``similarity`` the links only make families, and in each of these all texts are compared: a link is a pair with that
+    Jaccard similarity of the texts' shingles, at their full length.
     """
     rows = kept(fingerprints(df, scheme, id_col, text_col), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("k1").alias("k1"), F.col("k2").alias("k2"))
     distinct = rows.groupBy("fp").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n"))
     nodes = kept(distinct.select("fp", "least", "n", F.monotonically_increasing_id().alias("node")), "nodes")
     links = linked_nodes(nodes, scheme)
-    if similarity is not None:
-        links = checked_links(links, nodes, id_and_text(df, id_col, text_col), scheme.shingle, similarity)
     member = components(links)
+    if similarity is not None:
+        families = member.select(F.col("root").alias("g"), "node")
+        member = components(checked_links(families, nodes, id_and_text(df, id_col, text_col), scheme.shingle, similarity))
     linked = kept(nodes.join(member, "node").select("node", "root", "least"), "linked")
     roots = kept(linked.groupBy("root").agg(F.min("least").alias("reached"), F.count(F.lit(1)).alias("n")), "roots")
     moved = join_counted(linked, roots, ["root"]).select("node", "reached")

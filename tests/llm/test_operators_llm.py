@@ -475,3 +475,37 @@ def test_the_pipeline_ends_in_packed_sequences(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "pii", "packing"]
     rows = corpus_pipeline.run(spark, SMALL).toPandas()
     assert (rows.groupby("sequence_id").length.sum() <= 4096).all() and rows.doc_id.nunique() > 150
+
+
+def connected(own):
+    """The ids that stay, by all pairs of sets of shingles with a similarity of 0.8."""
+    order, root = sorted(own), {k: k for k in own}
+
+    def up(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, a in enumerate(order):
+        for b in order[i + 1:]:
+            if len(own[a] & own[b]) >= 0.8 * len(own[a] | own[b]):
+                root[max(up(a), up(b))] = min(up(a), up(b))
+    return {k for k in order if up(k) == k}
+
+
+@pytest.mark.parametrize("slice_texts", [4_000, 70])
+def test_near_duplicates_in_a_family_around_the_similarity(spark, monkeypatch, slice_texts):
+    """Variants of one text whose similarities are 0.7 to 0.9: every pair counts, not only the closest by fingerprint."""
+    monkeypatch.setattr(simhash, "SLICE_TEXTS", slice_texts)
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(4000)]
+    base = list(rng.choice(words, 200))
+    docs = []
+    for i in range(400):
+        copy = base.copy()
+        for p in rng.choice(200, 3, replace=False):
+            copy[p] = f"new{i}x{p}"
+        docs.append((i, " ".join(copy), "en", "s", 0))
+    own = {d[0]: simhash.shingle_set(d[1], 5) for d in docs}
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(docs, SCHEMA), "").collect()}
+    assert got == connected(own)
