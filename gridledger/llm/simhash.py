@@ -1,8 +1,9 @@
 """SimHash near-deduplication by self-joins of binary tries.
 
-A fingerprint has a bit for each hash bit that most shingles of a text have set. Equal fingerprints are one node. Two
-fingerprints that differ in few bits agree wholly in at least one of several blocks, so the fingerprints are dealt by
-the value of each block, and each group, ordered by its other bits, is a binary trie. The trie is joined with itself:
+A fingerprint has a bit for each hash bit that most shingles of a text have set. Equal fingerprints are one node; where a
+similarity is asked for, repeated shingles count once and equal sets of shingles are one node. Two fingerprints that
+differ in few bits agree wholly in at least one of several blocks, so the fingerprints are dealt by the value of
+each block, and each group, ordered by its other bits, is a binary trie. The trie is joined with itself:
 pairs of nodes are followed together from the root, the bits in which they differ are added up, and a pair over the
 budget is dropped. Small pairs of nodes are compared bit by bit. Of the links that a task finds it hands on a forest of the
 closest ones, never all pairs of a set, and components are found over those links. Where a similarity is asked for, these
@@ -76,6 +77,16 @@ def _spread(hashes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
+def fingerprint_of_set(hashes: np.ndarray, words: int) -> bytes:
+    """Fingerprint in which each of the distinct shingles counts once; zeros for none."""
+    counts = np.zeros(64 * words, dtype=np.int64)
+    for i in range(0, len(hashes), SHINGLES_AT_ONCE):
+        some = hashes[i:i + SHINGLES_AT_ONCE]
+        bits = np.unpackbits(_spread(some, words).astype(">u8").view(np.uint8).reshape(len(some), 8 * words), axis=1)
+        counts += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(hashes)).tobytes()
+
+
 def fingerprint(text: str, shingle: int, words: int) -> bytes:
     """Big-endian fingerprint of the whole text; ASCII letters in lower case, words cut at ASCII white space.
 
@@ -99,17 +110,27 @@ def fingerprint(text: str, shingle: int, words: int) -> bytes:
     return np.packbits(counts * 2 > n).tobytes()
 
 
-def fingerprints(df: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, k1, k2, fp`` per row; k1 and k2 are a 128-bit hash of id and text, to find the row again."""
+def fingerprints(df: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
+    """``doc_id, k1, k2, fp, digest`` per row; k1 and k2 are a 128-bit hash of id and text, to find the row again.
+
+    With a ``similarity`` repeated shingles count once and ``digest`` is a 128-bit hash of their set; else it is empty.
+    """
     words = scheme.bits // 64
 
+    def one(text: str) -> tuple[bytes, bytes]:
+        if similarity is None:
+            return fingerprint(text, scheme.shingle, words), b""
+        hashes = shingle_hashes(text, scheme.shingle)
+        return fingerprint_of_set(hashes, words), xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(x.as_py() or "", scheme.shingle, words) for x in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(found, pa.binary())], ["doc_id", "k1", "k2", "fp"])
+            found = [one(x.as_py() or "") for x in batch.column(3)]
+            fp, digest = (pa.array([x[k] for x in found], pa.binary()) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), fp, digest], ["doc_id", "k1", "k2", "fp", "digest"])
 
     rows = id_and_text(df, id_col, text_col).select("doc_id", *row_key("doc_id", "text"), "text")
-    return rows.mapInArrow(run, "doc_id long, k1 long, k2 long, fp binary")
+    return rows.mapInArrow(run, "doc_id long, k1 long, k2 long, fp binary, digest binary")
 
 
 def row_key(id_col: str, text_col: str):
@@ -422,27 +443,35 @@ def checked_links(groups: DataFrame, nodes: DataFrame, df: DataFrame, shingle: i
     return ordered.mapInArrow(_alike_in_groups(similarity), "a long, b long")
 
 
+def families(nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """``g, node`` of the sets of shingles whose fingerprints are equal or linked, as groups of texts to be compared."""
+    codes = kept(nodes.groupBy("fp").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")), "codes")
+    roots = components(linked_nodes(codes, scheme)).select("node", F.col("root").alias("g"))
+    named = codes.join(roots, "node", "left").where("g IS NOT NULL OR n > 1").select("fp", "n", F.coalesce("g", "node").alias("g"))
+    return join_counted(nodes.select("fp", "node"), kept(named, "families"), ["fp"]).select("g", "node")
+
+
 def near_groups(df: DataFrame, scheme: Scheme = LINKS_OF_FOUR, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
     """``doc_id, k1, k2, fp, component_id, first``: the smallest id that links reach, and whether the row is the one to stay.
 
     Null and empty texts have the zero fingerprint and link like any other. The row that stays is the first of its
     component by id (null ids last) and then by hash. Long texts are fingerprinted whole; other columns are not read.
-    With a ``similarity`` the links only make families, and in each of these all texts are compared: a link is a pair with that
-    Jaccard similarity of the texts' shingles, at their full length.
+    With a ``similarity`` a node is a set of shingles, whatever fingerprint it shares; the links only make families, and in
+    each of these all texts are compared: a link is a pair with that Jaccard similarity of the shingles, at full length.
     """
-    rows = kept(fingerprints(df, scheme, id_col, text_col), "fingerprints")
+    rows = kept(fingerprints(df, scheme, id_col, text_col, similarity), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("k1").alias("k1"), F.col("k2").alias("k2"))
-    distinct = rows.groupBy("fp").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n"))
-    nodes = kept(distinct.select("fp", "least", "n", F.monotonically_increasing_id().alias("node")), "nodes")
-    links = linked_nodes(nodes, scheme)
-    member = components(links)
-    if similarity is not None:
-        families = member.select(F.col("root").alias("g"), "node")
-        member = components(checked_links(families, nodes, id_and_text(df, id_col, text_col), scheme.shingle, similarity))
+    distinct = rows.groupBy("fp", "digest").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n"))
+    nodes = kept(distinct.select("fp", "digest", "least", "n", F.monotonically_increasing_id().alias("node")), "nodes")
+    if similarity is None:
+        member = components(linked_nodes(nodes, scheme))
+    else:
+        groups = families(nodes, scheme)
+        member = components(checked_links(groups, nodes, id_and_text(df, id_col, text_col), scheme.shingle, similarity))
     linked = kept(nodes.join(member, "node").select("node", "root", "least"), "linked")
     roots = kept(linked.groupBy("root").agg(F.min("least").alias("reached"), F.count(F.lit(1)).alias("n")), "roots")
     moved = join_counted(linked, roots, ["root"]).select("node", "reached")
-    whole = kept(nodes.join(moved, "node", "left").select("fp", "n", F.coalesce("reached", "least").alias("reached")), "reached")
-    out = join_counted(rows, whole, ["fp"])
+    whole = kept(nodes.join(moved, "node", "left").select("fp", "digest", "n", F.coalesce("reached", "least").alias("reached")), "reached")
+    out = join_counted(rows, whole, ["fp", "digest"])
     first = (F.col("k1") == F.col("reached.k1")) & (F.col("k2") == F.col("reached.k2"))
     return out.select("doc_id", "k1", "k2", "fp", F.col("reached.d").alias("component_id"), first.alias("first"))

@@ -509,3 +509,21 @@ def test_near_duplicates_in_a_family_around_the_similarity(spark, monkeypatch, s
     own = {d[0]: simhash.shingle_set(d[1], 5) for d in docs}
     got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(docs, SCHEMA), "").collect()}
     assert got == connected(own)
+
+
+def test_near_duplicates_of_texts_with_a_repeated_phrase(spark):
+    """A phrase repeated often neither joins texts that share nothing else nor parts a text from its copy with the phrase."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(4000)]
+    phrase, one, other, long = "buy the best now here " * 50, *(" ".join(rng.choice(words, n)) for n in (40, 40, 300))
+    docs = [(1, phrase + one, "en", "s", 0), (2, phrase + other, "en", "s", 0), (3, long, "en", "s", 0), (4, long + " " + phrase, "en", "s", 0)]
+    assert simhash.fingerprint(docs[0][1], 5, 4) == simhash.fingerprint(docs[1][1], 5, 4)
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(docs, SCHEMA), "").collect()}
+    assert got == connected({d[0]: simhash.shingle_set(d[1], 5) for d in docs}) == {1, 2, 3}
+
+
+def test_equal_fingerprints_are_one_family(spark):
+    """Sets that share a fingerprint stay nodes of their own, to be compared; one without company is in no family."""
+    fps = [bytes(8), bytes(8), b"\xff" * 8, b"\xf0" * 8]
+    nodes = spark.createDataFrame([(i, bytearray(fp)) for i, fp in enumerate(fps)], "node long, fp binary")
+    assert sorted(tuple(r) for r in simhash.families(nodes, simhash.LINKS_OF_FOUR).select("g", "node").collect()) == [(0, 0), (0, 1)]
