@@ -18,6 +18,7 @@ LEAST_LANGUAGE_SHARE = 0.5
 
 #: Five-word shingles and a similarity of 0.8, checked on the texts. Fingerprints of 256 bits differ in 39 on average, give or
 #: take 6, at that similarity; 52 lets 99 in 100 such pairs through. As many have a block with at most one bit different.
+#: Texts of at most 32 distinct shingles, whose bits spread more, are found exactly.
 NEAR = simhash.Scheme(shingle=5, bits=256, budget=52, blocks=16, slack=1)
 LEAST_SIMILARITY = 0.8
 

@@ -31,6 +31,8 @@ FRONTIER, DIRECT = 1_000_000, 32
 SHINGLES_AT_ONCE = 100_000
 #: Texts, and distinct shingles, of a slice of a family whose texts are compared.
 SLICE_TEXTS, SLICE_SHINGLES = 4_000, 2_000_000
+#: Texts with at most so many distinct shingles are also found exactly: the bits of fewer shingles spread more.
+SHORT = 32
 
 
 @dataclass(frozen=True)
@@ -111,26 +113,38 @@ def fingerprint(text: str, shingle: int, words: int) -> bytes:
 
 
 def fingerprints(df: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
-    """``doc_id, k1, k2, fp, digest`` per row; k1 and k2 are a 128-bit hash of id and text, to find the row again.
+    """``doc_id, k1, k2, fp, digest, prefix`` per row; k1 and k2 are a 128-bit hash of id and text, to find the row again.
 
-    With a ``similarity`` repeated shingles count once and ``digest`` is a 128-bit hash of their set; else it is empty.
+    With a ``similarity`` repeated shingles count once, ``digest`` is a 128-bit hash of their set, else empty, and ``prefix``
+    has the ``short_prefix`` of the set, else none.
     """
     words = scheme.bits // 64
 
-    def one(text: str) -> tuple[bytes, bytes]:
+    def one(text: str) -> tuple[bytes, bytes, list[int]]:
         if similarity is None:
-            return fingerprint(text, scheme.shingle, words), b""
+            return fingerprint(text, scheme.shingle, words), b"", []
         hashes = shingle_hashes(text, scheme.shingle)
-        return fingerprint_of_set(hashes, words), xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes())
+        return fingerprint_of_set(hashes, words), xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes()), short_prefix(hashes, similarity).astype(np.int64).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [one(x.as_py() or "") for x in batch.column(3)]
-            fp, digest = (pa.array([x[k] for x in found], pa.binary()) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), fp, digest], ["doc_id", "k1", "k2", "fp", "digest"])
+            new = [pa.array([x[k] for x in found], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *new], ["doc_id", "k1", "k2", "fp", "digest", "prefix"])
 
     rows = id_and_text(df, id_col, text_col).select("doc_id", *row_key("doc_id", "text"), "text")
-    return rows.mapInArrow(run, "doc_id long, k1 long, k2 long, fp binary, digest binary")
+    return rows.mapInArrow(run, "doc_id long, k1 long, k2 long, fp binary, digest binary, prefix array<long>")
+
+
+def short_prefix(hashes: np.ndarray, similarity: float) -> np.ndarray:
+    """The first hashes of a short set, so many that sets of that similarity share one; none of a set too large for a short one.
+
+    Alike sets share ceil(similarity * n) of the n hashes of either, so they cannot differ in all of the first n - that + 1.
+    """
+    n = len(hashes)
+    if similarity * n > SHORT + 1e-9:
+        return hashes[:0]
+    return hashes[:n - int(np.ceil(similarity * n - 1e-9)) + 1]
 
 
 def row_key(id_col: str, text_col: str):
@@ -451,22 +465,30 @@ def families(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     return join_counted(nodes.select("fp", "node"), kept(named, "families"), ["fp"]).select("g", "node")
 
 
+def short_groups(nodes: DataFrame) -> DataFrame:
+    """``g, node`` of the short sets that share a hash of their prefixes, as groups of texts to be compared."""
+    held = kept(nodes.select(F.explode("prefix").alias("g"), "node"), "prefixes")
+    shared = kept(held.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-prefixes")
+    return join_counted(held, shared, ["g"]).select("g", "node")
+
+
 def near_groups(df: DataFrame, scheme: Scheme = LINKS_OF_FOUR, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
     """``doc_id, k1, k2, fp, component_id, first``: the smallest id that links reach, and whether the row is the one to stay.
 
     Null and empty texts have the zero fingerprint and link like any other. The row that stays is the first of its
     component by id (null ids last) and then by hash. Long texts are fingerprinted whole; other columns are not read.
     With a ``similarity`` a node is a set of shingles, whatever fingerprint it shares; the links only make families, and in
-    each of these all texts are compared: a link is a pair with that Jaccard similarity of the shingles, at full length.
+    each of these all texts are compared: a link is a pair with that Jaccard similarity of the shingles, at full length. No
+    pair with a text of at most ``SHORT`` distinct shingles is missed; of others those with linked fingerprints are found.
     """
     rows = kept(fingerprints(df, scheme, id_col, text_col, similarity), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("k1").alias("k1"), F.col("k2").alias("k2"))
-    distinct = rows.groupBy("fp", "digest").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n"))
-    nodes = kept(distinct.select("fp", "digest", "least", "n", F.monotonically_increasing_id().alias("node")), "nodes")
+    distinct = rows.groupBy("fp", "digest").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n"), F.min("prefix").alias("prefix"))
+    nodes = kept(distinct.select("fp", "digest", "prefix", "least", "n", F.monotonically_increasing_id().alias("node")), "nodes")
     if similarity is None:
         member = components(linked_nodes(nodes, scheme))
     else:
-        groups = families(nodes, scheme)
+        groups = families(nodes, scheme).unionByName(short_groups(nodes))
         member = components(checked_links(groups, nodes, id_and_text(df, id_col, text_col), scheme.shingle, similarity))
     linked = kept(nodes.join(member, "node").select("node", "root", "least"), "linked")
     roots = kept(linked.groupBy("root").agg(F.min("least").alias("reached"), F.count(F.lit(1)).alias("n")), "roots")

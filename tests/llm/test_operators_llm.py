@@ -527,3 +527,24 @@ def test_equal_fingerprints_are_one_family(spark):
     fps = [bytes(8), bytes(8), b"\xff" * 8, b"\xf0" * 8]
     nodes = spark.createDataFrame([(i, bytearray(fp)) for i, fp in enumerate(fps)], "node long, fp binary")
     assert sorted(tuple(r) for r in simhash.families(nodes, simhash.LINKS_OF_FOUR).select("g", "node").collect()) == [(0, 0), (0, 1)]
+
+
+def test_near_duplicates_of_short_texts_are_all_found(spark):
+    """Texts of 8 words and the same with a ninth: similarity 0.8, and fingerprints often too far apart."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(4000)]
+    base = [list(rng.choice(words, 8)) for _ in range(200)]
+    docs = [(2 * i + k, " ".join(b + ["more"] * k), "en", "s", 0) for i, b in enumerate(base) for k in (0, 1)]
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(docs, SCHEMA), "").collect()}
+    assert got == set(range(0, 400, 2))
+
+
+def test_short_prefixes_meet():
+    rng = np.random.default_rng(7)
+    for small in range(1, 33):
+        large = int(small / 0.8 + 1e-9)
+        for shared in range(1, small + 1):
+            h = rng.permutation(np.arange(small + large - shared, dtype=np.uint64))
+            a, b = np.sort(h[:small]), np.sort(h[small - shared:])
+            if shared >= 0.8 * (small + large - shared):
+                assert np.intersect1d(simhash.short_prefix(a, 0.8), simhash.short_prefix(b, 0.8)).size
