@@ -112,11 +112,27 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
 
+def even_quota(have: list[int], total: int) -> float:
+    """The most rows of one language, so that all of them have about ``total``; languages with fewer give all they have."""
+    left = total
+    for i, n in enumerate(sorted(have)):
+        if n * (len(have) - i) > left:
+            return left / (len(have) - i)
+        left -= n
+    return max(have, default=0)
+
+
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Filters:
-    """Filters from a hash sample of the rows with a language and a text; about ``sample_rows`` of them, or all if fewer."""
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).where("lang IS NOT NULL AND text IS NOT NULL")
-    share = min(1.0, sample_rows / max(1, labelled.where(F.col(lang_col).isNotNull()).count()))
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit("fit"), "id"), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0))
+    """Filters from a hash sample of the rows with a language and a text; about ``sample_rows`` of them, or all if fewer.
+
+    Each language has the same number of rows in it, or all it has, so what is learned of one does not depend on the others.
+    """
+    rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).where("lang IS NOT NULL AND text IS NOT NULL")
+    have = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    most = even_quota(list(have.values()), sample_rows)
+    below = [(lang, (1 << 30) if n <= most else int(most / n * (1 << 30))) for lang, n in have.items()]
+    drawn_below = F.broadcast(labelled.sparkSession.createDataFrame(below, "lang string, below long"))
+    drawn = rows.join(drawn_below, "lang").where(F.pmod(F.xxhash64(F.lit("fit"), "id"), F.lit(1 << 30)) < F.col("below"))
     counts = drawn.select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     found = counts.where(F.col("n") >= LEAST_COUNT).toPandas()                               # bounded by the sample
     languages = sorted(found["lang"].unique())

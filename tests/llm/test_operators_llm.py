@@ -548,3 +548,15 @@ def test_short_prefixes_meet():
             a, b = np.sort(h[:small]), np.sort(h[small - shared:])
             if shared >= 0.8 * (small + large - shared):
                 assert np.intersect1d(simhash.short_prefix(a, 0.8), simhash.short_prefix(b, 0.8)).size
+
+
+def test_a_rare_language_is_learned_at_every_size(spark):
+    """40 documents among 20,000 of another language, and a sample of 300."""
+    common, rare = "the quick brown fox jumps over lazy dogs", "zwölf boxkämpfer jagen viktor quer über"
+    docs = spark.range(20_040).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 501 == 0, rare).otherwise(common).alias("text"), F.when(F.col("id") % 501 == 0, "de").otherwise("en").alias("lang"))
+    filters = langid.learn(docs, sample_rows=300)
+    assert filters.languages == ["de", "en"]
+    found = langid.predicted(docs, filters).groupBy("lang", "lang_pred").count().collect()
+    assert sorted(tuple(r) for r in found) == [("de", "de", 40), ("en", "en", 20_000)]
+    assert langid.even_quota([40, 20_000], 300) == 260 and langid.even_quota([3, 4], 10) == 4 and langid.even_quota([], 10) == 0
+    assert langid.even_quota([5, 100, 100], 25) == 10
