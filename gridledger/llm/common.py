@@ -21,14 +21,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame written to the shared folder and read again: later stages and lost executors start from those files."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes the files of a kept frame that nothing reads any more."""
+    spark, folders = df.sparkSession, {f.rpartition("/")[0] for f in df.inputFiles()}
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: A key with more than one in so many of all rows is met by broadcast; there are fewer than this many such keys.
 HOT_ONE_IN = 1000
 

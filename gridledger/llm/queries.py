@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import exactdedup, langid, linededup, minhash, packing, pii, segment, sharding, simhash, tokenfiles
+from gridledger.llm import conversations, exactdedup, langid, linededup, minhash, packing, pii, segment, sharding, simhash, tokenfiles
 from gridledger.llm.common import documents, kept, new_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -66,10 +66,15 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.checksums(tokenfiles.read_tokens(spark, path))
 
 
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repairs_of_damaged(spark, folder)
+
+
 QUERIES = {
     "op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_sharding": op3_sharding, "op4_line_dedup": op4_line_dedup,
     "op5_sentencepiece": op5_sentencepiece, "op6_simhash": op6_simhash, "op7_language_id": op7_language_id, "op8_pii": op8_pii,
     "op9_exact_dedup": op9_exact_dedup, "op10_token_files": op10_token_files,
+    "op12_conversations": op12_conversations,
 }
 
 ORACLES = {
