@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import conversations, exactdedup, langid, linededup, minhash, packing, pii, segment, sharding, simhash, tokenfiles
+from gridledger.llm import conversations, exactdedup, langid, linededup, minhash, packing, pii, resampling, segment, sharding, simhash, tokenfiles, warc
 from gridledger.llm.common import documents, kept, new_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -66,19 +66,28 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.checksums(tokenfiles.read_tokens(spark, path))
 
 
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.towards_benchmark(spark, folder)
+
+
 def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.repairs_of_damaged(spark, folder)
 
 
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.page_archive(spark, folder)
+
+
 QUERIES = {
     "op1_minhash": op1_minhash, "op2_packing": op2_packing, "op3_sharding": op3_sharding, "op4_line_dedup": op4_line_dedup,
     "op5_sentencepiece": op5_sentencepiece, "op6_simhash": op6_simhash, "op7_language_id": op7_language_id, "op8_pii": op8_pii,
     "op9_exact_dedup": op9_exact_dedup, "op10_token_files": op10_token_files,
-    "op12_conversations": op12_conversations,
+    "op11_resampling": op11_resampling, "op12_conversations": op12_conversations, "op13_warc": op13_warc,
 }
 
 ORACLES = {
     "op4_line_dedup": linededup.SQL,
+    "op13_warc": warc.SQL,
     "op9_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
  doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept, sha256(coalesce(text, '')) AS text_sha256 FROM documents""",
