@@ -42,20 +42,13 @@ def with_link(items: DataFrame, links: DataFrame, *cols: str | Column, how: str
     return skew_join(items, l, ["rlid"], how, left_keys=(items if base is None else base).select("rlid"))
 
 
-def group_weights(links: DataFrame, items: DataFrame, experiments: DataFrame) -> DataFrame:
-    """``(refid, weight)``: how many experiments the requests of a group expand to, counted without expanding them."""
-    sizes = members(experiments).groupBy("esid").agg(F.count(F.lit(1)).alias("weight"))
-    asks = with_link(items.select("rlid", "esid").distinct(), links, "refid", base=items).select("refid", "esid").distinct()
-    return skew_join(asks, sizes, ["esid"], left_keys=items.select("esid")).select("refid", "weight")
-
-
 def meet_groups(left: DataFrame, right: DataFrame, links: DataFrame, request_vars: DataFrame, keys: Sequence[str] = ("refid",),
-                expanded: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                expanded: bool = False) -> DataFrame:
     """Joins rows of links (left) with rows of request variables (right) on the group; popular and large groups are split.
 
-    ``expanded`` gives (items, experiments) if the left rows are per experiment: a group is then popular by its experiments.
+    ``expanded`` says that the left rows are per experiment: a group is then popular by those rows, not by its links.
     """
-    left_keys = links.select("refid") if expanded is None else group_weights(links, *expanded)
+    left_keys = left if expanded else links.select("refid")
     return skew_join(left, right, keys, left_keys=left_keys, right_keys=request_vars.select(F.col("vgid").alias("refid")))
 
 
@@ -184,7 +177,7 @@ def experiment_variables(items: DataFrame, links: DataFrame, experiments: DataFr
     """``(expt, vid)`` of everything requested for an experiment."""
     groups = with_link(items.select("rlid", "esid").distinct(), links, "refid", base=items)
     pairs = expand_target(groups.select("refid", "esid").distinct(), experiments, base=items).select("expt", "refid").distinct()
-    return meet_groups(pairs, group_variables(request_vars), links, request_vars, expanded=(items, experiments)).select("expt", "vid").distinct()
+    return meet_groups(pairs, group_variables(request_vars), links, request_vars, expanded=True).select("expt", "vid").distinct()
 
 
 def variable_mips(links: DataFrame, request_vars: DataFrame) -> DataFrame:

@@ -1,12 +1,12 @@
 """Statistics of gridded values in long form ``(…, time, lat, lon, value)``.
 
-Quantiles are exact.  The distinct values of a group are counted; where a group is too large for one task, it is cut into
-ranges of values, again and again, until the range around each wanted rank fits; only those ranges are ordered.
+Quantiles are exact.  The values of a group are counted and ordered as they are; of a group that is too large for one task, a
+sketch with a known error bound gives a range around each wanted rank, only the values in those ranges are ordered, and
+what lies between them is counted.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from gridledger.lookup import KELVIN_OFFSET
 from gridledger.scale import skew_join
-from gridledger.session import materialise
 
 QUARTILES = (0.25, 0.5, 0.75)
 RANGE_ROWS = 1_000_000   # values that one task orders
-CUTS = 255               # cuts of a range that is too large
-SKETCH_ACCURACY = 20_000
+MOST_GROUPS = 65_536     # groups whose ranges are broadcast, the largest ones; any other has less than one in so many of all values
+SKETCH_ACCURACY = 100_000
+AXIS_PARTS = 4096        # parts of an axis, of about equally many values
 
 
 def to_celsius(df: DataFrame, value: str = "value", units: str = "units") -> DataFrame:
@@ -79,56 +79,40 @@ def axis_profile(df: DataFrame, *axes: str) -> DataFrame:
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = QUARTILES, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Exact quantiles with linear interpolation: the keys and one column ``q0``, ``q1``, … per probability.
 
-    Groups without values are left out.  ``range_rows`` is how many distinct values one task orders.
+    Groups without values are left out; a null key is a group.  A group of more than ``range_rows`` values is read twice, any
+    other once.  A rank outside its range, which the error bound of the sketch rules out, is an error.
     """
-    keys, probs = list(keys), list(probs)
-    have = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    totals = have.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
-    last = F.col("total") - 1
-    ranks = F.array_distinct(F.array(*[f(F.lit(p) * last) for p in probs for f in (F.floor, F.ceil)]))
-    zero = F.lit(0).cast("bigint")
-    wanted = totals.select(*keys, "total", F.explode(ranks).alias("rank"), zero.alias("part"), zero.alias("before"))
-    rows = have.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("n")).withColumn("part", zero)
-    largest = totals.agg(F.max("total")).first()[0] or 0                       # one number
-    while largest > range_rows:
-        rows, wanted, left = _refined(rows, wanted, keys)
-        if left >= largest:
-            break
-        largest = left
-
-    inside = Window.partitionBy(*keys, "part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = rows.select(*keys, "part", "_v", "n", (F.sum("n").over(inside) - F.col("n")).alias("first"))
-    first = F.col("before") + F.col("first")
-    hits = ordered.join(wanted, [*keys, "part"]) if keys else ordered.join(wanted, ["part"])
-    hits = hits.where((F.col("rank") >= first) & (F.col("rank") < first + F.col("n")))
-    picked = hits.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "_v"))).alias("at"),   # 2 per probability
-                                     F.max("total").alias("total"))
-    out = []
+    probs, given = list(probs), list(keys)
+    keys = given or ["_all"]
+    have = df.where(F.col(value).isNotNull()).select(*given, *([] if given else [F.lit(0).alias("_all")]), F.col(value).cast("double").alias("_v"))
+    large = have.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > range_rows)
+    large = F.broadcast(large.orderBy(F.desc("_n"), *keys).limit(MOST_GROUPS).select(*keys))
+    # three times the error of the sketch, and at least three ranks of the smallest group that is cut
+    width = 3.0 / min(range_rows, SKETCH_ACCURACY)
+    marks = sorted({min(1.0, max(0.0, p + side * width)) for p in probs for side in (-1, 1)})
+    cuts = have.join(large, keys).groupBy(*keys).agg(F.percentile_approx("_v", marks, SKETCH_ACCURACY).alias("_cuts"))
+
+    v = F.col("_v")
+    low, high = ([F.get("_cuts", F.lit(marks.index(min(1.0, max(0.0, p + side * width))))) for p in probs] for side in (-1, 1))
+    inside = reduce(lambda a, b: a | b, [(v >= lo) & (v <= hi) for lo, hi in zip(low, high)], F.col("_cuts").isNull())
+    below = reduce(F.greatest, [F.when(hi < v, hi) for hi in high], F.lit(None).cast("double"))
+    placed = have.join(F.broadcast(cuts), keys, "left").select(
+        *keys, F.when(inside, v).otherwise(below).alias("_v"), (~inside).alias("_between"))
+    rows = placed.groupBy(*keys, "_v", "_between").agg(F.count(F.lit(1)).alias("_n"))
+
+    group = Window.partitionBy(*keys)
+    upto = F.sum("_n").over(group.orderBy("_v", "_between").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ordered = rows.select("*", upto.alias("_upto"), F.sum("_n").over(group).alias("_total"))
+    last = F.col("_total") - 1
+    found, out = [], []
     for i, p in enumerate(probs):
+        for name, rank in ((f"_a{i}", F.floor(F.lit(p) * last)), (f"_b{i}", F.ceil(F.lit(p) * last))):
+            here = (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_n"))
+            outside = F.raise_error(F.lit("a rank lies outside of the range of values that a sketch gave for it")).cast("double")
+            found.append(F.max(F.when(here, F.when(F.col("_between"), outside).otherwise(v))).alias(name))
         pos = F.lit(p) * last
-        a, b = F.element_at("at", F.floor(pos)), F.element_at("at", F.ceil(pos))
-        out.append((a + (b - a) * (pos - F.floor(pos))).alias(f"q{i}"))
-    return picked.select(*keys, *out)
-
-
-def _refined(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, int]:
-    """Cuts every range of values; keeps those with a wanted rank, and tells the values of the largest.
-
-    The cuts only steer the work, any cuts give the same result.
-    """
-    group = [*keys, "part"]
-    cuts = rows.groupBy(*group).agg(F.percentile_approx("_v", [i / (CUTS + 1) for i in range(1, CUTS + 1)], SKETCH_ACCURACY).alias("cuts"))
-    place = F.size(F.filter("cuts", lambda c: c < F.col("_v")))
-    placed = rows.join(cuts, group).select(*keys, "_v", "n", "part", place.cast("bigint").alias("place"))
-    sizes = placed.groupBy(*group, "place").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct"))    # at most a row per cut and range
-    upto = Window.partitionBy(*group).orderBy("place")
-    sizes = sizes.withColumn("below", F.sum("n").over(upto) - F.col("n"))
-    start = F.col("before") + F.col("below")
-    found = wanted.join(sizes, group).where((F.col("rank") >= start) & (F.col("rank") < start + F.col("n")))
-    new = (F.col("part") * (CUTS + 1) + F.col("place")).alias("part")
-    wanted = materialise(found.select(*keys, "total", "rank", new, start.alias("before"), "distinct"))
-    rows = materialise(placed.select(*keys, "_v", "n", new).join(wanted.select(*group).distinct(), group, "left_semi"))
-    return rows, wanted.drop("distinct"), wanted.agg(F.max("distinct")).first()[0] or 0
+        out.append((F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * (pos - F.floor(pos))).alias(f"q{i}"))
+    return ordered.groupBy(*keys).agg(F.max("_total").alias("_total"), *found).select(*given, *out)
 
 
 def quantile_rows(q: DataFrame, keys: Sequence[str], labels: Sequence[str] = ("Q1", "Q2", "Q3")) -> DataFrame:
@@ -150,12 +134,12 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, range_rows: int =
     keys = list(keys)
     fences = box_fences(df, keys, value, range_rows)
     v = F.col("_v")
-    have = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("n"))
+    have = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     rows = skew_join(have, fences, keys, left_keys=df.select(*keys))
     inside = (v >= F.col("low_fence")) & (v <= F.col("high_fence"))
     return rows.groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(v >= F.col("low_fence"), v)).alias("_low"), F.max(F.when(v <= F.col("high_fence"), v)).alias("_high"),
-        F.sum("n").alias("n"), F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("outliers"),
+        F.count(F.lit(1)).alias("n"), F.count_if(~inside).alias("outliers"),
     ).select(*keys, "n", "q1", "median", "q3", F.least("_low", "q1").alias("low_whisker"),
              F.greatest("_high", "q3").alias("high_whisker"), "outliers")
 
@@ -190,27 +174,23 @@ def point_series(df: DataFrame, lat: float, lon: float, time: str = "time") -> D
     return df.where(F.struct("lat", "lon") == place).orderBy(time)
 
 
-def nearest_values(targets: DataFrame, coords: DataFrame, target: str, coord: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+def nearest_values(targets: DataFrame, coords: DataFrame, target: str, coord: str, parts: int = AXIS_PARTS) -> DataFrame:
     """For many targets at once: each distinct target with the closest coordinate, the smaller of two equally close.
 
-    Targets and coordinates are ordered within parts of the axis, as many as their number asks for, that hold about equally
-    many of them; what lies beyond a part comes from a table with one row per part.  Where the cuts fall does not matter.
+    Targets and coordinates are ordered within parts of the axis that hold about equally many of them; what lies beyond a part
+    comes from a table with one row per part.  Where the cuts fall does not matter.
     """
     c = coords.select(F.col(coord).cast("double").alias("x")).distinct()
     t = targets.select(F.col(target).cast("double").alias("x")).distinct()
     marked = c.withColumn("coord", F.col("x")).unionByName(t.withColumn("coord", F.lit(None).cast("double")))
-    n = max(1, -(-marked.count() // range_rows))
-    if n > 1:
-        step = max(2, math.isqrt(n - 1) + 1)
-        cuts = marked.agg(F.percentile_approx("x", [i / n for i in range(1, n)], max(SKETCH_ACCURACY, 10 * n)).alias("fine"))
-        cuts = cuts.select("fine", F.filter("fine", lambda v, i: i % step == step - 1).alias("coarse"))
-        marked = marked.withColumns({"fine": cuts.select("fine").scalar(), "coarse": cuts.select("coarse").scalar()})
-        # the number of cuts below a value, found in two short steps
-        marked = marked.withColumn("step", F.size(F.filter("coarse", lambda v: v < F.col("x"))))
-        block = F.slice("fine", F.col("step") * step + 1, F.lit(step - 1))
-        part = F.col("step") * step + F.size(F.filter(block, lambda v: v < F.col("x")))
-    else:
-        part = F.lit(0)
+    step = max(2, int(parts ** 0.5))
+    cuts = marked.agg(F.array_distinct(F.percentile_approx("x", [i / parts for i in range(1, parts)], 10 * parts)).alias("fine"))
+    cuts = cuts.select("fine", F.filter("fine", lambda v, i: i % step == step - 1).alias("coarse"))
+    marked = marked.withColumns({"fine": cuts.select("fine").scalar(), "coarse": cuts.select("coarse").scalar()})
+    # the number of cuts below a value, found in two short steps
+    marked = marked.withColumn("step", F.size(F.filter("coarse", lambda v: v < F.col("x"))))
+    block = F.slice("fine", F.col("step") * step + 1, F.lit(step - 1))
+    part = F.col("step") * step + F.size(F.filter(block, lambda v: v < F.col("x")))
     marked = marked.select("x", "coord", part.alias("part"))
     by_part = marked.groupBy("part").agg(F.min("coord").alias("first"), F.max("coord").alias("last"))   # at most one row per cut
     back = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

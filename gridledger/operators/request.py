@@ -132,7 +132,7 @@ def variable_requests(links: DataFrame, items: DataFrame, experiments: DataFrame
     group_keys = ["refid", *[f"req_{c}" for c in by]]
     years = group_years(links, items, experiments, policy, by, carry)
     wanted = wanted_variables(links, items, experiments, request_vars, variables, policy, by)
-    found = meet_groups(years, wanted, links, request_vars, group_keys, expanded=(items, experiments))
+    found = meet_groups(years, wanted, links, request_vars, group_keys, expanded=True)
     return found.select("vid", "expt", *carry, *group_keys,
                         default_grid(F.col("grid"), F.col("grid_class"), policy.default_native).alias("grid"), "years")
 

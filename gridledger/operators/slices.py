@@ -35,7 +35,7 @@ def variable_slices(links: DataFrame, items: DataFrame, experiments: DataFrame,
     """``(vid, expt, slice, priority)``: each slice once with the lowest priority that asks for it."""
     wanted = requested_pairs(links, items, request_vars, policy.pmax).groupBy("refid", "vid").agg(F.min("priority").alias("priority"))
     found = meet_groups(group_slices(links, items, experiments, policy, keep_unsliced), wanted, links, request_vars,
-                        expanded=(items, experiments))
+                        expanded=True)
     return found.groupBy("vid", "expt", *SLICE).agg(F.min("priority").alias("priority"))
 
 

@@ -259,7 +259,7 @@ def legacy_fact(links: DataFrame, items: DataFrame, experiments: DataFrame, requ
     rv = request_vars.where(F.col("priority") <= policy.pmax).select(F.col("vgid").alias("refid"), "vid").distinct()
     found_keys = ["vid", "expt", *[f"req_{c}" for c in by]]
     grids = ["native", "100km", "1deg", "2deg"]
-    wide = meet_groups(per_group, rv, links, request_vars, expanded=(items, experiments)).groupBy(*found_keys).agg(*[
+    wide = meet_groups(per_group, rv, links, request_vars, expanded=True).groupBy(*found_keys).agg(*[
         F.max(F.when(F.col("grid") == g, F.col("years"))).alias(f"y{i}") for i, g in enumerate(grids)])
     grid = reduce(lambda acc, ig: acc.when(F.col(f"y{ig[0]}").isNotNull(), F.lit(ig[1])), enumerate(grids), F)
     best = wide.select(*found_keys, grid.alias("grid"), F.coalesce(*[f"y{i}" for i in range(len(grids))]).alias("years"))
@@ -327,7 +327,7 @@ def experiment_requests(items: DataFrame, links: DataFrame, experiments: DataFra
         *[F.max(F.when(F.col(c) > 0, F.col(c))).alias(c) for c in caps], *[F.min(c).alias(f"only_{c}") for c in caps],
         F.count(F.lit(1)).alias("requests"))
     rv = request_vars.where(F.col("priority") <= pmax).groupBy(F.col("vgid").alias("refid"), "vid").agg(F.count(F.lit(1)).alias("times"))
-    per_var = meet_groups(per_group, rv, links, request_vars, expanded=(items, experiments)).groupBy("expt", *about, "vid").agg(
+    per_var = meet_groups(per_group, rv, links, request_vars, expanded=True).groupBy("expt", *about, "vid").agg(
         *[F.max(c).alias(c) for c in caps], *[F.min(f"only_{c}").alias(f"only_{c}") for c in caps],
         F.sum(F.col("requests") * F.col("times")).alias("requests"))
     value = lambda c: F.when(F.col("requests") == 1, F.col(f"only_{c}")).otherwise(F.coalesce(F.col(c), F.lit(-1)))

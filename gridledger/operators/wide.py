@@ -94,7 +94,7 @@ def lowest_priorities(links: DataFrame, items: DataFrame, experiments: DataFrame
     served = with_link(link_experiments(items, experiments), links, "mip", "refid", base=items)
     groups = served.select("mip", "expt", "refid").distinct()
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return meet_groups(groups, rv, links, request_vars, expanded=(items, experiments)).groupBy("mip", "expt", "vid").agg(F.min("priority").alias("priority"))
+    return meet_groups(groups, rv, links, request_vars, expanded=True).groupBy("mip", "expt", "vid").agg(F.min("priority").alias("priority"))
 
 
 def rank_variables(variables: DataFrame, var: DataFrame, request_vars: DataFrame, placeholder: Column) -> DataFrame:

@@ -254,9 +254,9 @@ def issue_counts(cat):
 
 
 @query("append_except", """
-SELECT 'appended' AS kind, r_name AS label, concat('m', r_regionkey) AS uid FROM region
+SELECT 'appended' AS kind, label, uid FROM x_mip
 UNION ALL SELECT 'appended', n_name, concat('n', n_nationkey) FROM nation
-UNION ALL SELECT 'current', label, uid FROM (SELECT r_name AS label, concat('m', r_regionkey) AS uid FROM region) WHERE label NOT IN ('PDRMIP', 'DECK', 'VIACSAB', 'SolarMIP', 'CMIP6')
+UNION ALL SELECT 'current', label, uid FROM x_mip WHERE label NOT IN ('PDRMIP', 'DECK', 'VIACSAB', 'SolarMIP', 'CMIP6')
 UNION ALL SELECT 'nation name without nation 3', n_name, NULL FROM (SELECT n_name FROM nation EXCEPT SELECT 'NATION_3')""")
 def append_except(cat):
     mips = cat["x_mip"].select("label", "uid")

@@ -1,59 +1,46 @@
 """Joins that stay balanced when a key has many rows on both sides.
 
 Adaptive execution splits a partition that is large on one side, whichever side that is. What it cannot see is a key whose
-rows are few enough on each side but whose pairs are many. ``skew_join`` measures that: where the caller names the columns
-of the base tables that the keys of both sides come from, the rows of each key are counted there, and the keys with more
-than ``HOT_PAIRS`` pairs are spread: the rows of one side over a number of parts, with the matching rows of the other side
-repeated, and the other way round. There is at most one such key for so many joined rows, which bounds the list; Spark
-decides by its size how to join it. Without such a key there is nothing to spread, and the join is the plain one.
+rows are few enough on each side but whose pairs are many. Where the caller names frames in which the keys of both sides can be
+counted, ``skew_join`` counts them as part of its own plan, takes the keys with the most pairs, and spreads those with more than
+``HOT_PAIRS``: the rows of one side over a number of parts, with the matching rows of the other side repeated, and the other way
+round. The list of keys is broadcast, and it has at most ``MOST_KEYS`` of them whatever the data: a key that is not among
+so many holds less than that share of all pairs. Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_PAIRS = 50_000_000      # joined rows of one key that still fit one task comfortably
-LISTS_KEPT = 64             # lists remembered by the tables they were counted in; an old list only costs balance
+MOST_KEYS = 4096            # keys that are spread; any other has less than one in so many of all joined rows
+_ANY = 0x6A09E667F3BCC908   # a hash that practically no row has
 
-_lists: OrderedDict[tuple, pa.Table] = OrderedDict()
 
-
-def _all_set(keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
+def whole_rows(df: DataFrame) -> Column:
+    """A count of rows that depends on all columns, so that the plan below stays the one that produces them and is computed once."""
+    return F.count_if(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) != F.lit(_ANY))
 
 
 def _rows_by_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """How many rows each key has; a column ``weight`` tells how many rows a row stands for."""
-    size = F.sum("weight") if "weight" in df.columns else F.count(F.lit(1))
-    return df.where(_all_set(keys)).groupBy(*keys).agg(size.cast("double").alias(name))
+    size = whole_rows(df) if len(df.columns) > len(keys) else F.count(F.lit(1))
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(size.cast("double").alias(name))
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> pa.Table:
-    """The keys with more than ``HOT_PAIRS`` pairs, and into how many parts to cut their rows on the left and on the right.
+def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys with more than ``HOT_PAIRS`` pairs, at most ``MOST_KEYS``, and into how many parts to cut their rows on either side.
 
     The parts are about as many as the pairs ask for, and the sides are cut in proportion to their rows.
     """
-    spark, keys = left.sparkSession, list(keys)
-    known = (left.semanticHash(), right.semanticHash(), tuple(keys), HOT_PAIRS, spark.sparkContext.applicationId)
-    both = _rows_by_key(left, keys, "l").join(_rows_by_key(right, keys, "r"), keys).where(F.col("l") * F.col("r") > HOT_PAIRS)
+    both = _rows_by_key(left, keys, "l").join(_rows_by_key(right, keys, "r"), list(keys)).where(F.col("l") * F.col("r") > HOT_PAIRS)
+    both = both.orderBy(F.desc(F.col("l") * F.col("r")), *keys).limit(MOST_KEYS)
     parts = F.col("l") * F.col("r") / HOT_PAIRS
     cut_left = F.greatest(F.lit(1.0), F.least(F.col("l"), F.ceil(F.sqrt(parts * F.col("l") / F.col("r")))))
     cut_right = F.greatest(F.lit(1.0), F.least(F.col("r"), F.ceil(parts / cut_left)))
-    found = both.select(*keys, cut_left.cast("int").alias("_lparts"), cut_right.cast("int").alias("_rparts"))
-    if known not in _lists:
-        _lists[known] = found.toArrow()
-        while len(_lists) > LISTS_KEPT:
-            _lists.popitem(last=False)
-    _lists.move_to_end(known)
-    return _lists[known]
+    return both.select(*keys, cut_left.cast("int").alias("_lparts"), cut_right.cast("int").alias("_rparts"))
 
 
 def skew_join(
@@ -67,25 +54,22 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join on same-named ``keys`` that splits keys with many rows on both sides.
 
-    ``left_keys`` and ``right_keys`` hold the key columns, or some of them, as they occur in the base tables; an inner join
-    that names both is split, any other is left to adaptive execution. The part of a row is a hash of the whole row, so a
+    ``left_keys`` and ``right_keys`` have the key columns, or some of them, with about as many rows of each key as the sides; an inner
+    join that names both is split, any other is left to adaptive execution. The part of a row is a hash of the whole row, so a
     task that is run again puts every row where it was before; exact copies share their part.
     """
     keys = list(keys)
     if how != "inner" or left_keys is None or right_keys is None:
         return left.join(right, keys, how)
     known = [k for k in keys if k in left_keys.columns and k in right_keys.columns]
-    found = hot_keys(left_keys, right_keys, known)
-    if not found.num_rows:
-        return left.join(right, keys)
-    hot = left.sparkSession.createDataFrame(found)
+    hot = F.broadcast(hot_keys(left_keys, right_keys, known))
 
     def marked(df: DataFrame, own: str, other: str) -> DataFrame:
-        row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_own")
-        m = df.select("*", row).join(hot, known, "left")
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
         one = lambda c: F.coalesce(F.col(c), F.lit(1))
-        every = F.explode(F.sequence(F.lit(0), one(f"_{other}parts") - 1))
-        return m.withColumn(f"_{own}", F.pmod("_own", one(f"_{own}parts")).cast("int")).withColumn(f"_{other}", every).drop("_own", "_lparts", "_rparts")
+        every = F.explode(F.sequence(F.lit(0), one(f"_{other}parts") - 1)).alias(f"_{other}")
+        part = F.when(one(f"_{own}parts") > 1, F.pmod(row, one(f"_{own}parts"))).otherwise(0).cast("int").alias(f"_{own}")
+        return df.join(hot, known, "left").select(*[F.col(f"`{c}`") for c in df.columns], part, every)
 
     return marked(left, "l", "r").join(marked(right, "r", "l"), [*keys, "_l", "_r"]).drop("_l", "_r")
 
