@@ -1,27 +1,29 @@
 """Reading catalogue documents: schema definitions, sections, manifests, versions and small side tables.
 
-A section is declared by the definition document, so its schema is data.  The definition is small by nature (a few hundred
-attributes) and is the only thing read on the driver, to build the ``StructType`` of a section; records stay in Spark.
+A section is declared by the definition document, so its schema is data.  The attributes of the sections that are loaded are the only thing
+read on the driver, to name the columns; records stay in Spark.  Documents are read tag by tag (``ordered``), by as many tasks as
+they have blocks, whatever the size of a section; all sections of a document come from one scan.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridledger.functions.coerce import typed, violations
 from gridledger.operators.links import edges, uid_index, union_all
+from gridledger.session import shared_dir
+from gridledger.sources import ordered as O
 
 _SECTION_HEAD = ["label", "title", "id", "uid", "itemLabelMode", "level", "maxOccurs", "labUnique", "description"]
 _ATTRIBUTE = ["label", "title", "type", "useClass", "techNote", "description", "uid", "required"]
 
 
-def _text_struct(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(f"_{n}", T.StringType()) for n in names])
+_DOCUMENT_HEAD = ["label", "title", "uid", "id", "useClass"]
 
 
 def rows(spark: SparkSession, values: list[tuple], names: list[str]) -> DataFrame:
@@ -34,15 +36,12 @@ def rows(spark: SparkSession, values: list[tuple], names: list[str]) -> DataFram
 def read_definition(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``(meta_section, meta_attribute)`` of a definition document; an attribute without a type is text and is required
     unless marked 0 or false."""
-    attribute = _text_struct(_ATTRIBUTE)
-    schema = T.StructType(_text_struct(_SECTION_HEAD).fields + [T.StructField("rowAttribute", T.ArrayType(attribute))])
-    doc = spark.read.format("xml").option("rowTag", "table").schema(schema).load(path)
-    sections = doc.select(*[F.col(f"_{c}").alias(c) for c in _SECTION_HEAD])
-    a = doc.select(F.col("_label").alias("section"), F.posexplode("rowAttribute").alias("place", "a"))
-    cols = {c: F.col(f"a._{c}") for c in _ATTRIBUTE}
-    cols["type"] = F.coalesce(cols["type"], F.lit("xs:string"))
-    cols["required"] = ~F.coalesce(cols["required"], F.lit("1")).isin("0", "false")
-    a = a.select("section", "place", *[c.alias(n) for n, c in cols.items()])
+    inner, outer = O.within(O.tags(spark, path), "rowAttribute", ["table"])
+    names = lambda a, cols: [F.col(f"{a}._{c}").alias(c) for c in cols]
+    sections = outer.select(O.attributes(F.col("head"), _SECTION_HEAD).alias("a")).select(*names("a", _SECTION_HEAD))
+    found = inner.select(O.attributes(F.col("head"), ["label"])["_label"].alias("section"), "place", O.attributes(F.col("inner_head"), _ATTRIBUTE).alias("a"))
+    a = found.select("section", "place", *names("a", _ATTRIBUTE))
+    a = a.withColumns({"type": F.coalesce("type", F.lit("xs:string")), "required": ~F.coalesce("required", F.lit("1")).isin("0", "false")})
     # a repeated declaration replaces the earlier one
     last = a.groupBy("section", "label").agg(F.max(F.struct("place", *[c for c in _ATTRIBUTE if c != "label"])).alias("r"))
     return sections, last.select("section", "label", "r.*").drop("place")
@@ -50,7 +49,7 @@ def read_definition(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 
 def read_block_schema(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated table of core attributes: two lines to skip, a header, flags as 1, short lines padded."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.rtrim("value"), r"\r?\n")).alias("line", "value"))
+    lines = O.numbered(O.pieces(spark, path))
     names = [n.strip() for n in lines.where(F.col("line") == 2).head()["value"].split("\t")]
     parts = F.split(F.rtrim("value"), "\t")
     last = len(names) - 1
@@ -108,18 +107,25 @@ def section_schemas(attributes: DataFrame) -> dict[str, SectionSchema]:
     return out
 
 
-def read_section(spark: SparkSession, path, section: str, schema: SectionSchema) -> tuple[DataFrame, DataFrame]:
-    """``(records as text, section head)``; the text table goes through ``typed`` and ``violations``.
+def read_records(spark: SparkSession, path: str, attributes: dict[str, list[str]]) -> tuple[DataFrame, DataFrame]:
+    """``(records as text, section heads)`` of all sections of a document at once.
 
-    A section element holds a bounded number of records by its schema (12,000), so one row per section and document is
-    small; many documents or versions spread over the cluster by file.
+    ``attributes`` names the attributes of each section. A record has its ``section`` and the attributes of all of them, null where
+    it has none; a head has how many ``records`` its element holds.
     """
-    item = _text_struct(list(schema.types))
-    doc_schema = T.StructType(_text_struct(["label", "title", "uid", "id", "useClass"]).fields + [T.StructField("item", T.ArrayType(item))])
-    doc = spark.read.format("xml").option("rowTag", section).schema(doc_schema).load(path)
-    head = doc.select(*[F.col(f"_{c}").alias(c) for c in ("label", "title", "uid", "id", "useClass")], F.size("item").alias("records"))
-    records = doc.select(F.explode("item").alias("i")).select(*[F.col(f"i._{c}").alias(c) for c in schema.types])
-    return records, head
+    every = sorted({a for names in attributes.values() for a in names})
+    inner, outer = O.within(O.tags(spark, path), "item", sorted(attributes))
+    records = inner.select(F.col("name").alias("section"), O.attributes(F.col("inner_head"), every).alias("i"))
+    sizes = inner.groupBy("at").agg(F.count(F.lit(1)).alias("records"))
+    head = outer.join(sizes, "at", "left").select(O.attributes(F.col("head"), _DOCUMENT_HEAD).alias("a"), F.coalesce("records", F.lit(0)).alias("records"))
+    return (records.select("section", *[F.col(f"i._{a}").alias(f"_{a}") for a in every]),
+            head.select(*[F.col(f"a._{c}").alias(c) for c in _DOCUMENT_HEAD], "records"))
+
+
+def read_section(spark: SparkSession, path: str, section: str, schema: SectionSchema) -> tuple[DataFrame, DataFrame]:
+    """``(records as text, section heads)`` of one section; the text table goes through ``typed`` and ``violations``."""
+    records, head = read_records(spark, path, {section: list(schema.types)})
+    return records.select(*[F.col(f"_{a}").alias(a) for a in schema.types]), head
 
 
 def repeated_sections(heads: DataFrame) -> DataFrame:
@@ -150,7 +156,10 @@ def read_manifest(spark: SparkSession, path: str) -> list[tuple[str, str]]:
 
 
 def load(spark: SparkSession, pairs: list[tuple[str | None, str]], schema_only: bool = False) -> Collection:
-    """One collection out of several (document, definition) pairs; ``schema_only`` reads the definitions alone."""
+    """One collection out of several (document, definition) pairs; ``schema_only`` reads the definitions alone.
+
+    A document is scanned once: its records are kept in the shared folder by section, and the sections read from there.
+    """
     definitions = [read_definition(spark, d) for _, d in pairs]
     meta_section = union_all([s for s, _ in definitions])
     meta_attribute = union_all([a for _, a in definitions])
@@ -159,10 +168,13 @@ def load(spark: SparkSession, pairs: list[tuple[str | None, str]], schema_only:
     parts: dict[str, list[DataFrame]] = {}
     problems, kinds = [], {}
     for (doc, _), (_, attributes) in zip(pairs, definitions):
-        for name, schema in section_schemas(attributes).items():
-            if name.startswith("__"):
-                continue
-            text, _ = read_section(spark, doc, name, schema)
+        schemas = {name: x for name, x in section_schemas(attributes).items() if not name.startswith("__")}
+        records, _ = read_records(spark, doc, {name: list(x.types) for name, x in schemas.items()})
+        folder = f"{shared_dir(spark)}/gridledger-records-{uuid.uuid4().hex}"
+        records.write.partitionBy("section").parquet(folder)
+        kept = spark.read.schema(records.schema).parquet(folder)
+        for name, schema in schemas.items():
+            text = kept.where(F.col("section") == name).select(*[F.col(f"_{a}").alias(a) for a in schema.types])
             parts.setdefault(name, []).append(typed(text, schema.types, schema.required))
             problems.append(violations(text, name, schema.types, schema.required))
             if schema.links:

@@ -120,3 +120,48 @@ def test_shared_folder_and_materialise(spark):
     assert folder == spark.conf.get("spark.checkpoint.dir")
     df = materialise(spark.range(5).withColumn("x", F.col("id") * 2))
     assert df.count() == 5 and spark.sparkContext.getCheckpointDir() is not None
+
+
+# --- large documents -----------------------------------------------------------------------------------
+
+@pytest.fixture
+def small_blocks(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_one_large_section_is_read_by_many_tasks(spark, tmp_path, small_blocks):
+    item = """ <item uid="v{0}" label='say "{0}" > &#233;&amp;'\n  rank="{0}"/>\n"""
+    with open(tmp_path / "big.xml", "w") as f:
+        f.write('<?xml version="1.0"?>\n<main>\n<!-- <var> <item uid="comment"/> </var> -->\n<name label="name">\n <item uid="n1"/>\n</name>\n<item uid="outside"/>\n<var label="var" title="Quantity">\n')
+        for i in range(20_000):
+            f.write(item.format(i))
+            if i == 7000:
+                f.write("<!-- " + "<item uid='hidden'/>\n" * 3000 + "-->\n<![CDATA[ <item uid='data'/> </var> ]]>")
+        f.write("</var>\n<name label=\"name\"><item uid=\"n2\"/></name><var/><empty/></main>")
+    from gridledger.sources import ordered as O
+    assert O.pieces(spark, str(tmp_path / "big.xml"), "<").rdd.getNumPartitions() > 20
+    records, heads = C.read_records(spark, str(tmp_path / "big.xml"), {"var": ["uid", "label", "rank"], "name": ["uid"]})
+    found = rows(records.groupBy("section").agg(F.count("*").alias("n"), F.sum(F.col("_rank").cast("long")).alias("s"), F.count_distinct("_uid").alias("u")))
+    assert found == [("name", 2, None, 2), ("var", 20_000, sum(range(20_000)), 20_000)]
+    assert rows(records.where("_uid = 'v77'"), "_label") == [('say "77" > é&',)]
+    assert rows(heads, "label", "title", "records") == [(None, None, 0), ("name", None, 1), ("name", None, 1), ("var", "Quantity", 20_000)]
+
+
+def test_lines_are_numbered_over_blocks_and_files(spark, tmp_path, small_blocks):
+    from gridledger.sources import ordered as O
+    (tmp_path / "doc").mkdir()
+    for part, lines in enumerate([9000, 0, 1, 5000]):
+        (tmp_path / "doc" / f"part-{part:05}").write_text("".join(f"{part} {i} {'x' * (i % 50)}\n" for i in range(lines)))
+    found = O.numbered(O.pieces(spark, str(tmp_path / "doc")))
+    assert found.rdd.getNumPartitions() > 1 or found.count() > 0
+    got = [r["value"].split()[:2] for r in found.orderBy("line").select("value", "line").collect()]
+    assert got == [["0", str(i)] for i in range(9000)] + [["2", "0"]] + [["3", str(i)] for i in range(5000)]
+    assert [r["line"] for r in found.select("line").orderBy("line").collect()] == list(range(14_001))
+
+
+def test_sections_of_a_document_come_from_one_scan(spark, docs):
+    got = C.load(spark, C.read_manifest(spark, str(docs / "manifest.txt")))
+    for section in got.sections.values():
+        assert not [f for f in section.inputFiles() if f.endswith(".xml")]
