@@ -19,8 +19,6 @@ from gridledger.session import shared_dir
 from gridledger.sources import catalog as C
 from gridledger.sources import sinks as K
 
-RECORDS_PER_SECTION = 12_000     # what the schema of a catalogue document allows
-
 
 def new_folder(cat: Catalogue, name: str) -> str:
     return f"{shared_dir(cat.spark)}/gridledger-{name}-{uuid.uuid4().hex}"
@@ -33,7 +31,7 @@ VARIABLE = C.SectionSchema(
 
 
 def as_document(cat: Catalogue) -> str:
-    """Variables as catalogue documents, each with one section of at most as many records as its schema allows."""
+    """Variables as catalogue documents, as many as tasks, each with one section of any size."""
     v = cat["x_cmorvar"]
     odd = F.col("row_index") % 2 == 1
     items = v.select(F.concat(F.lit("v"), F.col("uid").cast("string")).alias("_uid"), F.col("vid").alias("_vid"), F.col("label").alias("_label"),
@@ -41,7 +39,7 @@ def as_document(cat: Catalogue) -> str:
                      F.concat_ws(" ", (F.col("row_index") % 5).cast("string"), F.lit("3")).alias("_levels"), F.when(odd, "true").otherwise("0").alias("_active"),
                      F.when(odd, F.col("title")).alias("_note"))
     folder = new_folder(cat, "documents")
-    items.write.format("xml").option("rootTag", "CMORvar").option("rowTag", "item").option("maxRecordsPerFile", RECORDS_PER_SECTION).option("declaration", "").save(folder)
+    items.write.format("xml").option("rootTag", "CMORvar").option("rowTag", "item").option("declaration", "").save(folder)
     return folder
 
 
@@ -104,68 +102,70 @@ def sink_rows(cat):
 
 # --- definitions, manifests and side tables ------------------------------------------------------------
 
-def definition_document(cat: Catalogue) -> str:
-    """Regions as sections and their nations as attributes, as a definition document."""
-    n = cat["nation"].join(cat["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-    k = F.col("n_nationkey")
-    kind = F.when(k % 3 == 1, "xs:integer").when(k % 3 == 2, "aa:st__uid")
-    attribute = F.struct(k.alias("key"), F.col("n_name").alias("_label"), F.concat(F.lit("Nation "), k.cast("string")).alias("_title"), kind.alias("_type"),
-                         F.concat(F.lit("about "), "n_name").alias("_description"), F.when(k % 2 == 0, "0").alias("_required"))
-    doc = n.groupBy("r_regionkey", "r_name").agg(F.sort_array(F.collect_list(attribute)).alias("a"))             # a region has a few nations
-    fields = ["_label", "_title", "_type", "_description", "_required"]
-    doc = doc.select(F.col("r_name").alias("_label"), F.concat(F.lit("1."), F.col("r_regionkey").cast("string"), F.lit(" "), "r_name").alias("_title"),
-                     F.transform("a", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("rowAttribute"))
-    folder = new_folder(cat, "definition")
-    doc.write.format("xml").option("rootTag", "tables").option("rowTag", "table").option("declaration", "").save(folder)
+def text_document(cat: Catalogue, name: str, lines: DataFrame) -> str:
+    """``lines(value)`` with the columns that order them as a folder of text files, whose names continue that order."""
+    order = [c for c in lines.columns if c != "value"]
+    folder = new_folder(cat, name)
+    tasks = int(cat.spark.conf.get("spark.sql.shuffle.partitions"))
+    lines.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("value").write.text(folder)
     return folder
 
 
-@query("definition_sections", "SELECT concat('1.', r_regionkey, ' ', r_name) AS title, r_name AS label FROM region")
+ATTRIBUTES_A_SECTION = 50
+
+# fifty parts are the attributes of a section
+DEFINED = """d AS (SELECT p_partkey AS k, floor(p_partkey / 50) AS s, concat('s', CAST(floor(p_partkey / 50) AS BIGINT)) AS section, concat('a', p_partkey) AS label, p_name AS name FROM part)"""
+
+
+def definition_document(cat: Catalogue) -> str:
+    """Parts as attributes and fifty neighbours as a section, as one definition document."""
+    k = F.col("p_partkey")
+    s = F.floor(k / ATTRIBUTES_A_SECTION)
+    escaped = F.replace(F.replace("p_name", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    kind = F.when(k % 3 == 1, ' type="xs:integer"').when(k % 3 == 2, ' type="aa:st__uid"').otherwise("")
+    attribute = F.concat(F.format_string(' <rowAttribute label="a%d" title="Part %d"', k, k), kind, F.when(k % 2 == 0, ' required="0"').otherwise(""),
+                         F.lit(' description="about '), escaped, F.lit('"/>'))
+    sections = cat["part"].select(s.alias("s")).distinct()
+    start = sections.select("s", F.lit(0).alias("turn"), F.lit(0).cast("bigint").alias("k"), F.format_string('<table label="s%d" title="1.%d section">', "s", "s").alias("value"))
+    end = sections.select("s", F.lit(2).alias("turn"), F.lit(0).cast("bigint").alias("k"), F.lit("</table>").alias("value"))
+    inner = cat["part"].select(s.alias("s"), F.lit(1).alias("turn"), k.cast("bigint").alias("k"), attribute.alias("value"))
+    return text_document(cat, "definition", start.unionByName(inner).unionByName(end))
+
+
+@query("definition_sections", f"WITH {DEFINED} SELECT DISTINCT concat('1.', CAST(s AS BIGINT), ' section') AS title, section AS label FROM d")
 def definition_sections(cat):
     return C.list_sections(C.read_definition(cat.spark, definition_document(cat))[0])
 
 
-@query("definition_attributes", """
-SELECT r_name AS section, n_name AS label, CASE n_nationkey % 3 WHEN 1 THEN 'xs:integer' WHEN 2 THEN 'aa:st__uid' ELSE 'xs:string' END AS type,
- n_nationkey % 2 <> 0 AS required FROM nation JOIN region ON n_regionkey = r_regionkey""")
+@query("definition_attributes", f"""
+WITH {DEFINED} SELECT section, label, CASE k % 3 WHEN 1 THEN 'xs:integer' WHEN 2 THEN 'aa:st__uid' ELSE 'xs:string' END AS type, concat('about ', name) AS description,
+ k % 2 <> 0 AS required FROM d""")
 def definition_attributes(cat):
-    return C.read_definition(cat.spark, definition_document(cat))[1].select("section", "label", "type", "required")
+    return C.read_definition(cat.spark, definition_document(cat))[1].select("section", "label", "type", "description", "required")
 
 
-@query("attribute_definitions", """
-WITH a AS (SELECT n_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'),
-l AS (SELECT string_agg(n_name, ' ' ORDER BY n_name) AS names FROM a), t AS (SELECT concat('1.', r_regionkey, ' ASIA') AS title FROM region WHERE r_name = 'ASIA'),
-m AS (SELECT min(n_name) AS n FROM a)
-SELECT 'ASIA' AS query, 'section' AS finding, title AS section_title, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS description, names AS attributes FROM t, l
-UNION ALL SELECT 'ASIA:none', 'attribute not found', title, NULL, NULL, names FROM t, l
-UNION ALL SELECT concat('ASIA:', n), 'attribute', t.title, concat('Nation ', n_nationkey), concat('about ', n), names FROM t, l, m JOIN a ON a.n_name = m.n
-UNION ALL SELECT 'ATLANTIS', 'unknown section', NULL, NULL, NULL, '' """)
+@query("attribute_definitions", f"""
+WITH {DEFINED}, a AS (SELECT * FROM d WHERE section = 's1'), l AS (SELECT string_agg(label, ' ' ORDER BY label) AS names FROM a)
+SELECT 's1' AS query, 'section' AS finding, '1.1 section' AS section_title, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS description, names AS attributes FROM l
+UNION ALL SELECT 's1:none', 'attribute not found', '1.1 section', NULL, NULL, names FROM l
+UNION ALL SELECT 's1:a60', 'attribute', '1.1 section', concat('Part ', k), concat('about ', name), names FROM l, a WHERE label = 'a60'
+UNION ALL SELECT 'nowhere', 'unknown section', NULL, NULL, NULL, '' """)
 def attribute_definitions(cat):
     sections, attributes = C.read_definition(cat.spark, definition_document(cat))
-    first = cat["nation"].join(cat["region"], F.col("n_regionkey") == F.col("r_regionkey")).where("r_name = 'ASIA'").agg(F.min("n_name")).first()[0]
-    asked = [C.attribute_definition(sections, attributes, q) for q in ("ASIA", "ASIA:none", f"ASIA:{first}", "ATLANTIS")]
-    return union_all(asked)
+    return union_all([C.attribute_definition(sections, attributes, q) for q in ("s1", "s1:none", "s1:a60", "nowhere")])
 
 
-@query("section_attribute_list", "SELECT n_name AS label FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'")
+@query("section_attribute_list", f"WITH {DEFINED} SELECT label FROM d WHERE section = 's2'")
 def section_attribute_list(cat):
-    return C.section_attributes(C.read_definition(cat.spark, definition_document(cat))[1], "EUROPE")
+    return C.section_attributes(C.read_definition(cat.spark, definition_document(cat))[1], "s2")
 
 
-@query("schema_only_load", """
-SELECT r_name AS section, count(*) AS attributes FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
+@query("schema_only_load", f"WITH {DEFINED} SELECT section, count(*) AS attributes FROM d GROUP BY section")
 def schema_only_load(cat):
     got = C.load(cat.spark, [(None, definition_document(cat))], schema_only=True)
     return got.meta_attribute.groupBy("section").agg(F.count(F.lit(1)).alias("attributes"))
 
 
-def lines_file(cat: Catalogue, name: str, lines: DataFrame) -> str:
-    """``lines(k, value)`` in the order of k as one text file; only for tables of a few lines."""
-    folder = new_folder(cat, name)
-    lines.repartition(1).sortWithinPartitions("k").select("value").write.text(folder)
-    return folder
-
-
 def _halves(cat: Catalogue) -> list[str]:
     """The variables in two documents with the same section."""
     out = []
@@ -173,7 +173,7 @@ def _halves(cat: Catalogue) -> list[str]:
         v = cat["x_cmorvar"].where(F.col("uid") % 2 == odd)
         items = v.select(F.concat(F.lit("v"), F.col("uid").cast("string")).alias("_uid"), F.col("vid").alias("_vid"), F.col("label").alias("_label"), F.col("row_index").cast("string").alias("_rank"))
         folder = new_folder(cat, "half")
-        items.write.format("xml").option("rootTag", "CMORvar").option("rowTag", "item").option("maxRecordsPerFile", RECORDS_PER_SECTION).option("declaration", "").save(folder)
+        items.write.format("xml").option("rootTag", "CMORvar").option("rowTag", "item").option("declaration", "").save(folder)
         out.append(folder)
     return out
 
@@ -193,24 +193,27 @@ UNION ALL SELECT 'link', concat('v', uid), vid, NULL FROM x_cmorvar""")
 def manifest_load(cat):
     definition = _variable_definition(cat)
     lines = [(0, "## two documents")] + [(k + 1, f"{doc} {definition}") for k, doc in enumerate(_halves(cat))]
-    pairs = C.read_manifest(cat.spark, lines_file(cat, "manifest", C.rows(cat.spark, lines, ["k", "value"])))
+    pairs = C.read_manifest(cat.spark, text_document(cat, "manifest", C.rows(cat.spark, lines, ["k", "value"])))
     got = C.load(cat.spark, pairs)
     records = got.sections["CMORvar"].select(F.lit("record").alias("kind"), "uid", F.col("label").alias("value"), "rank")
     return records.unionByName(got.links.select(F.lit("link").alias("kind"), F.col("src_uid").alias("uid"), F.col("dst_uid").alias("value"), F.lit(None).cast("bigint").alias("rank")))
 
 
 @query("document_versions", """
-SELECT concat('01.00.', n_nationkey % 2) AS version, CAST(2 AS BIGINT) AS versions, TRUE AS conflict FROM nation WHERE n_nationkey < 3""")
+WITH d AS (SELECT floor(c_custkey / 500) AS d, concat('01.00.', min(c_custkey) % 4) AS version FROM customer GROUP BY 1)
+SELECT version, count(*) AS documents, (SELECT count(DISTINCT version) FROM d) AS versions, (SELECT count(DISTINCT version) > 1 FROM d) AS conflict FROM d GROUP BY version""")
 def document_versions(cat):
-    def document(key: int) -> str:
-        n = cat["nation"].where(F.col("n_nationkey") == key)
-        version = F.concat(F.lit("<pav:version>01.00."), (F.col("n_nationkey") % 2).cast("string"), F.lit("</pav:version>"))
-        lines = n.select(F.posexplode(F.array(F.lit("<main>"), version, F.concat(F.lit("<item label="), "n_name", F.lit("/>")))).alias("k", "value"))
-        return lines_file(cat, "version", lines)
-
-    versions = C.read_versions(cat.spark, [document(k) for k in range(3)])
+    # a document for five hundred customers, with its version in one of its lines
+    c = cat["customer"].select(F.floor(F.col("c_custkey") / 500).alias("doc"), F.col("c_custkey").alias("k"))
+    line = F.format_string('<item uid="%d"/>', "k")
+    version = c.groupBy("doc").agg(F.min("k").alias("k")).select("doc", F.concat(F.lit("<pav:version>01.00."), (F.col("k") % 4).cast("string"), F.lit("</pav:version>")).alias("value"))
+    folder = new_folder(cat, "documents")
+    lines = version.unionByName(c.select("doc", line.alias("value")))
+    lines.repartition("doc").write.partitionBy("doc").text(folder)
+    versions = C.read_versions(cat.spark, [folder])
+    found = versions.groupBy("version").agg(F.count(F.lit(1)).alias("documents"))
     conflict = C.version_conflict(versions)
-    return versions.select("version").crossJoin(F.broadcast(conflict)).select("version", "versions", "conflict")       # one row
+    return found.select("version", "documents", conflict.select("versions").scalar().alias("versions"), conflict.select("conflict").scalar().alias("conflict"))
 
 
 @query("newest_version", "SELECT c_custkey, concat('v', c_custkey % 3) AS version FROM customer WHERE c_custkey % 3 = (SELECT max(c_custkey % 3) FROM customer)")
@@ -221,19 +224,19 @@ def newest_version(cat):
     return C.pick_version(cat.spark.read.parquet(folder)).select("c_custkey", F.col("version").cast("string").alias("version"))
 
 
-@query("info_rows", "SELECT n_name AS name, concat('nation \"', n_nationkey, '\"') AS text FROM nation")
+@query("info_rows", "SELECT p_name AS name, concat('part \"', p_partkey, '\"') AS text FROM part")
 def info_rows(cat):
-    line = F.concat("n_name", F.lit('\tnation "'), F.col("n_nationkey").cast("string"), F.lit('"'))
-    return C.read_info_rows(cat.spark, lines_file(cat, "info", cat["nation"].select(F.col("n_nationkey").alias("k"), line.alias("value"))))
+    line = F.concat("p_name", F.lit('\tpart "'), F.col("p_partkey").cast("string"), F.lit('"'))
+    return C.read_info_rows(cat.spark, text_document(cat, "info", cat["part"].select(F.col("p_partkey").alias("k"), line.alias("value"))))
 
 
 @query("block_schema", """
-SELECT n_name AS name, concat('r', n_regionkey) AS kind, n_nationkey % 2 = 0 AS core FROM nation""")
+SELECT p_name AS name, p_brand AS kind, p_partkey % 2 = 0 AS core FROM part""")
 def block_schema(cat):
-    k = F.col("n_nationkey")
-    cells = F.concat_ws("\t", "n_name", F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), F.when(k % 2 == 0, "1").otherwise("0"))
+    k = F.col("p_partkey")
+    cells = F.concat_ws("\t", "p_name", "p_brand", F.when(k % 2 == 0, "1").otherwise("0"))
     head = C.rows(cat.spark, [(-3, "core attributes"), (-2, "----"), (-1, "name\tkind\tcore")], ["k", "value"])
-    return C.read_block_schema(cat.spark, lines_file(cat, "block", head.unionByName(cat["nation"].select(k.cast("bigint").alias("k"), cells.alias("value")))))
+    return C.read_block_schema(cat.spark, text_document(cat, "block", head.unionByName(cat["part"].select(k.cast("bigint").alias("k"), cells.alias("value")))))
 
 
 @query("integer_problems", """

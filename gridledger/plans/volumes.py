@@ -213,13 +213,11 @@ def union_request(cat):
     return R.variable_years(variable_requests(cat, links=X.select_links(cat["x_request_link"], {"m0", "m3"}, mips=cat["x_mip"])), POLICY)
 
 
-_TWO = "'m0', 'm1'"
-
-
+# each project's request on its own, as a table, before the two meet
 @query("one_sided_difference", f"""
-WITH {Q.requests(mips=_TWO, by_mip=True)}, {Q.best(by_mip=True)}, two AS MATERIALIZED (SELECT * FROM vy), a AS (SELECT * FROM two WHERE req_mip = 'm0'), b AS (SELECT * FROM two WHERE req_mip = 'm1')
-SELECT b.vid, b.expt, b.grid, CASE WHEN a.vid IS NULL THEN b.years ELSE b.years - a.years END AS years FROM b LEFT JOIN a
- ON a.vid = b.vid AND a.expt = b.expt AND a.grid = b.grid WHERE a.vid IS NULL OR b.years > a.years""")
+WITH a AS MATERIALIZED (WITH {Q.requests(mips="'m0'")}, {Q.best()} SELECT vid, expt, grid, years FROM vy),
+b AS MATERIALIZED (WITH {Q.requests(mips="'m1'")}, {Q.best()} SELECT vid, expt, grid, years FROM vy)
+SELECT vid, expt, grid, CASE WHEN a.years IS NULL THEN b.years ELSE b.years - a.years END AS years FROM b LEFT JOIN a USING (vid, expt, grid) WHERE a.years IS NULL OR b.years > a.years""")
 def one_sided_difference(cat):
     def years(mip):
         links = X.select_links(cat["x_request_link"], {mip}, mips=cat["x_mip"])

@@ -147,7 +147,7 @@ class Collection:
 
 def read_manifest(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """(document, definition) pairs; the first line is a title."""
-    lines = [r["value"] for r in spark.read.text(path).collect()]                               # a list of a few files
+    lines = [r["value"] for r in O.numbered(O.pieces(spark, path)).orderBy("line").collect()]    # a list of a few files
     pairs = [line.split() for line in lines[1:] if line.strip()]
     for p in pairs:
         if len(p) < 2:
