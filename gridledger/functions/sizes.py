@@ -11,7 +11,6 @@ from gridledger.lookup import (
     ATMOS_PROVENANCE, EXTRA_DIM_DEFAULT, EXTRA_DIM_SIZE, MODEL_CONFIG, OCEAN_PROVENANCE, OCEAN_SHAPES,
     OFF_GRID_POINTS, OUTPUTS_PER_YEAR, REGULAR_POINTS, SOIL_LEVELS, UNDECIDED_SHAPE, UNSET,
 )
-from gridledger.scale import skew_join
 
 REGULAR_GRIDS = sorted(REGULAR_POINTS)
 
@@ -201,7 +200,7 @@ def variable_sizes(variables: DataFrame, structures: DataFrame, shapes: DataFram
     """Variables with their sizes, outputs per year (in hundredths) and grid class."""
     sizes = structure_sizes(structures, shapes, config).withColumnRenamed("uid", "stid")
     return (
-        skew_join(variables, sizes, ["stid"], "left", left_keys=variables.select("stid"))
+        variables.join(sizes, ["stid"], "left")
         .withColumn("grid_class", grid_class(F.col("modeling_realm"), F.coalesce("odims", F.lit("")),
                                              F.col("shape_label"), F.col("prov"), all_ocean))
         .withColumn("npy100", hundredths_per_year(F.col("frequency")))

@@ -27,29 +27,21 @@ def members(experiments: DataFrame, *cols: str) -> DataFrame:
         "n.esid", "n.kind", "expt", *cols)
 
 
-def expand_target(targets: DataFrame, experiments: DataFrame, *cols: str, base: DataFrame | None = None) -> DataFrame:
-    """Rows with an ``esid`` to one row per experiment it stands for; placeholders and empty groups give none.
-
-    ``base`` is the item table the targets come from; popular targets and large projects are split.
-    """
+def expand_target(targets: DataFrame, experiments: DataFrame, *cols: str) -> DataFrame:
+    """Rows with an ``esid`` to one row per experiment it stands for; placeholders and empty groups give none."""
     m = members(experiments, *cols)
-    return skew_join(targets, m, ["esid"], left_keys=None if base is None else base.select("esid"), right_keys=m.select("esid"))
+    return skew_join(targets, m, ["esid"], right_keys=m.select("esid"))
 
 
-def with_link(items: DataFrame, links: DataFrame, *cols: str | Column, how: str = "inner", base: DataFrame | None = None) -> DataFrame:
+def with_link(items: DataFrame, links: DataFrame, *cols: str | Column, how: str = "inner") -> DataFrame:
     """Item rows with columns of their link, which is met by ``rlid``."""
     l = links.select(F.col("uid").alias("rlid"), *cols)
-    return skew_join(items, l, ["rlid"], how, left_keys=(items if base is None else base).select("rlid"))
+    return items.join(l, ["rlid"], how)
 
 
-def meet_groups(left: DataFrame, right: DataFrame, links: DataFrame, request_vars: DataFrame, keys: Sequence[str] = ("refid",),
-                expanded: bool = False) -> DataFrame:
-    """Joins rows of links (left) with rows of request variables (right) on the group; popular and large groups are split.
-
-    ``expanded`` says that the left rows are per experiment: a group is then popular by those rows, not by its links.
-    """
-    left_keys = left if expanded else links.select("refid")
-    return skew_join(left, right, keys, left_keys=left_keys, right_keys=request_vars.select(F.col("vgid").alias("refid")))
+def meet_groups(left: DataFrame, right: DataFrame, request_vars: DataFrame, keys: Sequence[str] = ("refid",)) -> DataFrame:
+    """Joins rows of links (left) with rows of request variables (right) on the group; large groups are dealt into chunks."""
+    return skew_join(left, right, keys, right_keys=request_vars.select(F.col("vgid").alias("refid")))
 
 
 def target_experiments(targets: DataFrame, experiments: DataFrame, groups: DataFrame, tier_max: int | None = None,
@@ -81,7 +73,7 @@ def item_experiments(items: DataFrame, experiments: DataFrame, tier_max: int | N
     t = items.select(F.col("uid").alias("item"), "esid", "treset")
     if tier_max is not None:
         t = t.where(F.col("treset").isNull() | (F.col("treset") <= tier_max))
-    found = expand_target(t, experiments, "tier", base=items)
+    found = expand_target(t, experiments, "tier")
     if tier_max is not None:
         found = found.where(F.col("treset").isNotNull() | first_tier_passes(F.col("tier"), tier_max))
     return found.select("item", "expt").distinct()
@@ -97,20 +89,20 @@ def link_experiments(items: DataFrame, experiments: DataFrame, tier_max: int | N
         kept = items.where(plain | (F.col("treset") <= tier_max))
         free = F.when(plain, 0).otherwise(1)
     targets = kept.groupBy("rlid", "esid").agg(F.max(free).alias("free"))
-    found = expand_target(targets, experiments, "tier", base=items)
+    found = expand_target(targets, experiments, "tier")
     return found.where((F.col("free") == 1) | first_tier_passes(F.col("tier"), tier_max)).select("rlid", "expt").distinct()
 
 
 def experiment_links(items: DataFrame, experiments: DataFrame) -> DataFrame:
     """``(expt, rlid)`` of all request links that serve an experiment."""
-    return expand_target(items.select("esid", "rlid").distinct(), experiments, base=items).select("expt", "rlid").distinct()
+    return expand_target(items.select("esid", "rlid").distinct(), experiments).select("expt", "rlid").distinct()
 
 
 def links_by_experiment(items: DataFrame, links: DataFrame, experiments: DataFrame, pmax: int) -> DataFrame:
     """Items serving an experiment with their link: ``(expt, item, rlid, known)``; ``known`` is false for a placeholder."""
     t = items.where(preset_passes(F.col("preset"), pmax)).select(F.col("uid").alias("item"), "esid", "rlid")
-    t = with_link(t, links, F.lit(True).alias("known"), how="left", base=items)
-    return expand_target(t, experiments, base=items).select(
+    t = with_link(t, links, F.lit(True).alias("known"), how="left")
+    return expand_target(t, experiments).select(
         "expt", "item", "rlid", F.coalesce("known", F.lit(False)).alias("known")).distinct()
 
 
@@ -122,7 +114,7 @@ def links_with_members(links: DataFrame, expansion: DataFrame) -> DataFrame:
 
 def mip_experiments(links: DataFrame, items: DataFrame, experiments: DataFrame) -> DataFrame:
     """``(mip, expt)`` through the links of a project."""
-    asks = with_link(items.select("rlid", "esid").distinct(), links, F.col("mip").alias("req_mip"), base=items)
+    asks = with_link(items.select("rlid", "esid").distinct(), links, F.col("mip").alias("req_mip"))
     return expand_target(asks.select("req_mip", "esid").distinct(), experiments).select(
         F.col("req_mip").alias("mip"), "expt").distinct()
 
@@ -145,7 +137,7 @@ def mip_groups(links: DataFrame, groups: DataFrame) -> DataFrame:
 
 def mip_groups_by_preset(links: DataFrame, items: DataFrame) -> DataFrame:
     """``(mip, preset, refid, valid)``: a preset other than -1, 1, 2, 3 is reported as not valid."""
-    asks = with_link(items.select("rlid", "preset").distinct(), links, "mip", "refid", base=items)
+    asks = with_link(items.select("rlid", "preset").distinct(), links, "mip", "refid")
     return asks.select("mip", "preset", "refid", F.col("preset").isin(-1, 1, 2, 3).alias("valid")).distinct()
 
 
@@ -159,7 +151,7 @@ def group_variables(request_vars: DataFrame, pmax: int | None = None) -> DataFra
 
 def mip_variables(links: DataFrame, request_vars: DataFrame, pmax: int | None = None) -> DataFrame:
     """``(mip, vid)`` of the variables a project requests."""
-    return meet_groups(links.select("mip", "refid").distinct(), group_variables(request_vars, pmax), links, request_vars).select("mip", "vid").distinct()
+    return meet_groups(links.select("mip", "refid").distinct(), group_variables(request_vars, pmax), request_vars).select("mip", "vid").distinct()
 
 
 def linkset_variables(links: DataFrame, request_vars: DataFrame, pmax: int) -> DataFrame:
@@ -170,14 +162,14 @@ def linkset_variables(links: DataFrame, request_vars: DataFrame, pmax: int) -> D
     asked = F.when(F.col("opt") == "priority", F.col("opar")).otherwise(F.lit(3))
     limit = links.groupBy("refid").agg(F.least(F.lit(pmax), F.max(asked)).alias("limit"))
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return meet_groups(limit, rv, links, request_vars).where(F.col("priority") <= F.col("limit")).select("vid", "refid")
+    return meet_groups(limit, rv, request_vars).where(F.col("priority") <= F.col("limit")).select("vid", "refid")
 
 
 def experiment_variables(items: DataFrame, links: DataFrame, experiments: DataFrame, request_vars: DataFrame) -> DataFrame:
     """``(expt, vid)`` of everything requested for an experiment."""
-    groups = with_link(items.select("rlid", "esid").distinct(), links, "refid", base=items)
-    pairs = expand_target(groups.select("refid", "esid").distinct(), experiments, base=items).select("expt", "refid").distinct()
-    return meet_groups(pairs, group_variables(request_vars), links, request_vars, expanded=True).select("expt", "vid").distinct()
+    groups = with_link(items.select("rlid", "esid").distinct(), links, "refid")
+    pairs = expand_target(groups.select("refid", "esid").distinct(), experiments).select("expt", "refid").distinct()
+    return meet_groups(pairs, group_variables(request_vars), request_vars).select("expt", "vid").distinct()
 
 
 def variable_mips(links: DataFrame, request_vars: DataFrame) -> DataFrame:
@@ -193,7 +185,7 @@ def variable_mips_by_priority(links: DataFrame, request_vars: DataFrame, serving
     # the most generous link of a project and group decides
     limit = l.groupBy("mip", "refid").agg(
         F.max(F.when(F.col("opt") == "priority", F.col("opar")).otherwise(F.lit(9))).alias("limit"))
-    return meet_groups(limit, rv, links, request_vars).where(F.col("priority") <= F.col("limit")).select("vid", "mip").distinct()
+    return meet_groups(limit, rv, request_vars).where(F.col("priority") <= F.col("limit")).select("vid", "mip").distinct()
 
 
 def variable_mips_both(links: DataFrame, request_vars: DataFrame, serving: DataFrame) -> DataFrame:
@@ -219,7 +211,7 @@ def usage_tree(var: DataFrame, variables: DataFrame, covered: DataFrame) -> Data
     used = v.join(covered.select("vid", "mip"), "vid", "left")
     names = var.select(F.col("uid").alias("var_uid"), F.col("label").alias("var"))
     # the many variables of a quantity are the side that can be split, so the unused quantities are added on their own
-    rows = skew_join(used, names, ["var_uid"], left_keys=v.select("var_uid")).select(
+    rows = used.join(names, ["var_uid"]).select(
         "var", "vid", "variable", F.coalesce("mip", F.lit("Empty")).alias("mip"))
     unused = names.join(v.select("var_uid").distinct(), "var_uid", "left_anti")
     return rows.unionByName(unused.select("var", F.lit(None).cast(rows.schema["vid"].dataType).alias("vid"),
@@ -307,7 +299,7 @@ def experiment_filter(labels: DataFrame, index: DataFrame, experiments: DataFram
 def objective_targets(links: DataFrame, items: DataFrame) -> DataFrame:
     """``(refid, mip, esid, objective)``: what a variable group is requested for."""
     asks = items.select("rlid", "esid").distinct()
-    return with_link(asks, links, "mip", "refid", "objective", base=items).select(
+    return with_link(asks, links, "mip", "refid", "objective").select(
         "refid", "mip", "esid", "objective").distinct()
 
 

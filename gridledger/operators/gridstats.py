@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridledger.lookup import KELVIN_OFFSET
-from gridledger.scale import skew_join
 
 QUARTILES = (0.25, 0.5, 0.75)
 RANGE_ROWS = 1_000_000   # values that one task orders
@@ -135,7 +134,7 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, range_rows: int =
     fences = box_fences(df, keys, value, range_rows)
     v = F.col("_v")
     have = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    rows = skew_join(have, fences, keys, left_keys=df.select(*keys))
+    rows = have.join(fences, keys)
     inside = (v >= F.col("low_fence")) & (v <= F.col("high_fence"))
     return rows.groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(v >= F.col("low_fence"), v)).alias("_low"), F.max(F.when(v <= F.col("high_fence"), v)).alias("_high"),
@@ -147,7 +146,7 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, range_rows: int =
 def box_outliers(df: DataFrame, keys: Sequence[str], value: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The rows beyond the fences."""
     fences = box_fences(df, keys, value, range_rows).select(*keys, "low_fence", "high_fence")
-    return skew_join(df, fences, list(keys), left_keys=df.select(*keys)).where(
+    return df.join(fences, list(keys)).where(
         (F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence"))).drop("low_fence", "high_fence")
 
 

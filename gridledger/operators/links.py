@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.lookup import PLACEHOLDER, UNSET
-from gridledger.scale import skew_join
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -69,7 +68,7 @@ def inverse_references(edge: DataFrame, index: DataFrame) -> DataFrame:
 def referrers(edge: DataFrame, index: DataFrame, targets: DataFrame) -> DataFrame:
     """The references to some records ``targets(uid)``, ordered by source section and label."""
     wanted = targets.select(F.col("uid").alias("dst_uid")).distinct()
-    return inverse_references(skew_join(edge, wanted, ["dst_uid"], "left_semi", left_keys=edge.select("dst_uid")), index).orderBy(
+    return inverse_references(edge.join(wanted, ["dst_uid"], "left_semi"), index).orderBy(
         "dst_uid", "src_section", "src_label", "src_uid")
 
 
@@ -80,7 +79,7 @@ def missing_targets(edge: DataFrame, index: DataFrame) -> DataFrame:
 
 def dangling(edge: DataFrame, index: DataFrame) -> DataFrame:
     """Edges whose target is not in the index."""
-    return skew_join(edge, missing_targets(edge, index), ["dst_uid"], "left_semi", left_keys=edge.select("dst_uid"))
+    return edge.join(missing_targets(edge, index), ["dst_uid"], "left_semi")
 
 
 def bad_link_counts(edge: DataFrame, index: DataFrame) -> DataFrame:
@@ -139,19 +138,19 @@ def _link_targets(edge: DataFrame, by_sections: list[str] | None) -> DataFrame:
 def follow(df: DataFrame, attr: str, target: DataFrame, prefix: str) -> DataFrame:
     """Adds the columns of the record a link attribute points to, each with a prefix."""
     named = target.select(F.col("uid").alias(attr), *[F.col(c).alias(f"{prefix}{c}") for c in target.columns if c != "uid"])
-    return skew_join(df, named, [attr], "left", left_keys=df.select(attr))
+    return df.join(named, [attr], "left")
 
 
 def resolve(df: DataFrame, attr: str, index: DataFrame) -> DataFrame:
     """Adds section and label of the record behind a link attribute; section is NULL for an unknown one."""
     named = index.select(F.col("uid").alias(attr), F.col("section").alias(f"{attr}_section"), F.col("label").alias(f"{attr}_label"))
-    return skew_join(df, named, [attr], "left", left_keys=df.select(attr))
+    return df.join(named, [attr], "left")
 
 
 def drop_placeholders(df: DataFrame, attr: str, index: DataFrame) -> DataFrame:
     """Rows whose link target exists and is not a placeholder record."""
     real = index.where(F.col("section") != PLACEHOLDER).select(F.col("uid").alias(attr)).distinct()
-    return skew_join(df, real, [attr], "left_semi", left_keys=df.select(attr))
+    return df.join(real, [attr], "left_semi")
 
 
 def broken_parts(df: DataFrame, parts: dict[str, Column]) -> DataFrame:
@@ -169,6 +168,6 @@ def record_summary(df: DataFrame, index: DataFrame, links: list[str], values: li
     is_link = F.col("attr").isin(links) if links else F.lit(False)
     # only link values meet the index; plain values keep their rows without a join key
     keyed = flat.withColumn("key", F.when(is_link, F.col("value"))).withColumn("is_link", is_link)
-    joined = skew_join(keyed, named.withColumnRenamed("value", "key"), ["key"], "left", left_keys=keyed.select("key"))
+    joined = keyed.join(named.withColumnRenamed("value", "key"), ["key"], "left")
     target = F.when(F.col("is_link"), F.coalesce("found", F.lit("key not found")))
     return joined.select("uid", "attr", "value", target.alias("target"))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from gridledger.functions.caps import cap_years, effective_priority, first_tier_passes, members_for_tier, reset_passes
 from gridledger.functions.sizes import default_grid, request_grid
 from gridledger.operators.expand import expand_target, meet_groups, with_link
-from gridledger.scale import skew_join
 
 # best first
 GRID_ORDER = ["native:01", "native", "1deg", "100km", "2deg", "DEF", ""]
@@ -39,7 +38,7 @@ class Policy:
 
 def item_expansion(items: DataFrame, experiments: DataFrame, tier_max: int) -> DataFrame:
     """Each request item once per experiment with starts, years, members and the slice."""
-    found = expand_target(items, experiments, "tier", "ensz", "nstart", "yps", base=items)
+    found = expand_target(items, experiments, "tier", "ensz", "nstart", "yps")
     return found.where(first_tier_passes(F.col("tier"), tier_max)).select(
         F.col("uid").alias("item"), "rlid", "expt", "nstart",
         cap_years(F.col("yps"), F.col("nymax")).alias("years"),
@@ -78,7 +77,7 @@ def group_years(links: DataFrame, items: DataFrame, experiments: DataFrame, poli
     asks = (link_items(links, items.where(reset_passes(F.col("treset"), policy.tier_max)), policy, by)
             .select(*keys, "esid", "nymax", "nenmax").distinct())
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
-    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps", *carry, base=items)
+    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps", *carry)
     years = (F.col("nstart") * cap_years(F.col("yps"), F.col("nymax"))
              * members_for_tier(F.col("ensz"), F.col("tier"), F.col("nenmax"), policy.tier_max))
     return found.groupBy("expt", *carry, *keys).agg(F.max(years).alias("years"))
@@ -90,9 +89,9 @@ def group_flags(links: DataFrame, items: DataFrame, experiments: DataFrame, poli
     keys = ["refid", *[f"req_{c}" for c in by]]
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
     reachable = able.select(F.explode(F.array("uid", "egid", "mip")).alias("esid")).distinct().withColumn("reached", F.lit(True))
-    asks = skew_join(items.select("rlid", "esid", "preset", "treset"), reachable, ["esid"], "left", left_keys=items.select("esid"))
+    asks = items.select("rlid", "esid", "preset", "treset").join(reachable, ["esid"], "left")
     p, reached = F.col("preset"), F.coalesce("reached", F.lit(False)) & reset_passes(F.col("treset"), policy.tier_max)
-    flags = with_link(asks, links, "refid", *[F.col(c).alias(f"req_{c}") for c in by], base=items).groupBy(*keys).agg(
+    flags = with_link(asks, links, "refid", *[F.col(c).alias(f"req_{c}") for c in by]).groupBy(*keys).agg(
         F.max(reached).alias("live"), F.max(p == -1).alias("by_priority"), F.max((p != -1) & (p <= policy.pmax)).alias("admit_all"))
     return flags.where("live").drop("live")
 
@@ -100,7 +99,7 @@ def group_flags(links: DataFrame, items: DataFrame, experiments: DataFrame, poli
 def requested_variables(links: DataFrame, request_vars: DataFrame, presets: DataFrame, pmax: int) -> DataFrame:
     """``(refid, vid)`` pairs that pass the effective priority."""
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return (meet_groups(presets, rv, links, request_vars)
+    return (meet_groups(presets, rv, request_vars)
             .where(F.col("admit_all") | (F.col("by_priority") & (F.col("priority") <= pmax)))
             .drop("admit_all", "by_priority"))
 
@@ -109,7 +108,7 @@ def requested_pairs(links: DataFrame, items: DataFrame, request_vars: DataFrame,
     """``(refid, preset, vid, priority)`` with the priority that counts, for each preset of a group."""
     presets = link_items(links, items.select("rlid", "preset").distinct(), Policy(pmax=pmax)).select("refid", "preset").distinct()
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return (meet_groups(presets, rv, links, request_vars)
+    return (meet_groups(presets, rv, request_vars)
             .select("refid", "preset", "vid", effective_priority(F.col("preset"), F.col("priority")).alias("priority"))
             .where(F.col("priority") <= pmax))
 
@@ -123,7 +122,7 @@ def wanted_variables(links: DataFrame, items: DataFrame, experiments: DataFrame,
     """
     wanted = requested_variables(links, request_vars, group_flags(links, items, experiments, policy, by), policy.pmax)
     classed = variables.where(F.col("grid_class").isNotNull()).select(F.col("uid").alias("vid"), "grid_class")
-    return skew_join(wanted, classed, ["vid"], left_keys=request_vars.select("vid"))
+    return wanted.join(classed, ["vid"])
 
 
 def variable_requests(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame,
@@ -132,7 +131,7 @@ def variable_requests(links: DataFrame, items: DataFrame, experiments: DataFrame
     group_keys = ["refid", *[f"req_{c}" for c in by]]
     years = group_years(links, items, experiments, policy, by, carry)
     wanted = wanted_variables(links, items, experiments, request_vars, variables, policy, by)
-    found = meet_groups(years, wanted, links, request_vars, group_keys, expanded=True)
+    found = meet_groups(years, wanted, request_vars, group_keys)
     return found.select("vid", "expt", *carry, *group_keys,
                         default_grid(F.col("grid"), F.col("grid_class"), policy.default_native).alias("grid"), "years")
 
@@ -178,7 +177,7 @@ def drop_by_configuration(selected: DataFrame, choices: DataFrame, settings: Dat
     """Selected variables without those whose flag differs from the setting of their choice group (true by default)."""
     flagged = choices.select("vid", "cid", "cfg")
     if settings is not None:
-        flagged = skew_join(flagged, settings.select("cid", F.col("cfg").alias("wanted")), ["cid"], "left", left_keys=choices.select("cid"))
+        flagged = flagged.join(settings.select("cid", F.col("cfg").alias("wanted")), ["cid"], "left")
     else:
         flagged = flagged.withColumn("wanted", F.lit(True))
     wrong = flagged.where(F.col("cfg") != F.coalesce("wanted", F.lit(True))).select("vid").distinct()

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.coerce import SPARK_TYPE, coerce, is_strictly_increasing
 from gridledger.lookup import OBSOLETE_MIPS
-from gridledger.scale import skew_join
 
 
 def revision_diff(left: DataFrame, right: DataFrame, attrs: Sequence[str], key: str = "uid") -> DataFrame:
@@ -71,7 +70,7 @@ def update_violations(updates: DataFrame, index: DataFrame, attributes: DataFram
     """
     places = index.groupBy("uid").agg(F.count(F.lit(1)).alias("matches"), F.min("section").alias("section"))
     attrs = attributes.select("section", F.col("label").alias("attr"), F.regexp_replace("type", "^aa:", "").alias("declared"), "required")
-    u = skew_join(updates, places, ["uid"], "left", left_keys=updates.select("uid")).join(attrs, ["section", "attr"], "left")
+    u = updates.join(places, ["uid"], "left").join(attrs, ["section", "attr"], "left")
     known = F.col("declared").isNotNull()
     expected = _expected(F.col("declared"))
     numbers = F.transform(F.split("value", " "), lambda w: w.try_cast("bigint"))
@@ -92,7 +91,7 @@ def update_violations(updates: DataFrame, index: DataFrame, attributes: DataFram
 def valid_updates(updates: DataFrame, violations: DataFrame) -> DataFrame:
     """The updates of records without any fault: a record is changed as a whole or not at all."""
     kept = updates.where(F.col("op") == "set")
-    return skew_join(kept, violations.select("uid").distinct(), ["uid"], "left_anti", left_keys=updates.select("uid"))
+    return kept.join(violations.select("uid").distinct(), ["uid"], "left_anti")
 
 
 def apply_updates(section: DataFrame, updates: DataFrame, types: dict[str, str]) -> DataFrame:

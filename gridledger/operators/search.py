@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.scale import skew_join
 
 
 def title_contains(df: DataFrame, text: str, *cols: str) -> DataFrame:
@@ -78,7 +77,7 @@ def without_time(df: DataFrame, key: str, time: str) -> DataFrame:
 
 
 def files_of(datasets: DataFrame, files: DataFrame, key: str) -> DataFrame:
-    return skew_join(files, datasets, [key], left_keys=files.select(key))
+    return files.join(datasets, [key])
 
 
 def file_counts(files: DataFrame, key: str) -> DataFrame:

@@ -27,15 +27,14 @@ def group_slices(links: DataFrame, items: DataFrame, experiments: DataFrame, pol
         kept = kept.where(F.col("ts_label").isNotNull())
     asks = link_items(links, kept, policy).select("refid", "esid", *SLICE).distinct()
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
-    return expand_target(asks, able, base=items).select("refid", "expt", *SLICE).distinct()
+    return expand_target(asks, able).select("refid", "expt", *SLICE).distinct()
 
 
 def variable_slices(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame, policy: Policy,
                     keep_unsliced: bool = True) -> DataFrame:
     """``(vid, expt, slice, priority)``: each slice once with the lowest priority that asks for it."""
     wanted = requested_pairs(links, items, request_vars, policy.pmax).groupBy("refid", "vid").agg(F.min("priority").alias("priority"))
-    found = meet_groups(group_slices(links, items, experiments, policy, keep_unsliced), wanted, links, request_vars,
-                        expanded=True)
+    found = meet_groups(group_slices(links, items, experiments, policy, keep_unsliced), wanted, request_vars)
     return found.groupBy("vid", "expt", *SLICE).agg(F.min("priority").alias("priority"))
 
 

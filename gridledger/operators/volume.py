@@ -19,7 +19,6 @@ from gridledger.functions.sizes import (
 from gridledger.lookup import BYTES_PER_VALUE
 from gridledger.operators.expand import expand_target, meet_groups, with_link
 from gridledger.operators.request import GRID_ORDER, Policy
-from gridledger.scale import skew_join
 
 
 YEARS_BELOW = 1 << 40      # far above any number of years
@@ -55,14 +54,14 @@ def points_of(policy: Policy) -> Column:
     return F.coalesce(size_on(grid, F.col("latlon")), F.lit(0)) * F.col("npy100")
 
 
-def volume_fact(years: DataFrame, kept: DataFrame, policy: Policy, by: Sequence[str] = (), base: DataFrame | None = None) -> DataFrame:
+def volume_fact(years: DataFrame, kept: DataFrame, policy: Policy, by: Sequence[str] = ()) -> DataFrame:
     """Rows of ``variable_years`` of the kept variables with ``hundredths``, table and frequency.
 
-    ``kept`` comes from ``kept_sizes``; ``base(vid)`` is the table whose popular variables are split.
+    ``kept`` comes from ``kept_sizes``.
     """
     v = kept.select("vid", *by, "mip_table", "frequency", "grid_class", "latlon", "npy100", *[c for c in kept.columns if c.startswith("size_")])
     weight = F.when(is_climatology(F.col("frequency")), F.lit(1)).otherwise(F.col("years"))
-    rows = skew_join(years, v, ["vid", *by], left_keys=base)
+    rows = years.join(v, ["vid", *by])
     return rows.select(*years.columns, "mip_table", "frequency", exact(points_of(policy), weight).alias("hundredths"))
 
 
@@ -184,18 +183,18 @@ def reconcile(parts: DataFrame, rel: float = 1e-8) -> DataFrame:
 SHAPE_KEYS = ["spid", "odims", "out_grid", "frequency"]
 
 
-def _shaped(years: DataFrame, kept: DataFrame, policy: Policy, base: DataFrame | None = None) -> DataFrame:
+def _shaped(years: DataFrame, kept: DataFrame, policy: Policy) -> DataFrame:
     """Variable and experiment pairs with shape, grid and points."""
     v = kept.select("vid", "label", "frequency", "spid", "odims", "grid_class", "latlon", *[c for c in kept.columns if c.startswith("size_")])
     out_grid = summary_grid(F.col("grid"), F.col("grid_class"), F.col("latlon"), policy.default_native, policy.ocean_structured)
-    rows = skew_join(years, v, ["vid"], left_keys=base).withColumn("out_grid", out_grid)
+    rows = years.join(v, ["vid"]).withColumn("out_grid", out_grid)
     return rows.withColumn("points", F.coalesce(size_on(F.col("out_grid"), F.col("latlon")), F.lit(0)))
 
 
-def shape_frequency_summary(years: DataFrame, kept: DataFrame, policy: Policy, base: DataFrame | None = None) -> DataFrame:
+def shape_frequency_summary(years: DataFrame, kept: DataFrame, policy: Policy) -> DataFrame:
     """Per shape, grid and frequency: variables and the first and last of their labels, mean years per variable (for
     climatologies: mean number of experiments), experiments, and points per output time."""
-    rows = _shaped(years, kept, policy, base)
+    rows = _shaped(years, kept, policy)
     # one row per variable and one per experiment of a shape first, so that both counts are plain sums
     by_variable = rows.groupBy(*SHAPE_KEYS, "vid", "label").agg(F.sum("years").alias("years"), F.count(F.lit(1)).alias("pairs"), F.max("points").alias("points"))
     g = by_variable.groupBy(*SHAPE_KEYS).agg(
@@ -252,21 +251,21 @@ def legacy_fact(links: DataFrame, items: DataFrame, experiments: DataFrame, requ
     kept = items.where(preset_passes(F.col("preset"), policy.pmax))
     asks = with_link(kept, links, "refid", asked, *[F.col(c).alias(f"req_{c}") for c in by]).select(*keys, "esid", "nymax", "nenmax").distinct()
     able = experiments.where(first_tier_passes(F.col("tier"), policy.tier_max))
-    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps", base=items)
+    found = expand_target(asks, able, "tier", "ensz", "nstart", "yps")
     years = cap_years(F.col("nstart") * cap_years(F.col("yps"), F.col("nymax"))
                       * members_for_tier(F.col("ensz"), F.col("tier"), F.col("nenmax"), policy.tier_max), F.col("nymax"))
     per_group = found.groupBy("expt", *keys).agg(F.max(years).alias("years"))
     rv = request_vars.where(F.col("priority") <= policy.pmax).select(F.col("vgid").alias("refid"), "vid").distinct()
     found_keys = ["vid", "expt", *[f"req_{c}" for c in by]]
     grids = ["native", "100km", "1deg", "2deg"]
-    wide = meet_groups(per_group, rv, links, request_vars, expanded=True).groupBy(*found_keys).agg(*[
+    wide = meet_groups(per_group, rv, request_vars).groupBy(*found_keys).agg(*[
         F.max(F.when(F.col("grid") == g, F.col("years"))).alias(f"y{i}") for i, g in enumerate(grids)])
     grid = reduce(lambda acc, ig: acc.when(F.col(f"y{ig[0]}").isNotNull(), F.lit(ig[1])), enumerate(grids), F)
     best = wide.select(*found_keys, grid.alias("grid"), F.coalesce(*[f"y{i}" for i in range(len(grids))]).alias("years"))
     v = _sizes_by_vid(sized, "mip_table", "label", "frequency", "npy100", "latlon")
     weight = F.when(is_climatology_legacy(F.col("frequency")), F.lit(1)).otherwise(F.col("years"))
     points = F.coalesce(size_on(F.col("grid"), F.col("latlon")), F.lit(0)) * F.col("npy100")
-    return skew_join(best, v, ["vid"], left_keys=request_vars.select("vid")).select(*found_keys, "grid", "years", "mip_table", "label", "frequency",
+    return best.join(v, ["vid"]).select(*found_keys, "grid", "years", "mip_table", "label", "frequency",
                                               exact(points, weight).alias("hundredths"))
 
 
@@ -294,7 +293,7 @@ def request_summary(items: DataFrame, links: DataFrame, request_vars: DataFrame,
                      *[F.min(c).alias(f"only_{c}") for c in ("ny", "nymax", "nenmax")],
                      F.count(F.lit(1)).alias("requests")))
     rv = request_vars.where(F.col("priority") <= pmax).groupBy(F.col("vgid").alias("refid"), "vid").agg(F.count(F.lit(1)).alias("times"))
-    per_var = meet_groups(per_group, rv, links, request_vars).groupBy("vid").agg(
+    per_var = meet_groups(per_group, rv, request_vars).groupBy("vid").agg(
         *[F.max(c).alias(c) for c in ("ny", "nymax", "nenmax")], *[F.min(f"only_{c}").alias(f"only_{c}") for c in ("ny", "nymax", "nenmax")],
         F.sum(F.col("requests") * F.col("times")).alias("requests"), F.array_join(F.sort_array(F.collect_set("grid")), ",").alias("grids"))
     value = lambda c: F.when(F.col("requests") == 1, F.col(f"only_{c}")).otherwise(F.coalesce(F.col(c), F.lit(-1))).alias(c)
@@ -303,9 +302,9 @@ def request_summary(items: DataFrame, links: DataFrame, request_vars: DataFrame,
 
 def request_items(items: DataFrame, links: DataFrame, request_vars: DataFrame, pmax: int) -> DataFrame:
     """``(vid, item)``: the items behind each line of ``request_summary``, as rows."""
-    asks = with_link(items.select(F.col("uid").alias("item"), "rlid"), links, "refid", base=items).select("refid", "item").distinct()
+    asks = with_link(items.select(F.col("uid").alias("item"), "rlid"), links, "refid").select("refid", "item").distinct()
     rv = request_vars.where(F.col("priority") <= pmax).select(F.col("vgid").alias("refid"), "vid").distinct()
-    return meet_groups(asks, rv, links, request_vars).select("vid", "item").distinct()
+    return meet_groups(asks, rv, request_vars).select("vid", "item").distinct()
 
 
 def experiment_requests(items: DataFrame, links: DataFrame, experiments: DataFrame, request_vars: DataFrame, sized: DataFrame,
@@ -321,18 +320,18 @@ def experiment_requests(items: DataFrame, links: DataFrame, experiments: DataFra
     # what is known of an experiment travels with it as part of the key
     about = ["design_mip", "tier", "ensz", "yps"]
     designed = experiments.withColumn("design_mip", F.col("mip"))
-    found = expand_target(asks.select("uid", "refid", "esid", over.alias("over"), *caps), designed, *about, base=items)
+    found = expand_target(asks.select("uid", "refid", "esid", over.alias("over"), *caps), designed, *about)
     found = found.where(F.col("over") | (F.element_at("tier", 1) <= tier_max))
     per_group = found.groupBy("expt", *about, "refid").agg(
         *[F.max(F.when(F.col(c) > 0, F.col(c))).alias(c) for c in caps], *[F.min(c).alias(f"only_{c}") for c in caps],
         F.count(F.lit(1)).alias("requests"))
     rv = request_vars.where(F.col("priority") <= pmax).groupBy(F.col("vgid").alias("refid"), "vid").agg(F.count(F.lit(1)).alias("times"))
-    per_var = meet_groups(per_group, rv, links, request_vars, expanded=True).groupBy("expt", *about, "vid").agg(
+    per_var = meet_groups(per_group, rv, request_vars).groupBy("expt", *about, "vid").agg(
         *[F.max(c).alias(c) for c in caps], *[F.min(f"only_{c}").alias(f"only_{c}") for c in caps],
         F.sum(F.col("requests") * F.col("times")).alias("requests"))
     value = lambda c: F.when(F.col("requests") == 1, F.col(f"only_{c}")).otherwise(F.coalesce(F.col(c), F.lit(-1)))
     v = sized.select(F.col("uid").alias("vid"), "size_native", "npy100")
-    rows = skew_join(per_var, v, ["vid"], left_keys=request_vars.select("vid"))
+    rows = per_var.join(v, ["vid"])
     years = F.when(F.col("yps") < 0, value("ny")).otherwise(F.least("yps", value("ny")))
     members = members_for_tier(F.col("ensz"), F.col("tier"), value("nenmax"), tier_max)
     return rows.select("design_mip", "expt", "vid", F.col("size_native").alias("size"), "npy100", years.alias("years"), members.alias("members"),

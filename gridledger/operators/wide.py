@@ -9,7 +9,7 @@ from gridledger.functions.text import table_class
 from gridledger.lookup import UNSET
 from gridledger.operators.expand import link_experiments, meet_groups, with_link
 from gridledger.operators.links import broken_parts
-from gridledger.scale import skew_join, string_set
+from gridledger.scale import string_set
 
 QC_VALUES = ["valid_min", "valid_max", "ok_min_mean_abs", "ok_max_mean_abs"]
 
@@ -45,8 +45,8 @@ def star(variables: DataFrame, var: DataFrame, structures: DataFrame, shapes: Da
     sp = shapes.select(F.col("uid").alias("spid"), F.col("dimensions").alias("space_dims"))
     tm = times.select(F.col("uid").alias("tmid"), F.col("dimensions").alias("time_dims"))
     s = s.join(sp, "spid", "left").join(tm, "tmid", "left")
-    joined = skew_join(variables, v, ["vid"], "left", left_keys=variables.select("vid"))
-    joined = skew_join(joined, s, ["stid"], "left", left_keys=variables.select("stid"))
+    joined = variables.join(v, ["vid"], "left")
+    joined = joined.join(s, ["stid"], "left")
     return broken_parts(joined, {
         "var": F.col("var_label").isNotNull(), "struct": F.col("structure_title").isNotNull(),
         "time": F.col("time_dims").isNotNull(), "spatial": F.col("space_dims").isNotNull()})
@@ -91,10 +91,10 @@ def with_mips(wide: DataFrame, covered: DataFrame, name: str = "mips") -> DataFr
 
 def lowest_priorities(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame) -> DataFrame:
     """``(mip, expt, vid, priority)``: lowest priority value among the links of a project that serve an experiment."""
-    served = with_link(link_experiments(items, experiments), links, "mip", "refid", base=items)
+    served = with_link(link_experiments(items, experiments), links, "mip", "refid")
     groups = served.select("mip", "expt", "refid").distinct()
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return meet_groups(groups, rv, links, request_vars, expanded=True).groupBy("mip", "expt", "vid").agg(F.min("priority").alias("priority"))
+    return meet_groups(groups, rv, request_vars).groupBy("mip", "expt", "vid").agg(F.min("priority").alias("priority"))
 
 
 def rank_variables(variables: DataFrame, var: DataFrame, request_vars: DataFrame, placeholder: Column) -> DataFrame:
@@ -126,7 +126,7 @@ def two_lowest(request_vars: DataFrame) -> DataFrame:
 def rank_table_variables(variables: DataFrame, var: DataFrame, request_vars: DataFrame, placeholder: Column) -> DataFrame:
     """Variables by their two lowest priority values, ``p1-p2``, with x if the standard name is a placeholder."""
     names = var.select(F.col("uid").alias("vid"), F.col("label").alias("var_label"), placeholder.alias("_x"))
-    v = skew_join(variables.select("uid", "vid", "mip_table", "label"), names, ["vid"], left_keys=variables.select("vid"))
+    v = variables.select("uid", "vid", "mip_table", "label").join(names, ["vid"])
     two = two_lowest(request_vars).withColumnRenamed("vid", "uid")
     key = F.concat(F.col("p1").cast("string"), F.lit("-"), F.col("p2").cast("string"), F.when(F.col("_x"), "x").otherwise(""))
     return v.join(two, "uid").select("uid", F.concat_ws(".", "mip_table", "label").alias("variable"), "var_label", key.alias("key"))
@@ -135,14 +135,14 @@ def rank_table_variables(variables: DataFrame, var: DataFrame, request_vars: Dat
 def title_mismatch(variables: DataFrame, var: DataFrame) -> DataFrame:
     """Variables whose title is not that of their quantity."""
     v = var.select(F.col("uid").alias("vid"), F.col("title").alias("var_title"))
-    return skew_join(variables, v, ["vid"], left_keys=variables.select("vid")).where(F.col("title") != F.col("var_title")).select(
+    return variables.join(v, ["vid"]).where(F.col("title") != F.col("var_title")).select(
         "uid", F.concat_ws(".", "mip_table", "label").alias("variable"), "title", "var_title")
 
 
 def realm_counts(variables: DataFrame, var: DataFrame) -> DataFrame:
     """Per realm word: distinct variables, quantities and standard names."""
     v = variables.select("uid", "vid", F.explode(F.split("modeling_realm", r"\s+")).alias("realm"))
-    v = skew_join(v, var.select(F.col("uid").alias("vid"), "sn"), ["vid"], "left", left_keys=variables.select("vid"))
+    v = v.join(var.select(F.col("uid").alias("vid"), "sn"), ["vid"], "left")
     # one row per variable, then per quantity, then per standard name, each counted plainly
     n = v.select("realm", "uid", "vid", "sn").distinct()
     counts = [n.select("realm", c).distinct().groupBy("realm").agg(F.count(c).alias(name)) for c, name in (("uid", "variables"), ("vid", "quantities"), ("sn", "standard_names"))]

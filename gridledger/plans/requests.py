@@ -12,7 +12,6 @@ from gridledger.operators.request import Policy
 from gridledger.plans import sqltext as Q
 from gridledger.plans.registry import query
 from gridledger.plans.roles import Catalogue
-from gridledger.scale import skew_join
 
 POLICY = Policy(tier_max=2, pmax=2)
 
@@ -213,5 +212,5 @@ def slice_compare(cat):
     fields = ["uid", "label", "type", "start", "end"]
     # every slice of a group meets the one of its first item: one row per group on that side
     first = s.groupBy("refid").agg(F.min(F.struct(*fields)).alias("a")).select("refid", *[F.col(f"a.{c}").alias(f"a_{c}") for c in fields])
-    pairs = skew_join(s.select("refid", *[F.col(c).alias(f"b_{c}") for c in fields]), first, ["refid"], left_keys=cat["x_request_link"].select("refid")).where(F.col("a_uid") != F.col("b_uid"))
+    pairs = s.select("refid", *[F.col(c).alias(f"b_{c}") for c in fields]).join(first, ["refid"]).where(F.col("a_uid") != F.col("b_uid"))
     return I.compare_slices(pairs).select("refid", "a_uid", "b_uid", "rc", "answer")

@@ -14,12 +14,13 @@ from gridledger.plans import sqltext as Q
 from gridledger.plans.registry import query
 from gridledger.plans.requests import POLICY, selected, sized, variable_requests
 from gridledger.plans.roles import FREQUENCIES, Catalogue
-from gridledger.scale import skew_join
 
 def years_of(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None, carry=()) -> DataFrame:
     """Years per variable and experiment on the best grid."""
     experiments = cat["x_experiment"].withColumn("design_mip", F.col("mip"))
-    return R.variable_years(variable_requests(cat, policy, by, links, experiments, carry), policy, by, carry)
+    rows = variable_requests(cat, policy, by, links, experiments, carry)
+    # what later joins would rule out is ruled out here, so that all readers of one walk have the same plan below
+    return R.variable_years(rows.dropna(subset=["vid", *[f"req_{c}" for c in by]]), policy, by, carry)
 
 
 def kept(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None) -> DataFrame:
@@ -29,13 +30,9 @@ def kept(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None
     return V.kept_sizes(rows, sized(cat))
 
 
-def popular(cat: Catalogue) -> DataFrame:
-    return cat["x_request_var"].select("vid")
-
-
 def fact(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None) -> DataFrame:
     keys = [f"req_{c}" for c in by]
-    return V.volume_fact(years_of(cat, policy, by, links, ["design_mip"]), kept(cat, policy, by, links), policy, keys, popular(cat))
+    return V.volume_fact(years_of(cat, policy, by, links, ["design_mip"]), kept(cat, policy, by, links), policy, keys)
 
 
 def per_variable(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None) -> DataFrame:
@@ -122,9 +119,9 @@ WITH {Q.FULL} SELECT 'experiment' AS kind, expt AS uid, count(DISTINCT vid) AS v
 UNION ALL SELECT 'mip', e.mip, count(DISTINCT vid) FROM fact f JOIN x_experiment e ON e.uid = f.expt GROUP BY e.mip""")
 def variables_per_experiment(cat):
     years = years_of(cat, carry=["design_mip"])
-    pairs = skew_join(years.select("vid", "expt", "design_mip"), kept(cat).select("vid"), ["vid"], "left_semi", left_keys=popular(cat))
+    pairs = years.select("vid", "expt", "design_mip").join(kept(cat).select("vid"), ["vid"], "left_semi")
     n = pairs.groupBy("expt").agg(F.count(F.lit(1)).alias("variables")).select(F.lit("experiment").alias("kind"), F.col("expt").alias("uid"), "variables")
-    m = pairs.groupBy(F.col("design_mip").alias("uid")).agg(F.count_distinct("vid").alias("variables"))
+    m = pairs.select(F.col("design_mip").alias("uid"), "vid").distinct().groupBy("uid").agg(F.count(F.lit(1)).alias("variables"))
     return n.unionByName(m.select(F.lit("mip").alias("kind"), "uid", "variables"))
 
 
@@ -141,7 +138,8 @@ uq AS (SELECT m.uid AS req_mip, t.vid, t.expt, t.grid, CASE WHEN o.vid IS NULL T
 
 
 def unique_requests(cat: Catalogue) -> DataFrame:
-    return V.unique_years(years_of(cat, by=["mip"]), POLICY)
+    # carries what the fact carries, so that both read the same shuffle of one walk
+    return V.unique_years(years_of(cat, by=["mip"], carry=["design_mip"]), POLICY)
 
 
 def unique_volumes(cat: Catalogue) -> DataFrame:
@@ -152,7 +150,7 @@ def unique_volumes(cat: Catalogue) -> DataFrame:
 
 @query("request_unique", f"WITH {UNIQUE} SELECT req_mip, vid, expt, grid, years FROM uq")
 def request_unique(cat):
-    return skew_join(unique_requests(cat), kept(cat).select("vid"), ["vid"], "left_semi", left_keys=popular(cat)).select(
+    return unique_requests(cat).join(kept(cat).select("vid"), ["vid"], "left_semi").select(
         "req_mip", "vid", "expt", "grid", "years")
 
 
@@ -235,7 +233,7 @@ g AS (SELECT spid, odims, grid AS out_grid, frequency, max({Q.SIZE_ON}) AS point
 
 
 def shape_summary(cat: Catalogue) -> DataFrame:
-    return V.shape_frequency_summary(years_of(cat), kept(cat), POLICY, popular(cat))
+    return V.shape_frequency_summary(years_of(cat), kept(cat), POLICY)
 
 
 @query("shape_frequency_summary", f"WITH {SHAPES} SELECT * EXCLUDE (npy) FROM g")
@@ -274,8 +272,9 @@ def shape_frequency_totals(cat):
 WITH {Q.FULL}, t AS (SELECT CAST(sum(hundredths) AS DOUBLE) / 100 AS v FROM fact)
 SELECT CAST(2 AS BIGINT) AS ways, v AS low, v AS high, TRUE AS agree FROM t""")
 def reconcile(cat):
-    by_variable = per_variable(cat).select(F.lit("variable").alias("way"), "hundredths")
-    by_table = fact(cat).groupBy("expt", "mip_table").agg(F.sum("hundredths").alias("hundredths"))
+    years, sizes = years_of(cat, carry=["design_mip"]), kept(cat)
+    by_variable = V.variable_volumes(years, sizes, POLICY).select(F.lit("variable").alias("way"), "hundredths")
+    by_table = V.volume_fact(years, sizes, POLICY).groupBy("expt", "mip_table").agg(F.sum("hundredths").alias("hundredths"))
     return V.reconcile(by_variable.unionByName(by_table.select(F.lit("experiment and table").alias("way"), "hundredths")))
 
 

@@ -1,11 +1,13 @@
 """Joins that stay balanced when a key has many rows on both sides.
 
 Adaptive execution splits a partition that is large on one side, whichever side that is. What it cannot see is a key whose
-rows are few enough on each side but whose pairs are many. Where the caller names frames in which the keys of both sides can be
-counted, ``skew_join`` counts them as part of its own plan, takes the keys with the most pairs, and spreads those with more than
-``HOT_PAIRS``: the rows of one side over a number of parts, with the matching rows of the other side repeated, and the other way
-round. The list of keys is broadcast, and it has at most ``MOST_KEYS`` of them whatever the data: a key that is not among
-so many holds less than that share of all pairs. Nothing runs while the plan is built.
+rows are few enough on each side but whose pairs are many. So the rows of such a key on the right are dealt into chunks, and its rows
+on the left are repeated for each chunk: a row on the left then meets a chunk at most, and a key with many pairs must have many rows on
+the left, which adaptive execution does see. The repeated rows are as many as the pairs divided by the size of a chunk.
+
+The rows of a key are counted as part of the plan, in a frame that the caller names, often a column of a base table; nothing runs while
+the plan is built. The list of keys is broadcast, and has at most ``MOST_KEYS`` of them whatever the data: a key that is not
+among so many has less than that share of the rows on the right.
 """
 
 from __future__ import annotations
@@ -15,63 +17,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_PAIRS = 50_000_000      # joined rows of one key that still fit one task comfortably
-MOST_KEYS = 4096            # keys that are spread; any other has less than one in so many of all joined rows
-_ANY = 0x6A09E667F3BCC908   # a hash that practically no row has
-
-
-def whole_rows(df: DataFrame) -> Column:
-    """A count of rows that depends on all columns, so that the plan below stays the one that produces them and is computed once."""
-    return F.count_if(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) != F.lit(_ANY))
+CHUNK_ROWS = 512        # rows of one key on the right that a row on the left meets in one task
+MOST_KEYS = 4096        # keys that are dealt into chunks
 
 
-def _rows_by_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    size = whole_rows(df) if len(df.columns) > len(keys) else F.count(F.lit(1))
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(size.cast("double").alias(name))
+def large_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys with more than ``CHUNK_ROWS`` rows, at most ``MOST_KEYS``, and into how many chunks to deal their rows."""
+    counted = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > CHUNK_ROWS)
+    chosen = counted.orderBy(F.desc("_rows"), *keys).limit(MOST_KEYS)
+    return chosen.select(*keys, F.ceil(F.col("_rows") / CHUNK_ROWS).cast("int").alias("_chunks"))
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys with more than ``HOT_PAIRS`` pairs, at most ``MOST_KEYS``, and into how many parts to cut their rows on either side.
+def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", *, right_keys: DataFrame | None = None) -> DataFrame:
+    """Equi-join on same-named ``keys`` that deals keys with many rows on the right into chunks.
 
-    The parts are about as many as the pairs ask for, and the sides are cut in proportion to their rows.
-    """
-    both = _rows_by_key(left, keys, "l").join(_rows_by_key(right, keys, "r"), list(keys)).where(F.col("l") * F.col("r") > HOT_PAIRS)
-    both = both.orderBy(F.desc(F.col("l") * F.col("r")), *keys).limit(MOST_KEYS)
-    parts = F.col("l") * F.col("r") / HOT_PAIRS
-    cut_left = F.greatest(F.lit(1.0), F.least(F.col("l"), F.ceil(F.sqrt(parts * F.col("l") / F.col("r")))))
-    cut_right = F.greatest(F.lit(1.0), F.least(F.col("r"), F.ceil(parts / cut_left)))
-    return both.select(*keys, cut_left.cast("int").alias("_lparts"), cut_right.cast("int").alias("_rparts"))
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    *,
-    left_keys: DataFrame | None = None,
-    right_keys: DataFrame | None = None,
-) -> DataFrame:
-    """Equi-join on same-named ``keys`` that splits keys with many rows on both sides.
-
-    ``left_keys`` and ``right_keys`` have the key columns, or some of them, with about as many rows of each key as the sides; an inner
-    join that names both is split, any other is left to adaptive execution. The part of a row is a hash of the whole row, so a
-    task that is run again puts every row where it was before; exact copies share their part.
+    ``right_keys`` has the key columns, or some of them, with about as many rows of each key as the right side; an inner join that
+    names it is dealt, any other is left to adaptive execution. The chunk of a row is a hash of the whole row, so a task that is
+    run again puts every row where it was before; exact copies share their chunk.
     """
     keys = list(keys)
-    if how != "inner" or left_keys is None or right_keys is None:
+    if how != "inner" or right_keys is None:
         return left.join(right, keys, how)
-    known = [k for k in keys if k in left_keys.columns and k in right_keys.columns]
-    hot = F.broadcast(hot_keys(left_keys, right_keys, known))
-
-    def marked(df: DataFrame, own: str, other: str) -> DataFrame:
-        row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        one = lambda c: F.coalesce(F.col(c), F.lit(1))
-        every = F.explode(F.sequence(F.lit(0), one(f"_{other}parts") - 1)).alias(f"_{other}")
-        part = F.when(one(f"_{own}parts") > 1, F.pmod(row, one(f"_{own}parts"))).otherwise(0).cast("int").alias(f"_{own}")
-        return df.join(hot, known, "left").select(*[F.col(f"`{c}`") for c in df.columns], part, every)
-
-    return marked(left, "l", "r").join(marked(right, "r", "l"), [*keys, "_l", "_r"]).drop("_l", "_r")
+    known = [k for k in keys if k in right_keys.columns]
+    large = F.broadcast(large_keys(right_keys, known))
+    chunks = F.coalesce("_chunks", F.lit(1))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in right.columns])
+    chunk = F.when(F.col("_chunks").isNotNull(), F.pmod(row, chunks)).otherwise(0).cast("int").alias("_chunk")
+    dealt = right.join(large, known, "left").select(*[F.col(f"`{c}`") for c in right.columns], chunk)
+    repeated = left.join(large, known, "left").select(*[F.col(f"`{c}`") for c in left.columns], F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_chunk"))
+    return repeated.join(dealt, [*keys, "_chunk"]).drop("_chunk")
 
 
 def string_set(col: Column | str, sep: str = ",") -> Column:

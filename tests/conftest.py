@@ -19,9 +19,9 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def forced_split(monkeypatch):
-    """Joins split every key with a few pairs, as they would split hot keys of large tables."""
+    """Joins deal every key with a few rows into chunks, as they would deal the large keys of large tables."""
     from gridledger import scale
-    monkeypatch.setattr(scale, "HOT_PAIRS", 3)
+    monkeypatch.setattr(scale, "CHUNK_ROWS", 2)
 
 
 def rows(df, *cols):

@@ -412,29 +412,29 @@ def test_split_join_gives_the_plain_join(spark, table, how, forced_split):
     rng = random.Random(4)
     left = table("k bigint, a bigint", [(rng.choice([1, 1, 1, 2, 3, 4, None]), i) for i in range(200)])
     right = table("k bigint, b bigint", [(rng.choice([1, 2, 2, 5, None]), i) for i in range(60)])
-    split = scale.skew_join(left, right, ["k"], how, left_keys=left.select("k"), right_keys=right.select("k"))
+    split = scale.skew_join(left, right, ["k"], how, right_keys=right.select("k"))
     assert rows(split) == rows(left.join(right, ["k"], how))
-    assert ("_lparts" in split._jdf.queryExecution().analyzed().toString()) == (how == "inner")
+    assert ("_chunks" in split._jdf.queryExecution().analyzed().toString()) == (how == "inner")
 
 
-def test_hot_keys_have_many_pairs(table, monkeypatch):
-    monkeypatch.setattr(scale, "HOT_PAIRS", 100)
-    left = table("k bigint", [(1,)] * 90 + [(2,)] * 200 + [(3,)] * 40 + [(None,)] * 500)
-    right = table("k bigint", [(1,)] * 90 + [(2,)] + [(3,)] * 2 + [(None,)] * 500)
-    hot = {r["k"]: (r["_lparts"], r["_rparts"]) for r in scale.hot_keys(left, right, ["k"]).collect()}
-    assert set(hot) == {1, 2} and hot[1] == (9, 9) and hot[2] == (20, 1) or hot[2][0] * hot[2][1] >= 2
+def test_large_keys(table, monkeypatch):
+    monkeypatch.setattr(scale, "CHUNK_ROWS", 100)
+    right = table("k bigint", [(1,)] * 100 + [(2,)] * 101 + [(3,)] * 950 + [(None,)] * 500)
+    assert rows(scale.large_keys(right, ["k"])) == [(2, 2), (3, 10)]
+    monkeypatch.setattr(scale, "MOST_KEYS", 1)
+    assert rows(scale.large_keys(right, ["k"])) == [(3, 10)]
 
 
 def test_a_key_of_most_rows_is_spread_over_tasks(spark, table, monkeypatch):
     """One key with nearly all rows on both sides: its pairs come from many partitions."""
-    monkeypatch.setattr(scale, "HOT_PAIRS", 1000)
+    monkeypatch.setattr(scale, "CHUNK_ROWS", 10)
     left = spark.range(400).selectExpr("if(id < 380, 7, id) AS k", "id AS a")
     right = spark.range(300).selectExpr("if(id < 290, 7, id) AS k", "id AS b")
     from pyspark.sql import functions as F
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = scale.skew_join(left, right, ["k"], left_keys=left.select("k"), right_keys=right.select("k"))
+        joined = scale.skew_join(left, right, ["k"], right_keys=right.select("k"))
         per = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in per) == 380 * 290 and len(per) == 4 and max(r["count"] for r in per) < 0.5 * 380 * 290
     finally:
