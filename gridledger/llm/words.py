@@ -1,9 +1,9 @@
 """Token ids of texts by a vocabulary file that lower-cases, drops white space and merges within words.
 
-The file's normaliser and pre-tokenizer cut a text at white space, and the words into runs of letters, runs of marks and single digits, each
-of which the library's model encodes by itself. A worker keeps the ids of the runs that it has met, up to a bound. A word of letters is
-one run, and with a mark behind it two; any other word is cut with the file's own pattern. Words with characters outside Latin-1 go
-through the library's whole pipeline, and so do texts that spell out a special token, and all texts if the file cuts them in another way.
+The file's normaliser and pre-tokenizer cut a text into words, runs of marks and single digits, each of which the library's
+model encodes by itself. Those pieces are found with the file's own pattern, and a worker keeps the ids of pieces it has
+met, up to a bound, in a table that fills itself. Words with characters outside Latin-1 go through the library's
+whole pipeline, and so do texts that spell out a special token, and all texts if the file cuts them in another way.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Runs whose ids a worker keeps; a full table starts anew.
-RUNS_KEPT = 500_000
+#: Pieces whose ids a worker keeps; a full table starts anew.
+PIECES_KEPT = 500_000
 LONGEST_KEPT = 64
 
 # The steps of the file that are followed here, and its pattern within Latin-1 after lower-casing, where
@@ -27,8 +27,6 @@ _LETTER, _NUMBER, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 _WORD = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _OTHER = re.compile(r"[^\x00-\xff]")
-_MARKS = ".,;:!?"
-_NO_SPACE = re.compile(r"[\x1c-\x1f]")            # white space to Python alone
 
 
 def _follows(conf: dict) -> bool:
@@ -41,8 +39,8 @@ def _follows(conf: dict) -> bool:
         return False
 
 
-class _Runs(dict):
-    """Ids of runs; of words they are put together."""
+class _Pieces(dict):
+    """Ids of pieces, found when they are first asked for."""
 
     def __init__(self, tokenizer):
         from tokenizers import pre_tokenizers
@@ -52,23 +50,17 @@ class _Runs(dict):
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes_as_text = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
 
-    def __missing__(self, word: str) -> bytes:
-        """A word in lower case; with a space before it, any text as it is."""
-        if word[0] == " ":
-            return self._kept(word, self.tokenizer.encode(word[1:], add_special_tokens=False).ids)
-        if word[-1] in _MARKS and word[:-1].isalpha():
-            return self[word[:-1]] + self[word[-1]]
-        pieces = _PIECE.findall(word)
-        if len(pieces) == 1 and pieces[0] == word:
-            return self._kept(word, [t.id for t in self.tokenizer.model.tokenize(word.translate(self.bytes_as_text))])
-        return b"".join(map(self.__getitem__, pieces))
-
-    def _kept(self, run: str, ids: list[int]) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
+        """A piece of the pattern; with a space before it, any text as it is."""
+        if piece[0] == " ":
+            ids = self.tokenizer.encode(piece[1:], add_special_tokens=False).ids
+        else:
+            ids = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.bytes_as_text))]
         found = np.asarray(ids, dtype="<u4").tobytes()
-        if len(run) <= LONGEST_KEPT:
-            if len(self) >= RUNS_KEPT:
+        if len(piece) <= LONGEST_KEPT:
+            if len(self) >= PIECES_KEPT:
                 self.clear()
-            self[run] = found
+            self[piece] = found
         return found
 
 
@@ -81,18 +73,20 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.follows = _follows(json.loads(self.tokenizer.to_str()))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.runs = _Runs(self.tokenizer)
+        self.pieces = _Pieces(self.tokenizer)
 
     def _cut(self, text: str) -> list[str]:
-        other = _OTHER.search(text)
-        if not other and not _NO_SPACE.search(text):
-            return text.lower().split()
-        return [f" {word}" if other and _OTHER.search(word) else word.lower() for word in _WORD.findall(text)]
+        if not _OTHER.search(text):
+            return _PIECE.findall(text.lower())
+        out: list[str] = []
+        for word in _WORD.findall(text):
+            out += [f" {word}"] if _OTHER.search(word) else _PIECE.findall(word.lower())
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.follows:
             return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        ids = self.runs.__getitem__
+        ids = self.pieces.__getitem__
         return [ids(f" {t}") if any(s in t for s in self.special) else b"".join(map(ids, self._cut(t))) for t in texts]
 
 
