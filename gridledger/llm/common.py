@@ -13,8 +13,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors reach: ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    """The folder that all executors reach: ``spark.checkpoint.dir``; where that is unset, below the warehouse of a local session."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -23,6 +23,7 @@ SAMPLE_ROWS = 20_000
 #: A language contains a trigram that it shows at least so often and at no less than this share of the largest rate of any.
 LEAST_COUNT, LEAST_SHARE = 3, 0.2
 HASHES, SLOTS_PER_GRAM = 3, 16
+LEAST_SLOTS_PER_GRAM, ROOMY_SLOTS = 4, 1 << 24
 SLICE = 500_000
 UNDETERMINED = "und"
 
@@ -68,15 +69,16 @@ class Filters:
     false_rate: np.ndarray
 
     def _slots(self, grams: np.ndarray) -> list[np.ndarray]:
-        size = np.uint64(len(self.planes[0]) - 1)
-        mixed = grams ^ grams >> np.uint64(29)
-        return [(mixed * m >> np.uint64(40)) & size for m in _MULTIPLIERS[:HASHES]]
+        size = len(self.planes[0])
+        shift, mixed = np.uint64(min(40, 65 - size.bit_length())), grams ^ grams >> np.uint64(29)
+        return [(mixed * m >> shift) & np.uint64(size - 1) for m in _MULTIPLIERS[:HASHES]]
 
     @classmethod
     def build(cls, languages: list[str], grams: np.ndarray, which: np.ndarray) -> Filters:
-        size = 1 << max(10, int(np.ceil(np.log2(SLOTS_PER_GRAM * max(1, len(np.unique(grams)))))))
-        if size > 1 << 24:
-            raise ValueError("the sample has more trigrams than the filters' 24-bit slots can tell apart")
+        n = max(1, len(np.unique(grams)))
+        # many trigrams share fewer slots, down to a few each: more false hits, for which the shares are corrected
+        wanted = max(min(SLOTS_PER_GRAM * n, ROOMY_SLOTS), LEAST_SLOTS_PER_GRAM * n)
+        size = 1 << max(10, int(np.ceil(np.log2(wanted))))
         planes = [np.zeros(size, dtype=np.uint64) for _ in range(-(-len(languages) // 64) or 1)]
         made = cls(languages, planes, np.zeros(len(languages)))
         for slots in made._slots(grams):

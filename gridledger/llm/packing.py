@@ -9,6 +9,7 @@ tournament tree over the room left finds it in logarithmic time.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ CAPACITY = 4096
 GROUP_DOCUMENTS = 2048
 END = 2
 
-PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, twin long"
 
 
 def tokenised(df: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = False,
@@ -31,21 +32,27 @@ def tokenised(df: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int
     """Pieces of at most ``capacity`` ids of each document, whose ids are those of the text and then ``end``.
 
     A null or empty text is the end id alone. Rows that repeat an id stay separate documents. A very long text gives
-    as many pieces as it needs. Other columns are not read.
+    as many pieces as it needs. Other columns are not read. ``twin`` counts rows of a task that are alike from 0, so that each
+    can go its own way.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, last = encoder(vocabulary), np.asarray([end], dtype="<u4").tobytes()
+        seen: Counter[tuple[int | None, int]] = Counter()
         for batch in batches:
             for first, texts in texts_in_parts(batch.column(1)):
                 ids = [x + last for x in tool.encode(texts)]
                 docs = batch.column(0).slice(first, len(texts)).to_pylist()
-                rows = [(d, i, x[4 * i:4 * (i + capacity)], len(x) // 4) for d, x in zip(docs, ids) for i in range(0, len(x) // 4, capacity)]
+                twins = []
+                for key in zip(docs, map(zlib.crc32, ids)):
+                    twins.append(seen[key])
+                    seen[key] += 1
+                rows = [(d, i, x[4 * i:4 * (i + capacity)], len(x) // 4, t) for d, x, t in zip(docs, ids, twins) for i in range(0, len(x) // 4, capacity)]
                 columns = [
                     pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                     pa.array([len(r[2]) // 4 for r in rows], pa.int64()), pa.array([zlib.crc32(r[2]) for r in rows], pa.int64()),
-                    pa.array([r[3] for r in rows], pa.int64())]
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+                    pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64())]
+                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "twin"]
                 if with_ids:
                     offsets = np.cumsum([0] + [len(r[2]) // 4 for r in rows]).astype(np.int32)
                     flat = np.frombuffer(b"".join(r[2] for r in rows), dtype="<i4")
@@ -94,11 +101,11 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int],
 def packed(pieces: DataFrame, documents: int, capacity: int = CAPACITY, group_documents: int = GROUP_DOCUMENTS, seed: int = 0) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``; offsets of a sequence are gapless from 0.
 
-    ``documents`` sets the number of groups. The group of a piece is a hash of its document, place and ids, so a task
-    that runs again finds the same pieces; an empty table gives an empty result.
+    ``documents`` sets the number of groups. The group of a piece is a hash of its document, place, ids and ``twin``, so a task
+    that runs again finds the same pieces, and rows that are alike spread over the groups; an empty table gives an empty result.
     """
     groups = max(1, -(-documents // group_documents))
-    schema = pieces.schema
+    schema = pieces.drop("twin").schema
     out = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in schema)}, sequence_id long, offset long"
 
     def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -107,8 +114,8 @@ def packed(pieces: DataFrame, documents: int, capacity: int = CAPACITY, group_do
         sequence_id = pa.array(np.asarray(sequence, dtype=np.int64) + (np.int64(key[0].as_py()) << 32))
         return table.append_column("sequence_id", sequence_id).append_column("offset", pa.array(offset, pa.int64()))
 
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.lit(seed)), F.lit(groups)).alias("grp")
-    return pieces.select("*", group).groupBy("grp").applyInArrow(pack, out)
+    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "twin", F.lit(seed)), F.lit(groups)).alias("grp")
+    return pieces.select(*schema.names, group).groupBy("grp").applyInArrow(pack, out)
 
 
 def sequences(placed: DataFrame, pad: int = 0, capacity: int = CAPACITY) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridledger.llm import conversations, exactdedup, langid, linededup, minhash, packing, pii, resampling, segment, sharding, simhash, tokenfiles, warc
-from gridledger.llm.common import documents, kept, new_path
+from gridledger.llm.common import documents, new_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -26,7 +26,7 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Law ``rows``: counts of the shards differ by one at most."""
     data = F.encode(F.coalesce("text", F.lit("")), "utf-8")
     docs = documents(spark, folder).select("doc_id", (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"))
-    placed = sharding.shuffle_into_shards(kept(docs, "to-shard"), SHARDS)
+    placed = sharding.shuffle_into_shards(docs, SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

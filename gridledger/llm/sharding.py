@@ -64,18 +64,20 @@ def _as_table(spark, counts: np.ndarray) -> DataFrame:
 def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0, block_rows: int = BLOCK_ROWS, least_blocks: int = LEAST_BLOCKS) -> DataFrame:
     """The rows with ``shard`` (0 to ``shards`` - 1, sizes at most one apart) and ``slot`` (gapless from 0 in each shard).
 
-    The columns given are the rows to exchange, whatever they hold: nulls are values like others, and repeated rows keep
-    their number. Columns named like an added one are refused. Fewer rows than shards leave the last shards empty.
+    The columns given are the rows to exchange, whatever they hold: nulls are values like others. The rows are kept with a number each
+    first, which goes into every hash, so repeated rows are dealt like any others. Columns named like an added one are refused. Fewer rows
+    than shards leave the last shards empty.
     """
-    taken = {"shard", "slot", "s_block", "s_key", "s_rank", "s_part"} & {c.lower() for c in df.columns}
+    taken = {"shard", "slot", "s_id", "s_block", "s_key", "s_rank", "s_part"} & {c.lower() for c in df.columns}
     if taken:
         raise ValueError(f"columns {sorted(taken)} are names that the shuffle adds")
     spark, columns = df.sparkSession, df.columns
+    df = kept(df.select("*", F.monotonically_increasing_id().alias("s_id")), "to-shard")
     total = df.count()
     blocks = max(least_blocks, -(-total // block_rows))
 
     def key(purpose: str):
-        return F.xxhash64(F.lit(f"{seed} {purpose}"), *columns)
+        return F.xxhash64(F.lit(f"{seed} {purpose}"), "s_id", *columns)
 
     rows = df.select("*", F.pmod(key("block"), F.lit(blocks)).alias("s_block"), key("place").alias("s_key"))
     sizes = dict(rows.groupBy("s_block").count().collect())                    # one number per block

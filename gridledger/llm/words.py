@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Pieces whose ids a worker keeps; a full table starts anew.
-PIECES_KEPT = 500_000
+PIECES_KEPT = 300_000
 LONGEST_KEPT = 64
 
 # The steps of the file that are followed here, and its pattern within Latin-1 after lower-casing, where
