@@ -34,7 +34,8 @@ def _with_length(docs: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of a language that the labelled ones show; those without a letter or a text go.
 
-    Without any labelled document there is no language to be missed, and all stay.
+    Without any labelled document there is no language to be missed, and all stay. Rows that repeat an id or a text are judged each
+    for itself, a null id like any other; an empty table stays empty.
     """
     filters = langid.learn(docs)
     if not filters.languages:
@@ -51,20 +52,26 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the document with the smallest id."""
+    """Keeps of each group of near duplicates the document with the smallest id.
+
+    Of rows with that id and one text it keeps the one whose columns have the smallest hash. Null and empty texts are one group, a
+    null id comes first; an empty table stays empty.
+    """
     stays = simhash.near_groups(docs, NEAR, similarity=LEAST_SIMILARITY).where("first").select("k1", "k2")
     plain, names = by_position(docs)
-    keyed = plain.select("*", *simhash.row_key(F.col(names["doc_id"]).cast("long"), F.col(names["text"]).cast("string")))
-    return keyed.join(stays, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*plain.columns).toDF(*docs.columns)
+    key = simhash.row_key(F.col(names["doc_id"]).cast("long"), F.col(names["text"]).cast("string"))
+    keyed = plain.select("*", *key, F.xxhash64(*[F.col(c) for c in plain.columns]).alias("own"))
+    chosen = keyed.groupBy("k1", "k2").agg(F.min("own").alias("own")).join(stays, ["k1", "k2"], "left_semi")
+    return keyed.join(chosen, ["k1", "k2", "own"], "left_semi").dropDuplicates(["k1", "k2"]).select(*plain.columns).toDF(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by the name of its kind."""
+    """Replaces personal data by the name of its kind; null texts stay null, every row stays, whatever its id."""
     return _with_length(pii.redacted(docs, pii.learn(docs)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the tokenised documents with their places in sequences."""
+    """Pieces of the tokenised documents with their places in sequences; a null or empty text is the end id, equal rows are packed each."""
     return packing.pack_documents(docs, VOCABULARY)
 
 
