@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridledger.operators import chunks as H
 from gridledger.operators import gridstats as G
+from gridledger.operators.nearest import nearest_points
 from gridledger.operators.search import iso_time
 from gridledger.plans.registry import query
 from gridledger.plans.roles import Catalogue
@@ -156,6 +158,52 @@ def nearest_point(cat):
     return G.nearest_values(targets, cat["part"].select(F.col("p_retailprice").alias("coord")), "target", "coord")
 
 
+PLACES = """t AS (SELECT c_custkey AS place, CAST(c_custkey * 7919 % 18001 AS DOUBLE) / 100.0 - 90.0 AS lat, CAST(c_custkey * 104729 % 36000 AS DOUBLE) / 100.0 AS lon FROM customer),
+p AS (SELECT p_partkey AS point, CAST(p_partkey * 3571 % 17001 AS DOUBLE) / 100.0 - 85.0 AS lat, CAST(p_partkey * 15485863 % 30000 AS DOUBLE) / 100.0 AS lon FROM part)"""
+
+
+def made_up(df: DataFrame, key: str, name: str, lat: tuple[int, int, float], lon: tuple[int, int]) -> DataFrame:
+    """Rows at places that follow from their keys."""
+    k = F.col(key).cast("bigint")
+    return df.select(k.alias(name), ((k * lat[0] % lat[1]).cast("double") / 100.0 - lat[2]).alias("lat"), ((k * lon[0] % lon[1]).cast("double") / 100.0).alias("lon"))
+
+
+@query("nearest_places", f"""
+WITH {PLACES}, m AS (SELECT place, point, (t.lat - p.lat) * (t.lat - p.lat) + least(abs(t.lon - p.lon), 360.0::DOUBLE - abs(t.lon - p.lon)) * least(abs(t.lon - p.lon), 360.0::DOUBLE - abs(t.lon - p.lon)) AS d FROM t, p)
+SELECT place, point, round(sqrt(d), 9) AS distance FROM m QUALIFY row_number() OVER (PARTITION BY place ORDER BY d, point) = 1""")
+def nearest_places(cat):
+    places = made_up(cat["customer"], "c_custkey", "place", (7919, 18001, 90.0), (104729, 36000))
+    points = made_up(cat["part"], "p_partkey", "point", (3571, 17001, 85.0), (15485863, 30000))
+    return nearest_points(places, points, "place", "point").withColumn("distance", F.round("distance", 9))
+
+
+def levels(cat: Catalogue) -> DataFrame:
+    """Embeddings as chunks of grid values, in ten groups, with a few values missing."""
+    missing = lambda v, i: F.when((F.col("vec_id") + i) % 17 != 0, v.cast("double"))
+    return cat["embeddings"].select("vec_id", (F.col("vec_id") % 10).alias("level"), F.transform("embedding", missing).alias("values"))
+
+
+LEVELS = """e AS (SELECT vec_id, vec_id % 10 AS level, CASE WHEN (vec_id + i - 1) % 17 <> 0 THEN CAST(embedding[i] AS DOUBLE) END AS v
+ FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings))"""
+
+
+@query("chunk_stats", f"WITH {LEVELS} SELECT level, min(v) AS low, max(v) AS high, round(avg(v), 6) AS mean, count(*) - count(v) AS nulls FROM e GROUP BY level")
+def chunk_stats(cat):
+    s = H.merged_stats(H.chunk_index(levels(cat), "values", "vec_id", "level"), "level")
+    return s.withColumn("mean", F.round("mean", 6))
+
+
+@query("chunk_extremes", f"WITH {LEVELS} SELECT vec_id, count(*) AS n FROM e WHERE v >= 0.3 GROUP BY vec_id")
+def chunk_extremes(cat):
+    chunks = levels(cat)
+    return H.count_within(chunks, H.chunk_index(chunks, "values", "vec_id"), "values", ["vec_id"], low=0.3)
+
+
+@query("chunk_series", f"WITH {LEVELS} SELECT vec_id, level, embedding[12]::DOUBLE AS value FROM (SELECT vec_id, vec_id % 10 AS level, embedding FROM embeddings WHERE (vec_id + 11) % 17 <> 0) UNION ALL SELECT vec_id, vec_id % 10, NULL FROM embeddings WHERE (vec_id + 11) % 17 = 0")
+def chunk_series(cat):
+    return H.cell_series(levels(cat), "values", 11, "vec_id", "level")
+
+
 @query("longitude", "SELECT event_id, CASE WHEN user_id % 2 = 0 THEN 360.0 - value % 360 ELSE value % 360 END % 360 AS lon FROM events")
 def longitude(cat):
     lon = F.when(F.col("user_id") % 2 == 0, -F.col("value")).otherwise(F.col("value"))

@@ -30,7 +30,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from gridledger.plans import files, grids, links, paths, requests, search, tables, texts, volumes  # noqa: F401
+    from gridledger.plans import files, grids, links, paths, requests, search, stored, tables, texts, volumes  # noqa: F401
 
 
 def _runner(fn: Query) -> Callable[[SparkSession, str], DataFrame]:
