@@ -1,4 +1,4 @@
-"""A link index that is built once: edges and records as tables bucketed by uid.
+"""A link index that is built once: edges and records as tables bucketed by uid, or by uid and section.
 
 Look-ups and references back join bucket by bucket, without moving the index. The tables lie in a shared folder and are known to the session's
 catalogue under names of their own; ``drop`` forgets them.
@@ -17,12 +17,13 @@ BUCKETS = 64
 
 @dataclass
 class LinkIndex:
-    """Names of the bucketed tables: edges by target, edges by source, and records by uid."""
+    """Names of the bucketed tables: edges by target, edges by source and section, records by uid, and by uid and section."""
 
     spark: SparkSession
     by_target: str
     by_source: str
     records: str
+    sources: str
 
     def edges_to(self) -> DataFrame:
         return self.spark.table(self.by_target)
@@ -33,8 +34,11 @@ class LinkIndex:
     def index(self) -> DataFrame:
         return self.spark.table(self.records)
 
+    def source_index(self) -> DataFrame:
+        return self.spark.table(self.sources)
+
     def drop(self) -> None:
-        for name in (self.by_target, self.by_source, self.records):
+        for name in (self.by_target, self.by_source, self.records, self.sources):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
@@ -45,19 +49,20 @@ def build(edge: DataFrame, index: DataFrame, folder: str, buckets: int = BUCKETS
     """
     spark, mark = edge.sparkSession, uuid.uuid4().hex
 
-    def table(df: DataFrame, name: str, key: str) -> str:
+    def table(df: DataFrame, name: str, *keys: str) -> str:
         full = f"{name}_{mark}"
-        dealt = df.hint("rebalance", buckets, key)            # a file or so per bucket, several of one that is large
-        dealt.write.bucketBy(buckets, key).sortBy(key).option("path", f"{folder}/{full}").format("parquet").saveAsTable(full)
+        dealt = df.hint("rebalance", buckets, *keys)          # a file or so per bucket, several of one that is large
+        dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{folder}/{full}").format("parquet").saveAsTable(full)
         return full
 
     first = index.groupBy("uid", "section").agg(F.min("label").alias("label"))                 # of a repeated uid the first label
-    return LinkIndex(spark, table(edge, "edges_to", "dst_uid"), table(edge, "edges_from", "src_uid"), table(first, "records", "uid"))
+    return LinkIndex(spark, table(edge, "edges_to", "dst_uid"), table(edge, "edges_from", "src_uid", "src_section"), table(first, "records", "uid"),
+                     table(first, "sources", "uid", "section"))
 
 
 def references(links: LinkIndex) -> DataFrame:
     """Every reference with the label of its source: ``(dst_uid, src_section, attr, src_uid, src_label)``; sources meet in their buckets."""
-    edge, records = links.edges_from().alias("e"), links.index().alias("r")
+    edge, records = links.edges_from().alias("e"), links.source_index().alias("r")
     met = edge.join(records, (F.col("e.src_uid") == F.col("r.uid")) & (F.col("e.src_section") == F.col("r.section")), "left")
     return met.select("e.dst_uid", "e.src_section", "e.attr", "e.src_uid", F.col("r.label").alias("src_label"))
 

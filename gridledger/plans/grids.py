@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridledger.operators import chunks as H
 from gridledger.operators import gridstats as G
+from gridledger.operators import states as T
 from gridledger.operators.nearest import nearest_points
 from gridledger.operators.search import iso_time
 from gridledger.plans.registry import query
@@ -58,6 +59,23 @@ def quantiles_in_ranges(cat):
     return q.select("event_type", *[F.round(f"q{i}", 4).alias(f"q{i}") for i in range(3)])
 
 
+@query("quantile_states", """
+SELECT grain, event_type, p.prob, n, TRUE AS within FROM (SELECT 'type' AS grain, event_type, count(value) AS n FROM events GROUP BY event_type UNION ALL SELECT 'all', NULL, count(value) FROM events),
+ (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) p(prob)""")
+def quantile_states(cat):
+    # sketches of every type and day, merged to types and to everything, against the exact quantiles
+    daily = T.quantile_states(series(cat), ["event_type", "day"], "value")
+    out = []
+    for grain, keys in (("type", ["event_type"]), ("all", [])):
+        bounds = T.quantile_bounds(T.merged_states(daily, keys), keys, G.QUARTILES)
+        exact = G.quantiles(series(cat), keys, "value").unpivot(keys, ["q0", "q1", "q2"], "q", "value")
+        exact = exact.withColumn("prob", F.when(F.col("q") == "q0", 0.25).when(F.col("q") == "q1", 0.5).otherwise(0.75))
+        met = bounds.join(exact, [*keys, "prob"])
+        kind = F.col("event_type") if keys else F.lit(None).cast("string").alias("event_type")
+        out.append(met.select(F.lit(grain).alias("grain"), kind, "prob", "n", F.col("value").between(F.col("at_least"), F.col("at_most")).alias("within")))
+    return out[0].unionByName(out[1])
+
+
 def box_sql(rows: str, key: str) -> str:
     return f"""v AS ({rows}),
 f AS (SELECT {key}, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (

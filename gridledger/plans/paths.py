@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridledger.operators import expand as X
 from gridledger.operators import request as R
+from gridledger.operators.states import distinct_at_grains
 from gridledger.plans.registry import query
 from gridledger.scale import string_set
 
@@ -213,3 +214,14 @@ def experiments_per_mip(cat):
     items, e = cat["x_request_item"], cat["x_experiment"]
     n = lambda df, k: df.groupBy("mip").agg(F.count(F.lit(1)).alias("experiments")).select(F.lit(k).alias("kind"), "mip", "experiments")
     return n(X.experiments_per_mip(items, e), "all").unionByName(n(X.experiments_per_mip(items, e, 1), "tier 1 or reset"))
+
+
+@query("variables_at_grains", """
+WITH p AS (SELECT DISTINCT l.mip, rv.vid, v.frequency FROM x_request_link l JOIN x_request_var rv ON rv.vgid = l.refid JOIN x_cmorvar v ON v.uid = rv.vid)
+SELECT 'mip,frequency' AS grain, mip, frequency, count(DISTINCT vid) AS n FROM p GROUP BY mip, frequency
+UNION ALL SELECT 'mip', mip, NULL, count(DISTINCT vid) FROM p GROUP BY mip UNION ALL SELECT 'frequency', NULL, frequency, count(DISTINCT vid) FROM p GROUP BY frequency
+UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT vid) FROM p""")
+def variables_at_grains(cat):
+    asked = X.mip_variables(cat["x_request_link"], cat["x_request_var"])
+    rows = asked.join(cat["x_cmorvar"].select(F.col("uid").alias("vid"), "frequency"), "vid")
+    return distinct_at_grains(rows, "vid", [["mip", "frequency"], ["mip"], ["frequency"], []], "mip", "frequency")

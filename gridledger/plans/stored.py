@@ -15,7 +15,7 @@ from gridledger.plans.volumes import fact
 from gridledger.sources import clustered as K
 
 
-SNAPSHOT_RANGES = 64
+SNAPSHOT_RANGES, BUCKETS = 64, 16
 
 
 def outputs(cat: Catalogue) -> str:
@@ -60,7 +60,7 @@ def snapshot_diff(cat):
 
 
 def link_index(cat: Catalogue) -> I.LinkIndex:
-    return cat.once("link index", lambda: I.build(edges(cat), index(cat), new_folder(cat, "links")))
+    return cat.once("link index", lambda: I.build(edges(cat), index(cat), new_folder(cat, "links"), BUCKETS))
 
 
 @query("indexed_references", f"""

@@ -135,3 +135,42 @@ def test_no_job_runs_while_a_query_is_built(spark):
             started.append(name)
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert started == []
+
+
+# --- states that merge ---------------------------------------------------------------------------------
+
+def test_quantile_states_bound_the_exact_quantiles(spark):
+    from gridledger.operators import gridstats as G
+    from gridledger.operators import states as T
+    rng = random.Random(3)
+    df = spark.createDataFrame([(k, i % 9, rng.gauss(k, 2) if i % 50 else None) for k in range(3) for i in range(4000)] + [(7, 0, None)], "k long, chunk long, v double")
+    states = T.quantile_states(df, ["k", "chunk"], "v")
+    assert states.count() == 27
+    exact = {(r.k, p): r[f"q{i}"] for r in G.quantiles(df, ["k"], "v", (0.0, 0.1, 0.5, 0.999)).collect() for i, p in enumerate((0.0, 0.1, 0.5, 0.999))}
+    bounds = T.quantile_bounds(T.merged_states(states, ["k"]), ["k"], (0.0, 0.1, 0.5, 0.999)).collect()
+    assert len(bounds) == 12
+    for r in bounds:
+        assert r.n == 3920 and r.at_least <= exact[r.k, r.prob] <= r.at_most and r.at_least <= r.estimate <= r.at_most
+
+
+def test_dense_ids(spark):
+    from gridledger.operators import states as T
+    df = spark.range(5000).select(F.concat(F.lit("n"), F.col("id") % 900).alias("name")).unionByName(spark.createDataFrame([(None,)], "name string"))
+    found = {r["name"]: r["id"] for r in T.dense_ids(df, "name").collect()}
+    assert found == {n: i for i, n in enumerate(sorted({f"n{i}" for i in range(900)}))}
+
+
+def test_distinct_counts_at_several_grains(spark):
+    from gridledger.operators import states as T
+    rng = random.Random(8)
+    data = [(rng.choice("abc"), rng.choice(["x", "y", None]), rng.choice([None, rng.randrange(100_000), rng.randrange(50)])) for _ in range(3000)]
+    df = spark.createDataFrame(data, "p string, q string, n long")
+    sets = [["p", "q"], ["p"], ["q"], []]
+    found = {(r.grain, r.p, r.q): r.n for r in T.distinct_at_grains(df, "n", sets, "p", "q").collect()}
+    plain: dict = {}
+    for p, q, n in data:
+        if n is not None:
+            for s in sets:
+                plain.setdefault((",".join(s) or "all", p if "p" in s else None, q if "q" in s else None), set()).add(n)
+    assert found == {k: len(v) for k, v in plain.items()}
+    assert T.distinct_at_grains(df.limit(0), "n", [["p"]], "p").count() == 0
