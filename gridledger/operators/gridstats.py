@@ -183,7 +183,8 @@ def nearest_values(targets: DataFrame, coords: DataFrame, target: str, coord: st
     t = targets.select(F.col(target).cast("double").alias("x")).distinct()
     marked = c.withColumn("coord", F.col("x")).unionByName(t.withColumn("coord", F.lit(None).cast("double")))
     step = max(2, int(parts ** 0.5))
-    cuts = marked.agg(F.array_distinct(F.percentile_approx("x", [i / parts for i in range(1, parts)], 10 * parts)).alias("fine"))
+    shares = ", ".join(f"{i / parts!r}D" for i in range(1, parts))
+    cuts = marked.agg(F.expr(f"array_distinct(percentile_approx(x, array({shares}), {10 * parts}))").alias("fine"))
     cuts = cuts.select("fine", F.filter("fine", lambda v, i: i % step == step - 1).alias("coarse"))
     marked = marked.withColumns({"fine": cuts.select("fine").scalar(), "coarse": cuts.select("coarse").scalar()})
     # the number of cuts below a value, found in two short steps
