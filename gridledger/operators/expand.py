@@ -27,10 +27,13 @@ def members(experiments: DataFrame, *cols: str) -> DataFrame:
         "n.esid", "n.kind", "expt", *cols)
 
 
-def expand_target(targets: DataFrame, experiments: DataFrame, *cols: str) -> DataFrame:
-    """Rows with an ``esid`` to one row per experiment it stands for; placeholders and empty groups give none."""
+def expand_target(targets: DataFrame, experiments: DataFrame, *cols: str, few: bool = False) -> DataFrame:
+    """Rows with an ``esid`` to one row per experiment it stands for; placeholders and empty groups give none.
+
+    ``few`` says that a target has a bounded number of rows; then adaptive execution is enough for large projects.
+    """
     m = members(experiments, *cols)
-    return skew_join(targets, m, ["esid"], right_keys=m.select("esid"))
+    return skew_join(targets, m, ["esid"], right_keys=None if few else m.select("esid"))
 
 
 def with_link(items: DataFrame, links: DataFrame, *cols: str | Column, how: str = "inner") -> DataFrame:
@@ -39,9 +42,12 @@ def with_link(items: DataFrame, links: DataFrame, *cols: str | Column, how: str
     return items.join(l, ["rlid"], how)
 
 
-def meet_groups(left: DataFrame, right: DataFrame, request_vars: DataFrame, keys: Sequence[str] = ("refid",)) -> DataFrame:
-    """Joins rows of links (left) with rows of request variables (right) on the group; large groups are dealt into chunks."""
-    return skew_join(left, right, keys, right_keys=request_vars.select(F.col("vgid").alias("refid")))
+def meet_groups(left: DataFrame, right: DataFrame, request_vars: DataFrame, keys: Sequence[str] = ("refid",), few: bool = False) -> DataFrame:
+    """Joins rows of links (left) with rows of request variables (right) on the group; large groups are dealt into chunks.
+
+    ``few`` says that a group has a bounded number of rows on the left, as one per project; then adaptive execution is enough.
+    """
+    return skew_join(left, right, keys, right_keys=None if few else request_vars.select(F.col("vgid").alias("refid")))
 
 
 def target_experiments(targets: DataFrame, experiments: DataFrame, groups: DataFrame, tier_max: int | None = None,
@@ -52,7 +58,7 @@ def target_experiments(targets: DataFrame, experiments: DataFrame, groups: DataF
     tier, a project always.
     """
     t = targets.select("esid").distinct()
-    found = expand_target(t, experiments, "egid", "tier")
+    found = expand_target(t, experiments, "egid", "tier", few=True)
     out = found.where(first_tier_passes(F.col("tier"), tier_max)).select(
         "esid", F.col("expt").alias("uid"), F.lit("experiment").alias("section"))
     if not full:
@@ -115,7 +121,7 @@ def links_with_members(links: DataFrame, expansion: DataFrame) -> DataFrame:
 def mip_experiments(links: DataFrame, items: DataFrame, experiments: DataFrame) -> DataFrame:
     """``(mip, expt)`` through the links of a project."""
     asks = with_link(items.select("rlid", "esid").distinct(), links, F.col("mip").alias("req_mip"))
-    return expand_target(asks.select("req_mip", "esid").distinct(), experiments).select(
+    return expand_target(asks.select("req_mip", "esid").distinct(), experiments, few=True).select(
         F.col("req_mip").alias("mip"), "expt").distinct()
 
 
@@ -151,7 +157,7 @@ def group_variables(request_vars: DataFrame, pmax: int | None = None) -> DataFra
 
 def mip_variables(links: DataFrame, request_vars: DataFrame, pmax: int | None = None) -> DataFrame:
     """``(mip, vid)`` of the variables a project requests."""
-    return meet_groups(links.select("mip", "refid").distinct(), group_variables(request_vars, pmax), request_vars).select("mip", "vid").distinct()
+    return meet_groups(links.select("mip", "refid").distinct(), group_variables(request_vars, pmax), request_vars, few=True).select("mip", "vid").distinct()
 
 
 def linkset_variables(links: DataFrame, request_vars: DataFrame, pmax: int) -> DataFrame:
@@ -162,7 +168,7 @@ def linkset_variables(links: DataFrame, request_vars: DataFrame, pmax: int) -> D
     asked = F.when(F.col("opt") == "priority", F.col("opar")).otherwise(F.lit(3))
     limit = links.groupBy("refid").agg(F.least(F.lit(pmax), F.max(asked)).alias("limit"))
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return meet_groups(limit, rv, request_vars).where(F.col("priority") <= F.col("limit")).select("vid", "refid")
+    return meet_groups(limit, rv, request_vars, few=True).where(F.col("priority") <= F.col("limit")).select("vid", "refid")
 
 
 def experiment_variables(items: DataFrame, links: DataFrame, experiments: DataFrame, request_vars: DataFrame) -> DataFrame:
@@ -185,7 +191,7 @@ def variable_mips_by_priority(links: DataFrame, request_vars: DataFrame, serving
     # the most generous link of a project and group decides
     limit = l.groupBy("mip", "refid").agg(
         F.max(F.when(F.col("opt") == "priority", F.col("opar")).otherwise(F.lit(9))).alias("limit"))
-    return meet_groups(limit, rv, request_vars).where(F.col("priority") <= F.col("limit")).select("vid", "mip").distinct()
+    return meet_groups(limit, rv, request_vars, few=True).where(F.col("priority") <= F.col("limit")).select("vid", "mip").distinct()
 
 
 def variable_mips_both(links: DataFrame, request_vars: DataFrame, serving: DataFrame) -> DataFrame:
@@ -292,7 +298,7 @@ def experiment_filter(labels: DataFrame, index: DataFrame, experiments: DataFram
     for an unknown label."""
     known = index.where(F.col("section").isin(KINDS)).select("label", F.col("uid").alias("esid"))
     asked = labels.select("label").distinct().join(known, "label", "left")
-    found = expand_target(asked.where(F.col("esid").isNotNull()), experiments).select("label", "expt").distinct()
+    found = expand_target(asked.where(F.col("esid").isNotNull()), experiments, few=True).select("label", "expt").distinct()
     return asked.select("label").distinct().join(found, "label", "left")
 
 
@@ -308,7 +314,7 @@ def experiments_per_mip(items: DataFrame, experiments: DataFrame, tier_max: int
     free = F.lit(False) if tier_max is None else F.coalesce(F.col("treset") <= tier_max, F.lit(False))
     asks = items.groupBy("esid").agg(F.max(free).alias("free"))
     designed = experiments.withColumn("design_mip", F.col("mip"))
-    found = expand_target(asks, designed, "tier", "design_mip")
+    found = expand_target(asks, designed, "tier", "design_mip", few=True)
     if tier_max is not None:
         found = found.where(F.col("free") | (F.element_at("tier", 1) <= tier_max))
     return found.select(F.col("design_mip").alias("mip"), "expt").distinct()

@@ -19,7 +19,7 @@ QUARTILES = (0.25, 0.5, 0.75)
 RANGE_ROWS = 1_000_000   # values that one task orders
 MOST_GROUPS = 65_536     # groups whose ranges are broadcast, the largest ones; any other has less than one in so many of all values
 SKETCH_ACCURACY = 100_000
-AXIS_PARTS = 4096        # parts of an axis, of about equally many values
+AXIS_PARTS = 1024        # parts of an axis, of about equally many values
 
 
 def to_celsius(df: DataFrame, value: str = "value", units: str = "units") -> DataFrame:
@@ -78,18 +78,17 @@ def axis_profile(df: DataFrame, *axes: str) -> DataFrame:
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = QUARTILES, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Exact quantiles with linear interpolation: the keys and one column ``q0``, ``q1``, … per probability.
 
-    Groups without values are left out; a null key is a group.  A group of more than ``range_rows`` values is read twice, any
-    other once.  A rank outside its range, which the error bound of the sketch rules out, is an error.
+    Groups without values are left out; a null key is a group.  The rows are read twice, once for the sketches.  A rank outside
+    its range, which the error bound of the sketch rules out, is an error.
     """
     probs, given = list(probs), list(keys)
     keys = given or ["_all"]
     have = df.where(F.col(value).isNotNull()).select(*given, *([] if given else [F.lit(0).alias("_all")]), F.col(value).cast("double").alias("_v"))
-    large = have.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > range_rows)
-    large = F.broadcast(large.orderBy(F.desc("_n"), *keys).limit(MOST_GROUPS).select(*keys))
     # three times the error of the sketch, and at least three ranks of the smallest group that is cut
     width = 3.0 / min(range_rows, SKETCH_ACCURACY)
     marks = sorted({min(1.0, max(0.0, p + side * width)) for p in probs for side in (-1, 1)})
-    cuts = have.join(large, keys).groupBy(*keys).agg(F.percentile_approx("_v", marks, SKETCH_ACCURACY).alias("_cuts"))
+    sketched = have.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", marks, SKETCH_ACCURACY).alias("_cuts"))
+    cuts = sketched.where(F.col("_n") > range_rows).orderBy(F.desc("_n"), *keys).limit(MOST_GROUPS).select(*keys, "_cuts")
 
     v = F.col("_v")
     low, high = ([F.get("_cuts", F.lit(marks.index(min(1.0, max(0.0, p + side * width))))) for p in probs] for side in (-1, 1))

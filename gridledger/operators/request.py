@@ -99,7 +99,7 @@ def group_flags(links: DataFrame, items: DataFrame, experiments: DataFrame, poli
 def requested_variables(links: DataFrame, request_vars: DataFrame, presets: DataFrame, pmax: int) -> DataFrame:
     """``(refid, vid)`` pairs that pass the effective priority."""
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return (meet_groups(presets, rv, request_vars)
+    return (meet_groups(presets, rv, request_vars, few=True)
             .where(F.col("admit_all") | (F.col("by_priority") & (F.col("priority") <= pmax)))
             .drop("admit_all", "by_priority"))
 
@@ -108,7 +108,7 @@ def requested_pairs(links: DataFrame, items: DataFrame, request_vars: DataFrame,
     """``(refid, preset, vid, priority)`` with the priority that counts, for each preset of a group."""
     presets = link_items(links, items.select("rlid", "preset").distinct(), Policy(pmax=pmax)).select("refid", "preset").distinct()
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return (meet_groups(presets, rv, request_vars)
+    return (meet_groups(presets, rv, request_vars, few=True)
             .select("refid", "preset", "vid", effective_priority(F.col("preset"), F.col("priority")).alias("priority"))
             .where(F.col("priority") <= pmax))
 

@@ -293,7 +293,7 @@ def request_summary(items: DataFrame, links: DataFrame, request_vars: DataFrame,
                      *[F.min(c).alias(f"only_{c}") for c in ("ny", "nymax", "nenmax")],
                      F.count(F.lit(1)).alias("requests")))
     rv = request_vars.where(F.col("priority") <= pmax).groupBy(F.col("vgid").alias("refid"), "vid").agg(F.count(F.lit(1)).alias("times"))
-    per_var = meet_groups(per_group, rv, request_vars).groupBy("vid").agg(
+    per_var = meet_groups(per_group, rv, request_vars, few=True).groupBy("vid").agg(
         *[F.max(c).alias(c) for c in ("ny", "nymax", "nenmax")], *[F.min(f"only_{c}").alias(f"only_{c}") for c in ("ny", "nymax", "nenmax")],
         F.sum(F.col("requests") * F.col("times")).alias("requests"), F.array_join(F.sort_array(F.collect_set("grid")), ",").alias("grids"))
     value = lambda c: F.when(F.col("requests") == 1, F.col(f"only_{c}")).otherwise(F.coalesce(F.col(c), F.lit(-1))).alias(c)
