@@ -47,7 +47,9 @@ def hard(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def empty(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("empty")
-    spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    for name, schema in (("documents", SCHEMA), ("benchmark", "item_id long, text string"), ("conversations", "conv_id long, turn long, role string, text string"),
+                         ("pages", "page_id long, url string, html string")):
+        spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
 
