@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.functions.caps import first_tier_passes, preset_passes
-from gridledger.scale import skew_join
+from gridledger.scale import list_join, skew_join
 
 KINDS = ["experiment", "exptgroup", "mip"]
 
@@ -50,6 +50,21 @@ def meet_groups(left: DataFrame, right: DataFrame, request_vars: DataFrame, keys
     return skew_join(left, right, keys, right_keys=None if few else request_vars.select(F.col("vgid").alias("refid")))
 
 
+def meet_by_experiment(left: DataFrame, right: DataFrame, request_vars: DataFrame, keys: Sequence[str] = ("refid",)) -> DataFrame:
+    """As ``meet_groups`` without the group, dealt by experiment: to group by ``expt``, ``_share`` and ``vid`` takes no further shuffle."""
+    return list_join(left, right, keys, "expt", "vid", right_keys=request_vars.select(F.col("vgid").alias("refid")))
+
+
+def copies_once(rows: DataFrame) -> DataFrame:
+    """Equal rows once, with their number as ``_copies``: such rows can travel through ``meet_by_experiment`` and its grouping."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+
+
+def copies_again(rows: DataFrame) -> DataFrame:
+    """Every row as often as ``_copies`` says."""
+    return rows.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))).alias("_copy")).drop("_copies", "_copy")
+
+
 def target_experiments(targets: DataFrame, experiments: DataFrame, groups: DataFrame, tier_max: int | None = None,
                        full: bool = False) -> DataFrame:
     """``(esid, uid, section)`` of what a target stands for, within the tier limit.
@@ -175,7 +190,7 @@ def experiment_variables(items: DataFrame, links: DataFrame, experiments: DataFr
     """``(expt, vid)`` of everything requested for an experiment."""
     groups = with_link(items.select("rlid", "esid").distinct(), links, "refid")
     pairs = expand_target(groups.select("refid", "esid").distinct(), experiments).select("expt", "refid").distinct()
-    return meet_groups(pairs, group_variables(request_vars), request_vars).select("expt", "vid").distinct()
+    return meet_by_experiment(pairs, group_variables(request_vars), request_vars).select("expt", "_share", "vid").distinct().drop("_share")
 
 
 def variable_mips(links: DataFrame, request_vars: DataFrame) -> DataFrame:

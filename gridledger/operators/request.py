@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridledger.functions.caps import cap_years, effective_priority, first_tier_passes, members_for_tier, reset_passes
-from gridledger.functions.sizes import default_grid, request_grid
-from gridledger.operators.expand import expand_target, meet_groups, with_link
+from gridledger.functions.sizes import choose, default_grid, request_grid
+from gridledger.operators.expand import expand_target, meet_by_experiment, meet_groups, with_link
 
 # best first
 GRID_ORDER = ["native:01", "native", "1deg", "100km", "2deg", "DEF", ""]
@@ -150,6 +150,30 @@ def variable_years(requests: DataFrame, policy: Policy, by: Sequence[str] = (),
     return wide.select(*keys, grid.alias("grid"), F.coalesce(*[f"y{i}" for i in range(len(GRID_ORDER))]).alias("years"))
 
 
+#: Added to years, so that a better grid outweighs any number of years, negative ones too.
+YEARS_BELOW = 1 << 40
+
+
+def best_years(years: DataFrame, wanted: DataFrame, request_vars: DataFrame, policy: Policy, by: Sequence[str] = (),
+               carry: Sequence[str] = (), about: Sequence[str] = ()) -> DataFrame:
+    """As ``variable_years`` of ``variable_requests``, for the best grid, with the columns ``about`` of ``wanted`` and ``_share``.
+
+    ``years`` comes from ``group_years``, ``wanted`` from ``wanted_variables``.  Pairs meet by experiment: to group by vid, expt and ``_share``
+    takes no further shuffle.  Grid and years are one number, so a pair is one maximum.
+    """
+    group_keys = ["refid", *[f"req_{c}" for c in by]]
+    by_class = wanted.select(*group_keys, "vid", *about, default_grid(F.lit("DEF"), F.col("grid_class"), policy.default_native).alias("_default"))
+    pairs = meet_by_experiment(years, by_class, request_vars, group_keys)
+    grid = F.when(F.col("grid") == "DEF", F.col("_default")).otherwise(F.coalesce("grid", "_default"))
+    rank = choose(grid, {g: i for i, g in enumerate(reversed(GRID_ORDER))}).cast("bigint")
+    weight = rank * (2 * YEARS_BELOW) + F.col("years").cast("bigint") + YEARS_BELOW
+    keys = ["vid", "expt", *carry, *group_keys[1:], "_share", *about]
+    best = pairs.groupBy(*keys).agg(F.max(weight).alias("_best"))
+    grids = F.array(*[F.lit(g) for g in reversed(GRID_ORDER)])
+    return best.select(*keys, F.get(grids, F.shiftright("_best", 41).cast("int")).alias("grid"),
+                       (F.pmod("_best", F.lit(2 * YEARS_BELOW)) - YEARS_BELOW).cast(years.schema["years"].dataType).alias("years"))
+
+
 def _ranked(selected: DataFrame, choices: DataFrame, by: Sequence[str]) -> DataFrame:
     """Each selected variable once per choice group it is in, and whether it ranks below another selected one there.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.caps import first_tier_passes, reset_passes
 from gridledger.lookup import SLICE_COMPARE_PAIRS, SLICE_PAIRS
-from gridledger.operators.expand import expand_target, meet_groups
+from gridledger.operators.expand import expand_target, meet_by_experiment
 from gridledger.operators.request import SLICE, Policy, link_items, requested_pairs
 
 SPECIAL_LABELS = sorted({label for labels, *_ in SLICE_PAIRS for label in labels})
@@ -31,11 +31,14 @@ def group_slices(links: DataFrame, items: DataFrame, experiments: DataFrame, pol
 
 
 def variable_slices(links: DataFrame, items: DataFrame, experiments: DataFrame, request_vars: DataFrame, policy: Policy,
-                    keep_unsliced: bool = True) -> DataFrame:
-    """``(vid, expt, slice, priority)``: each slice once with the lowest priority that asks for it."""
+                    keep_unsliced: bool = True, shared: bool = False) -> DataFrame:
+    """``(vid, expt, slice, priority)``: each slice once with the lowest priority that asks for it.
+
+    ``shared`` keeps the column ``_share``: to merge by vid, expt and it takes no further shuffle.
+    """
     wanted = requested_pairs(links, items, request_vars, policy.pmax).groupBy("refid", "vid").agg(F.min("priority").alias("priority"))
-    found = meet_groups(group_slices(links, items, experiments, policy, keep_unsliced), wanted, request_vars)
-    return found.groupBy("vid", "expt", *SLICE).agg(F.min("priority").alias("priority"))
+    found = meet_by_experiment(group_slices(links, items, experiments, policy, keep_unsliced), wanted, request_vars)
+    return found.groupBy("vid", "expt", "_share", *SLICE).agg(F.min("priority").alias("priority")).drop(*[] if shared else ["_share"])
 
 
 def merge_slices(sliced: DataFrame, keys: Sequence[str] = ("vid", "expt")) -> DataFrame:

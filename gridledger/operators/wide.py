@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.text import table_class
 from gridledger.lookup import UNSET
-from gridledger.operators.expand import link_experiments, meet_groups, with_link
+from gridledger.operators.expand import link_experiments, meet_by_experiment, with_link
 from gridledger.operators.links import broken_parts
 from gridledger.scale import string_set
 
@@ -94,7 +94,8 @@ def lowest_priorities(links: DataFrame, items: DataFrame, experiments: DataFrame
     served = with_link(link_experiments(items, experiments), links, "mip", "refid")
     groups = served.select("mip", "expt", "refid").distinct()
     rv = request_vars.groupBy(F.col("vgid").alias("refid"), "vid").agg(F.min("priority").alias("priority"))
-    return meet_groups(groups, rv, request_vars).groupBy("mip", "expt", "vid").agg(F.min("priority").alias("priority"))
+    pairs = meet_by_experiment(groups, rv, request_vars)
+    return pairs.groupBy("mip", "expt", "_share", "vid").agg(F.min("priority").alias("priority")).drop("_share")
 
 
 def rank_variables(variables: DataFrame, var: DataFrame, request_vars: DataFrame, placeholder: Column) -> DataFrame:

@@ -27,6 +27,13 @@ def variable_requests(cat: Catalogue, policy: Policy = POLICY, by=(), links: Dat
                                sized(cat).select("uid", "grid_class"), policy, by, carry)
 
 
+def best_years(cat: Catalogue, links: DataFrame | None = None, experiments: DataFrame | None = None) -> DataFrame:
+    """Years per variable and experiment on the best grid."""
+    args = (cat["x_request_link"] if links is None else links, cat["x_request_item"], cat["x_experiment"] if experiments is None else experiments)
+    wanted = R.wanted_variables(*args, cat["x_request_var"], sized(cat).select("uid", "grid_class"), POLICY)
+    return R.best_years(R.group_years(*args, POLICY), wanted, cat["x_request_var"], POLICY).select("vid", "expt", "grid", "years")
+
+
 def selected(cat: Catalogue, policy: Policy = POLICY, by=(), links: DataFrame | None = None) -> DataFrame:
     return R.selected_variables(cat["x_request_link"] if links is None else links, cat["x_request_item"], cat["x_experiment"],
                                 cat["x_request_var"], sized(cat).select("uid", "grid_class"), policy, by)
@@ -106,14 +113,14 @@ def years_variable(cat):
 
 @query("best_grid", f"WITH {Q.requests()}, {Q.best()} SELECT vid, expt, grid, years FROM vy")
 def best_grid(cat):
-    return R.variable_years(variable_requests(cat), POLICY)
+    return best_years(cat)
 
 
 @query("best_grid_denied_experiments", f"""
 WITH {Q.requests(expt_where="AND m.label NOT LIKE '%7'")}, {Q.best()} SELECT vid, expt, grid, years FROM vy""")
 def best_grid_denied_experiments(cat):
     allowed = cat["x_experiment"].where(~F.col("label").endswith("7"))
-    return R.variable_years(variable_requests(cat, experiments=allowed), POLICY)
+    return best_years(cat, experiments=allowed)
 
 
 @query("selected_variables", f"WITH {Q.requests(by_mip=True)} SELECT DISTINCT req_mip, vid FROM vr")
@@ -169,7 +176,11 @@ m AS (SELECT vid, expt, slices, CAST(CASE d WHEN 'two' THEN 2 WHEN '-1' THEN -1
 
 
 def variable_slices(cat: Catalogue) -> DataFrame:
-    return I.variable_slices(cat["x_request_link"], cat["x_request_item"], cat["x_experiment"], cat["x_request_var"], POLICY)
+    return I.variable_slices(cat["x_request_link"], cat["x_request_item"], cat["x_experiment"], cat["x_request_var"], POLICY, shared=True)
+
+
+def merged_slices(cat: Catalogue) -> DataFrame:
+    return I.merge_slices(variable_slices(cat), ["vid", "expt", "_share"]).drop("_share")
 
 
 @query("slice_priorities", f"WITH {SLICES} SELECT vid, expt, ts_label, ts_start, ts_end, priority FROM vs")
@@ -179,7 +190,7 @@ def slice_priorities(cat):
 
 @query("slice_merge", f"WITH {MERGED} SELECT * FROM m")
 def slice_merge(cat):
-    return I.merge_slices(variable_slices(cat))
+    return merged_slices(cat)
 
 
 @query("slice_years", f"""
@@ -191,7 +202,7 @@ WITH {MERGED} SELECT vid, expt, rc,
   WHEN ts_type = 'simpleRange' THEN array_to_string(range(ts_start, ts_end + 1), ' ')
   WHEN ts_type = 'rangeplus' THEN concat('1850 ', array_to_string(range(ts_start, ts_end + 1), ' ')) END AS years FROM m""")
 def slice_years(cat):
-    y = I.slice_years(I.merge_slices(variable_slices(cat)))
+    y = I.slice_years(merged_slices(cat))
     return y.select("vid", "expt", "rc", "n_years", "slice_type", F.array_join(F.transform("years", lambda x: x.cast("string")), " ").alias("years"))
 
 

@@ -20,7 +20,7 @@ SNAPSHOT_RANGES, BUCKETS = 64, 16
 
 def outputs(cat: Catalogue) -> str:
     """Volumes of every variable that a project asks of an experiment, as files clustered by project and experiment."""
-    rows = fact(cat, by=["mip"]).select("req_mip", "expt", "vid", "mip_table", "hundredths")
+    rows = fact(cat, ["req_mip", "expt", "vid", "mip_table"], by=["mip"])
     folder = new_folder(cat, "outputs")
     K.write_clustered(rows, folder, "req_mip", "expt")
     return folder

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 CHUNK_ROWS = 512        # rows of one key on the right that a row on the left meets in one task
 MOST_KEYS = 4096        # keys that are dealt into chunks
+SHARES = 4              # tasks of a shuffle of lists for each partition of the session: a row stands for a list
 
 
 def large_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -48,6 +49,35 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return repeated.join(dealt, [*keys, "_chunk"]).drop("_chunk")
 
 
+def list_join(left: DataFrame, right: DataFrame, keys: Sequence[str], owner: str, member: str, *, right_keys: DataFrame) -> DataFrame:
+    """Inner equi-join whose pairs come dealt by ``owner`` of the left and, as far as that has many rows, by ``member`` of the right.
+
+    The rows of a key on the right travel as a list to each row on the left, and are unfolded only where the owner's rows have met:
+    a row is shuffled, not every pair. What then groups by owner, ``_share`` and ``member`` needs no shuffle. ``_share`` follows from
+    owner and member, so as one more key it changes no group. Lists are bounded as the chunks of ``skew_join``; an owner with many rows has
+    its lists parted by member. Without the ``keys`` that are not asked for by ``owner`` the rows hold the columns of both sides.
+    """
+    keys = list(keys)
+    known = [k for k in keys if k in right_keys.columns]
+    values = [c for c in right.columns if c not in keys]
+    large = F.broadcast(large_keys(right_keys, known))
+    chunks = F.coalesce("_chunks", F.lit(1))
+    chunk = F.when(F.col("_chunks").isNotNull(), F.pmod(F.xxhash64(*right.columns), chunks)).otherwise(0).cast("int").alias("_chunk")
+    lists = right.dropna(subset=keys).join(large, known, "left").select(*right.columns, chunk).groupBy(*keys, "_chunk").agg(
+        F.collect_list(F.struct(*values)).alias("_list"))
+    repeated = left.join(large, known, "left").select(*left.columns, F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_chunk"))
+    hot = F.broadcast(large_keys(left, [owner]).withColumnRenamed("_chunks", "_parts"))
+    met = repeated.join(lists, [*keys, "_chunk"]).join(hot, [owner], "left")
+    part = lambda e: F.pmod(F.xxhash64(e[member]), F.col("_parts")).cast("int")
+    shares = F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(F.array_distinct(F.transform("_list", part)))
+    dealt = met.select(*left.columns, "_list", "_parts", F.explode(shares).alias("_share"))
+    own = F.when(F.col("_parts").isNull(), F.col("_list")).otherwise(F.filter("_list", lambda e: part(e) == F.col("_share")))
+    tasks = SHARES * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = [c for c in left.columns if c not in known]
+    rows = dealt.select(*kept, "_share", own.alias("_list")).repartition(tasks, owner, "_share")
+    return rows.select(*kept, "_share", F.explode("_list").alias("_e")).select(*kept, "_share", *[F.col(f"_e.{c}").alias(c) for c in values])
+
+
 def string_set(col: Column | str, sep: str = ",") -> Column:
     """Sorted distinct texts of a group as one string.  Only for values out of a small closed vocabulary."""
     return F.array_join(F.sort_array(F.collect_set(col)), sep)

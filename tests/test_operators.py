@@ -457,3 +457,30 @@ def test_quantities_by_standard_name(table):
     var = table("uid string, title string, units string, description string, label string, sn string", [("q1", "T", "K", "d", "b", "n2"), ("q2", "U", "K", "d", "a", "n2"), ("q3", "V", "K", "d", "c", "n1"), ("q4", "W", "K", "d", "d", "n0")])
     got = T.quantity_records(table("vid string", [("q1",), ("q2",), ("q3",), ("q3",)]), var).collect()
     assert [(r["sn"], r["label"]) for r in got] == [("n1", "c"), ("n2", "a"), ("n2", "b")]
+
+
+@pytest.mark.parametrize("chunk", [2, 512])
+def test_list_join_gives_the_pairs_of_a_join(table, monkeypatch, chunk):
+    """Large groups, an owner with many rows, repeated rows and nulls: the same pairs, each share in one task."""
+    monkeypatch.setattr(scale, "CHUNK_ROWS", chunk)
+    left = table("k bigint, o string, a bigint", [(i % 4, "hot" if i % 3 else f"o{i}", i) for i in range(24)] + [(None, "n", 1), (1, None, 2), (1, None, 2)])
+    right = table("k bigint, v bigint, b string", [(i % 5, i % 7, f"b{i % 3}") for i in range(40)] + [(None, 3, "x"), (1, None, "y")])
+    got = scale.list_join(left, right, ["k"], "o", "v", right_keys=right.select("k"))
+    assert rows(got, "o", "a", "v", "b") == rows(left.join(right, "k"), "o", "a", "v", "b")
+    shares = {}
+    for r in got.collect():
+        shares.setdefault((r["o"], r["v"]), set()).add(r["_share"])
+    assert all(len(s) == 1 for s in shares.values())
+    assert (len({s for (o, _), v in shares.items() if o == "hot" for s in v}) > 1) == (chunk == 2)
+
+
+def test_years_of_the_best_grid_by_list(table):
+    """As a maximum per grid, also with negative and missing years and grids."""
+    years = table("refid bigint, expt string, grid string, years bigint", [
+        (1, "e1", "2deg", 900), (1, "e1", "1deg", 5), (2, "e1", "1deg", 7), (2, "e1", None, 3), (1, "e2", "DEF", -4), (2, "e2", "", 8), (1, "e3", "native:01", None)])
+    wanted = table("refid bigint, vid bigint, grid_class string", [(1, 10, "o"), (2, 10, "o"), (1, 11, "a"), (2, 12, "a")])
+    met = years.join(wanted, "refid")
+    plain = R.variable_years(met.withColumn("grid", R.default_grid(F.col("grid"), F.col("grid_class"))), R.Policy())
+    got = R.best_years(years, wanted, wanted.withColumnRenamed("refid", "vgid"), R.Policy())
+    assert rows(got, "vid", "expt", "grid", "years") == rows(plain, "vid", "expt", "grid", "years")
+    assert dict(got.dtypes)["years"] == "bigint"

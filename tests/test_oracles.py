@@ -46,3 +46,10 @@ def test_every_oracle_has_a_query():
 def test_entry(spark):
     df = entry.entry(spark)
     assert sorted(df.columns) == ["frequency", "volume"] and df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["experiment_variables", "priority_min", "slice_merge", "slice_years", "experiment_requests", "request_unique", "best_grid"])
+def test_pairs_of_variable_and_experiment_are_not_shuffled(spark, name):
+    """Above the place where lists of variables are unfolded into pairs there is no exchange."""
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(_list" in plan and "Exchange" not in plan.split("Generate explode(_list")[0]
