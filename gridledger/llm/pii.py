@@ -3,9 +3,9 @@
 The base spans of a text are those of four fixed patterns. Besides, generators propose overlapping spans in looser
 formats. What a candidate says in its plain form must pass the check of its kind (checksum, range of parts, number of digits, form of a
 domain); whether it is meant so is for a model of boosted trees, which sees format and context and none of the checks. It is
-learned from a bounded sample: the base spans of the sampled texts, and valid loose forms that are planted in excerpts of these texts, after
+learned from every text: its base spans, and valid loose forms that are planted in excerpts of it, after
 neutral or fitting words as right ones and after words that speak of something else as wrong ones; other kinds that are seen in a planted
-form are wrong, too. Thresholds per kind are calibrated on held-out examples. A candidate that passes its check, lies over its
+form are wrong, too. The examples stay in a table, equal ones counted, and trees are grown on their sums. Thresholds per kind are calibrated on held-out examples. A candidate that passes its check, lies over its
 threshold and meets no base span is added, the best first.
 """
 
@@ -23,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.boosting import Trees, boost
+from gridledger.llm.boosting import Trees, boost_rows, cells
+from gridledger.llm.common import discard, kept
 from gridledger.llm.words import texts_in_parts
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents whose candidates the model is learned from, in expectation, and the most candidates used of them.
-SAMPLE_ROWS, SAMPLE_CANDIDATES = 20_000, 40_000
+#: Where the trees may cut a feature: all are whole numbers.
+LIMITS = np.array([*range(24), 25, 28, 32, 40, 56, 80, 128, 192]) + 0.5
+#: Scores are told apart by this part of one when a threshold is set.
+SCORE_STEPS = 1 << 14
 #: Planted forms in all at least, whatever the number of documents.
 LEAST_PLANTED = 6000
 #: Least share of right ones among the held-out candidates over a threshold, and the fewest examples of a kind to set one.
@@ -244,18 +247,18 @@ def _planted(text: str, seed: str) -> Iterator[tuple[str, Span, bool]]:
             yield excerpt, c, c == place and fits
 
 
-def _sampled(plants: int):
+def _shown(plants: int):
     width = len(features("0", (1, 0, 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in texts_in_parts(batch.column(0)):
-                rows, labels, keys = [], [], []
+                rows, labels, held = [], [], []
 
                 def add(text: str, c: Span, label: bool) -> None:
                     rows.append(features(text, c))
                     labels.append(label)
-                    keys.append(int.from_bytes(hashlib.blake2b(f"{c}{text[c[1]:c[2]]}".encode(), digest_size=6).digest(), "big"))
+                    held.append(int.from_bytes(hashlib.blake2b(f"{c}{text[c[1]:c[2]]}".encode(), digest_size=6).digest(), "big") % 3 == 0)
 
                 for text in texts:
                     mark = hashlib.blake2b(text.encode(), digest_size=8).hexdigest()
@@ -265,38 +268,59 @@ def _sampled(plants: int):
                     if _WORTH.search(text):
                         for c in base_spans(text):
                             add(text, c, True)
-                flat = pa.array(np.array(rows, dtype=np.float64).reshape(-1))
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(labels, pa.bool_()), pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width), flat)], ["key", "label", "x"])
+                flat = cells(np.array(rows, dtype=np.float64).reshape(-1), LIMITS).tobytes()
+                x = pa.array([flat[i:i + width] for i in range(0, len(flat), width)], pa.binary())
+                yield pa.RecordBatch.from_arrays([x, pa.array(held, pa.bool_()), pa.array(labels, pa.bool_())], ["x", "held", "label"])
 
     return run
 
 
-def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Trees and thresholds from the candidates of a hash sample of about ``sample_rows`` documents, or all if fewer.
+def examples(df: DataFrame, text_col: str = "text", plants: int = 1) -> DataFrame:
+    """``(x, held, right, n)`` of all texts: how many examples have these features, as ``cells``, and how many of them are right.
 
-    At most ``SAMPLE_CANDIDATES`` of the candidates, drawn by a hash, are used; forms are planted in every sampled text, so many that there are
-    ``LEAST_PLANTED`` of them in the smallest table. Null texts are not read; an empty table gives a model that adds nothing.
+    ``plants`` forms are planted in each text. Null texts are not read. A held-out example is one by a hash of its kind, place and text.
+    """
+    shown = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string")).mapInArrow(_shown(plants), "x binary, held boolean, label boolean")
+    return shown.groupBy("x", "held").agg(F.sum(F.col("label").cast("long")).alias("right"), F.count(F.lit(1)).alias("n"))
+
+
+def _scores(trees: Trees):
+    """The examples by kind and score, in steps of ``SCORE_STEPS``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                plain = np.append(LIMITS, LIMITS[-1] + 1)[x] - 0.5                                # a number in the same cell
+                step = (trees.probability(plain) * SCORE_STEPS).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x[:, :4].argmax(axis=1).astype(np.int32)), pa.array(step), batch.column(1), batch.column(2)], ["kind", "step", "right", "n"])
+
+    return run
+
+
+def learn(df: DataFrame, text_col: str = "text") -> Model:
+    """Trees and thresholds from the examples of all documents.
+
+    A form is planted in every text, in a small table so many in each that there are ``LEAST_PLANTED`` of them. Null texts are not read; an
+    empty table gives a model that adds nothing.
+    """
+    plants = -(-LEAST_PLANTED // max(1, min(df.count(), LEAST_PLANTED)))
+    found = kept(examples(df, text_col, plants), "pii-examples")
+    trees = boost_rows(found.where(~F.col("held")), LIMITS, len(features("0", (1, 0, 1))))
+    scored = found.where("held").select("x", "right", "n").mapInArrow(_scores(trees), "kind int, step int, right long, n long")
+    rows = scored.groupBy("kind", "step").agg(F.sum("right").alias("right"), F.sum("n").alias("n")).collect()             # at most kinds x steps
+    discard(found)
+    own = [[r for r in rows if r.kind == k] for k in range(4)]
+    return Model(trees, [_threshold(np.array([r.step / SCORE_STEPS for r in o]), np.array([r.right for r in o]), np.array([r.n for r in o])) for o in own])
+
+
+def _threshold(p: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> float:
+    """The least score at and above which the held-out candidates are right with the wanted precision; 2 if none.
+
+    ``y`` of a score's candidates are right, of one or of ``times`` many.
     """
-    total = df.count()
-    share = min(1.0, sample_rows / max(1, total))
-    plants = -(-LEAST_PLANTED // max(1, min(total, sample_rows)))
-    drawn = df.where(F.pmod(F.xxhash64(F.lit("fit"), id_col), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0))
-    found = drawn.where(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string")).mapInArrow(_sampled(plants), "key long, label boolean, x array<double>")
-    rows = found.orderBy("key", "label", "x").limit(SAMPLE_CANDIDATES).collect()                  # a bounded sample, the same in every run
-    if not rows:
-        return Model(boost(np.zeros((0, 1)), np.zeros(0)), [2.0] * 4)
-    x, y = np.array([r.x for r in rows]), np.array([r.label for r in rows], dtype=np.float64)
-    held = np.array([r.key % 3 == 0 for r in rows])
-    trees = boost(x[~held], y[~held])
-    p = trees.probability(x[held])
-    return Model(trees, [_threshold(p[x[held][:, k] == 1], y[held][x[held][:, k] == 1]) for k in range(4)])
-
-
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The least score at and above which the held-out candidates are right with the wanted precision; 2 if none."""
     order = np.argsort(-p, kind="stable")
     p, y = p[order], y[order]
-    right, n = np.cumsum(y), np.arange(1, len(p) + 1)
+    right, n = np.cumsum(y), np.cumsum(np.ones(len(p)) if times is None else times[order])
     last = np.append(p[1:] != p[:-1], True) if len(p) else np.zeros(0, bool)                      # equal scores stand together
     good = np.flatnonzero(last & (right >= PRECISION * n) & (right >= LEAST_EXAMPLES))
     return float(p[good[-1]]) if len(good) else 2.0
