@@ -54,7 +54,7 @@ def list_join(left: DataFrame, right: DataFrame, keys: Sequence[str], owner: str
 
     The rows of a key on the right travel as a list to each row on the left, and are unfolded only where the owner's rows have met:
     a row is shuffled, not every pair. What then groups by owner, ``_share`` and ``member`` needs no shuffle. ``_share`` follows from
-    owner and member, so as one more key it changes no group. Lists are bounded as the chunks of ``skew_join``; an owner with many rows has
+    owner and member, so as one more key it changes no group; it is -1 where all rows of an owner are together. Lists are bounded as the chunks of ``skew_join``; an owner with many rows has
     its lists parted by member. Without the ``keys`` that are not asked for by ``owner`` the rows hold the columns of both sides.
     """
     keys = list(keys)
@@ -69,7 +69,7 @@ def list_join(left: DataFrame, right: DataFrame, keys: Sequence[str], owner: str
     hot = F.broadcast(large_keys(left, [owner]).withColumnRenamed("_chunks", "_parts"))
     met = repeated.join(lists, [*keys, "_chunk"]).join(hot, [owner], "left")
     part = lambda e: F.pmod(F.xxhash64(e[member]), F.col("_parts")).cast("int")
-    shares = F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(F.array_distinct(F.transform("_list", part)))
+    shares = F.when(F.col("_parts").isNull(), F.array(F.lit(-1))).otherwise(F.array_distinct(F.transform("_list", part)))
     dealt = met.select(*left.columns, "_list", "_parts", F.explode(shares).alias("_share"))
     own = F.when(F.col("_parts").isNull(), F.col("_list")).otherwise(F.filter("_list", lambda e: part(e) == F.col("_share")))
     tasks = SHARES * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))

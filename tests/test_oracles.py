@@ -66,3 +66,14 @@ def test_matrix_and_unique_column_walk_to_the_years_once(spark):
         patch.setattr(volumes.R, "group_years", lambda *a: asked.append(years(*a)) or asked[-1])
         volumes.volume_matrix(Catalogue(spark, FOLDER))
     assert len(asked) == 2 and asked[0].sameSemantics(asked[1])
+
+
+@pytest.mark.parametrize("name", ["shape_frequency_summary", "shape_frequency_pivot"])
+def test_shapes_travel_as_one_number(spark, con, name, forced_split):
+    """Lists and pairs hold no names of a shape, and experiments in several shares count once."""
+    df = QUERIES[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    lists = [line for line in plan.splitlines() if "Generate explode(_list" in line]
+    assert lists and "_e#" in lists[0]
+    assert not [line for line in plan.splitlines() if "_e#" in line and "_e#" in line.split("Project")[-1] and ("label" in line or "odims" in line)]
+    assert compare(df, ORACLES[name], con) == ""
