@@ -484,3 +484,20 @@ def test_years_of_the_best_grid_by_list(table):
     got = R.best_years(years, wanted, wanted.withColumnRenamed("refid", "vgid"), R.Policy())
     assert rows(got, "vid", "expt", "grid", "years") == rows(plain, "vid", "expt", "grid", "years")
     assert dict(got.dtypes)["years"] == "bigint"
+
+
+def test_owners_are_counted_on_the_same_walk(spark, table, tmp_path):
+    """The rows whose owners are counted are those that meet the lists: they are read and grouped once."""
+    from gridledger.scale import list_join
+
+    table("g bigint, o string, y bigint", [(1, "a", 3), (1, "a", 5), (1, "b", 2), (None, "b", 1), (2, None, 7)]).write.parquet(f"{tmp_path}/walked")
+    left = spark.read.parquet(f"{tmp_path}/walked").groupBy("g", "o").agg(F.max("y").alias("y"))
+    right = table("g bigint, v bigint", [(1, 10), (1, 11), (2, 12), (None, 13)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = list_join(left, right, ["g"], "o", "v", right_keys=right.select("g"))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1
+        assert rows(df, "o", "y", "v") == [(None, 7, 12), ("a", 5, 10), ("a", 5, 11), ("b", 2, 10), ("b", 2, 11)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
