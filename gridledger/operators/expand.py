@@ -50,9 +50,13 @@ def meet_groups(left: DataFrame, right: DataFrame, request_vars: DataFrame, keys
     return skew_join(left, right, keys, right_keys=None if few else request_vars.select(F.col("vgid").alias("refid")))
 
 
-def meet_by_experiment(left: DataFrame, right: DataFrame, request_vars: DataFrame, keys: Sequence[str] = ("refid",)) -> DataFrame:
-    """As ``meet_groups`` without the group, dealt by experiment: to group by ``expt``, ``_share`` and ``vid`` takes no further shuffle."""
-    return list_join(left, right, keys, "expt", "vid", right_keys=request_vars.select(F.col("vgid").alias("refid")))
+def meet_by_experiment(left: DataFrame, right: DataFrame, request_vars: DataFrame, keys: Sequence[str] = ("refid",),
+                       by_range: Sequence[str] = ()) -> DataFrame:
+    """As ``meet_groups`` without the group, dealt by experiment: to group by ``expt``, ``_share`` and ``vid`` takes no further shuffle.
+
+    With ``by_range`` dealt by ranges of those columns of the left before the experiment; they are grouped by then, too.
+    """
+    return list_join(left, right, keys, "expt", "vid", right_keys=request_vars.select(F.col("vgid").alias("refid")), by_range=by_range)
 
 
 def copies_once(rows: DataFrame) -> DataFrame:

@@ -155,15 +155,16 @@ YEARS_BELOW = 1 << 40
 
 
 def best_years(years: DataFrame, wanted: DataFrame, request_vars: DataFrame, policy: Policy, by: Sequence[str] = (),
-               carry: Sequence[str] = (), about: Sequence[str] = ()) -> DataFrame:
+               carry: Sequence[str] = (), about: Sequence[str] = (), by_range: Sequence[str] = ()) -> DataFrame:
     """As ``variable_years`` of ``variable_requests``, for the best grid, with the columns ``about`` of ``wanted`` and ``_share``.
 
     ``years`` comes from ``group_years``, ``wanted`` from ``wanted_variables``.  Pairs meet by experiment: to group by vid, expt and ``_share``
-    takes no further shuffle.  Grid and years are one number, so a pair is one maximum.
+    takes no further shuffle.  Grid and years are one number, so a pair is one maximum.  ``by_range`` names columns out of ``by`` and ``carry``
+    by whose ranges the pairs are dealt.
     """
     group_keys = ["refid", *[f"req_{c}" for c in by]]
     by_class = wanted.select(*group_keys, "vid", *about, default_grid(F.lit("DEF"), F.col("grid_class"), policy.default_native).alias("_default"))
-    pairs = meet_by_experiment(years, by_class, request_vars, group_keys)
+    pairs = meet_by_experiment(years, by_class, request_vars, group_keys, by_range)
     grid = F.when(F.col("grid") == "DEF", F.col("_default")).otherwise(F.coalesce("grid", "_default"))
     rank = choose(grid, {g: i for i, g in enumerate(reversed(GRID_ORDER))}).cast("bigint")
     weight = rank * (2 * YEARS_BELOW) + F.col("years").cast("bigint") + YEARS_BELOW

@@ -20,9 +20,10 @@ SNAPSHOT_RANGES, BUCKETS = 64, 16
 
 def outputs(cat: Catalogue) -> str:
     """Volumes of every variable that a project asks of an experiment, as files clustered by project and experiment."""
-    rows = fact(cat, ["req_mip", "expt", "vid", "mip_table"], by=["mip"])
+    place = K.interleaved(F.col("req_mip"), F.col("expt"))
+    rows = fact(cat, ["req_mip", "expt", "vid", "mip_table", "place"], by=["mip"], place=place)
     folder = new_folder(cat, "outputs")
-    K.write_clustered(rows, folder, "req_mip", "expt")
+    K.write_clustered(rows, folder, "req_mip", "expt", dealt="place")
     return folder
 
 

@@ -61,13 +61,15 @@ def _large_owners(left: DataFrame, owner: str) -> DataFrame:
     return chosen.select(owner, F.ceil(F.col("_rows") / CHUNK_ROWS).cast("int").alias("_parts"))
 
 
-def list_join(left: DataFrame, right: DataFrame, keys: Sequence[str], owner: str, member: str, *, right_keys: DataFrame) -> DataFrame:
+def list_join(left: DataFrame, right: DataFrame, keys: Sequence[str], owner: str, member: str, *, right_keys: DataFrame,
+              by_range: Sequence[str] = ()) -> DataFrame:
     """Inner equi-join whose pairs come dealt by ``owner`` of the left and, as far as that has many rows, by ``member`` of the right.
 
     The rows of a key on the right travel as a list to each row on the left, and are unfolded only where the owner's rows have met:
     a row is shuffled, not every pair. What then groups by owner, ``_share`` and ``member`` needs no shuffle. ``_share`` follows from
     owner and member, so as one more key it changes no group; it is -1 where all rows of an owner are together. Lists are bounded as the chunks of ``skew_join``; an owner with many rows has
     its lists parted by member. Without the ``keys`` that are not asked for by ``owner`` the rows hold the columns of both sides.
+    With ``by_range``, columns of the left, rows are dealt by ranges of those first, then of owner and ``_share``.
     """
     keys = list(keys)
     known = [k for k in keys if k in right_keys.columns]
@@ -89,7 +91,8 @@ def list_join(left: DataFrame, right: DataFrame, keys: Sequence[str], owner: str
     own = F.when(F.col("_parts").isNull(), F.col("_list")).otherwise(F.filter("_list", lambda e: part(e) == F.col("_share")))
     tasks = SHARES * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kept = [c for c in left.columns if c not in known]
-    rows = dealt.select(*kept, "_share", own.alias("_list")).repartition(tasks, owner, "_share")
+    rows = dealt.select(*kept, "_share", own.alias("_list"))
+    rows = rows.repartitionByRange(tasks, *by_range, owner, "_share") if by_range else rows.repartition(tasks, owner, "_share")
     return rows.select(*kept, "_share", F.explode("_list").alias("_e")).select(*kept, "_share", *[F.col(f"_e.{c}").alias(c) for c in values])
 
 

@@ -22,18 +22,22 @@ def interleaved(first: Column, second: Column, bits: int = _BITS) -> Column:
     return reduce(lambda x, y: x.bitwiseOR(y), parts)
 
 
-def write_clustered(df: DataFrame, folder: str, first: str, second: str, files: int | None = None) -> None:
+def write_clustered(df: DataFrame, folder: str, first: str, second: str, files: int | None = None, dealt: str | None = None) -> None:
     """Writes ``folder``/rows, clustered by both keys, and ``folder``/pairs: ``first, second, file, rows``.
 
     A pair with many rows is spread over several files by all columns; the number of files is that of shuffle partitions, or given.
+    ``dealt`` names a column with ``interleaved`` of both keys by whose ranges the rows are dealt already: every task writes a file of its
+    own, no row is shuffled, and the column is not written.
     """
-    z = interleaved(F.col(first), F.col(second))
-    order = [z, F.col(first), F.col(second)]
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.repartitionByRange(n, *order, spread).sortWithinPartitions(*order)
+    if dealt:
+        rows = df.sortWithinPartitions(dealt, first, second).drop(dealt)
+    else:
+        order = [interleaved(F.col(first), F.col(second)), F.col(first), F.col(second)]
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = df.repartitionByRange(n, *order, spread).sortWithinPartitions(*order)
     rows.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{folder}/rows")
-    back = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
+    back = df.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows")
     held = back.groupBy(first, second, F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
     held.repartitionByRange(first, second, "file").sortWithinPartitions(first, second, "file").write.parquet(f"{folder}/pairs")
 

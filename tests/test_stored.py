@@ -174,3 +174,21 @@ def test_distinct_counts_at_several_grains(spark):
                 plain.setdefault((",".join(s) or "all", p if "p" in s else None, q if "q" in s else None), set()).add(n)
     assert found == {k: len(v) for k, v in plain.items()}
     assert T.distinct_at_grains(df.limit(0), "n", [["p"]], "p").count() == 0
+
+
+def test_outputs_are_dealt_before_their_lists_are_unfolded(spark, monkeypatch, tmp_path):
+    """What is written by project and experiment comes in ranges of both, so no pair is shuffled, and its files do not overlap."""
+    from gridledger.plans import stored
+    from gridledger.plans.roles import Catalogue
+
+    seen, write = [], K.write_clustered
+    monkeypatch.setattr(K, "write_clustered", lambda df, *a, **k: (seen.append(df), write(df, *a, **k)))
+    folder = stored.outputs(Catalogue(spark, "/root/testdata/sf0.001"))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(_list" in plan and "Exchange" not in plan.split("Generate explode(_list")[0]
+    rows = spark.read.parquet(f"{folder}/rows")
+    assert rows.columns == ["req_mip", "expt", "vid", "mip_table", "hundredths"]
+    z = K.interleaved(F.col("req_mip"), F.col("expt")).alias("z")
+    spans = sorted((r["low"], r["high"]) for r in rows.select(z, F.col("_metadata.file_name").alias("file")).groupBy("file").agg(
+        F.min("z").alias("low"), F.max("z").alias("high")).collect())
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
