@@ -189,6 +189,6 @@ def test_outputs_are_dealt_before_their_lists_are_unfolded(spark, monkeypatch, t
     rows = spark.read.parquet(f"{folder}/rows")
     assert rows.columns == ["req_mip", "expt", "vid", "mip_table", "hundredths"]
     z = K.interleaved(F.col("req_mip"), F.col("expt")).alias("z")
-    spans = sorted((r["low"], r["high"]) for r in rows.select(z, F.col("_metadata.file_name").alias("file")).groupBy("file").agg(
-        F.min("z").alias("low"), F.max("z").alias("high")).collect())
-    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    for parts in (rows.select(z, F.col("_metadata.file_name").alias("part")), seen[0].select(z, F.spark_partition_id().alias("part"))):
+        spans = sorted((r["low"], r["high"]) for r in parts.groupBy("part").agg(F.min("z").alias("low"), F.max("z").alias("high")).collect())
+        assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
