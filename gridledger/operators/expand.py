@@ -59,6 +59,12 @@ def meet_by_experiment(left: DataFrame, right: DataFrame, request_vars: DataFram
     return list_join(left, right, keys, "expt", "vid", right_keys=request_vars.select(F.col("vgid").alias("refid")), by_range=by_range)
 
 
+def meet_by_variable(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("refid",)) -> DataFrame:
+    """Rows of request variables (left) with rows of experiments (right) of their group, dealt by variable: to group by ``vid``, ``_share``
+    and ``expt`` takes no further shuffle, and what is summed per variable afterwards is shuffled as sums."""
+    return list_join(left, right, keys, "vid", "expt")
+
+
 def copies_once(rows: DataFrame) -> DataFrame:
     """Equal rows once, with their number as ``_copies``: such rows can travel through ``meet_by_experiment`` and its grouping."""
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.caps import cap_years, effective_priority, first_tier_passes, members_for_tier, reset_passes
 from gridledger.functions.sizes import choose, default_grid, request_grid
-from gridledger.operators.expand import expand_target, meet_by_experiment, meet_groups, with_link
+from gridledger.operators.expand import expand_target, meet_by_experiment, meet_by_variable, meet_groups, with_link
 
 # best first
 GRID_ORDER = ["native:01", "native", "1deg", "100km", "2deg", "DEF", ""]
@@ -175,6 +175,26 @@ def best_years(years: DataFrame, wanted: DataFrame, request_vars: DataFrame, pol
                        (F.pmod("_best", F.lit(2 * YEARS_BELOW)) - YEARS_BELOW).cast(years.schema["years"].dataType).alias("years"))
 
 
+def best_years_by_variable(years: DataFrame, wanted: DataFrame, policy: Policy, by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
+    """As ``best_years``, with the pairs dealt by variable: the experiments of a group travel as a list to each of its variables.
+
+    Nothing is known of a variable but its class, and what is summed per variable has few rows in each task.  Grid and years travel
+    as one number; a grid that the class settles is settled where the pairs arise.
+    """
+    group_keys = ["refid", *[f"req_{c}" for c in by]]
+    ranks = {g: i for i, g in enumerate(reversed(GRID_ORDER))}
+    default = choose(default_grid(F.lit("DEF"), F.col("grid_class"), policy.default_native), ranks).cast("bigint")
+    asked = choose(F.coalesce("grid", F.lit("DEF")), ranks).cast("bigint") * (2 * YEARS_BELOW) + F.col("years").cast("bigint") + YEARS_BELOW
+    pairs = meet_by_variable(wanted.select(*group_keys, "vid", default.alias("_default")),
+                             years.select(*group_keys, "expt", *carry, asked.alias("_asked")), group_keys)
+    settled = F.when(F.shiftright("_asked", 41) == ranks["DEF"], F.col("_asked") + (F.col("_default") - ranks["DEF"]) * (2 * YEARS_BELOW)).otherwise(F.col("_asked"))
+    keys = ["vid", "expt", *carry, *group_keys[1:]]
+    best = pairs.groupBy(*keys, "_share").agg(F.max(settled).alias("_best"))
+    grids = F.array(*[F.lit(g) for g in reversed(GRID_ORDER)])
+    return best.select(*keys, F.get(grids, F.shiftright("_best", 41).cast("int")).alias("grid"),
+                       (F.pmod("_best", F.lit(2 * YEARS_BELOW)) - YEARS_BELOW).cast(years.schema["years"].dataType).alias("years"))
+
+
 def _ranked(selected: DataFrame, choices: DataFrame, by: Sequence[str]) -> DataFrame:
     """Each selected variable once per choice group it is in, and whether it ranks below another selected one there.
 

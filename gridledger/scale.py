@@ -50,18 +50,18 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return repeated.join(dealt, [*keys, "_chunk"]).drop("_chunk")
 
 
-def _large_owners(left: DataFrame, owner: str) -> DataFrame:
-    """As ``large_keys`` of rows that another branch of the plan reads too.
+def _large_on_walk(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """As ``large_keys`` of rows that another branch of the plan reads too, with the number of chunks as ``name``.
 
     No null is filtered and no column is left out before the count, so that both branches have one plan below, which runs once.
     """
-    row = F.max(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])).alias("_row")
-    counted = left.groupBy(owner).agg(F.count(F.lit(1)).alias("_rows"), row).where(F.col("_rows") > CHUNK_ROWS)
-    chosen = counted.orderBy(F.desc("_rows"), owner, "_row").limit(MOST_KEYS)
-    return chosen.select(owner, F.ceil(F.col("_rows") / CHUNK_ROWS).cast("int").alias("_parts"))
+    row = F.max(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])).alias("_row")
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), row).where(F.col("_rows") > CHUNK_ROWS)
+    chosen = counted.orderBy(F.desc("_rows"), key, "_row").limit(MOST_KEYS)
+    return chosen.select(key, F.ceil(F.col("_rows") / CHUNK_ROWS).cast("int").alias(name))
 
 
-def list_join(left: DataFrame, right: DataFrame, keys: Sequence[str], owner: str, member: str, *, right_keys: DataFrame,
+def list_join(left: DataFrame, right: DataFrame, keys: Sequence[str], owner: str, member: str, *, right_keys: DataFrame | None = None,
               by_range: Sequence[str] = ()) -> DataFrame:
     """Inner equi-join whose pairs come dealt by ``owner`` of the left and, as far as that has many rows, by ``member`` of the right.
 
@@ -70,20 +70,21 @@ def list_join(left: DataFrame, right: DataFrame, keys: Sequence[str], owner: str
     owner and member, so as one more key it changes no group; it is -1 where all rows of an owner are together. Lists are bounded as the chunks of ``skew_join``; an owner with many rows has
     its lists parted by member. Without the ``keys`` that are not asked for by ``owner`` the rows hold the columns of both sides.
     With ``by_range``, columns of the left, rows are dealt by ranges of those first, then of owner and ``_share``.
+    Without ``right_keys`` the rows of the first key are counted on the walk that the lists come from.
     """
     keys = list(keys)
-    known = [k for k in keys if k in right_keys.columns]
+    known = keys[:1] if right_keys is None else [k for k in keys if k in right_keys.columns]
     # the condition that the join itself asks for, so that it is the same for all readers of the left
     have_keys = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    left = left.where(have_keys)
+    left, right = left.where(have_keys), right.where(have_keys)
     values = [c for c in right.columns if c not in keys]
-    large = F.broadcast(large_keys(right_keys, known))
+    large = F.broadcast(_large_on_walk(right, known[0], "_chunks") if right_keys is None else large_keys(right_keys, known))
     chunks = F.coalesce("_chunks", F.lit(1))
     chunk = F.when(F.col("_chunks").isNotNull(), F.pmod(F.xxhash64(*right.columns), chunks)).otherwise(0).cast("int").alias("_chunk")
-    lists = right.where(have_keys).join(large, known, "left").select(*right.columns, chunk).groupBy(*keys, "_chunk").agg(
+    lists = right.join(large, known, "left").select(*right.columns, chunk).groupBy(*keys, "_chunk").agg(
         F.collect_list(F.struct(*values)).alias("_list"))
     repeated = left.join(large, known, "left").select(*left.columns, F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_chunk"))
-    hot = F.broadcast(_large_owners(left, owner))
+    hot = F.broadcast(_large_on_walk(left, owner, "_parts"))
     met = repeated.join(lists, [*keys, "_chunk"]).join(hot, [owner], "left")
     part = lambda e: F.pmod(F.xxhash64(e[member]), F.col("_parts")).cast("int")
     shares = F.when(F.col("_parts").isNull(), F.array(F.lit(-1))).otherwise(F.array_distinct(F.transform("_list", part)))

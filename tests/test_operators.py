@@ -501,3 +501,25 @@ def test_owners_are_counted_on_the_same_walk(spark, table, tmp_path):
         assert rows(df, "o", "y", "v") == [(None, 7, 12), ("a", 5, 10), ("a", 5, 11), ("b", 2, 10), ("b", 2, 11)]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("chunk", [2, 512])
+def test_years_of_the_best_grid_dealt_by_variable(table, monkeypatch, chunk):
+    """As a maximum per grid, with negative and missing years and grids, a large group and a variable of many groups."""
+    monkeypatch.setattr(scale, "CHUNK_ROWS", chunk)
+    years = table("refid bigint, expt string, grid string, years bigint", [
+        (1, "e1", "2deg", 900), (1, "e1", "1deg", 5), (2, "e1", "1deg", 7), (2, "e1", None, 3), (1, "e2", "DEF", -4), (2, "e2", "", 8), (1, "e3", "native:01", None),
+        (None, "e4", "1deg", 2), (3, None, "DEF", 6), (3, "e5", "DEF", 9), (4, "e5", "1deg", 9), *[(5, f"f{i}", "DEF", i) for i in range(9)]])
+    wanted = table("refid bigint, vid bigint, grid_class string", [
+        (1, 10, "o"), (2, 10, "o"), (1, 11, "a"), (2, 12, "a"), (3, 10, "o"), (3, 12, "a"), (3, 12, "a"), (4, 10, "o"), (5, 10, "o"), (5, 12, "a"), (4, 13, "a"), (4, 13, "o")])
+    met = years.join(wanted, "refid")
+    plain = R.variable_years(met.withColumn("grid", R.default_grid(F.col("grid"), F.col("grid_class"))), R.Policy())
+    got = R.best_years_by_variable(years, wanted, R.Policy())
+    assert rows(got, "vid", "expt", "grid", "years") == rows(plain, "vid", "expt", "grid", "years")
+    assert dict(got.dtypes)["years"] == "bigint"
+    by = ["mip"]
+    named = R.best_years_by_variable(years.withColumn("req_mip", F.when(F.col("years") % 2 == 0, "m0").otherwise("m1")),
+                                     wanted.withColumn("req_mip", F.explode(F.array(F.lit("m0"), F.lit("m1")))), R.Policy(), by)
+    twice = R.variable_years(met.withColumn("grid", R.default_grid(F.col("grid"), F.col("grid_class"))).withColumn(
+        "req_mip", F.when(F.col("years") % 2 == 0, "m0").otherwise("m1")), R.Policy(), by)
+    assert rows(named, "req_mip", "vid", "expt", "grid", "years") == rows(twice, "req_mip", "vid", "expt", "grid", "years")

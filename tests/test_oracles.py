@@ -84,3 +84,20 @@ def test_tables_and_frequencies_travel_as_one_number(spark):
     plan = QUERIES["rollups_by_mip"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     unfolded = [line for line in plan.splitlines() if "_e#" in line and ".vid AS" in line]
     assert unfolded and not [line for line in unfolded if "mip_table" in line or "frequency" in line]
+
+
+def _dealt_by_variable(spark, name):
+    """Only sums per variable and grid leave the place where lists of experiments are unfolded, and lists hold nothing but experiment and request."""
+    df = QUERIES[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(_list" in plan
+    above = plan.split("Generate explode(_list")[0]
+    first = [line for line in above.splitlines() if "Exchange" in line][-1]
+    assert "hashpartitioning(vid" in first and "grid" in first and "expt" not in first
+    unfolded = [line for line in plan.splitlines() if "_e#" in line and ".expt AS" in line]
+    assert unfolded and all(line.count("_e#") == 2 for line in unfolded)
+    return df
+
+
+def test_table_labels_sum_where_lists_are_unfolded(spark, con, forced_split):
+    assert compare(_dealt_by_variable(spark, "volume_by_table_label"), ORACLES["volume_by_table_label"], con) == ""
