@@ -101,3 +101,7 @@ def _dealt_by_variable(spark, name):
 
 def test_table_labels_sum_where_lists_are_unfolded(spark, con, forced_split):
     assert compare(_dealt_by_variable(spark, "volume_by_table_label"), ORACLES["volume_by_table_label"], con) == ""
+
+
+def test_volumes_of_variables_sum_where_lists_are_unfolded(spark, con, forced_split):
+    assert compare(_dealt_by_variable(spark, "volume_by_variable"), ORACLES["volume_by_variable"], con) == ""
