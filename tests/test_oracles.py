@@ -105,3 +105,7 @@ def test_table_labels_sum_where_lists_are_unfolded(spark, con, forced_split):
 
 def test_volumes_of_variables_sum_where_lists_are_unfolded(spark, con, forced_split):
     assert compare(_dealt_by_variable(spark, "volume_by_variable"), ORACLES["volume_by_variable"], con) == ""
+
+
+def test_largest_volumes_sum_where_lists_are_unfolded(spark, con, forced_split):
+    assert compare(_dealt_by_variable(spark, "volume_by_variable_top20"), ORACLES["volume_by_variable_top20"], con) == ""
