@@ -109,3 +109,7 @@ def test_volumes_of_variables_sum_where_lists_are_unfolded(spark, con, forced_sp
 
 def test_largest_volumes_sum_where_lists_are_unfolded(spark, con, forced_split):
     assert compare(_dealt_by_variable(spark, "volume_by_variable_top20"), ORACLES["volume_by_variable_top20"], con) == ""
+
+
+def test_variables_not_listed_are_counted_where_lists_are_unfolded(spark, con, forced_split):
+    assert compare(_dealt_by_variable(spark, "volume_not_listed"), ORACLES["volume_not_listed"], con) == ""
